@@ -67,12 +67,12 @@ def _c(c) -> Column:
 
 def parse_eu_date(c) -> Column:
     """``dd.MM.yyyy`` (single digits accepted), invalid -> NULL."""
-    return F.try_to_date(F.trim(_c(c)), F.lit("d.M.yyyy"))
+    return F.try_to_date(F.trim(_c(c)), "d.M.yyyy")
 
 
 def parse_short_date(c) -> Column:
     """``dd.MM.yy`` -> 20yy, invalid -> NULL."""
-    return F.try_to_date(F.trim(_c(c)), F.lit("d.M.yy"))
+    return F.try_to_date(F.trim(_c(c)), "d.M.yy")
 
 
 def parse_iso_utc(c) -> Column:
@@ -88,7 +88,7 @@ def french_date(c) -> Column:
     s = F.trim(_c(c))
     for fr, en in FRENCH_MONTHS:
         s = F.replace(s, F.lit(fr), F.lit(en))
-    return F.coalesce(F.try_to_date(s, F.lit("d MMM yyyy")), F.lit(SENTINEL_DATE).cast("date"))
+    return F.coalesce(F.try_to_date(s, "d MMM yyyy"), F.lit(SENTINEL_DATE).cast("date"))
 
 
 def eu_decimal(c) -> Column:

@@ -59,9 +59,8 @@ def rooms_booked_by_slot(booking: DataFrame) -> DataFrame:
     Ratio is 0-1 (Q4) and guarded against an empty catalogue.
     """
     b = booking.withColumn("ym", F.date_trunc("month", F.col("date")).cast("date"))
-    booked = (b.select("date", "ym", "start_time", "room_id").distinct()
-              .groupBy("date", "ym", "start_time").agg(F.count(F.lit(1)).alias("rooms_booked")))
-    total = b.select("ym", "room_id").distinct().groupBy("ym").agg(F.count(F.lit(1)).alias("rooms_total"))
+    booked = b.groupBy("date", "ym", "start_time").agg(F.count_distinct("room_id").alias("rooms_booked"))
+    total = b.groupBy("ym").agg(F.count_distinct("room_id").alias("rooms_total"))
     return (booked.join(total, "ym")
             .select("date", "start_time", "rooms_booked", "rooms_total",
                     F.coalesce(F.try_divide(F.col("rooms_booked").cast("double"), F.col("rooms_total").cast("double")),

@@ -159,7 +159,7 @@ def dim_production_prediction(weather: DataFrame, kind: str) -> DataFrame:
     """Mean forecast per (date, slot) with the hour; actuals are 0 placeholders (Q24)."""
     prefix, pred_col, actual_col = PREDICTION_KINDS[kind]
     g = (weather.withColumn("time", tx.normalize_time("time"))
-         .groupBy("date", "time").agg(F.avg("prediction").alias("mean_prediction")))
+         .groupBy("date", "time").agg(F.round(F.avg("prediction"), 6).alias("mean_prediction")))
     return g.select(K.surrogate_key(prefix, tx.date_iso("date"), F.col("time")).alias("Prod_PredictionID"),
                     F.col("date").alias("pred_date"), tx.hour_num("time").alias("pred_hour"),
                     F.col("mean_prediction").alias(pred_col), F.lit(0.0).alias(actual_col))

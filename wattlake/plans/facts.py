@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import keys as K
 from ..functions import text as tx
 from ..operators import aggregates as G
+from ..operators.filters import split_integrity
 from . import dims as D
 
 MEAN_DIGITS = 6
@@ -115,7 +116,6 @@ def rooms_fact_split(booking: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("pct_rooms_booked").cast("double").alias("Pct_Rooms_Booked"),
         F.col("rooms_free").cast("long").alias("Rooms_Free_Count"),
         F.col("date").alias("partition_date"))
-    from ..operators.filters import split_integrity
     return split_integrity(rows, ["TimeID", "RoomID"])
 
 
@@ -136,7 +136,7 @@ def prediction_fact(consumption: DataFrame, weather: DataFrame) -> DataFrame:
     first = G.keep_first(c, ["date", "t"], ["value_acquired", "variation"], ["value_acquired"])
     # both forecast dimensions share the (date, slot) mean; take the day's first slot once
     slot_mean = (weather.withColumn("t", tx.normalize_time("time"))
-                 .groupBy("date", "t").agg(F.avg("prediction").alias("m")))
+                 .groupBy("date", "t").agg(F.round(F.avg("prediction"), MEAN_DIGITS).alias("m")))
     day_first = slot_mean.groupBy("date").agg(F.min(F.struct("t", "m")).alias("f"))
     cols = [F.col("date")]
     for kind in ("pac", "daysum"):

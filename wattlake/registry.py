@@ -2,32 +2,505 @@
 
 Each query reads the driver's test tables through the silver-feed adapters
 (whole tables, no sampling) and runs one operator or load of the pipeline.
+Raw-text queries build source-style text from the table values inside the
+plan (``dd.MM.yyyy`` dates, comma decimals, French months, quotes, a few
+invalid tokens chosen from the row's own ids) and parse it back.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .plans import facts
-from .sources import adapters as A
+from .functions import text as tx
+from .operators import aggregates as G
+from .operators import filters as FL
+from .operators import reshape as R
+from .operators import windows as WN
+from .plans import dims, facts, gold, marts, quality, run
 from .session import apply_runtime_conf
+from .sinks import writers as W
+from .sources import adapters as A
 
+QUERIES: dict = {}
 
-def _q(fn):
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def query(fn):
+    def run_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_runtime_conf(spark)
         return fn(spark, sf_dir)
-    run.__name__ = fn.__name__
-    run.__doc__ = fn.__doc__
-    return run
+    run_query.__name__ = fn.__name__
+    run_query.__doc__ = fn.__doc__
+    QUERIES[fn.__name__] = run_query
+    return run_query
+
+
+def _events(spark, sf_dir):
+    ev = A.table(spark, sf_dir, "events")
+    return ev.withColumns({"date": F.to_date("ts"), "time": A.slot_time(F.col("ts"))})
+
+
+# --- C / D: raw text parsed back ---------------------------------------------------------------
+
+@query
+def clean_sensor_text(spark, sf_dir):
+    """Humidity readings as sensor-file text (d.M.yyyy / dd.MM.yyyy, comma decimals)."""
+    ev = _events(spark, sf_dir).where(F.col("event_type") == "view")
+    eid = F.col("event_id")
+    raw = ev.select(
+        F.when(eid % 23 == 0, F.lit("n/a")).when(eid % 2 == 0, F.date_format("date", "dd.MM.yyyy"))
+        .otherwise(F.date_format("date", "d.M.yyyy")).alias("raw_date"),
+        F.concat(F.lit(" "), F.col("time"), F.lit("  ")).alias("time_str"), F.lit("%").alias("unit"),
+        F.when(eid % 19 == 0, F.lit("x,y")).otherwise(F.replace(F.col("value").cast("string"), F.lit("."), F.lit(",")))
+        .alias("val_raw"),
+        F.replace((F.col("user_id") % 7).cast("double").cast("string"), F.lit("."), F.lit(",")).alias("var_raw"))
+    parsed = raw.select(tx.parse_eu_date("raw_date").alias("date"), F.trim("time_str").alias("time"), "unit",
+                        tx.eu_decimal("val_raw").alias("value_acquired"), tx.eu_decimal("var_raw").alias("variation"))
+    return FL.sensor_quality(parsed)
+
+
+@query
+def parse_inverter_date(spark, sf_dir):
+    """Inverter rows as export text (dd.MM.yy, numbers as text, some invalid cells)."""
+    p = A.production(spark, sf_dir)
+    bad_day = (F.dayofmonth("date") % 10 == 0) & (F.col("inv_id") == 3)
+    raw = p.select(F.when(bad_day, F.lit("xx.xx.xx")).otherwise(F.date_format("date", "dd.MM.yy")).alias("raw_date"),
+                   "time", F.col("inv_id").cast("string").alias("inv_raw"),
+                   F.when(F.col("error") > 0, F.lit("-")).otherwise(F.col("pac").cast("string")).alias("pac_raw"),
+                   F.col("daysum").cast("string").alias("daysum_raw"), "status",
+                   F.col("error").cast("string").alias("error_raw"))
+    out = raw.select(tx.parse_short_date("raw_date").alias("date"), "time",
+                     tx.to_double("inv_raw").cast("int").alias("inv_id"), tx.to_double("pac_raw").alias("pac"),
+                     tx.to_double("daysum_raw").alias("daysum"), "status", tx.to_double("error_raw").alias("error"))
+    return out.where(F.col("date").isNotNull())
+
+
+OFFSETS = ["Z", "+01:00", "-02:30"]
+
+
+@query
+def parse_iso_utc(spark, sf_dir):
+    """Forecast times as ISO text with Z / +01:00 / -02:30 offsets, back to UTC date and time."""
+    ev = A.table(spark, sf_dir, "events").where(F.col("event_type").isin("signup", "purchase"))
+    eid = F.col("event_id")
+    off = F.element_at(F.array(*[F.lit(o) for o in OFFSETS]), (eid % 3 + 1).cast("int"))
+    raw = ev.select("event_id", F.when(eid % 29 == 0, F.lit("not a time"))
+                    .otherwise(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), off)).alias("time_raw"),
+                    F.col("value").cast("string").alias("value_raw"))
+    ts = tx.parse_iso_utc("time_raw")
+    out = raw.select("event_id", ts.alias("ts"), tx.to_double("value_raw").alias("value")).where(F.col("ts").isNotNull())
+    return out.select("event_id", F.to_date("ts").alias("date"), tx.ts_time("ts").alias("time"), "value")
+
+
+@query
+def french_date(spark, sf_dir):
+    """Booking dates as '05 janv. 2023' text; unparseable -> 1900-01-01."""
+    b = A.booking(spark, sf_dir)
+    tok = F.element_at(F.array(*[F.lit(fr) for fr, _ in tx.FRENCH_MONTHS]), F.month("date"))
+    raw = F.when(F.col("reservation_id") % 31 == 0, F.lit("?? ??? ????")).otherwise(
+        F.concat_ws(" ", F.lpad(F.dayofmonth("date").cast("string"), 2, "0"), tok, F.year("date").cast("string")))
+    return b.select("reservation_id", raw.alias("raw_date")).select(
+        "reservation_id", "raw_date", tx.french_date("raw_date").alias("date"))
+
+
+def _messy(c, k):
+    """Booking cell as exported: quoted, padded, or a missing-value token, by the row id."""
+    m = k % 9
+    return (F.when(m == 0, F.lit("")).when(m == 1, F.lit("nan")).when(m == 2, F.lit("None"))
+            .when(m == 3, F.lit(None).cast("string"))
+            .when(m == 4, F.concat(F.lit('"'), c, F.lit('"'))).when(m == 5, F.concat(F.lit('  "'), c, F.lit('" ')))
+            .otherwise(c))
+
+
+@query
+def strip_quotes_fill_empty(spark, sf_dir):
+    """Quotes stripped, missing tokens -> EMPTY, on booking text cells."""
+    b = A.booking(spark, sf_dir)
+    k = F.col("reservation_id")
+    raw = b.select("reservation_id", _messy(F.col("room_id"), k).alias("room_id"),
+                   _messy(F.col("activity_type"), k + 1).alias("activity_type"),
+                   _messy(F.col("department"), k + 2).alias("department"),
+                   _messy(F.col("reserved_by"), k + 3).alias("reserved_by"),
+                   _messy(F.col("class"), k + 4).alias("class"))
+    cols = ["room_id", "activity_type", "department", "reserved_by", "class"]
+    return raw.select("reservation_id", *[tx.fill_placeholder(tx.strip_quotes(c)).alias(c) for c in cols])
+
+
+@query
+def redact_people(spark, sf_dir):
+    """User and professor names -> ANONYMIZED, empty cells stay empty."""
+    b = A.booking(spark, sf_dir)
+    k = F.col("reservation_id")
+    instr = F.when(k % 4 == 0, F.lit("")).when(k % 4 == 1, F.lit("  ")).otherwise(F.concat(F.lit("Prof "), "department"))
+    return b.select("reservation_id", tx.redact("reserved_by").alias("reserved_by"), tx.redact(instr).alias("instructor"))
+
+
+@query
+def normalize_time(spark, sf_dir):
+    """H:MM, HH:MM, bare hour and HH:MM:SS -> HH:MM:SS, hour key and number."""
+    b = A.booking(spark, sf_dir)
+    k = F.col("reservation_id") % 4
+    s = F.col("start_time")
+    raw = (F.when(k == 0, s).when(k == 1, F.regexp_replace(s, "^0", ""))
+           .when(k == 2, F.regexp_replace(F.split_part(s, F.lit(":"), F.lit(1)), "^0", ""))
+           .otherwise(F.concat(s, F.lit(":00"))))
+    r = b.select("reservation_id", raw.alias("raw_time"))
+    return r.select("reservation_id", "raw_time", tx.normalize_time("raw_time", bare_hour=True).alias("time"),
+                    tx.hour_key("raw_time").alias("hour_key"), tx.hour_num("raw_time").alias("hour"))
+
+
+@query
+def sentinel_filter(spark, sf_dir):
+    """D3: -99999.0 readings dropped, missing readings kept."""
+    w = A.weather(spark, sf_dir)
+    i = F.col("issued")
+    v = F.when(i % 9 == 0, F.lit(-99999.0)).when(i % 11 == 0, F.lit(None).cast("double")).otherwise(F.col("value"))
+    return FL.sentinel_drop(w.withColumn("value", v)).select("date", "time", "site", "measurement", "value", "issued")
+
+
+@query
+def month_guard(spark, sf_dir):
+    """Rows filed under another month's folder are dropped."""
+    ev = _events(spark, sf_dir).where(F.col("event_type") == "view")
+    m = F.month("date")
+    folder = F.lpad(F.when(F.col("event_id") % 10 == 0, m % 12 + 1).otherwise(m).cast("string"), 2, "0")
+    rows = ev.select("date", "time", F.col("value").alias("value_acquired"), folder.alias("folder_month"))
+    return FL.month_guard(rows)
+
+
+@query
+def rooms_integrity_filter(spark, sf_dir):
+    """Booking facts without TimeID or RoomID go to quarantine (flagged)."""
+    b = A.booking(spark, sf_dir)
+    k = F.col("reservation_id")
+    b = b.withColumns({"room_id": F.when(k % 13 == 0, F.lit(None).cast("string")).otherwise(F.col("room_id")),
+                       "start_time": F.when(k % 17 == 0, F.lit("n/a")).otherwise(F.col("start_time"))})
+    good, bad = facts.rooms_fact_split(b)
+    cols = ["FactID", "TimeID", "RoomID", "ReservationID", "partition_date"]
+    return (good.select(*cols, F.lit(False).alias("quarantined"))
+            .unionByName(bad.select(*cols, F.lit(True).alias("quarantined"))))
+
+
+@query
+def role_filter(spark, sf_dir):
+    """A director of school 'F' sees only that school's bookings; technicians see no rooms mart."""
+    b = A.booking(spark, sf_dir)
+    director = marts.rooms_secure_view(b, "director", "F").withColumn("role", F.lit("director"))
+    tech = marts.rooms_secure_view(b, "technician", None).withColumn("role", F.lit("technician"))
+    return director.unionByName(tech).select("role", "date", "room_id", "start_time", "reservation_id", "department")
+
+
+# --- E: reshape ------------------------------------------------------------------------------
+
+@query
+def unpivot_inverters(spark, sf_dir):
+    """Production pivoted to the 5-block export layout, then unpivoted back in one pass."""
+    p = A.production(spark, sf_dir)
+    aggs = []
+    for b in range(1, R.N_INVERTERS + 1):
+        on = F.col("inv_id") == b
+        for f in ["inv_id", "pac", "daysum", "status", "error"]:
+            aggs.append(F.max(F.when(on, F.col(f).cast("string"))).alias(R.wide_name(b, f)))
+    wide = p.groupBy(F.col("date").alias("raw_date"), F.col("time").alias("time_str")).agg(*aggs)
+    long = R.unpivot_inverters(wide)
+    return long.select(F.col("raw_date").alias("date"), F.col("time_str").alias("time"),
+                       F.col("inv_id").cast("int").alias("inv_id"), tx.to_double("pac").alias("pac"),
+                       tx.to_double("daysum").alias("daysum"), "status", F.col("error").cast("int").alias("error"))
+
+
+@query
+def distinct_timestamps(spark, sf_dir):
+    """Every (date, HH:MM:SS) any of the six feeds mentions."""
+    fd = A.feeds(spark, sf_dir)
+    return dims.collect_times(fd.production, fd.consumption, fd.humidity, fd.temperature, fd.weather, fd.booking)
+
+
+# --- L5-L13: dimensions ----------------------------------------------------------------------
+
+@query
+def dim_time(spark, sf_dir):
+    """DimTime over all feeds."""
+    fd = A.feeds(spark, sf_dir)
+    return dims.dim_time(dims.collect_times(fd.production, fd.consumption, fd.humidity, fd.temperature,
+                                            fd.weather, fd.booking))
+
+
+@query
+def dim_room(spark, sf_dir):
+    """L7."""
+    return dims.dim_room(A.booking(spark, sf_dir))
+
+
+@query
+def dim_reservation(spark, sf_dir):
+    """L6."""
+    return dims.dim_reservation(A.booking(spark, sf_dir))
+
+
+@query
+def dim_consumption(spark, sf_dir):
+    """L8 (consumption profiles)."""
+    return dims.dim_profile(A.consumption(spark, sf_dir), "consumption")
+
+
+@query
+def dim_humidity(spark, sf_dir):
+    """L8 (humidity levels)."""
+    return dims.dim_profile(A.humidity(spark, sf_dir), "humidity")
+
+
+@query
+def dim_temp(spark, sf_dir):
+    """L8 (temperature levels)."""
+    return dims.dim_profile(A.temperature(spark, sf_dir), "temperature")
+
+
+@query
+def dim_inverter(spark, sf_dir):
+    """L9."""
+    return dims.dim_inverter(A.production(spark, sf_dir))
+
+
+@query
+def dim_errors(spark, sf_dir):
+    """L10."""
+    return dims.dim_errors(A.production(spark, sf_dir))
+
+
+@query
+def dim_forecast(spark, sf_dir):
+    """L11."""
+    return dims.dim_forecast(A.weather(spark, sf_dir))
+
+
+@query
+def dim_consumption_prediction(spark, sf_dir):
+    """L12."""
+    return dims.dim_consumption_prediction(A.consumption(spark, sf_dir))
+
+
+@query
+def dim_production_prediction_pac(spark, sf_dir):
+    """L13 (pac)."""
+    return dims.dim_production_prediction(A.weather(spark, sf_dir), "pac")
+
+
+@query
+def dim_production_prediction_daysum(spark, sf_dir):
+    """L13 (daysum)."""
+    return dims.dim_production_prediction(A.weather(spark, sf_dir), "daysum")
 
 
-@_q
+# --- B: sinks as plans ---------------------------------------------------------------------
+
+@query
+def upsert_new_rows(spark, sf_dir):
+    """DimTime rows a second run adds after a first run that loaded production times only."""
+    fd = A.feeds(spark, sf_dir)
+    existing = dims.dim_time(dims.collect_times(production=fd.production))
+    new = dims.dim_time(dims.collect_times(fd.production, fd.consumption, fd.humidity, fd.temperature,
+                                           fd.weather, fd.booking))
+    return W.rows_to_insert(new, existing, "TimeID")
+
+
+@query
+def fact_day_replace(spark, sf_dir):
+    """The power fact after a re-run of the weekend days replaced those days."""
+    pf = facts.power_fact(A.production(spark, sf_dir), A.consumption(spark, sf_dir))
+    v1 = W.with_load_version(pf, 1)
+    rerun = W.with_load_version(pf.where(F.dayofweek("partition_date").isin(1, 7)), 2)
+    return W.replaced_view(v1, rerun).select("FactID", "partition_date", "load_version")
+
+
+# --- G: aggregates -------------------------------------------------------------------------
+
+@query
+def daily_totals(spark, sf_dir):
+    """Production (max daysum) and consumption (sum variation) per day, kWh."""
+    p, c = A.production(spark, sf_dir), A.consumption(spark, sf_dir)
+    d = G.daily_production_total(p).join(G.daily_consumption_total(c), "date", "full")
+    return d.select("date", (F.col("max_daysum_w") / 1000.0).alias("total_production_kwh"),
+                    (F.col("sum_variation_w") / 1000.0).alias("total_consumption_kwh"))
+
+
+@query
+def running_pct(spark, sf_dir):
+    """Share of inverters running per slot."""
+    return G.running_pct(A.production(spark, sf_dir))
+
+
+@query
+def hourly_sensor_mean(spark, sf_dir):
+    """Hourly mean humidity and temperature."""
+    h = A.humidity(spark, sf_dir).withColumn("feed", F.lit("humidity"))
+    t = A.temperature(spark, sf_dir).withColumn("feed", F.lit("temperature"))
+    g = G.hourly_mean(h.unionByName(t), by=("feed", "date"))
+    return g.select("feed", "date", "hour", F.round("mean_value", 6).alias("mean_value"))
+
+
+@query
+def rooms_booked_by_slot(spark, sf_dir):
+    """Distinct rooms per (date, start) against the rooms of the month."""
+    return G.rooms_booked_by_slot(A.booking(spark, sf_dir))
+
+
+# --- L14-L17: facts ------------------------------------------------------------------------
+
+@query
 def power_fact(spark, sf_dir):
     """L14 flagship: production vs consumption, running share, day totals, for every day."""
     return facts.power_fact(A.production(spark, sf_dir), A.consumption(spark, sf_dir))
 
 
-QUERIES = {
-    "power_fact": power_fact,
-}
+@query
+def weather_fact(spark, sf_dir):
+    """L15."""
+    return facts.weather_fact(A.weather(spark, sf_dir), A.humidity(spark, sf_dir), A.temperature(spark, sf_dir))
+
+
+@query
+def rooms_fact(spark, sf_dir):
+    """L16."""
+    return facts.rooms_fact(A.booking(spark, sf_dir))
+
+
+@query
+def prediction_fact(spark, sf_dir):
+    """L17."""
+    return facts.prediction_fact(A.consumption(spark, sf_dir), A.weather(spark, sf_dir))
+
+
+# --- marts ---------------------------------------------------------------------------------
+
+@query
+def power_export(spark, sf_dir):
+    """The flat power export (fact with time, inverter, consumption, error dims)."""
+    fd = A.feeds(spark, sf_dir)
+    t = gold.build(fd)
+    return marts.power_export(t["Power_FactTable"], t["DimTime"], t["DimInverter"], t["DimConsumption"],
+                              t["DimErrors"])
+
+
+@query
+def campus_kpis(spark, sf_dir):
+    """Day / month / overall campus KPIs."""
+    fd = A.feeds(spark, sf_dir)
+    return marts.campus_kpis(fd.production, fd.consumption, fd.humidity, fd.temperature, fd.booking)
+
+
+@query
+def energy_value_chf(spark, sf_dir):
+    """G14."""
+    return marts.energy_value_chf(A.production(spark, sf_dir), A.consumption(spark, sf_dir))
+
+
+@query
+def production_vs_climate(spark, sf_dir):
+    """G15."""
+    return marts.production_vs_climate(A.production(spark, sf_dir), A.humidity(spark, sf_dir),
+                                       A.temperature(spark, sf_dir))
+
+
+@query
+def forecast_accuracy(spark, sf_dir):
+    """Forecast MAE / accuracy by day, month and overall."""
+    return marts.forecast_accuracy(A.weather(spark, sf_dir), "value", "prediction")
+
+
+@query
+def status_counts(spark, sf_dir):
+    """G17."""
+    return marts.status_counts(A.production(spark, sf_dir))
+
+
+@query
+def error_counts(spark, sf_dir):
+    """G18."""
+    return marts.error_counts(A.production(spark, sf_dir))
+
+
+@query
+def reservations_share(spark, sf_dir):
+    """G19."""
+    return marts.reservations_share(A.booking(spark, sf_dir))
+
+
+@query
+def room_date_heatmap(spark, sf_dir):
+    """G20."""
+    return marts.room_date_heatmap(A.booking(spark, sf_dir))
+
+
+@query
+def room_hour_timeline(spark, sf_dir):
+    """G21."""
+    return marts.room_hour_timeline(A.booking(spark, sf_dir))
+
+
+@query
+def most_recent_forecast(spark, sf_dir):
+    """Latest issue per (slot, site, measurement)."""
+    w = A.weather(spark, sf_dir)
+    return WN.most_recent(w, ["date", "time", "site", "measurement"]).select(
+        "date", "time", "site", "measurement", "value", "prediction", "issued")
+
+
+@query
+def stalled_inverters(spark, sf_dir):
+    """Daysum not rising while a peer's does."""
+    return WN.stalled_inverters(A.production(spark, sf_dir))
+
+
+@query
+def peer_underperformers(spark, sf_dir):
+    """Pac below half the slot's mean."""
+    out = WN.peer_underperformers(A.production(spark, sf_dir))
+    return out.withColumn("peer_avg_pac", F.round("peer_avg_pac", 6))
+
+
+# --- V: validation -------------------------------------------------------------------------
+
+def _core_tables(spark, sf_dir):
+    t = gold.build(A.feeds(spark, sf_dir))
+    return {n: t[n] for n in gold.CORE_TABLES}
+
+
+@query
+def pk_duplicates(spark, sf_dir):
+    """V1."""
+    return quality.pk_duplicates(_core_tables(spark, sf_dir))
+
+
+@query
+def fk_orphans(spark, sf_dir):
+    """V2."""
+    return quality.fk_orphans(_core_tables(spark, sf_dir))
+
+
+@query
+def not_null_counts(spark, sf_dir):
+    """V3."""
+    return quality.not_null_counts(_core_tables(spark, sf_dir))
+
+
+@query
+def missing_days(spark, sf_dir):
+    """V4."""
+    fd = A.feeds(spark, sf_dir)
+    return quality.missing_days({"production": fd.production, "consumption": fd.consumption,
+                                 "humidity": fd.humidity, "temperature": fd.temperature,
+                                 "weather": fd.weather, "booking": fd.booking})
+
+
+# --- L18-L20, A10 --------------------------------------------------------------------------
+
+@query
+def backfill_range(spark, sf_dir):
+    """L18 + G12: fact rows per calendar day over the full range of the feeds."""
+    return run.backfill_counts(A.feeds(spark, sf_dir))
+
+
+@query
+def future_time_rows(spark, sf_dir):
+    """L19 + C20: DimTime rows of the next two days of every run date, mapped into 2023."""
+    return run.future_time_rows(A.consumption(spark, sf_dir).select("date"), fixed_year=2023)
