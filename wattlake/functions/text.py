@@ -145,7 +145,8 @@ def normalize_time(c, bare_hour: bool = False) -> Column:
     s = F.trim(_c(c).cast("string"))
     n = F.size(F.split(s, ":"))
     padded = (F.when(n == 2, F.concat(s, F.lit(":00")))
-              .when(F.lit(bare_hour) & (n == 1), F.concat(F.lpad(s, 2, "0"), F.lit(":00:00")))
+              .when(F.lit(bare_hour) & (n == 1),
+                    F.concat(F.when(F.length(s) < 2, F.lpad(s, 2, "0")).otherwise(s), F.lit(":00:00")))
               .otherwise(s))
     return F.when(F.length(padded) < 8, F.lpad(padded, 8, "0")).otherwise(padded)
 

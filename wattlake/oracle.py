@@ -60,14 +60,24 @@ def with_views(body: str, extra: list[str] | None = None) -> str:
 
 
 def norm_time(expr: str, bare_hour: bool = False) -> str:
-    """DuckDB twin of ``text.normalize_time``."""
+    """DuckDB twin of ``text.normalize_time`` (pads, never truncates)."""
     s = f"trim(cast({expr} as varchar))"
     n = f"len(string_split({s}, ':'))"
-    bare = f" when {n} = 1 then lpad({s}, 2, '0') || ':00:00'" if bare_hour else ""
+    bare = (f" when {n} = 1 then (case when length({s}) < 2 then lpad({s}, 2, '0') else {s} end) || ':00:00'"
+            if bare_hour else "")
     p = f"(case when {n} = 2 then {s} || ':00'{bare} else {s} end)"
     return f"(case when length({p}) < 8 then lpad({p}, 8, '0') else {p} end)"
 
 
+def hour_key(expr: str) -> str:
+    h = f"split_part(trim(cast({expr} as varchar)), ':', 1)"
+    return f"(case when length({h}) < 2 then lpad({h}, 2, '0') else {h} end)"
+
+
+def hour_num(expr: str) -> str:
+    return f"coalesce(try_cast({hour_key(expr)} as int), 0)"
+
+
 def ktext(expr: str) -> str:
     """DuckDB twin of ``keys.key_text``: doubles print like Python ``str``."""
     return f"coalesce(cast({expr} as varchar), 'nan')"
@@ -77,22 +87,73 @@ def d(expr: str) -> str:
     return f"cast({expr} as varchar)"
 
 
+def valid(t: str) -> str:
+    return f"regexp_matches({t}, '^[0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}$')"
+
+
 def tid(date_expr: str, t: str) -> str:
     return f"md5({d(date_expr)} || 'T' || {t})"
 
 
-POWER_FACT = with_views(f"""
+def tid_or_empty(date_expr: str, t: str) -> str:
+    return f"(case when {date_expr} is not null and {valid(t)} then {tid(date_expr, t)} else '' end)"
+
+
+def ts_of(date_expr: str, t: str) -> str:
+    return f"try_cast({d(date_expr)} || ' ' || {norm_time(t, True)} as timestamp)"
+
+
+def dbl(x) -> str:
+    return f"cast({x} as double)"
+
+
+MONTHS_FR = "['janv.', 'févr.', 'mars', 'avr.', 'mai', 'juin', 'juil.', 'août', 'sept.', 'oct.', 'nov.', 'déc.']"
+MONTHS_SWAP = [("janv.", "Jan"), ("févr.", "Feb"), ("mars", "Mar"), ("avr.", "Apr"), ("mai", "May"), ("juin", "Jun"),
+               ("juil.", "Jul"), ("août", "Aug"), ("sept.", "Sep"), ("oct.", "Oct"), ("nov.", "Nov"), ("déc.", "Dec")]
+
+
+def french_parse(expr: str) -> str:
+    s = f"trim({expr})"
+    for fr, en in MONTHS_SWAP:
+        s = f"replace({s}, '{fr}', '{en}')"
+    return f"coalesce(cast(try_strptime({s}, '%d %b %Y') as date), date '1900-01-01')"
+
+
+def messy(c: str, k: str) -> str:
+    m = f"({k}) % 9"
+    return (f"(case when {m} = 0 then '' when {m} = 1 then 'nan' when {m} = 2 then 'None' when {m} = 3 then null "
+            f"when {m} = 4 then '\"' || {c} || '\"' when {m} = 5 then '  \"' || {c} || '\" ' else {c} end)")
+
+
+def strip_fill(x: str) -> str:
+    s = f"trim(replace({x}, '\"', ''))"
+    return f"(case when {s} is null or {s} in ('nan', 'None', '') then 'EMPTY' else {s} end)"
+
+
+def redact(x: str) -> str:
+    return f"(case when trim({x}) != '' then 'ANONYMIZED' else {x} end)"
+
+
+def first_by(src: str, keys: str, order: str) -> str:
+    return (f"(select * exclude (rn) from (select *, row_number() over (partition by {keys} order by {order}) as rn "
+            f"from {src}) where rn = 1)")
+
+
+# --- reusable bodies (no a_* CTEs; ``with_views`` adds them) ------------------------------------
+
+BODY: dict[str, str] = {}
+
+BODY["power_fact"] = f"""
 with slot_cons as (
   select date, time as t, variation as cons_w,
     md5('cons_profile_' || {ktext('value_acquired')} || '_' || {ktext('variation')}) as cons_id
-  from (select *, row_number() over (partition by date, time order by value_acquired, variation) as rn from a_consumption)
-  where rn = 1),
+  from {first_by('a_consumption', 'date, time', 'value_acquired, variation')}),
 slot_run as (select date, time as t, cast(count_if(pac > 0) as double) / count(*) * 100.0 as pct
   from a_production group by 1, 2),
 day_p as (select date, max(daysum) as mx from a_production group by 1),
 day_c as (select date, cast(sum(cast(variation as decimal(18,2))) as double) as sv from a_consumption group by 1)
 select md5('pf_' || {d('p.date')} || '_' || p.time || '_' || {d('p.inv_id')}) as FactID,
-  {tid('p.date', 'p.time')} as TimeID,
+  {tid_or_empty('p.date', 'p.time')} as TimeID,
   coalesce(sc.cons_id, '') as ConsumptionID,
   md5('inv_' || {d('p.inv_id')}) as InverterKey,
   md5('err_' || {d('p.error')}) as ErrorID,
@@ -108,9 +169,426 @@ from a_production p
 left join slot_run sr on sr.date = p.date and sr.t = p.time
 left join slot_cons sc on sc.date = p.date and sc.t = p.time
 left join day_p dp on dp.date = p.date
-left join day_c dc on dc.date = p.date
-""")
+left join day_c dc on dc.date = p.date"""
 
-SQL: dict[str, str] = {
-    "power_fact": POWER_FACT,
-}
+TIMES = f"""(
+  select distinct date, time from (
+    select date, {norm_time('start_time', True)} as time from a_booking
+    union all select date, {norm_time('time')} from a_consumption
+    union all select date, {norm_time('time')} from a_humidity
+    union all select date, {norm_time('time')} from a_temperature
+    union all select date, {norm_time('time')} from a_production
+    union all select date, {norm_time('time')} from a_weather)
+  where date is not null and time is not null)"""
+
+
+def dim_time_of(times: str) -> str:
+    return f"""select {tid('date', 'time')} as TimeID, cast(year(date) as int) as Year, cast(month(date) as int) as Month,
+  cast(day(date) as int) as Day, try_cast(split_part(time, ':', 1) as int) as Hour,
+  try_cast(split_part(time, ':', 2) as int) as Minute, try_cast(split_part(time, ':', 3) as int) as Second
+from (select distinct date, time from {times} where {valid('time')})"""
+
+
+BODY["distinct_timestamps"] = f"select date, time from {TIMES}"
+BODY["dim_time"] = dim_time_of(TIMES)
+BODY["dim_room"] = """select md5(room_id) as RoomID, room_id as Alt_RoomID, room_id as FullName, room_id as Alt_FullName
+from (select distinct room_id from a_booking where room_id is not null)"""
+BODY["dim_reservation"] = f"""
+with b as (select *, '' as reservation_code, '' as instructor from a_booking where reservation_id is not null),
+f as {first_by('b', 'reservation_id, start_time',
+               'date nulls first, end_time nulls first, reservation_code nulls first, activity_type nulls first, '
+               'class nulls first, department nulls first, instructor nulls first, reserved_by nulls first')}
+select md5('res_' || {d('reservation_id')} || '_' || coalesce(start_time, '')) as ReservationID,
+  {ts_of('date', 'start_time')} as Start_time, {ts_of('date', 'end_time')} as End_time,
+  coalesce(reservation_code, '') as List_Item, coalesce(activity_type, '') as Activity, coalesce(class, '') as Class,
+  coalesce(department, '') as Department, coalesce(instructor, '') as Professor, coalesce(reserved_by, '') as ReservedBy
+from f"""
+
+
+def dim_profile_sql(src: str, prefix: str, id_col: str) -> str:
+    return f"""select md5('{prefix}_' || {ktext('value_acquired')} || '_' || {ktext('variation')}) as {id_col},
+  value_acquired as Value, variation as Variation
+from (select distinct value_acquired, variation from {src})"""
+
+
+BODY["dim_consumption"] = dim_profile_sql("a_consumption", "cons_profile", "ConsumptionID")
+BODY["dim_humidity"] = dim_profile_sql("a_humidity", "hum_lvl", "HumidityID")
+BODY["dim_temp"] = dim_profile_sql("a_temperature", "temp_lvl", "TempID")
+BODY["dim_inverter"] = """select md5('inv_' || cast(inv_id as varchar)) as InverterKey, inv_id as InverterID
+from (select distinct inv_id from a_production where inv_id is not null)"""
+BODY["dim_errors"] = """select distinct md5('err_' || cast(error as varchar)) as ErrorID,
+  case when error is null or error = 0 then 'No Error' else cast(error as varchar) end as Error_info
+from a_production"""
+BODY["dim_forecast"] = """select md5('fc_def_' || site || '_' || measurement) as ForecastID, site as Site,
+  measurement as Measurement, min(unit) as Unit
+from a_weather group by site, measurement"""
+BODY["dim_consumption_prediction"] = f"""select distinct md5('cpred_' || {d('date')} || '_' || {norm_time('time')})
+  as Cons_PredictionID from a_consumption"""
+
+
+def dim_pred_sql(prefix: str, pred_col: str, actual_col: str) -> str:
+    return f"""select md5('{prefix}_' || {d('date')} || '_' || t) as Prod_PredictionID, date as pred_date,
+  {hour_num('t')} as pred_hour, round(avg(prediction), 6) as {pred_col}, cast(0 as double) as {actual_col}
+from (select *, {norm_time('time')} as t from a_weather) group by date, t"""
+
+
+BODY["dim_production_prediction_pac"] = dim_pred_sql("ppred_pac", "pred_sum_pac", "sum_pac")
+BODY["dim_production_prediction_daysum"] = dim_pred_sql("ppred_daysum", "pred_daysum", "daysum")
+
+ROOM_SLOTS = """
+  select date, start_time, rooms_booked, rooms_total,
+    coalesce(cast(rooms_booked as double) / nullif(cast(rooms_total as double), 0), 0.0) as pct_rooms_booked,
+    rooms_total - rooms_booked as rooms_free
+  from (select date, date_trunc('month', date) as ym, start_time, count(distinct room_id) as rooms_booked
+        from {src} group by 1, 2, 3) bk
+  join (select date_trunc('month', date) as ym, count(distinct room_id) as rooms_total from {src} group by 1) tt
+  using (ym)"""
+
+BODY["rooms_booked_by_slot"] = ROOM_SLOTS.format(src="a_booking")
+
+
+def rooms_rows(src: str) -> str:
+    return f"""
+with b as (select *, {norm_time('start_time', True)} as t from {src}),
+s as ({ROOM_SLOTS.format(src=src)})
+select md5('rf_' || {d('b.date')} || '_' || b.t || '_' || {ktext('b.room_id')} || '_' || {d('b.reservation_id')}) as FactID,
+  case when b.date is not null and {valid('b.t')} then {tid('b.date', 'b.t')} end as TimeID,
+  case when b.room_id is not null and b.room_id != '' then md5(b.room_id) end as RoomID,
+  case when b.reservation_id is not null
+       then md5('res_' || {d('b.reservation_id')} || '_' || coalesce(b.start_time, '')) else '' end as ReservationID,
+  s.pct_rooms_booked as Pct_Rooms_Booked, cast(s.rooms_free as bigint) as Rooms_Free_Count, b.date as partition_date
+from b left join s on s.date = b.date and s.start_time = b.start_time"""
+
+
+BODY["rooms_fact"] = f"""select * from ({rooms_rows('a_booking')})
+where TimeID is not null and TimeID != '' and RoomID is not null and RoomID != ''"""
+
+BODY["weather_fact"] = f"""
+with w as (select *, {norm_time('time')} as t from a_weather),
+f as {first_by('w', 'date, t', 'issued, site, measurement')},
+l as (select date, t, site, measurement, max(issued) as latest from w group by all),
+h as (select date, {hour_key('time')} as hour, round(avg(value_acquired), 6) as v from a_humidity group by 1, 2),
+tp as (select date, {hour_key('time')} as hour, round(avg(value_acquired), 6) as v from a_temperature group by 1, 2)
+select md5('wf_' || {d('f.date')} || '_' || f.t || '_' || {ktext('f.site')}) as FactID,
+  {tid_or_empty('f.date', 'f.t')} as TimeID,
+  md5('fc_def_' || {ktext('f.site')} || '_' || {ktext('f.measurement')}) as ForecastID,
+  f.issued = l.latest as Most_Recent_Forecast, h.v as Humidity_Today, tp.v as Temp_Today, f.date as partition_date
+from f
+left join l on l.date = f.date and l.t = f.t and l.site = f.site and l.measurement = f.measurement
+left join h on h.date = f.date and h.hour = {hour_key('f.t')}
+left join tp on tp.date = f.date and tp.hour = {hour_key('f.t')}"""
+
+BODY["prediction_fact"] = f"""
+with c as (select *, {norm_time('time')} as t from a_consumption),
+f as {first_by('c', 'date, t', 'value_acquired, variation')},
+sm as (select date, {norm_time('time')} as t, round(avg(prediction), 6) as m from a_weather group by 1, 2),
+df as {first_by('sm', 'date', 't')}
+select md5('predf_' || {d('f.date')} || '_' || f.t) as FactID, {tid_or_empty('f.date', 'f.t')} as TimeID,
+  md5('cpred_' || {d('f.date')} || '_' || f.t) as Cons_PredictionID,
+  coalesce(md5('ppred_pac_' || {d('df.date')} || '_' || df.t), '') as Prod_PredictionIDPac,
+  coalesce(md5('ppred_daysum_' || {d('df.date')} || '_' || df.t), '') as Prod_PredictionIDDaysum,
+  df.m as Predicted_ProductionPac, df.m as Predicted_ProductionDaysum,
+  f.value_acquired as Predicted_Consumption, f.date as partition_date
+from f left join df on df.date = f.date"""
+
+
+def cte(**bodies: str) -> str:
+    """``name as (body), ...`` for composing bodies."""
+    return ",\n".join(f"{n} as ({BODY[b] if b in BODY else b})" for n, b in bodies.items())
+
+
+SQL: dict[str, str] = {}
+
+SQL["clean_sensor_text"] = f"""
+with ev as (select *, cast(ts as date) as date, {SLOT} as time from events where event_type = 'view'),
+raw as (select case when event_id % 23 = 0 then 'n/a' when event_id % 2 = 0 then strftime(date, '%d.%m.%Y')
+                    else strftime(date, '%-d.%-m.%Y') end as raw_date,
+          ' ' || time || '  ' as time_str, '%' as unit,
+          case when event_id % 19 = 0 then 'x,y' else replace(cast(value as varchar), '.', ',') end as val_raw,
+          replace(cast(cast(user_id % 7 as double) as varchar), '.', ',') as var_raw from ev),
+p as (select cast(try_strptime(trim(raw_date), '%d.%m.%Y') as date) as date, trim(time_str) as time, unit,
+        try_cast(replace(trim(val_raw), ',', '.') as double) as value_acquired,
+        try_cast(replace(trim(var_raw), ',', '.') as double) as variation from raw)
+select * from p where date is not null and value_acquired is not null"""
+
+SQL["parse_inverter_date"] = with_views("""
+with raw as (select case when day(date) % 10 = 0 and inv_id = 3 then 'xx.xx.xx' else strftime(date, '%d.%m.%y') end as raw_date,
+    time, cast(inv_id as varchar) as inv_raw, case when error > 0 then '-' else cast(pac as varchar) end as pac_raw,
+    cast(daysum as varchar) as daysum_raw, status, cast(error as varchar) as error_raw from a_production),
+p as (select cast(try_strptime(trim(raw_date), '%d.%m.%y') as date) as date, time,
+    cast(try_cast(trim(inv_raw) as double) as int) as inv_id, try_cast(trim(pac_raw) as double) as pac,
+    try_cast(trim(daysum_raw) as double) as daysum, status, try_cast(trim(error_raw) as double) as error from raw)
+select * from p where date is not null""")
+
+SQL["parse_iso_utc"] = """
+with raw as (select event_id, event_id % 29 = 0 as bad, date_trunc('second', ts) as wall, event_id % 3 as k,
+    cast(value as varchar) as value_raw from events where event_type in ('signup', 'purchase')),
+p as (select event_id, case when bad then null when k = 0 then wall when k = 1 then wall - interval 1 hour
+                            else wall + interval 150 minute end as ts, try_cast(value_raw as double) as value from raw)
+select event_id, cast(ts as date) as date, strftime(ts, '%H:%M:%S') as time, value from p where ts is not null"""
+
+SQL["french_date"] = with_views(f"""
+select reservation_id, raw_date, {french_parse('raw_date')} as date from (
+  select reservation_id, case when reservation_id % 31 = 0 then '?? ??? ????'
+    else lpad(cast(day(date) as varchar), 2, '0') || ' ' || {MONTHS_FR}[month(date)] || ' ' || cast(year(date) as varchar)
+    end as raw_date from a_booking)""")
+
+SQL["strip_quotes_fill_empty"] = with_views(f"""
+select reservation_id, {strip_fill('room_id')} as room_id, {strip_fill('activity_type')} as activity_type,
+  {strip_fill('department')} as department, {strip_fill('reserved_by')} as reserved_by, {strip_fill('class')} as class
+from (select reservation_id, {messy('room_id', 'reservation_id')} as room_id,
+        {messy('activity_type', 'reservation_id + 1')} as activity_type,
+        {messy('department', 'reservation_id + 2')} as department,
+        {messy('reserved_by', 'reservation_id + 3')} as reserved_by, {messy('class', 'reservation_id + 4')} as class
+      from a_booking)""")
+
+SQL["redact_people"] = with_views(f"""
+select reservation_id, {redact('reserved_by')} as reserved_by, {redact('instr')} as instructor
+from (select *, case when reservation_id % 4 = 0 then '' when reservation_id % 4 = 1 then '  '
+                     else 'Prof ' || department end as instr from a_booking)""")
+
+SQL["normalize_time"] = with_views(f"""
+select reservation_id, raw_time, {norm_time('raw_time', True)} as time, {hour_key('raw_time')} as hour_key,
+  {hour_num('raw_time')} as hour
+from (select reservation_id, case when reservation_id % 4 = 0 then start_time
+        when reservation_id % 4 = 1 then regexp_replace(start_time, '^0', '')
+        when reservation_id % 4 = 2 then regexp_replace(split_part(start_time, ':', 1), '^0', '')
+        else start_time || ':00' end as raw_time from a_booking)""")
+
+SQL["sentinel_filter"] = with_views("""
+select date, time, site, measurement, value, issued from (
+  select date, time, site, measurement, issued, case when issued % 9 = 0 then -99999.0
+    when issued % 11 = 0 then null else value end as value from a_weather)
+where not (value is not distinct from -99999.0)""")
+
+SQL["month_guard"] = f"""
+select date, time, value_acquired, folder_month from (
+  select cast(ts as date) as date, {SLOT} as time, value as value_acquired,
+    lpad(cast(case when event_id % 10 = 0 then month(ts) % 12 + 1 else month(ts) end as varchar), 2, '0') as folder_month
+  from events where event_type = 'view')
+where month(date) = try_cast(folder_month as int)"""
+
+SQL["rooms_integrity_filter"] = with_views(f"""
+with broken as (select * replace (
+    case when reservation_id % 13 = 0 then null else room_id end as room_id,
+    case when reservation_id % 17 = 0 then 'n/a' else start_time end as start_time) from a_booking),
+r as ({rooms_rows('broken')})
+select FactID, TimeID, RoomID, ReservationID, partition_date,
+  (TimeID is null or TimeID = '' or RoomID is null or RoomID = '') as quarantined from r""")
+
+SQL["role_filter"] = with_views("""
+select 'director' as role, date, room_id, start_time, reservation_id, department from a_booking where department = 'F'""")
+
+SQL["unpivot_inverters"] = with_views("select date, time, inv_id, pac, daysum, status, error from a_production")
+
+for _name in ["distinct_timestamps", "dim_time", "dim_room", "dim_reservation", "dim_consumption", "dim_humidity",
+              "dim_temp", "dim_inverter", "dim_errors", "dim_forecast", "dim_consumption_prediction",
+              "dim_production_prediction_pac", "dim_production_prediction_daysum", "rooms_booked_by_slot",
+              "power_fact", "weather_fact", "rooms_fact", "prediction_fact"]:
+    SQL[_name] = with_views(BODY[_name])
+
+SQL["upsert_new_rows"] = with_views(f"""
+with new as ({BODY['dim_time']}),
+old as ({dim_time_of(f"(select distinct date, {norm_time('time')} as time from a_production where date is not null)")})
+select * from new where TimeID not in (select TimeID from old)""")
+
+SQL["fact_day_replace"] = with_views(f"""
+with {cte(pf='power_fact')}
+select FactID, partition_date, case when dayofweek(partition_date) in (0, 6) then 2 else 1 end as load_version from pf""")
+
+SQL["daily_totals"] = with_views("""
+with p as (select date, max(daysum) as mx from a_production group by 1),
+c as (select date, cast(sum(cast(variation as decimal(18,2))) as double) as sv from a_consumption group by 1)
+select coalesce(p.date, c.date) as date, p.mx / 1000.0 as total_production_kwh, c.sv / 1000.0 as total_consumption_kwh
+from p full join c on p.date = c.date""")
+
+SQL["running_pct"] = with_views("""
+select date, time, cast(count_if(pac > 0) as bigint) as n_running, count(*) as n_readings,
+  cast(count_if(pac > 0) as double) / count(*) * 100.0 as pct_running
+from a_production group by 1, 2""")
+
+SQL["hourly_sensor_mean"] = with_views(f"""
+select feed, date, hour, round(avg(value_acquired), 6) as mean_value from (
+  select 'humidity' as feed, date, {hour_key('time')} as hour, value_acquired from a_humidity
+  union all select 'temperature', date, {hour_key('time')}, value_acquired from a_temperature)
+group by 1, 2, 3""")
+
+SQL["power_export"] = with_views(f"""
+with {cte(pf='power_fact', dt='dim_time', di='dim_inverter', dc='dim_consumption', de='dim_errors')}
+select f.FactID, f.partition_date, f.Prod_vs_Consumption_Diff, f.Total_Production_End_of_Day,
+  f.Total_Consumption_End_of_day, f.Pct_Inverters_Running, t.Year, t.Month, t.Day, t.Hour,
+  i.InverterID as Inverter_Business_Key, f.Status as Inverter_Status, f.PAC, f.Daysum,
+  c.Value as Consumption_Value, c.Variation as Consumption_Variation, e.Error_info
+from pf f left join dt t on f.TimeID = t.TimeID left join di i on f.InverterKey = i.InverterKey
+left join dc c on f.ConsumptionID = c.ConsumptionID left join de e on f.ErrorID = e.ErrorID""")
+
+DAY_PROD = "(select date, max(daysum) as mx from a_production group by 1)"
+DAY_CONS = "(select date, cast(sum(cast(variation as decimal(18,2))) as double) as sv from a_consumption group by 1)"
+
+SQL["campus_kpis"] = with_views(f"""
+with prod as {DAY_PROD},
+per_inv as (select date, cast(sum(cast(m as decimal(18,2))) as double) as si
+            from (select date, inv_id, max(daysum) as m from a_production group by 1, 2) group by 1),
+cons as {DAY_CONS},
+hum as (select date, avg(value_acquired) as h from a_humidity group by 1),
+tmp as (select date, avg(value_acquired) as t from a_temperature group by 1),
+rooms as (select date, avg(pct_rooms_booked) as r from ({BODY['rooms_booked_by_slot']}) group by 1),
+day as (select *, strftime(date, '%Y-%m') as month from prod join per_inv using (date) full join cons using (date)
+        full join hum using (date) full join tmp using (date) full join rooms using (date)),
+g as (select month, date, sum(cast(mx as decimal(18,2))) as p, sum(cast(si as decimal(18,2))) as pi,
+        sum(cast(sv as decimal(18,2))) as c, avg(h) as h, avg(t) as t, avg(r) as r, grouping(month, date) as gid
+      from day group by rollup(month, date))
+select case gid when 0 then 'day' when 1 then 'month' else 'all' end as level, month, date,
+  round(cast(p as double) / 1000.0, 6) as production_kwh, round(cast(pi as double) / 1000.0, 6) as production_sum_inverters_kwh,
+  round(cast(c as double) / 1000.0, 6) as consumption_kwh, round(h, 6) as humidity_mean, round(t, 6) as temperature_mean,
+  round(r, 6) as rooms_booked_pct_mean
+from g""")
+
+SQL["energy_value_chf"] = with_views(f"""
+with x as (select coalesce(p.date, c.date) as date, coalesce(p.mx, 0.0) / 1000.0 as p, coalesce(c.sv, 0.0) / 1000.0 as c
+           from {DAY_PROD} p full join {DAY_CONS} c on p.date = c.date)
+select date, round(p, 6) as production_kwh, round(c, 6) as consumption_kwh,
+  round(p * {dbl(0.12)}, 6) as production_chf, round(c * {dbl(0.25)}, 6) as consumption_chf,
+  round(p * {dbl(0.12)} - c * {dbl(0.25)}, 6) as net_chf
+from x""")
+
+SQL["production_vs_climate"] = with_views(f"""
+select p.date, round(p.mx / 1000.0, 6) as production_kwh, round(t.t, 6) as temperature_mean, round(h.h, 6) as humidity_mean
+from {DAY_PROD} p
+left join (select date, avg(value_acquired) as t from a_temperature group by 1) t on t.date = p.date
+left join (select date, avg(value_acquired) as h from a_humidity group by 1) h on h.date = p.date""")
+
+SQL["forecast_accuracy"] = with_views("""
+with x as (select strftime(date, '%Y-%m') as month, date, cast(abs(value - prediction) as decimal(18,2)) as err,
+             cast(abs(value) as decimal(18,2)) as mag from a_weather),
+g as (select month, date, count(*) as n, sum(err) as se, sum(mag) as sm, grouping(month, date) as gid
+      from x group by rollup(month, date))
+select case gid when 0 then 'day' when 1 then 'month' else 'all' end as level, month, date, n,
+  round(cast(se as double) / n, 6) as mae,
+  round((1.0 - cast(se as double) / nullif(cast(sm as double), 0)) * 100.0, 6) as accuracy_pct
+from g""")
+
+SQL["status_counts"] = with_views("""
+select inv_id, cast(count_if(cls = 'Error') as bigint) as n_error, cast(count_if(cls = 'OK-Standby') as bigint) as n_ok_standby,
+  cast(count_if(cls = 'Running') as bigint) as n_running
+from (select inv_id, case when coalesce(error, 0) > 0 then 'Error' when pac > 0 then 'Running' else 'OK-Standby' end as cls
+      from a_production) group by inv_id""")
+
+SQL["error_counts"] = with_views("""
+select inv_id, error, count(*) as n_readings,
+  case when error is null or error = 0 then 'No Error' else cast(error as varchar) end as error_info
+from a_production group by inv_id, error""")
+
+SQL["reservations_share"] = with_views("""
+with g as (select activity_type, department, class, count(*) as n_bookings,
+             grouping(activity_type, department, class) as gid
+           from a_booking group by grouping sets ((activity_type), (department), (class))),
+n as (select case gid when 3 then 'activity_type' when 5 then 'department' when 6 then 'class' end as breakdown,
+        case gid when 3 then activity_type when 5 then department when 6 then class end as value, n_bookings from g)
+select breakdown, value, n_bookings,
+  round(cast(n_bookings as double) * 100.0 / cast(sum(n_bookings) over (partition by breakdown) as double), 6) as pct
+from n""")
+
+BOOK_HOURS = f"""(select *, {hour_num('start_time')} as start_hour,
+    greatest({hour_num('end_time')}, {hour_num('start_time')} + 1) as end_hour from a_booking)"""
+
+SQL["room_date_heatmap"] = with_views(f"""
+select room_id, date, count(*) as n_bookings, cast(sum(end_hour - start_hour) as bigint) as booked_hours
+from {BOOK_HOURS} group by room_id, date""")
+
+SQL["room_hour_timeline"] = with_views(f"""
+select date, hour, room_id, count(*) as n_bookings from (
+  select date, room_id, cast(unnest(generate_series(start_hour, end_hour - 1)) as int) as hour from {BOOK_HOURS})
+group by date, hour, room_id""")
+
+SQL["most_recent_forecast"] = with_views("""
+select w.date, w.time, w.site, w.measurement, w.value, w.prediction, w.issued from a_weather w
+join (select date, time, site, measurement, max(issued) as m from a_weather group by all) l
+  on l.date = w.date and l.time = w.time and l.site = w.site and l.measurement = w.measurement
+where w.issued = l.m""")
+
+SQL["stalled_inverters"] = with_views("""
+with p as (select date, time, inv_id, daysum,
+             lag(daysum) over (partition by date, inv_id order by time) as prev_daysum from a_production),
+p2 as (select *, daysum > prev_daysum as rising from p),
+s as (select date, time, cast(count_if(rising) as bigint) as n_rising from p2 group by 1, 2)
+select date, time, inv_id, daysum, prev_daysum, n_rising - (case when rising then 1 else 0 end) as n_peers_rising
+from p2 join s using (date, time)
+where daysum <= prev_daysum and n_rising - (case when rising then 1 else 0 end) > 0""")
+
+SQL["peer_underperformers"] = with_views("""
+with s as (select date, time, avg(pac) as a, count(*) as n from a_production group by 1, 2)
+select date, time, inv_id, pac, round(a, 6) as peer_avg_pac, n as n_inverters
+from a_production join s using (date, time) where n > 1 and pac < a * 0.5""")
+
+CORE = dict(DimTime="dim_time", DimInverter="dim_inverter", DimConsumption="dim_consumption", DimErrors="dim_errors",
+            DimForecast="dim_forecast", DimRoom="dim_room", DimReservation="dim_reservation",
+            Power_FactTable="power_fact", Weather_FactTable="weather_fact", Rooms_FactTable="rooms_fact",
+            Prediction_FactTable="prediction_fact")
+PK = dict(DimTime="TimeID", DimInverter="InverterKey", DimConsumption="ConsumptionID", DimErrors="ErrorID",
+          DimForecast="ForecastID", DimRoom="RoomID", DimReservation="ReservationID", Power_FactTable="FactID",
+          Weather_FactTable="FactID", Rooms_FactTable="FactID", Prediction_FactTable="FactID")
+FKS = [("Power_FactTable", "TimeID", "DimTime", "TimeID"),
+       ("Power_FactTable", "ConsumptionID", "DimConsumption", "ConsumptionID"),
+       ("Power_FactTable", "InverterKey", "DimInverter", "InverterKey"),
+       ("Power_FactTable", "ErrorID", "DimErrors", "ErrorID"),
+       ("Weather_FactTable", "TimeID", "DimTime", "TimeID"),
+       ("Weather_FactTable", "ForecastID", "DimForecast", "ForecastID"),
+       ("Rooms_FactTable", "TimeID", "DimTime", "TimeID"),
+       ("Rooms_FactTable", "RoomID", "DimRoom", "RoomID"),
+       ("Rooms_FactTable", "ReservationID", "DimReservation", "ReservationID"),
+       ("Prediction_FactTable", "TimeID", "DimTime", "TimeID")]
+NOT_NULL = dict(DimTime=["TimeID"], DimInverter=["InverterKey"], DimConsumption=["ConsumptionID"],
+                DimErrors=["ErrorID"], DimForecast=["ForecastID"], DimRoom=["RoomID"],
+                DimReservation=["ReservationID"],
+                Power_FactTable=["FactID", "TimeID", "ConsumptionID", "InverterKey", "partition_date"],
+                Weather_FactTable=["FactID", "TimeID", "ForecastID", "partition_date"],
+                Rooms_FactTable=["FactID", "TimeID", "RoomID", "partition_date"],
+                Prediction_FactTable=["FactID", "TimeID", "partition_date"])
+CORE_CTES = cte(**{t: b for t, b in CORE.items()})
+
+SQL["pk_duplicates"] = with_views("with " + CORE_CTES + "\n" + "\nunion all\n".join(
+    f"select '{t}' as table_name, cast(coalesce(sum(n), 0) as bigint) as n_rows, "
+    f"cast(count_if(n > 1) as bigint) as n_duplicate_keys from (select {PK[t]}, count(*) as n from {t} group by 1)"
+    for t in CORE))
+
+SQL["fk_orphans"] = with_views("with " + CORE_CTES + "\n" + "\nunion all\n".join(
+    f"select '{f}' as fact_table, '{c}' as column_name, '{dm}' as dim_table, count(*) as n_orphans from {f} "
+    f"where {c} is not null and {c} != '' and {c} not in (select {k} from {dm} where {k} is not null)"
+    for f, c, dm, k in FKS))
+
+SQL["not_null_counts"] = with_views("with " + CORE_CTES + "\n" + "\nunion all\n".join(
+    f"select '{t}' as table_name, '{c}' as column_name, "
+    f"cast(count_if({c} is null or cast({c} as varchar) = '') as bigint) as n_nulls from {t}"
+    for t, cols in NOT_NULL.items() for c in cols))
+
+FEEDS = ["production", "consumption", "humidity", "temperature", "weather", "booking"]
+
+SQL["missing_days"] = with_views("\nunion all\n".join(
+    f"select '{fd}' as feed, cast(dd as date) as date from (select unnest(generate_series(min(date), max(date), "
+    f"interval 1 day)) as dd from a_{fd}) where cast(dd as date) not in "
+    f"(select date from a_{fd} where date is not null)" for fd in FEEDS))
+
+SQL["backfill_range"] = with_views(f"""
+with {cte(pf='power_fact', wf='weather_fact', rf='rooms_fact', prf='prediction_fact')},
+alld as ({" union all ".join(f"select date from a_{fd}" for fd in FEEDS)}),
+cal as (select cast(unnest(generate_series(min(date), max(date), interval 1 day)) as date) as date from alld)
+select cal.date,
+  coalesce(a.n, 0) as n_power_rows, coalesce(b.n, 0) as n_weather_rows, coalesce(c.n, 0) as n_rooms_rows,
+  coalesce(e.n, 0) as n_prediction_rows
+from cal
+left join (select partition_date as date, count(*) as n from pf group by 1) a on a.date = cal.date
+left join (select partition_date as date, count(*) as n from wf group by 1) b on b.date = cal.date
+left join (select partition_date as date, count(*) as n from rf group by 1) c on c.date = cal.date
+left join (select partition_date as date, count(*) as n from prf group by 1) e on e.date = cal.date""")
+
+SQL["future_time_rows"] = with_views("""
+with r as (select distinct date from a_consumption),
+t as (select distinct make_date(2023, month(x), least(day(x), day(last_day(make_date(2023, month(x), 1))))) as target
+      from (select unnest([date + 1, date + 2]) as x from r)),
+s as (select unnest(generate_series(cast(target as timestamp), cast(target as timestamp) + interval 1425 minute,
+                                    interval 15 minute)) as ts from t)
+select distinct md5(strftime(ts, '%Y-%m-%d') || 'T' || strftime(ts, '%H:%M:%S')) as TimeID,
+  cast(year(ts) as int) as Year, cast(month(ts) as int) as Month, cast(day(ts) as int) as Day,
+  cast(hour(ts) as int) as Hour, cast(minute(ts) as int) as Minute, cast(second(ts) as int) as Second
+from s""")
