@@ -445,11 +445,13 @@ select case gid when 0 then 'day' when 1 then 'month' else 'all' end as level, m
 from g""")
 
 SQL["energy_value_chf"] = with_views(f"""
-with x as (select coalesce(p.date, c.date) as date, coalesce(p.mx, 0.0) / 1000.0 as p, coalesce(c.sv, 0.0) / 1000.0 as c
+with x as (select coalesce(p.date, c.date) as date, cast(coalesce(p.mx, 0.0) as decimal(18,2)) as pw,
+             cast(coalesce(c.sv, 0.0) as decimal(18,2)) as cw
            from {DAY_PROD} p full join {DAY_CONS} c on p.date = c.date)
-select date, round(p, 6) as production_kwh, round(c, 6) as consumption_kwh,
-  round(p * {dbl(0.12)}, 6) as production_chf, round(c * {dbl(0.25)}, 6) as consumption_chf,
-  round(p * {dbl(0.12)} - c * {dbl(0.25)}, 6) as net_chf
+select date, round(cast(pw as double) / 1000.0, 6) as production_kwh, round(cast(cw as double) / 1000.0, 6) as consumption_kwh,
+  cast(pw * cast(0.00012 as decimal(12,9)) as double) as production_chf,
+  cast(cw * cast(0.00025 as decimal(12,9)) as double) as consumption_chf,
+  cast(pw * cast(0.00012 as decimal(12,9)) - cw * cast(0.00025 as decimal(12,9)) as double) as net_chf
 from x""")
 
 SQL["production_vs_climate"] = with_views(f"""

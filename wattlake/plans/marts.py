@@ -6,6 +6,8 @@ their parameters (tariffs, ratios, class maps) are explicit arguments.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,13 +87,20 @@ def campus_kpis(production, consumption, humidity, temperature, booking) -> Data
 
 def energy_value_chf(production: DataFrame, consumption: DataFrame,
                      sell: float = SELL_CHF_PER_KWH, buy: float = BUY_CHF_PER_KWH) -> DataFrame:
-    """CHF value of the day's production and consumption at given tariffs."""
+    """CHF value of the day's production and consumption at given tariffs.
+
+    Money is exact: W (2 decimals) times the tariff per W in decimal, so no
+    half-way rounding differs between engines.
+    """
     d = _full([G.daily_production_total(production), G.daily_consumption_total(consumption)])
-    p = F.coalesce(F.col("max_daysum_w"), F.lit(0.0)) / 1000.0
-    c = F.coalesce(F.col("sum_variation_w"), F.lit(0.0)) / 1000.0
-    return d.select("date", F.round(p, DIGITS).alias("production_kwh"), F.round(c, DIGITS).alias("consumption_kwh"),
-                    F.round(p * sell, DIGITS).alias("production_chf"), F.round(c * buy, DIGITS).alias("consumption_chf"),
-                    F.round(p * sell - c * buy, DIGITS).alias("net_chf"))
+    pw = F.coalesce(F.col("max_daysum_w"), F.lit(0.0)).cast("decimal(18,2)")
+    cw = F.coalesce(F.col("sum_variation_w"), F.lit(0.0)).cast("decimal(18,2)")
+    per_w = lambda chf_per_kwh: F.lit(Decimal(str(chf_per_kwh)) / 1000).cast("decimal(12,9)")
+    p_chf, c_chf = pw * per_w(sell), cw * per_w(buy)
+    return d.select("date", F.round(pw.cast("double") / 1000.0, DIGITS).alias("production_kwh"),
+                    F.round(cw.cast("double") / 1000.0, DIGITS).alias("consumption_kwh"),
+                    p_chf.cast("double").alias("production_chf"), c_chf.cast("double").alias("consumption_chf"),
+                    (p_chf - c_chf).cast("double").alias("net_chf"))
 
 
 def production_vs_climate(production: DataFrame, humidity: DataFrame, temperature: DataFrame) -> DataFrame:
