@@ -136,25 +136,35 @@ def select_existing(df, wanted: list[str]):
     return df.select([c for c in wanted if c in df.columns])
 
 
+def zfill(c, width: int) -> Column:
+    """Python ``str.zfill`` for unsigned text: left-pad with 0, never truncate.
+
+    ``%Ns`` pads with spaces without truncating; ``\\G `` then turns only the
+    leading spaces into zeros. The input is referenced once, so the caller's
+    expression is never duplicated (NULL input gives 'null' text: guard it).
+    """
+    return F.regexp_replace(F.format_string(f"%{width}s", _c(c)), r"\G ", "0")
+
+
 def normalize_time(c, bare_hour: bool = False) -> Column:
     """``H:MM`` / ``HH:MM`` / ``HH:MM:SS`` -> ``HH:MM:SS``.
 
     ``bare_hour`` also accepts ``H`` (rooms variant). Like Python ``zfill``
-    the text is left-padded and never truncated.
+    the text is left-padded and never truncated. A chain of regex rewrites
+    reads the input once, so the expression stays small inside generated code.
     """
     s = F.trim(_c(c).cast("string"))
-    n = F.size(F.split(s, ":"))
-    padded = (F.when(n == 2, F.concat(s, F.lit(":00")))
-              .when(F.lit(bare_hour) & (n == 1),
-                    F.concat(F.when(F.length(s) < 2, F.lpad(s, 2, "0")).otherwise(s), F.lit(":00:00")))
-              .otherwise(s))
-    return F.when(F.length(padded) < 8, F.lpad(padded, 8, "0")).otherwise(padded)
+    if bare_hour:
+        s = F.regexp_replace(s, r"^$", "00")
+        s = F.regexp_replace(s, r"^([^:])$", "0$1")
+        s = F.regexp_replace(s, r"^([^:]+)$", "$1:00:00")
+    s = F.regexp_replace(s, r"^([^:]*:[^:]*)$", "$1:00")
+    return F.when(_c(c).isNotNull(), zfill(s, 8))
 
 
 def hour_key(c) -> Column:
     """C14: hour text ``split(':')[0].zfill(2)``."""
-    h = F.split_part(F.trim(_c(c).cast("string")), F.lit(":"), F.lit(1))
-    return F.when(F.length(h) < 2, F.lpad(h, 2, "0")).otherwise(h)
+    return F.when(_c(c).isNotNull(), zfill(F.split_part(F.trim(_c(c).cast("string")), F.lit(":"), F.lit(1)), 2))
 
 
 def hour_num(c) -> Column:

@@ -102,21 +102,27 @@ def weather_fact(weather: DataFrame, humidity: DataFrame | None, temperature: Da
 
 
 def rooms_fact_split(booking: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(fact rows, quarantined rows without TimeID or RoomID)."""
+    """(fact rows, quarantined rows without TimeID or RoomID).
+
+    The split tests cheap validity flags, not the md5 ids: Catalyst pushes
+    the predicate down to the scan, and the ids would be recomputed there.
+    """
     b = booking.withColumn("t", tx.normalize_time("start_time", bare_hour=True))
     slot = G.rooms_booked_by_slot(booking)
     f = b.join(slot, ["date", "start_time"], "left")
+    time_ok = F.col("date").isNotNull() & D.valid_time(F.col("t"))
+    room_ok = F.col("room_id").isNotNull() & (F.col("room_id") != "")
     rows = f.select(
         K.surrogate_key("rf", tx.date_iso("date"), F.col("t"), K.key_text("room_id"),
                         D.ktext(f, "reservation_id")).alias("FactID"),
-        F.when(F.col("date").isNotNull() & D.valid_time(F.col("t")), K.time_id("date", F.col("t"))).alias("TimeID"),
-        F.when(F.col("room_id").isNotNull() & (F.col("room_id") != ""), F.md5(F.col("room_id").cast("string"))
-               ).alias("RoomID"),
+        F.when(time_ok, K.time_id("date", F.col("t"))).alias("TimeID"),
+        F.when(room_ok, F.md5(F.col("room_id").cast("string"))).alias("RoomID"),
         F.when(F.col("reservation_id").isNotNull(), D.reservation_id(f)).otherwise(F.lit("")).alias("ReservationID"),
         F.col("pct_rooms_booked").cast("double").alias("Pct_Rooms_Booked"),
         F.col("rooms_free").cast("long").alias("Rooms_Free_Count"),
-        F.col("date").alias("partition_date"))
-    return split_integrity(rows, ["TimeID", "RoomID"])
+        F.col("date").alias("partition_date"),
+        F.coalesce(time_ok & room_ok, F.lit(False)).alias("_ok"))
+    return rows.where("_ok").drop("_ok"), rows.where(~F.col("_ok")).drop("_ok")
 
 
 def rooms_fact(booking: DataFrame) -> DataFrame:
