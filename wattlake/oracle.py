@@ -594,3 +594,9 @@ select distinct md5(strftime(ts, '%Y-%m-%d') || 'T' || strftime(ts, '%H:%M:%S'))
   cast(year(ts) as int) as Year, cast(month(ts) as int) as Month, cast(day(ts) as int) as Day,
   cast(hour(ts) as int) as Hour, cast(minute(ts) as int) as Minute, cast(second(ts) as int) as Second
 from s""")
+
+SQL["silver_sensor_load"] = f"""
+select cast(ts as date) as date, {SLOT} as time, '%' as unit, value as value_acquired,
+  cast(user_id % 7 as double) as variation
+from events
+where event_type = 'view' and not (event_id % 23 = 0 or event_id % 19 = 0 or event_id % 13 = 0 or event_id % 10 = 0)"""

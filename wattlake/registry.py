@@ -18,9 +18,14 @@ from .operators import filters as FL
 from .operators import reshape as R
 from .operators import windows as WN
 from .plans import dims, facts, gold, marts, quality, run
-from .session import apply_runtime_conf
+from .plans import forecast as FC
+from .plans import silver as SL
+from .session import apply_runtime_conf, scratch_path, shared_dir
 from .sinks import writers as W
 from .sources import adapters as A
+from .sources import drops as DR
+from .sources import silver as SV
+from .streaming import ingest as ST
 
 QUERIES: dict = {}
 
@@ -504,3 +509,45 @@ def backfill_range(spark, sf_dir):
 def future_time_rows(spark, sf_dir):
     """L19 + C20: DimTime rows of the next two days of every run date, mapped into 2023."""
     return run.future_time_rows(A.consumption(spark, sf_dir).select("date"), fixed_year=2023)
+
+
+# --- bronze files, streaming and the forecast ----------------------------------------------
+
+def _humidity_readings(spark, sf_dir):
+    ev = _events(spark, sf_dir).where(F.col("event_type") == "view")
+    return ev.select("event_id", "date", "time", F.lit("%").alias("unit"), F.col("value").alias("value_acquired"),
+                     (F.col("user_id") % 7).cast("double").alias("variation"))
+
+
+@query
+def silver_sensor_load(spark, sf_dir):
+    """L1 end to end (A1, A5-A7, A9, C1, C6, C8, D1, D2, B1): humidity readings written as UTF-16
+    tab-separated sensor drops in month folders, scanned by position, cleaned, written by day, read back."""
+    root = scratch_path(spark, "silver-sensor")
+    lines = DR.sensor_lines(_humidity_readings(spark, sf_dir), F.col("event_id"), "\t")
+    DR.write_lines(lines, f"{root}/bronze", DR.SENSOR_HEADER, "\t", "UTF-16")
+    SL.load_sensor(spark, f"{root}/bronze", f"{root}/silver", sep="\t")
+    return SV.read_feed(spark, root, "silver").select("date", "time", "unit", "value_acquired", "variation")
+
+
+@query
+def incremental_ingest(spark, sf_dir):
+    """A10: the same drops arrive in two batches (days 1-15, then the rest); a file-source stream with
+    availableNow runs after each batch and only picks up the new files. Rows-only check."""
+    root = scratch_path(spark, "ingest")
+    readings = _humidity_readings(spark, sf_dir).withColumn(
+        "batch", F.when(F.dayofmonth("date") <= 15, 1).otherwise(2))
+    lines = DR.sensor_lines(readings, F.col("event_id"), ";", keep=("batch",))
+    for b in (1, 2):
+        DR.write_lines(lines.where(F.col("batch") == b).drop("batch"), f"{root}/bronze/batch={b}",
+                       DR.SENSOR_HEADER, ";", "UTF-8")
+        ST.run_available_now(ST.sensor_stream(spark, f"{root}/bronze", ";"), f"{root}/silver", f"{root}/checkpoint")
+    return spark.read.schema(ST.SENSOR_SILVER).parquet(f"{root}/silver")
+
+
+@query
+def forecast_random_forest(spark, sf_dir):
+    """Random-forest forecast of next-day hourly production and consumption. Rows-only check."""
+    shared_dir(spark)
+    fd = A.feeds(spark, sf_dir)
+    return FC.forecast_next_day(fd.production, fd.consumption, fd.humidity, fd.temperature, fd.booking)

@@ -52,9 +52,9 @@ def with_file(df: DataFrame) -> DataFrame:
 
 
 def folder_month(path: Column | str = "file_path") -> Column:
-    """``MM`` folder right above the file, NULL if the layout has none."""
+    """``MM`` (or Hive-style ``month=MM``) folder right above the file, NULL if none."""
     p = F.col(path) if isinstance(path, str) else path
-    m = F.regexp_extract(p, r"/(\d{2})/[^/]+$", 1)
+    m = F.regexp_extract(p, r"/(?:month=)?(\d{2})/[^/]+$", 1)
     return F.when(m != "", m)
 
 
