@@ -41,11 +41,14 @@ def hourly_frame(production: DataFrame, consumption: DataFrame, humidity: DataFr
 
 
 def next_day_features(frame: DataFrame) -> DataFrame:
-    """Rows to score: the day after the last day, each hour, last day's features."""
-    last = frame.agg(F.max("date").alias("date"))
-    base = frame.join(last, "date")
-    return base.select(F.date_add("date", 1).alias("date"), "hour",
-                       F.dayofweek(F.date_add("date", 1)).alias("weekday"), "humidity", "temperature", "rooms_booked")
+    """Rows to score: every hour of the day after the last day, with that hour's last-day features."""
+    last = frame.agg(F.max("date").alias("last"))
+    grid = last.select(F.date_add("last", 1).alias("date"), F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour"),
+                       "last")
+    feats = frame.select(F.col("date").alias("last"), "hour", "humidity", "temperature", "rooms_booked")
+    out = grid.join(feats, ["last", "hour"], "left").drop("last")
+    return out.withColumn("weekday", F.dayofweek("date")).fillna(0.0, subset=["humidity", "temperature",
+                                                                                "rooms_booked"])
 
 
 def _fit_predict(train: DataFrame, score: DataFrame, label: str, seed: int, trees: int, depth: int) -> DataFrame:
@@ -63,8 +66,8 @@ def forecast_next_day(production, consumption, humidity, temperature, booking, p
     if checkpoint:
         # the forest scans its input once per tree level: cut the lineage in the shared folder
         frame = frame.checkpoint()
-    last = frame.agg(F.max("date").alias("last"))
-    recent = frame.join(last, F.col("date") > F.date_sub(F.col("last"), prod_days)).drop("last")
+    last = frame.agg(F.max("date")).scalar()  # scalar subquery, evaluated once
+    recent = frame.where(F.col("date") > F.date_sub(last, prod_days))
     score = next_day_features(frame)
     p = _fit_predict(recent, score, "production_kwh", seed, trees, depth)
     c = _fit_predict(frame, score, "consumption_kwh", seed, trees, depth)
