@@ -380,7 +380,7 @@ def prediction_fact(spark, sf_dir):
 @query
 def power_export(spark, sf_dir):
     """The flat power export (fact with time, inverter, consumption, error dims)."""
-    fd = A.feeds(spark, sf_dir)
+    fd = A.feeds(spark, sf_dir, materialize=True)
     t = gold.build(fd)
     return marts.power_export(t["Power_FactTable"], t["DimTime"], t["DimInverter"], t["DimConsumption"],
                               t["DimErrors"])
@@ -466,7 +466,7 @@ def peer_underperformers(spark, sf_dir):
 # --- V: validation -------------------------------------------------------------------------
 
 def _core_tables(spark, sf_dir):
-    t = gold.build(A.feeds(spark, sf_dir))
+    t = gold.build(A.feeds(spark, sf_dir, materialize=True))
     return {n: t[n] for n in gold.CORE_TABLES}
 
 
@@ -502,7 +502,7 @@ def missing_days(spark, sf_dir):
 @query
 def backfill_range(spark, sf_dir):
     """L18 + G12: fact rows per calendar day over the full range of the feeds."""
-    return run.backfill_counts(A.feeds(spark, sf_dir))
+    return run.backfill_counts(A.feeds(spark, sf_dir, materialize=True))
 
 
 @query

@@ -119,6 +119,18 @@ class Feeds:
     booking: DataFrame
 
 
-def feeds(spark: SparkSession, sf_dir: str) -> Feeds:
-    return Feeds(production(spark, sf_dir), consumption(spark, sf_dir), humidity(spark, sf_dir),
-                 temperature(spark, sf_dir), weather(spark, sf_dir), booking(spark, sf_dir))
+def feeds(spark: SparkSession, sf_dir: str, materialize: bool = False) -> Feeds:
+    """The six feeds; ``materialize`` writes each once to the shared checkpoint folder.
+
+    Materialising stands in for reading a silver lake: plans that use every
+    feed several times (the whole gold build) then read them instead of
+    re-deriving them from ``events``. It uses ``checkpoint()`` (reliable,
+    in ``spark.checkpoint.dir``), never a local checkpoint.
+    """
+    fs = [production(spark, sf_dir), consumption(spark, sf_dir), humidity(spark, sf_dir),
+          temperature(spark, sf_dir), weather(spark, sf_dir), booking(spark, sf_dir)]
+    if materialize:
+        from ..session import shared_dir
+        shared_dir(spark)
+        fs = [f.checkpoint(eager=True) for f in fs]
+    return Feeds(*fs)
