@@ -600,3 +600,16 @@ select cast(ts as date) as date, {SLOT} as time, '%' as unit, value as value_acq
   cast(user_id % 7 as double) as variation
 from events
 where event_type = 'view' and not (event_id % 23 = 0 or event_id % 19 = 0 or event_id % 13 = 0 or event_id % 10 = 0)"""
+
+SQL["actual_vs_predicted"] = with_views(f"""
+with a as (select date, {norm_time('time')} as time, cast(sum(cast(pac as decimal(18,2))) as double) as actual_sum_pac
+           from a_production group by 1, 2),
+p as (select date, {norm_time('time')} as time, round(avg(prediction), 6) as pred_sum_pac from a_weather group by 1, 2)
+select coalesce(a.date, p.date) as date, coalesce(a.time, p.time) as time, a.actual_sum_pac, p.pred_sum_pac
+from a full join p on a.date = p.date and a.time = p.time""")
+
+SQL["dashboard_slicers"] = with_views(f"""
+select department, activity_type, count(*) as n_bookings from (
+  select department, {strip_fill(messy('activity_type', 'reservation_id + 1'))} as activity_type from a_booking)
+where activity_type != 'EMPTY' and department in ('F', 'O')
+group by department, activity_type""")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -157,8 +157,9 @@ def error_counts(production: DataFrame) -> DataFrame:
 def reservations_share(booking: DataFrame, dims=("activity_type", "department", "class")) -> DataFrame:
     """Bookings per activity / department / class, count and % of all bookings.
 
-    One pass with grouping sets; the total per breakdown is a window over the
-    grouped rows (one row per distinct value, not per booking).
+    One pass with grouping sets; the total per breakdown is an aggregate of
+    the grouped rows joined back on the breakdown name (no window, so a
+    breakdown with many values is never one task).
     """
     g = booking.groupingSets([[c] for c in dims], *dims).agg(
         F.count(F.lit(1)).alias("n_bookings"), F.grouping_id().alias("gid"))
@@ -170,8 +171,9 @@ def reservations_share(booking: DataFrame, dims=("activity_type", "department",
         name = F.when(F.col("gid") == mask, F.lit(c)).otherwise(name)
         value = F.when(F.col("gid") == mask, F.col(c).cast("string")).otherwise(value)
     g = g.select(name.alias("breakdown"), value.alias("value"), "n_bookings")
-    total = F.sum("n_bookings").over(Window.partitionBy("breakdown"))
-    return g.withColumn("pct", F.round(F.col("n_bookings") * 100.0 / total, DIGITS))
+    totals = g.groupBy("breakdown").agg(F.sum("n_bookings").alias("_total"))  # one row per breakdown
+    return (g.join(totals, "breakdown")
+            .withColumn("pct", F.round(F.col("n_bookings") * 100.0 / F.col("_total"), DIGITS)).drop("_total"))
 
 
 def booking_hours(booking: DataFrame) -> DataFrame:

@@ -551,3 +551,24 @@ def forecast_random_forest(spark, sf_dir):
     shared_dir(spark)
     fd = A.feeds(spark, sf_dir)
     return FC.forecast_next_day(fd.production, fd.consumption, fd.humidity, fd.temperature, fd.booking)
+
+
+@query
+def actual_vs_predicted(spark, sf_dir):
+    """J14 (+G5): actual production per slot beside the slot's mean forecast (full outer on the slot)."""
+    actual = (A.production(spark, sf_dir).withColumn("time", tx.normalize_time("time"))
+              .groupBy("date", "time").agg(G.exact_sum("pac").alias("actual_sum_pac")))
+    pred = (A.weather(spark, sf_dir).withColumn("time", tx.normalize_time("time"))
+            .transform(G.mean_prediction_per_time).select("date", "time", F.round("mean_prediction", 6)
+                                                          .alias("pred_sum_pac")))
+    return marts.actual_vs_predicted(actual, pred)
+
+
+@query
+def dashboard_slicers(spark, sf_dir):
+    """Activity counts for two departments, EMPTY placeholders left out."""
+    b = A.booking(spark, sf_dir)
+    b = b.withColumn("activity_type", tx.fill_placeholder(tx.strip_quotes(_messy(F.col("activity_type"),
+                                                                                  F.col("reservation_id") + 1))))
+    s = FL.slicer(FL.drop_placeholders(b, "activity_type"), department=["F", "O"])
+    return s.groupBy("department", "activity_type").agg(F.count(F.lit(1)).alias("n_bookings"))
