@@ -613,3 +613,29 @@ select department, activity_type, count(*) as n_bookings from (
   select department, {strip_fill(messy('activity_type', 'reservation_id + 1'))} as activity_type from a_booking)
 where activity_type != 'EMPTY' and department in ('F', 'O')
 group by department, activity_type""")
+
+SQL["silver_production_load"] = with_views("""
+select date, time, inv_id, pac, daysum, status, cast(error as double) as error,
+  cast(null as double) as pdc1, cast(null as double) as pdc2, cast(null as double) as udc1,
+  cast(null as double) as udc2, cast(null as double) as temp, cast(null as double) as uac
+from a_production
+where not (day(date) = 7 and time < '06:00:00') and not (day(date) = 15 and time >= '12:00:00')""")
+
+SQL["silver_weather_load"] = """
+select cast(ts as date) as date, strftime(date_trunc('second', ts), '%H:%M:%S') as time,
+  case when event_id % 11 = 0 then null else value end as value,
+  value + cast(user_id % 4 as double) as prediction, 'site' || cast(user_id % 3 as varchar) as site,
+  event_type as measurement, case when event_type = 'signup' then 'W/m2' else 'C' end as unit,
+  cast(null as timestamp) as issued
+from events
+where event_type in ('signup', 'purchase')
+  and not (event_id % 29 = 0 or event_id % 9 = 0 or event_id % 10 = 0)"""
+
+SQL["silver_booking_load"] = with_views(f"""
+select {french_parse("case when reservation_id % 31 = 0 then '?? ??? ????' else lpad(cast(day(date) as varchar), 2, '0') || ' ' || " + MONTHS_FR + "[month(date)] || ' ' || cast(year(date) as varchar) end")} as date,
+  {strip_fill('room_id')} as room_id, start_time, end_time, cast(reservation_id as varchar) as reservation_id,
+  {strip_fill('reserved_by')} as reserved_by,
+  {strip_fill("case when reservation_id % 7 = 0 then '' else activity_type end")} as activity_type,
+  {strip_fill("case when reservation_id % 4 = 0 then '' when reservation_id % 4 = 1 then 'nan' else 'Prof ' || department end")} as instructor,
+  {strip_fill('department')} as department, {strip_fill('class')} as class
+from a_booking""")

@@ -47,9 +47,12 @@ def clean_weather(df: DataFrame) -> DataFrame:
                       "issued")
 
 
-def clean_booking(df: DataFrame) -> DataFrame:
-    """L4 transform: latest file (A8), C9 strip, C11 placeholders, C4/C5 dates, C12 projection."""
-    df = raw.latest_file(df)
+def clean_booking(df: DataFrame, latest: str = "file") -> DataFrame:
+    """L4 transform: latest export (A8), C9 strip, C11 placeholders, C4/C5 dates, C12 projection.
+
+    ``latest="dir"`` treats a folder of part files as one export.
+    """
+    df = raw.latest_file(df, level=latest)
     strings = [c for c, t in df.dtypes if t == "string" and c not in ("file_path", "file_name", "feed", "month")]
     df = df.withColumns({c: tx.strip_quotes(c) for c in strings})
     df = df.withColumns({c: tx.fill_placeholder(c) for c in tx.PLACEHOLDER_COLUMNS if c in df.columns})
@@ -69,16 +72,16 @@ def load_sensor(spark: SparkSession, bronze_path, silver_path: str, sep: str = "
 def load_production(spark: SparkSession, bronze_path, silver_path: str, sep: str = ";") -> None:
     """L2 (+S1: rows sorted by time and inverter inside each day's files)."""
     df = clean_production(raw.read_inverters(spark, bronze_path, sep))
-    (df.repartition("date").sortWithinPartitions("date", "time", "inv_id")
+    (W.rebalance(df, "date").sortWithinPartitions("date", "time", "inv_id")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(silver_path))
 
 
-def load_weather(spark: SparkSession, bronze_path, silver_path: str) -> None:
+def load_weather(spark: SparkSession, bronze_path, silver_path: str, sep: str = ",") -> None:
     """L3."""
-    W.replace_days(clean_weather(raw.read_weather(spark, bronze_path)), silver_path)
+    W.replace_days(clean_weather(raw.read_weather(spark, bronze_path, sep)), silver_path)
 
 
-def load_booking(spark: SparkSession, bronze_path, silver_path: str) -> None:
+def load_booking(spark: SparkSession, bronze_path, silver_path: str, latest: str = "file") -> None:
     """L4: snapshot of the latest export, rewritten whole, one folder per month (B2)."""
-    df = clean_booking(raw.read_booking(spark, bronze_path))
+    df = clean_booking(raw.read_booking(spark, bronze_path), latest)
     W.rewrite_layer(df.withColumn("month", F.date_format("date", "MM")), silver_path, "month")

@@ -572,3 +572,46 @@ def dashboard_slicers(spark, sf_dir):
                                                                                   F.col("reservation_id") + 1))))
     s = FL.slicer(FL.drop_placeholders(b, "activity_type"), department=["F", "O"])
     return s.groupBy("department", "activity_type").agg(F.count(F.lit(1)).alias("n_bookings"))
+
+
+@query
+def silver_production_load(spark, sf_dir):
+    """L2 end to end (A2, A9, E1, C2, C7, D2, S1, B1): inverter readings written as the wide
+    5-block export in month folders, scanned by position, unpivoted, cleaned, written by day, read back."""
+    root = scratch_path(spark, "silver-production")
+    DR.write_lines(DR.inverter_lines(A.production(spark, sf_dir)), f"{root}/bronze", DR.INVERTER_HEADER, ";")
+    SL.load_production(spark, f"{root}/bronze", f"{root}/silver", sep=";")
+    return SV.read_feed(spark, root, "silver").select("date", "time", "inv_id", "pac", "daysum", "status", "error",
+                                                       "pdc1", "pdc2", "udc1", "udc2", "temp", "uac")
+
+
+@query
+def silver_weather_load(spark, sf_dir):
+    """L3 end to end (A3, A5, C3, C7, D2, D3, B1): forecast rows written as ISO-time CSV drops,
+    scanned, parsed to UTC, sentinel and month checked, written by day, read back."""
+    root = scratch_path(spark, "silver-weather")
+    ev = A.table(spark, sf_dir, "events").where(F.col("event_type").isin("signup", "purchase"))
+    rows = ev.select("event_id", "ts", "value",
+                     (F.col("value") + (F.col("user_id") % 4).cast("double")).alias("prediction"),
+                     F.concat(F.lit("site"), (F.col("user_id") % 3).cast("string")).alias("site"),
+                     F.col("event_type").alias("measurement"),
+                     F.when(F.col("event_type") == "signup", F.lit("W/m2")).otherwise(F.lit("C")).alias("unit"))
+    DR.write_lines(DR.weather_lines(rows, F.col("event_id"), F.col("ts")), f"{root}/bronze", DR.WEATHER_HEADER, ",")
+    SL.load_weather(spark, f"{root}/bronze", f"{root}/silver")
+    return SV.read_feed(spark, root, "silver").select("date", "time", "value", "prediction", "site", "measurement",
+                                                       "unit", "issued")
+
+
+@query
+def silver_booking_load(spark, sf_dir):
+    """L4 end to end (A4, A6, A8, C4, C5, C9-C12, B2): bookings written as two French tab exports
+    (an older one, then the full current one); the latest export is cleaned, rewritten by month, read back."""
+    root = scratch_path(spark, "silver-booking")
+    b = A.booking(spark, sf_dir)
+    DR.write_lines(DR.booking_lines(b.where(F.year("date") == 1995)), f"{root}/bronze/export=1",
+                   DR.BOOKING_HEADER, "\t", partition_col=None)
+    DR.write_lines(DR.booking_lines(b), f"{root}/bronze/export=2", DR.BOOKING_HEADER, "\t", partition_col=None)
+    SL.load_booking(spark, f"{root}/bronze", f"{root}/silver", latest="dir")
+    out = spark.read.parquet(f"{root}/silver").drop("month")
+    return out.select("date", "room_id", "start_time", "end_time", "reservation_id", "reserved_by", "activity_type",
+                      "instructor", "department", "class")

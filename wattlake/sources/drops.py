@@ -58,3 +58,71 @@ def clean_expected(readings: DataFrame, row_id: Column) -> DataFrame:
     return readings.where(keep & F.col("value_acquired").isNotNull()).select(
         "date", "time", "unit", "value_acquired", tx.eu_decimal(F.replace(
             F.col("variation").cast("string"), F.lit("."), F.lit(","))).alias("variation"))
+
+
+INVERTER_HEADER = ["#Date", "Time"] + [f"{h}{i}" for i in range(1, 6) for h in
+                                       ["INV", "Pac", "DaySum", "Status", "Error", "Pdc1", "Pdc2", "Udc1", "Udc2",
+                                        "Temp", "Uac"]]
+
+
+def inverter_lines(production: DataFrame, sep: str = ";") -> DataFrame:
+    """Wide inverter-export lines (``dd.MM.yy``, time, 5 x 11 cells) from long readings.
+
+    A missing inverter leaves its 11 cells empty. Lines of day 7 before 06:00
+    get an invalid date; lines of day 15 from 12:00 go to the next month's folder.
+    """
+    cells = []
+    for b in range(1, 6):
+        on = F.col("inv_id") == b
+        for f in ["inv_id", "pac", "daysum", "status", "error"]:
+            cells.append(F.coalesce(F.max(F.when(on, F.col(f).cast("string"))), F.lit("")))
+        cells += [F.lit("")] * 6
+    wide = production.groupBy("date", "time").agg(F.concat_ws(sep, *cells).alias("blocks"))
+    bad = (F.dayofmonth("date") == 7) & (F.col("time") < "06:00:00")
+    moved = (F.dayofmonth("date") == 15) & (F.col("time") >= "12:00:00")
+    raw_date = F.when(bad, F.lit("xx.xx.xx")).otherwise(F.date_format("date", "dd.MM.yy"))
+    m = F.month("date")
+    folder = F.lpad(F.when(moved, m % 12 + 1).otherwise(m).cast("string"), 2, "0")
+    return wide.select(F.concat_ws(sep, raw_date, F.col("time"), F.col("blocks")).alias("line"), folder.alias("month"))
+
+
+WEATHER_HEADER = ["time", "value", "prediction", "site", "measurement", "unit"]
+OFFSETS = [("Z", 0), ("+01:00", 60), ("-02:30", -150)]
+
+
+def weather_lines(weather_rows: DataFrame, row_id: Column, ts: Column) -> DataFrame:
+    """Forecast-file lines: ISO time with Z / +01:00 / -02:30 for the same instant, the
+    -99999.0 sentinel, a missing value, an unparsable time and a wrong month folder."""
+    k = row_id % 3
+    utc = F.date_trunc("second", ts)
+    iso = None
+    for i, (suffix, minutes) in enumerate(OFFSETS):
+        wall = F.date_format(utc + F.expr(f"INTERVAL {minutes} MINUTES"), "yyyy-MM-dd'T'HH:mm:ss")
+        text = F.concat(wall, F.lit(suffix))
+        iso = F.when(k == i, text) if iso is None else iso.when(k == i, text)
+    iso = F.when(row_id % 29 == 0, F.lit("garbage")).otherwise(iso)
+    value = (F.when(row_id % 9 == 0, F.lit("-99999.0")).when(row_id % 11 == 0, F.lit(""))
+             .otherwise(F.col("value").cast("string")))
+    line = F.concat_ws(",", iso, value, F.col("prediction").cast("string"), "site", "measurement", "unit")
+    m = F.month(utc)
+    folder = F.lpad(F.when(row_id % 10 == 0, m % 12 + 1).otherwise(m).cast("string"), 2, "0")
+    return weather_rows.select(line.alias("line"), folder.alias("month"))
+
+
+BOOKING_HEADER = ["Nom", "Nom Entier", "Date", "Date de début", "Date de fin", "Rés.-no", "Activité",
+                  "Professeur", "Division", "Nom de l'utilisateur", "Classe"]
+
+
+def booking_lines(booking: DataFrame, sep: str = "\t") -> DataFrame:
+    """French booking-export lines: quoted room ids, French dates, empty and 'nan' cells."""
+    k = F.col("reservation_id")
+    tok = F.element_at(F.array(*[F.lit(fr) for fr, _ in tx.FRENCH_MONTHS]), F.month("date"))
+    fr_date = F.when(k % 31 == 0, F.lit("?? ??? ????")).otherwise(
+        F.concat_ws(" ", F.lpad(F.dayofmonth("date").cast("string"), 2, "0"), tok, F.year("date").cast("string")))
+    room = F.when(k % 5 == 0, F.concat(F.lit('"'), F.col("room_id"), F.lit('"'))).otherwise(F.col("room_id"))
+    activity = F.when(k % 7 == 0, F.lit("")).otherwise(F.col("activity_type"))
+    prof = (F.when(k % 4 == 0, F.lit("")).when(k % 4 == 1, F.lit("nan"))
+            .otherwise(F.concat(F.lit("Prof "), F.col("department"))))
+    cells = [room, F.concat(F.lit("Room "), F.col("room_id")), fr_date, F.col("start_time"), F.col("end_time"),
+             k.cast("string"), activity, prof, F.col("department"), F.col("reserved_by"), F.col("class")]
+    return booking.select(F.concat_ws(sep, *cells).alias("line"))

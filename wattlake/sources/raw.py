@@ -117,10 +117,16 @@ def read_booking(spark: SparkSession, path, sep: str = "\t", encoding: str = "UT
     return df.withColumns(route("file_name", BOOKING_FILE, feed_name="booking"))
 
 
-def latest_file(df: DataFrame, path_col: str = "file_path") -> DataFrame:
-    """Rows of the lexicographically last file only (one-row max, then equi-join)."""
-    last = df.agg(F.max(path_col).alias(path_col))
-    return df.join(last, path_col)
+def latest_file(df: DataFrame, path_col: str = "file_path", level: str = "file") -> DataFrame:
+    """Rows of the lexicographically last file (or folder) only.
+
+    A one-row ``max`` joined back on equality; ``level="dir"`` compares the
+    parent folders, for exports written as a folder of part files.
+    """
+    key = F.col(path_col) if level == "file" else F.regexp_replace(F.col(path_col), "/[^/]*$", "")
+    d = df.withColumn("_export", key)
+    last = d.agg(F.max("_export").alias("_export"))
+    return d.join(last, "_export").drop("_export")
 
 
 def with_defaults(df: DataFrame, defaults: dict) -> DataFrame:
