@@ -60,12 +60,13 @@ def _fit_predict(train: DataFrame, score: DataFrame, label: str, seed: int, tree
 
 
 def forecast_next_day(production, consumption, humidity, temperature, booking, prod_days: int = 7,
-                      trees: int = 20, depth: int = 6, seed: int = 42, checkpoint: bool = True) -> DataFrame:
+                      trees: int = 20, depth: int = 6, seed: int = 42, stage: bool = True) -> DataFrame:
     """Predicted production and consumption (kWh) per hour of the next day."""
     frame = hourly_frame(production, consumption, humidity, temperature, booking)
-    if checkpoint:
-        # the forest scans its input once per tree level: cut the lineage in the shared folder
-        frame = frame.checkpoint()
+    if stage:
+        # the forest scans its input once per tree level: cut the lineage with a table in the shared folder
+        from ..sinks.writers import stage as write_stage
+        frame = write_stage(frame.sparkSession, frame, "forecast-hourly")
     last = frame.agg(F.max("date")).scalar()  # scalar subquery, evaluated once
     recent = frame.where(F.col("date") > F.date_sub(last, prod_days))
     score = next_day_features(frame)

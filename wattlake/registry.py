@@ -466,6 +466,7 @@ def peer_underperformers(spark, sf_dir):
 # --- V: validation -------------------------------------------------------------------------
 
 def _core_tables(spark, sf_dir):
+    """The eleven keyed gold tables over feeds materialised once (the checks share them)."""
     t = gold.build(A.feeds(spark, sf_dir, materialize=True))
     return {n: t[n] for n in gold.CORE_TABLES}
 

@@ -101,5 +101,16 @@ def create_tables(spark: SparkSession, root: str, catalogue: dict) -> None:
         (w.partitionBy(part) if part else w).parquet(f"{root}/{name}")
 
 
+def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage with a written table in the shared folder: one computation, then a plain scan.
+
+    (An eager ``Dataset.checkpoint`` computes the plan twice: once to count,
+    once to write the checkpoint.) Survives executor loss like any table.
+    """
+    path = scratch_path(spark, f"stage-{name}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def with_load_version(df: DataFrame, version: int) -> DataFrame:
     return df.withColumn("load_version", F.lit(version))

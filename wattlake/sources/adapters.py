@@ -120,12 +120,13 @@ class Feeds:
 
 
 def feeds(spark: SparkSession, sf_dir: str, materialize: bool = False) -> Feeds:
-    """The six feeds; ``materialize`` writes each once to the shared checkpoint folder.
+    """The six feeds; ``materialize`` computes each once into the shared checkpoint folder.
 
     Materialising stands in for reading a silver lake: plans that use every
     feed several times (the whole gold build) then read them instead of
-    re-deriving them from ``events``. It uses ``checkpoint()`` (reliable,
-    in ``spark.checkpoint.dir``), never a local checkpoint.
+    re-deriving them from ``events``. It is a reliable ``checkpoint()`` in
+    ``spark.checkpoint.dir`` (never a local checkpoint); on these small feeds
+    it measured faster than a Parquet round trip.
     """
     fs = [production(spark, sf_dir), consumption(spark, sf_dir), humidity(spark, sf_dir),
           temperature(spark, sf_dir), weather(spark, sf_dir), booking(spark, sf_dir)]
