@@ -379,11 +379,14 @@ def prediction_fact(spark, sf_dir):
 
 @query
 def power_export(spark, sf_dir):
-    """The flat power export (fact with time, inverter, consumption, error dims)."""
-    fd = A.feeds(spark, sf_dir, materialize=True)
-    t = gold.build(fd)
-    return marts.power_export(t["Power_FactTable"], t["DimTime"], t["DimInverter"], t["DimConsumption"],
-                              t["DimErrors"])
+    """The flat power export (fact with time, inverter, consumption, error dims).
+
+    Only the feeds the export reads are built; DimTime over production times holds every
+    TimeID the fact can carry, so the left join gives the same rows as the full DimTime.
+    """
+    p, c = A.production(spark, sf_dir), A.consumption(spark, sf_dir)
+    return marts.power_export(facts.power_fact(p, c), dims.dim_time(dims.collect_times(production=p)),
+                              dims.dim_inverter(p), dims.dim_profile(c, "consumption"), dims.dim_errors(p))
 
 
 @query
