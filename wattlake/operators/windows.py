@@ -50,9 +50,8 @@ def stalled_inverters(production: DataFrame) -> DataFrame:
 
 
 def peer_underperformers(production: DataFrame, ratio: float = 0.5) -> DataFrame:
-    """Readings below ``ratio`` x the mean ``pac`` of all inverters in the slot."""
-    slot = production.groupBy("date", "time").agg(F.avg("pac").alias("peer_avg_pac"),
-                                                  F.count(F.lit(1)).alias("n_inverters"))
-    return (production.join(slot, ["date", "time"])
-            .where((F.col("n_inverters") > 1) & (F.col("pac") < F.col("peer_avg_pac") * ratio))
+    """Readings below ``ratio`` x the mean ``pac`` of all inverters in the slot (W1 on each row)."""
+    p = group_stat_on_row(production, ["date", "time"], {"peer_avg_pac": F.avg("pac"),
+                                                         "n_inverters": F.count(F.lit(1))})
+    return (p.where((F.col("n_inverters") > 1) & (F.col("pac") < F.col("peer_avg_pac") * ratio))
             .select("date", "time", "inv_id", "pac", "peer_avg_pac", "n_inverters"))
