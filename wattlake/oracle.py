@@ -107,9 +107,9 @@ def dbl(x) -> str:
     return f"cast({x} as double)"
 
 
-MONTHS_FR = "['janv.', 'févr.', 'mars', 'avr.', 'mai', 'juin', 'juil.', 'août', 'sept.', 'oct.', 'nov.', 'déc.']"
-MONTHS_SWAP = [("janv.", "Jan"), ("févr.", "Feb"), ("mars", "Mar"), ("avr.", "Apr"), ("mai", "May"), ("juin", "Jun"),
-               ("juil.", "Jul"), ("août", "Aug"), ("sept.", "Sep"), ("oct.", "Oct"), ("nov.", "Nov"), ("déc.", "Dec")]
+from .functions.text import FRENCH_MONTHS as MONTHS_SWAP  # noqa: E402  (the one fixed-values table)
+
+MONTHS_FR = "[" + ", ".join(f"'{fr}'" for fr, _ in MONTHS_SWAP) + "]"
 
 
 def french_parse(expr: str) -> str:
@@ -596,10 +596,21 @@ select distinct md5(strftime(ts, '%Y-%m-%d') || 'T' || strftime(ts, '%H:%M:%S'))
 from s""")
 
 SQL["silver_sensor_load"] = f"""
-select cast(ts as date) as date, {SLOT} as time, '%' as unit, value as value_acquired,
-  cast(user_id % 7 as double) as variation
-from events
-where event_type = 'view' and not (event_id % 23 = 0 or event_id % 19 = 0 or event_id % 13 = 0 or event_id % 10 = 0)"""
+with ev as (select *, cast(ts as date) as date, {SLOT} as time from events where event_type = 'view'),
+raw as (select case when event_id % 23 = 0 then 'n/a' when event_id % 2 = 0 then strftime(date, '%d.%m.%Y')
+                    else strftime(date, '%-d.%-m.%Y') end as raw_date,
+          ' ' || time as time_str, '%' as unit,
+          case when event_id % 19 = 0 then 'x,y' else replace(cast(value as varchar), '.', ',') end as val_raw,
+          replace(cast(cast(user_id % 7 as double) as varchar), '.', ',') as var_raw,
+          case when event_id % 13 = 0 then 6 else 5 end as n_fields,
+          lpad(cast(case when event_id % 10 = 0 then month(date) % 12 + 1 else month(date) end as varchar), 2, '0')
+            as folder_month from ev),
+p as (select cast(try_strptime(trim(raw_date), '%d.%m.%Y') as date) as date, trim(time_str) as time, unit,
+        try_cast(replace(trim(val_raw), ',', '.') as double) as value_acquired,
+        try_cast(replace(trim(var_raw), ',', '.') as double) as variation, folder_month
+      from raw where n_fields = 5)
+select date, time, unit, value_acquired, variation from p
+where date is not null and value_acquired is not null and month(date) = try_cast(folder_month as int)"""
 
 SQL["actual_vs_predicted"] = with_views(f"""
 with a as (select date, {norm_time('time')} as time, cast(sum(cast(pac as decimal(18,2))) as double) as actual_sum_pac
@@ -615,21 +626,31 @@ where activity_type != 'EMPTY' and department in ('F', 'O')
 group by department, activity_type""")
 
 SQL["silver_production_load"] = with_views("""
-select date, time, inv_id, pac, daysum, status, cast(error as double) as error,
+with raw as (select *, case when day(date) = 7 and time < '06:00:00' then 'xx.xx.xx' else strftime(date, '%d.%m.%y')
+                      end as raw_date,
+               lpad(cast(case when day(date) = 15 and time >= '12:00:00' then month(date) % 12 + 1 else month(date) end
+                         as varchar), 2, '0') as folder_month from a_production),
+p as (select cast(try_strptime(raw_date, '%d.%m.%y') as date) as pdate, * from raw)
+select pdate as date, time, inv_id, pac, daysum, status, cast(error as double) as error,
   cast(null as double) as pdc1, cast(null as double) as pdc2, cast(null as double) as udc1,
   cast(null as double) as udc2, cast(null as double) as temp, cast(null as double) as uac
-from a_production
-where not (day(date) = 7 and time < '06:00:00') and not (day(date) = 15 and time >= '12:00:00')""")
+from p where pdate is not null and month(pdate) = try_cast(folder_month as int)""")
 
 SQL["silver_weather_load"] = """
-select cast(ts as date) as date, strftime(date_trunc('second', ts), '%H:%M:%S') as time,
-  case when event_id % 11 = 0 then null else value end as value,
-  value + cast(user_id % 4 as double) as prediction, 'site' || cast(user_id % 3 as varchar) as site,
-  event_type as measurement, case when event_type = 'signup' then 'W/m2' else 'C' end as unit,
+with ev as (select *, date_trunc('second', ts) as utc from events where event_type in ('signup', 'purchase')),
+raw as (select case when event_id % 29 = 0 then 'garbage' else strftime(utc, '%Y-%m-%dT%H:%M:%S') end as time_raw,
+          case when event_id % 9 = 0 then '-99999.0' when event_id % 11 = 0 then ''
+               else cast(value as varchar) end as value_raw,
+          value + cast(user_id % 4 as double) as prediction, 'site' || cast(user_id % 3 as varchar) as site,
+          event_type as measurement, case when event_type = 'signup' then 'W/m2' else 'C' end as unit,
+          lpad(cast(case when event_id % 10 = 0 then month(utc) % 12 + 1 else month(utc) end as varchar), 2, '0')
+            as folder_month from ev),
+p as (select try_strptime(time_raw, '%Y-%m-%dT%H:%M:%S') as ts, try_cast(value_raw as double) as value,
+        prediction, site, measurement, unit, folder_month from raw)
+select cast(ts as date) as date, strftime(ts, '%H:%M:%S') as time, value, prediction, site, measurement, unit,
   cast(null as timestamp) as issued
-from events
-where event_type in ('signup', 'purchase')
-  and not (event_id % 29 = 0 or event_id % 9 = 0 or event_id % 10 = 0)"""
+from p
+where ts is not null and month(ts) = try_cast(folder_month as int) and value is distinct from -99999.0"""
 
 SQL["silver_booking_load"] = with_views(f"""
 select {french_parse("case when reservation_id % 31 = 0 then '?? ??? ????' else lpad(cast(day(date) as varchar), 2, '0') || ' ' || " + MONTHS_FR + "[month(date)] || ' ' || cast(year(date) as varchar) end")} as date,
