@@ -207,6 +207,11 @@ def shift_days(c, days: int) -> Column:
     return F.date_add(_c(c), days)
 
 
+def default_run_date(offset_days: int = 0) -> Column:
+    """C20: yesterday (UTC session) minus ``offset_days``; the reference used a 1,095-day lag (Q19)."""
+    return F.date_sub(F.current_date(), 1 + offset_days)
+
+
 def map_into_year(c, year: int) -> Column:
     """C20: same month/day in ``year``; Feb 29 -> Feb 28 of a non-leap year."""
     d = _c(c)

@@ -101,6 +101,45 @@ def create_tables(spark: SparkSession, root: str, catalogue: dict) -> None:
         (w.partitionBy(part) if part else w).parquet(f"{root}/{name}")
 
 
+def column_comment(table: str, column: str) -> str:
+    """Column description derived from the key catalogue."""
+    from .. import schemas
+    if schemas.PRIMARY_KEYS.get(table) == column:
+        return "surrogate key: md5 of the natural key text"
+    for fact, col, dim, key in schemas.FOREIGN_KEYS:
+        if fact == table and col == column:
+            return f"references {dim}.{key} (not enforced; see the fk_orphans check)"
+    if column == "partition_date":
+        return "day partition (replaced as a whole on reload)"
+    return ""
+
+
+def create_catalog_tables(spark: SparkSession, root: str, database: str = "gold") -> list[str]:
+    """Register every gold table in the session catalog as a Parquet table at ``root/<name>``,
+    partitioned by day for facts, with column descriptions. Existing tables are kept."""
+    from .. import schemas
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    names = []
+    for name, (schema, part) in schemas.catalogue().items():
+        cols = []
+        for f in schema.fields:
+            comment = column_comment(name, f.name).replace("'", "")
+            cols.append(f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT '{comment}'" if comment else ""))
+        ddl = (f"CREATE TABLE IF NOT EXISTS {database}.{name} ({', '.join(cols)}) USING parquet "
+               + (f"PARTITIONED BY ({part}) " if part else "")
+               + f"LOCATION '{root}/{name}' COMMENT '{'fact' if part else 'dimension'} table of the gold model'")
+        spark.sql(ddl)
+        names.append(f"{database}.{name}")
+    return names
+
+
+def drop_catalog_tables(spark: SparkSession, database: str = "gold") -> None:
+    """Drop every gold table from the catalog (the kill script); files of external tables stay."""
+    from .. import schemas
+    for name in schemas.GOLD:
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+
+
 def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Cut lineage with a written table in the shared folder: one computation, then a plain scan.
 
