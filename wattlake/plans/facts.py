@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from ..functions import keys as K
 from ..functions import text as tx
 from ..operators import aggregates as G
-from ..operators.filters import split_integrity
 from . import dims as D
 
 MEAN_DIGITS = 6

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import aggregates as G
-from . import dims as D
 
 DIGITS = 6
 # Our own tariff defaults (CHF per kWh); the reference's tariff is not in its tree.
@@ -206,4 +205,3 @@ def rooms_secure_view(booking: DataFrame, role: str, school: str | None) -> Data
     return secure_view(booking, "rooms", role, school)
 
 
-__all__ = [n for n in dir() if not n.startswith("_")] + ["D"]
