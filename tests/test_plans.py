@@ -51,3 +51,28 @@ def test_silver_day_read_prunes_partitions(spark, scratch):
     assert "PartitionFilters: [isnotnull(date" in plan
     assert SV.read_feed(spark, scratch, "humidity", "2024-01-03", "2024-01-03").select(
         F.countDistinct("date")).first()[0] == 1
+
+
+def test_salted_join_spreads_a_hot_key(spark):
+    """A key holding a third of the rows: a plain join hashes it to one task; salted, it is split."""
+    from pyspark.sql import functions as F
+    from wattlake.operators.joins import salted_join
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+            "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(30000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 500).cast("string")).alias("k"),
+            F.col("id").alias("v"))
+        stats = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        hot = 10000
+        assert "hashpartitioning(k#" in plan_of(rows.join(stats, ["k"], "left")).replace(" ", "")
+        tagged = salted_join(rows, stats, ["k"], "left", buckets=8).withColumn("p", F.spark_partition_id())
+        per_task = [r["count"] for r in tagged.where("k = 'hot'").groupBy("p").count().collect()]
+        assert sum(per_task) == hot and len(per_task) >= 4 and max(per_task) < hot / 2
+        assert sorted(salted_join(rows, stats, ["k"]).collect()) == sorted(rows.join(stats, ["k"], "left").collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

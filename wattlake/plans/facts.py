@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import keys as K
 from ..functions import text as tx
 from ..operators import aggregates as G
+from ..operators.joins import salted_join
 from . import dims as D
 
 MEAN_DIGITS = 6
@@ -43,7 +44,8 @@ def power_fact(production: DataFrame, consumption: DataFrame) -> DataFrame:
 
     day = (G.daily_production_total(p).join(G.daily_consumption_total(c), "date", "left"))
 
-    f = p.join(slot, ["date", "t"], "left").join(day, "date", "left")
+    # a slot holding a large share of the rows is spread over the salt buckets
+    f = salted_join(p, slot, ["date", "t"], "left").join(day, "date", "left")
     cons_w = F.coalesce(F.col("cons_w"), F.lit(0.0))
     return f.select(
         K.surrogate_key("pf", tx.date_iso("date"), F.col("t"), D.ktext(f, "inv_id")).alias("FactID"),
@@ -108,7 +110,7 @@ def rooms_fact_split(booking: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     b = booking.withColumn("t", tx.normalize_time("start_time", bare_hour=True))
     slot = G.rooms_booked_by_slot(booking)
-    f = b.join(slot, ["date", "start_time"], "left")
+    f = salted_join(b, slot, ["date", "start_time"], "left")
     time_ok = F.col("date").isNotNull() & D.valid_time(F.col("t"))
     room_ok = F.col("room_id").isNotNull() & (F.col("room_id") != "")
     rows = f.select(
