@@ -11,18 +11,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import salted_join
+
 
 def group_stat_on_row(df: DataFrame, keys: list[str], stats: dict) -> DataFrame:
     """Attach per-group statistics (``{name: agg column}``) to every row."""
     agg = df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
-    return df.join(agg, keys, "left")
+    return salted_join(df, agg, keys, "left")
 
 
 def most_recent_flag(df: DataFrame, slot: list[str], issued: str = "issued",
                      flag: str = "most_recent") -> DataFrame:
     """Flag the latest issue of each forecast slot."""
     latest = df.groupBy(*slot).agg(F.max(issued).alias("_latest"))
-    return (df.join(latest, slot, "left")
+    return (salted_join(df, latest, slot, "left")
             .withColumn(flag, F.col(issued) == F.col("_latest")).drop("_latest"))
 
 
@@ -43,7 +45,7 @@ def stalled_inverters(production: DataFrame) -> DataFrame:
          .withColumn("prev_daysum", F.lag("daysum").over(w))
          .withColumn("rising", F.col("daysum") > F.col("prev_daysum")))
     slot = p.groupBy("date", "time").agg(F.count_if("rising").alias("n_rising"))
-    return (p.join(slot, ["date", "time"])
+    return (salted_join(p, slot, ["date", "time"], "inner")
             .withColumn("n_peers_rising", F.col("n_rising") - F.when(F.col("rising"), 1).otherwise(0))
             .where((F.col("daysum") <= F.col("prev_daysum")) & (F.col("n_peers_rising") > 0))
             .select("date", "time", "inv_id", "daysum", "prev_daysum", "n_peers_rising"))
