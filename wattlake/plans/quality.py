@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..operators.joins import salted_join
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -30,15 +31,28 @@ def pk_duplicates(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def fk_orphans(tables: dict[str, DataFrame]) -> DataFrame:
-    """V2: per declared relationship, fact rows whose non-empty id has no dimension row."""
+    """V2: per declared relationship, fact rows whose non-empty id has no dimension row.
+
+    One pass per fact: the fact's id columns are computed once and left-joined
+    (salted: one id may hold most rows) to each referenced dimension's
+    distinct keys, then all orphan counts are one aggregate.
+    """
     out = []
-    for fact, col, dim, key in schemas.FOREIGN_KEYS:
-        if fact not in tables or dim not in tables:
+    facts = list(dict.fromkeys(f for f, _, _, _ in schemas.FOREIGN_KEYS))
+    for fact in facts:
+        rels = [(c, d, k) for f, c, d, k in schemas.FOREIGN_KEYS if f == fact and fact in tables and d in tables]
+        if not rels:
             continue
-        f = tables[fact].select(F.col(col).alias("k")).where(F.col("k").isNotNull() & (F.col("k") != ""))
-        orphans = f.join(tables[dim].select(F.col(key).alias("k")).distinct(), "k", "left_anti")
-        out.append(orphans.agg(F.lit(fact).alias("fact_table"), F.lit(col).alias("column_name"),
-                               F.lit(dim).alias("dim_table"), F.count(F.lit(1)).cast("long").alias("n_orphans")))
+        f = tables[fact].select(*dict.fromkeys(c for c, _, _ in rels))
+        counts = []
+        for i, (col, dim, key) in enumerate(rels):
+            keys = tables[dim].select(F.col(key).alias(col)).distinct().withColumn(f"_hit{i}", F.lit(True))
+            f = salted_join(f, keys, [col], "left")  # one id (e.g. 'No Error') may hold most rows
+            counts.append(F.struct(F.lit(fact).alias("fact_table"), F.lit(col).alias("column_name"),
+                                   F.lit(dim).alias("dim_table"),
+                                   F.count_if(F.col(col).isNotNull() & (F.col(col) != "") & F.col(f"_hit{i}").isNull())
+                                   .cast("long").alias("n_orphans")))
+        out.append(f.agg(F.array(*counts).alias("_r")).select(F.inline("_r")))
     return _union(out)
 
 
