@@ -4,8 +4,10 @@ Every fact is keyed by ``date`` for all dates at once. Per-slot and per-day
 statistics are ``groupBy`` aggregates (one row per slot / day) joined back on
 their key: the aggregates combine map-side, and AQE broadcasts them at run
 time while they stay under the broadcast threshold, falling back to a
-sort-merge join when they do not. Dimension ids are recomputed from natural
-keys, never looked up.
+sort-merge join when they do not. Per-slot tables are joined back with a
+deterministic salt, so a slot holding a large share of the rows is split
+over several tasks. Dimension ids are recomputed from natural keys, never
+looked up.
 """
 
 from __future__ import annotations
