@@ -33,6 +33,35 @@ def test_keys_unique_and_joined(tables):
     assert nulls == []
 
 
+def test_key_checks_match_brute_force(spark):
+    """V1/V2 on a micro fixture: duplicates, orphans, '' and NULL ids, an empty table, a hot id."""
+    from collections import Counter
+
+    import pyspark.sql.types as T
+
+    s2 = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+    dim_rows = [("t1", None), ("t2", None), ("t2", None), ("t3", None)]
+    fact_rows = [("f1", "t1")] * 40 + [("f2", "t9"), ("f3", "t9"), ("f4", ""), ("f5", None), ("f5", "t8")]
+    one = lambda n, rows: spark.createDataFrame(rows, s2).toDF(n, "x")
+    times = one("TimeID", dim_rows)
+    power = spark.createDataFrame([(f, t, "", "", "") for f, t in fact_rows],
+                                  "FactID string, TimeID string, ConsumptionID string, InverterKey string, "
+                                  "ErrorID string")
+    empty = lambda n: spark.createDataFrame([], f"{n} string")
+    tables = {"DimTime": times, "Power_FactTable": power, "DimConsumption": empty("ConsumptionID"),
+              "DimInverter": empty("InverterKey"), "DimErrors": empty("ErrorID")}
+    pk = {r.table_name: (r.n_rows, r.n_duplicate_keys) for r in quality.pk_duplicates(tables).collect()}
+    want = {}
+    for name, rows in [("DimTime", [r[0] for r in dim_rows]), ("Power_FactTable", [f for f, _ in fact_rows])]:
+        c = Counter(rows)
+        want[name] = (len(rows), sum(1 for v in c.values() if v > 1))
+    assert pk == {**want, "DimConsumption": (0, 0), "DimInverter": (0, 0), "DimErrors": (0, 0)}
+    orphans = {r.column_name: r.n_orphans for r in quality.fk_orphans(tables).collect()}
+    keys = {r[0] for r in dim_rows}
+    assert orphans == {"TimeID": sum(1 for _, t in fact_rows if t and t not in keys),
+                       "ConsumptionID": 0, "InverterKey": 0, "ErrorID": 0}
+
+
 def test_power_fact_grain_and_totals(feeds, tables):
     pf = tables["Power_FactTable"]
     assert pf.count() == feeds.production.count()

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators.joins import salted_join
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -20,40 +19,54 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def pk_duplicates(tables: dict[str, DataFrame]) -> DataFrame:
-    """V1: per table, rows and keys seen more than once."""
-    out = []
-    for name, df in tables.items():
-        pk = schemas.PRIMARY_KEYS[name]
-        g = df.groupBy(pk).agg(F.count(F.lit(1)).alias("n"))
-        out.append(g.agg(F.lit(name).alias("table_name"), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_rows"),
-                         F.count_if(F.col("n") > 1).cast("long").alias("n_duplicate_keys")))
-    return _union(out)
+    """V1: per table, rows and keys seen more than once.
+
+    The keys of every table go through one aggregation on (table, key): a key
+    repeated many times is combined map-side, and the per-table totals are
+    one global aggregate (tables with no rows report 0).
+    """
+    names = list(tables)
+    keys = _union([tables[n].select(F.lit(i).alias("tbl"), F.col(schemas.PRIMARY_KEYS[n]).cast("string").alias("key"))
+                   for i, n in enumerate(names)])
+    per_key = keys.groupBy("tbl", "key").agg(F.count(F.lit(1)).alias("n"))
+    of = lambda i, c: F.when(F.col("tbl") == i, c)
+    rows = F.array(*[F.struct(F.lit(n).alias("table_name"),
+                              F.coalesce(F.sum(of(i, F.col("n"))), F.lit(0)).cast("long").alias("n_rows"),
+                              F.count(of(i, F.when(F.col("n") > 1, F.lit(1)))).cast("long").alias("n_duplicate_keys"))
+                     for i, n in enumerate(names)])
+    return per_key.agg(rows.alias("_r")).select(F.inline("_r"))
 
 
 def fk_orphans(tables: dict[str, DataFrame]) -> DataFrame:
     """V2: per declared relationship, fact rows whose non-empty id has no dimension row.
 
-    One pass per fact: the fact's id columns are computed once and left-joined
-    (salted: one id may hold most rows) to each referenced dimension's
-    distinct keys, then all orphan counts are one aggregate.
+    Pre-aggregate, then join: each fact is read once and its id columns are
+    counted per (relationship, id) -- a hot id (e.g. 'No Error', a third of
+    all rows) is combined map-side to one row per task. Only those distinct
+    ids meet the dimension keys, in one anti join on (relationship, id) with
+    no skew left to split; the orphan counts are one global aggregate.
     """
-    out = []
-    facts = list(dict.fromkeys(f for f, _, _, _ in schemas.FOREIGN_KEYS))
-    for fact in facts:
-        rels = [(c, d, k) for f, c, d, k in schemas.FOREIGN_KEYS if f == fact and fact in tables and d in tables]
-        if not rels:
-            continue
-        f = tables[fact].select(*dict.fromkeys(c for c, _, _ in rels))
-        counts = []
-        for i, (col, dim, key) in enumerate(rels):
-            keys = tables[dim].select(F.col(key).alias(col)).distinct().withColumn(f"_hit{i}", F.lit(True))
-            f = salted_join(f, keys, [col], "left")  # one id (e.g. 'No Error') may hold most rows
-            counts.append(F.struct(F.lit(fact).alias("fact_table"), F.lit(col).alias("column_name"),
-                                   F.lit(dim).alias("dim_table"),
-                                   F.count_if(F.col(col).isNotNull() & (F.col(col) != "") & F.col(f"_hit{i}").isNull())
-                                   .cast("long").alias("n_orphans")))
-        out.append(f.agg(F.array(*counts).alias("_r")).select(F.inline("_r")))
-    return _union(out)
+    rels = [(f, c, d, k) for f, c, d, k in schemas.FOREIGN_KEYS if f in tables and d in tables]
+    ids = []
+    for fact in dict.fromkeys(f for f, _, _, _ in rels):
+        cols = [F.struct(F.lit(i).alias("rel"), F.col(c).cast("string").alias("id"))
+                for i, (f, c, _, _) in enumerate(rels) if f == fact]
+        ids.append(tables[fact].select(F.inline(F.array(*cols))))
+    counted = (_union(ids).where(F.col("id").isNotNull() & (F.col("id") != ""))
+               .groupBy("rel", "id").agg(F.count(F.lit(1)).alias("n")))
+    # each dimension is read once; its keys are tagged with every relationship that references it
+    refs = {}
+    for i, (_, _, d, k) in enumerate(rels):
+        refs.setdefault((d, k), []).append(i)
+    dim_keys = _union([tables[d].select(F.explode(F.array(*[F.lit(i) for i in idx])).alias("rel"),
+                                        F.col(k).cast("string").alias("id"))
+                       for (d, k), idx in refs.items()]).where(F.col("id").isNotNull()).distinct()
+    orphans = counted.join(dim_keys, ["rel", "id"], "left_anti")
+    rows = F.array(*[F.struct(F.lit(f).alias("fact_table"), F.lit(c).alias("column_name"), F.lit(d).alias("dim_table"),
+                              F.coalesce(F.sum(F.when(F.col("rel") == i, F.col("n"))), F.lit(0)).cast("long")
+                              .alias("n_orphans"))
+                     for i, (f, c, d, _) in enumerate(rels)])
+    return orphans.agg(rows.alias("_r")).select(F.inline("_r"))
 
 
 def not_null_counts(tables: dict[str, DataFrame]) -> DataFrame:
