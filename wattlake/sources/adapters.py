@@ -126,12 +126,18 @@ def feeds(spark: SparkSession, sf_dir: str, materialize: bool = False) -> Feeds:
     feed several times (the whole gold build) then read them instead of
     re-deriving them from ``events``. It is a reliable ``checkpoint()`` in
     ``spark.checkpoint.dir`` (never a local checkpoint); on these small feeds
-    it measured faster than a Parquet round trip.
+    it measured faster than a Parquet round trip. The six checkpoints are
+    independent jobs, submitted together from driver threads so the
+    scheduler runs their stages side by side (measured 2x faster than one
+    after another: each job alone leaves most cores idle between stages).
     """
     fs = [production(spark, sf_dir), consumption(spark, sf_dir), humidity(spark, sf_dir),
           temperature(spark, sf_dir), weather(spark, sf_dir), booking(spark, sf_dir)]
     if materialize:
+        from concurrent.futures import ThreadPoolExecutor
+
         from ..session import shared_dir
         shared_dir(spark)
-        fs = [f.checkpoint(eager=True) for f in fs]
+        with ThreadPoolExecutor(max_workers=len(fs)) as pool:
+            fs = list(pool.map(lambda f: f.checkpoint(eager=True), fs))
     return Feeds(*fs)
