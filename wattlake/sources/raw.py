@@ -121,12 +121,14 @@ def latest_file(df: DataFrame, path_col: str = "file_path", level: str = "file")
     """Rows of the lexicographically last file (or folder) only.
 
     A one-row ``max`` joined back on equality; ``level="dir"`` compares the
-    parent folders, for exports written as a folder of part files.
+    parent folders, for exports written as a folder of part files. Every
+    kept row carries the same key, so the join must not hash on it: the
+    global aggregate is exactly one row, and is broadcast explicitly.
     """
     key = F.col(path_col) if level == "file" else F.regexp_replace(F.col(path_col), "/[^/]*$", "")
     d = df.withColumn("_export", key)
     last = d.agg(F.max("_export").alias("_export"))
-    return d.join(last, "_export").drop("_export")
+    return d.join(F.broadcast(last), "_export").drop("_export")
 
 
 def with_defaults(df: DataFrame, defaults: dict) -> DataFrame:
