@@ -104,11 +104,12 @@ def weather_fact(weather: DataFrame, humidity: DataFrame | None, temperature: Da
         F.col("date").alias("partition_date"))
 
 
-def rooms_fact_split(booking: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(fact rows, quarantined rows without TimeID or RoomID).
+def rooms_fact_flagged(booking: DataFrame) -> DataFrame:
+    """L16 + D6 in one pass: every booking row with ``_ok`` (has TimeID and RoomID).
 
-    The split tests cheap validity flags, not the md5 ids: Catalyst pushes
-    the predicate down to the scan, and the ids would be recomputed there.
+    A job that keeps both the fact and the quarantine reads this once (e.g.
+    one write, or a projection of the flag) instead of computing the fact
+    twice for two filtered halves.
     """
     b = booking.withColumn("t", tx.normalize_time("start_time", bare_hour=True))
     slot = G.rooms_booked_by_slot(booking)
@@ -125,6 +126,16 @@ def rooms_fact_split(booking: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("rooms_free").cast("long").alias("Rooms_Free_Count"),
         F.col("date").alias("partition_date"),
         F.coalesce(time_ok & room_ok, F.lit(False)).alias("_ok"))
+    return rows
+
+
+def rooms_fact_split(booking: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(fact rows, quarantined rows without TimeID or RoomID).
+
+    The split tests cheap validity flags, not the md5 ids: Catalyst pushes
+    the predicate down to the scan, and the ids would be recomputed there.
+    """
+    rows = rooms_fact_flagged(booking)
     return rows.where("_ok").drop("_ok"), rows.where(~F.col("_ok")).drop("_ok")
 
 
