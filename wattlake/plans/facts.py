@@ -2,7 +2,8 @@
 
 Every fact is keyed by ``date`` for all dates at once. Per-slot and per-day
 statistics are ``groupBy`` aggregates (one row per slot / day) joined back on
-their key: the aggregates combine map-side, and AQE broadcasts them at run
+their key (day statistics are first attached to the per-slot table, so fact
+rows go through one join): the aggregates combine map-side, and AQE broadcasts them at run
 time while they stay under the broadcast threshold, falling back to a
 sort-merge join when they do not. Per-slot tables are joined back with a
 deterministic salt, so a slot holding a large share of the rows is split
@@ -42,12 +43,13 @@ def power_fact(production: DataFrame, consumption: DataFrame) -> DataFrame:
     slot_cons = slot_cons.select("date", "t", F.col("variation").alias("cons_w"),
                                  D.profile_id(slot_cons, "cons_profile").alias("cons_id"))
     slot_run = G.running_pct(p, by=("date", "t")).select("date", "t", "pct_running")
-    slot = slot_run.join(slot_cons, ["date", "t"], "left")
-
     day = (G.daily_production_total(p).join(G.daily_consumption_total(c), "date", "left"))
+    # day totals ride on the per-slot table (small joins small), so the fact rows meet one table:
+    # every reading's slot is in ``slot_run``, hence every reading gets its day's totals
+    slot = slot_run.join(slot_cons, ["date", "t"], "left").join(day, "date", "left")
 
     # a slot holding a large share of the rows is spread over the salt buckets
-    f = salted_join(p, slot, ["date", "t"], "left").join(day, "date", "left")
+    f = salted_join(p, slot, ["date", "t"], "left")
     cons_w = F.coalesce(F.col("cons_w"), F.lit(0.0))
     return f.select(
         K.surrogate_key("pf", tx.date_iso("date"), F.col("t"), D.ktext(f, "inv_id")).alias("FactID"),
