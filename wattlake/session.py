@@ -64,13 +64,17 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staging: ``spark.checkpoint.dir``.
 
-    The cluster names it; only when it is unset (tests, a laptop) do we pick
-    a fresh local folder and register it on the session.
+    The cluster names it; only when it is unset on a ``local`` master (tests,
+    a laptop) do we pick a fresh local folder and register it on the session.
+    On a cluster a driver-local folder would be invisible to executors (and
+    lost with the driver's disk), so an unset folder is an error there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
         d = tempfile.mkdtemp(prefix="wattlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
