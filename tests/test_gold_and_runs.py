@@ -62,6 +62,18 @@ def test_key_checks_match_brute_force(spark):
                        "ConsumptionID": 0, "InverterKey": 0, "ErrorID": 0}
 
 
+def test_rooms_split_partitions_the_flagged_rows(feeds):
+    """Fact and quarantine halves are exactly the flagged rows, split on the flag."""
+    b = feeds.booking.withColumn("room_id", F.when(F.col("reservation_id") % 7 == 0, F.lit(None))
+                                 .otherwise(F.col("room_id")))
+    flagged = facts.rooms_fact_flagged(b)
+    good, bad = facts.rooms_fact_split(b)
+    cols = good.columns
+    assert sorted(good.collect()) == sorted(flagged.where("_ok").select(*cols).collect())
+    assert sorted(bad.collect()) == sorted(flagged.where("not _ok").select(*cols).collect())
+    assert bad.count() > 0 and good.count() + bad.count() == b.count()
+
+
 def test_power_fact_grain_and_totals(feeds, tables):
     pf = tables["Power_FactTable"]
     assert pf.count() == feeds.production.count()
