@@ -76,3 +76,41 @@ def test_salted_join_spreads_a_hot_key(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_fk_check_counts_ids_map_side_without_salt(spark):
+    """V2: ids are counted before any shuffle, and nothing is replicated per salt."""
+    from wattlake.plans import quality
+    ids = lambda n: spark.range(100).selectExpr(f"cast(id % 3 as string) as {n}")
+    tables = {"Power_FactTable": spark.range(100).selectExpr(*[f"cast(id % 3 as string) as {c}" for c in
+                                                              ["TimeID", "ConsumptionID", "InverterKey", "ErrorID"]]),
+              "DimTime": ids("TimeID"), "DimConsumption": ids("ConsumptionID"),
+              "DimInverter": ids("InverterKey"), "DimErrors": ids("ErrorID")}
+    plan = plan_of(quality.fk_orphans(tables))
+    assert "partial_count" in plan
+    assert "_salt" not in plan and "sequence(" not in plan
+
+
+def test_shared_dir_has_no_local_fallback_on_a_cluster():
+    """On a non-local master with no spark.checkpoint.dir, a driver-local folder is refused."""
+    from wattlake.session import shared_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+        def set(self, key, value):
+            raise AssertionError("must not pick a folder")
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = Conf()
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
