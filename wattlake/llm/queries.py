@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid_rnn, mixing, quality_knn, sharding, url_rules
+from . import crf_lines, decontaminate, langid_rnn, mixing, quality_knn, sharding, url_rules
 from .common import crc_mod, prepare, table
 
 QUERIES: dict = {}
@@ -71,9 +71,24 @@ def op5_quality_classifier(spark, sf_dir):
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
 
 
+@query
+def op6_quality_rules(spark, sf_dir):
+    """Base figures of every whole text, and the verdict of the line labelling."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    field = crf_lines.fit(docs, labels)
+    return crf_lines.judge(docs.select("doc_id", "text"), field).drop("text")
+
+
 @query
 def op7_mixing(spark, sf_dir):
     """Documents selected under hierarchical token budgets, once per epoch that takes them."""
     docs = table(spark, sf_dir, "documents")
     mixed = mixing.select_mix(docs.select("doc_id", "text", "lang", "source"), domain_of(), MIX_WEIGHTS, MIX_SEED, (1, 1), MIX_EPOCHS)
     return mixed.select("doc_id", F.col("__domain").alias("domain"), "lang", "source", "epoch")
+
+
+@query
+def op9_decontaminate(spark, sf_dir):
+    """Every benchmark passage within the edit threshold, found in any whole text."""
+    docs = table(spark, sf_dir, "documents")
+    return decontaminate.hits(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
