@@ -153,3 +153,35 @@ def part_of(names: np.ndarray, parts: int) -> np.ndarray:
 
 def blob(a: np.ndarray) -> bytes:
     return np.ascontiguousarray(a).tobytes()
+
+
+def pack(a: np.ndarray) -> bytes:
+    """Non-negative integers in the fewest bytes each (1, 2, 4 or 8); the first byte tells the width."""
+    top = int(a.max()) if len(a) else 0
+    width = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4 if top < 1 << 32 else 8
+    return bytes([width]) + np.ascontiguousarray(a, f"<u{width}").tobytes()
+
+
+def unpack(b: bytes) -> np.ndarray:
+    return np.frombuffer(b, f"<u{b[0]}", offset=1).astype(np.int64)
+
+
+def heads(*columns: np.ndarray) -> np.ndarray:
+    """Boolean per row of sorted columns: the row differs from the one before in any column."""
+    out = np.ones(len(columns[0]), bool)
+    if len(out) > 1:
+        out[1:] = False
+        for c in columns:
+            out[1:] |= c[1:] != c[:-1]
+    return out
+
+
+def runs(head: np.ndarray) -> np.ndarray:
+    """Length of each run that a head starts."""
+    at = np.flatnonzero(head)
+    return np.diff(np.r_[at, len(head)])
+
+
+def span(name: np.ndarray, parts: int) -> np.ndarray:
+    """Range partition of names: monotone in the name, so sorted names are grouped by part."""
+    return ((name >> U(32)) * U(parts) >> U(32)).astype(np.int64)

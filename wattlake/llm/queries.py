@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import crf_lines, decontaminate, langid_rnn, mixing, quality_knn, sharding, url_rules
+from . import crf_lines, decontaminate, langid_rnn, lm_score, mixing, quality_knn, sharding, url_rules
 from .common import crc_mod, prepare, table
 
 QUERIES: dict = {}
@@ -92,3 +92,9 @@ def op9_decontaminate(spark, sf_dir):
     """Every benchmark passage within the edit threshold, found in any whole text."""
     docs = table(spark, sf_dir, "documents")
     return decontaminate.hits(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_lm_score(spark, sf_dir):
+    """Stupid-backoff trigram scores of every whole text, counts over all documents."""
+    return lm_score.score(table(spark, sf_dir, "documents"))
