@@ -91,4 +91,16 @@ SELECT doc_id, dom AS domain, lang, source, CAST(x.epoch AS INTEGER) AS epoch
 FROM e, (SELECT unnest(range({Q.MIX_EPOCHS})) AS epoch) x WHERE x.epoch < copies
 """
 
-SQL = {"op2_url_rules": OP2, "op4_sharding": OP4, "op7_mixing": OP7}
+OP8 = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT doc_id, p, md5(list_aggregate(ws[p:p + 12], 'string_agg', ' ')) AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS p FROM w WHERE len(ws) >= 13)),
+m AS (SELECT k, min(doc_id) AS first FROM g GROUP BY k),
+hit AS (SELECT g.doc_id, g.p FROM g JOIN m USING (k) WHERE m.first < g.doc_id),
+gone AS (SELECT DISTINCT doc_id, p + o AS p FROM hit, (SELECT unnest(range(13)) AS o) x),
+gl AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id)
+SELECT w.doc_id, len(ws) AS n_words, coalesce(len(ps), 0) AS n_removed,
+       sha256(coalesce(array_to_string(CASE WHEN ps IS NULL THEN ws ELSE list_filter(ws, lambda x, i: NOT list_contains(ps, i)) END, ' '), '')) AS kept_sha256
+FROM w LEFT JOIN gl ON w.doc_id = gl.doc_id
+"""
+
+SQL = {"op8_substring_dedup": OP8, "op2_url_rules": OP2, "op4_sharding": OP4, "op7_mixing": OP7}

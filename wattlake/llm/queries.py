@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import crf_lines, decontaminate, langid_rnn, lm_score, mixing, quality_knn, sharding, url_rules
+from . import crf_lines, decontaminate, langid_rnn, lm_score, mixing, quality_knn, repeats, sharding, url_rules
 from .common import crc_mod, prepare, table
 
 QUERIES: dict = {}
@@ -87,6 +87,13 @@ def op7_mixing(spark, sf_dir):
     return mixed.select("doc_id", F.col("__domain").alias("domain"), "lang", "source", "epoch")
 
 
+@query
+def op8_substring_dedup(spark, sf_dir):
+    """Every whole text without the words of windows that stand in an earlier document."""
+    kept = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query
 def op9_decontaminate(spark, sf_dir):
     """Every benchmark passage within the edit threshold, found in any whole text."""
