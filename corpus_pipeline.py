@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import decontaminate, mixing, quality_knn, sharding
+from wattlake.llm import decontaminate, mixing, ngram_join, quality_knn, sharding
 from wattlake.llm import queries as Q
 from wattlake.llm.common import crc_mod, prepare, stage, table
 
@@ -22,6 +22,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_knn.score(docs, model, "__score").where(F.col("__score") >= Q.QUALITY_CUT).drop("__score")
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of the shingle join: the one with the smallest id."""
+    prepare(spark)
+    return ngram_join.one_of_each(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
     prepare(spark)
@@ -40,7 +46,7 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.assign(docs, "doc_id", Q.SHARDS)
 
 
-STAGES = [("quality", quality), ("decontamination", decontamination), ("mixing", mix), ("sharding", shard)]
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("mixing", mix), ("sharding", shard)]
 
 ORACLE_SQL = None   # the classifier and the edit-distance search are not SQL; tests hold each stage against brute force
 

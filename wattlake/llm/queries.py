@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import crf_lines, decontaminate, langid_rnn, lm_score, mixing, quality_knn, repeats, sharding, url_rules
+from . import crf_lines, decontaminate, langid_rnn, lm_score, mixing, ngram_join, quality_knn, repeats, sharding, url_rules
 from .common import crc_mod, prepare, table
 
 QUERIES: dict = {}
@@ -56,6 +56,13 @@ def op2_url_rules(spark, sf_dir):
     return url_rules.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+@query
+def op3_ngram_join(spark, sf_dir):
+    """Jaccard join of 3-word shingle sets: set size and component of every document."""
+    joined = ngram_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return joined.select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op4_sharding(spark, sf_dir):
     """Shard of every document from the permutation-filled lookup table."""
