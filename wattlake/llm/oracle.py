@@ -110,8 +110,8 @@ s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) <
 e AS (SELECT doc_id, len(el) AS n, unnest(el) AS x FROM s),
 c AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
       GROUP BY 1, 2, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
-both AS (SELECT a, b FROM c UNION ALL SELECT b, a FROM c),
-r(a, b) AS (SELECT a, b FROM both UNION SELECT r.a, both.b FROM r JOIN both ON r.b = both.a),
+pair AS (SELECT a, b FROM c UNION ALL SELECT b, a FROM c),
+r(a, b) AS (SELECT a, b FROM pair UNION SELECT r.a, pair.b FROM r JOIN pair ON r.b = pair.a),
 low AS (SELECT a, min(b) AS m FROM r GROUP BY a)
 SELECT doc_id, CAST(len(el) AS BIGINT) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id FROM s LEFT JOIN low ON low.a = s.doc_id
 """
