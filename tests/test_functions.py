@@ -29,6 +29,21 @@ def test_key_text_matches_python_str(spark):
     assert got == [str(v) for v in values]
 
 
+def test_key_text_is_exact(spark):
+    """The text of any double equals Python's, so different values never share an id."""
+    import random
+    import struct
+    rng = random.Random(4)
+    values = [1e-19, 2e-19, 0.0, -0.0, 0.00012345678901234567, 5e-324, 1.7976931348623157e308, 1e22, 1e16, 9999999999999998.0,
+              123456789012345680.0, 1e-4, 9.999e-5, 0.1 + 0.2, 2 / 3, -1e-7, float("inf"), float("-inf"), 1e15, 1234567.0, 12345678.9, 2.0 ** -1060]
+    values += [struct.unpack("<d", rng.randbytes(8))[0] for _ in range(3000)]
+    values += [rng.uniform(-1, 1) * 10 ** rng.randrange(-8, 19) for _ in range(2000)] + [round(rng.uniform(0, 1e6), 2) for _ in range(500)]
+    values = [v for v in values if v == v]
+    got = many(spark, lambda c: K.key_text(c, T.DoubleType()), values, T.DoubleType())
+    bad = [(v, g) for v, g in zip(values, got) if g != str(v) and (abs(v) < 1e16 or float(g) != v or len(g) != len(str(v)))]
+    assert not bad, (len(bad), bad[:5])
+
+
 def test_key_text_null_and_nan(spark):
     got = many(spark, lambda c: K.key_text(c, T.DoubleType()), [None, float("nan")], T.DoubleType())
     assert got == ["nan", "nan"]

@@ -6,6 +6,7 @@ import io
 import pytest
 
 import __spark_entry__ as E
+from wattlake import registry
 from wattlake.operators import aggregates as G
 from wattlake.sources import adapters as A
 
@@ -21,7 +22,7 @@ def plan_of(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_no_python_udf_or_cross_join(spark, name):
     plan = plan_of(E.queries()[name](spark, SF_SMALL))
     assert not [f for f in FORBIDDEN if f in plan], name
@@ -91,6 +92,47 @@ def test_fk_check_counts_ids_map_side_without_salt(spark):
     assert "_salt" not in plan and "sequence(" not in plan
 
 
+def final_plan(df) -> str:
+    df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest_issue_is_one_aggregate(spark):
+    """No join, one shuffle after a map-side aggregate."""
+    plan = plan_of(E.queries()["most_recent_forecast"](spark, SF_SMALL))
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") <= 2 and "partial_max" in plan
+
+
+def test_checks_read_stored_tables(spark):
+    """V1-V3 read the written feeds column by column: Parquet scans, no checkpointed rows."""
+    for name in ("pk_duplicates", "fk_orphans", "not_null_counts"):
+        plan = plan_of(E.queries()[name](spark, SF_SMALL))
+        assert "Scan parquet" in plan and "ExistingRDD" not in plan, name
+
+
+def test_power_export_joins_stored_tables(spark):
+    """The dimensions are small files, so no fact row is shuffled for them."""
+    from wattlake.plans import marts
+    from wattlake.sinks import writers as W
+    from wattlake.plans import dims, facts
+    p, c = A.production(spark, SF_SMALL), A.consumption(spark, SF_SMALL)
+    star = [W.stage(spark, t, "test-star") for t in (facts.power_fact(p, c), dims.dim_time(dims.collect_times(production=p)),
+                                                      dims.dim_inverter(p), dims.dim_profile(c, "consumption"), dims.dim_errors(p))]
+    plan = final_plan(marts.power_export(*star))
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_booking_load_scans_one_export(spark, scratch):
+    """Only the latest export is read, under its own header."""
+    from wattlake.sources import drops as DR
+    from wattlake.sources import raw
+    b = A.booking(spark, SF_SMALL)
+    for k, header in ((1, list(reversed(DR.BOOKING_HEADER))), (2, DR.BOOKING_HEADER)):
+        DR.write_lines(DR.booking_lines(b, order=header), f"{scratch}/export={k}", header, "\t", partition_col=None)
+    df = raw.read_booking(spark, scratch, latest="dir")
+    assert all("export=2" in f for f in df.inputFiles()) and df.first().room_id.strip('"').startswith("R")
+
+
 def test_shared_dir_has_no_local_fallback_on_a_cluster():
     """On a non-local master with no spark.checkpoint.dir, a driver-local folder is refused."""
     from wattlake.session import shared_dir

@@ -29,6 +29,11 @@ def inverter_line(date, time, blocks):
 @pytest.fixture()
 def bronze(scratch):
     b = f"{scratch}/raw"
+    # Another separator, and a header (with its lines) of six columns
+    write(f"{b}/mixed/03/10.03.2023-Humidity.csv", "Datum;Zeit;Einheit;Wert;Var\n10.03.2023;07:15;%;45,5;0,5\n", "utf-16")
+    write(f"{b}/mixed/03/11.03.2023-Humidity.csv", "Datum\tZeit\tEinheit\tWert\tVar\tNotiz\n11.03.2023\t07:15\t%\t46,5\t0,5\tok\n"
+          "11.03.2023\t07:30\t%\t47,5\t0,5\n11.03.2023\t07:45\t%\t48,5\t0,5\ta\tb\n", "utf-16")
+    write(f"{b}/mixed/sensor.csv", "Datum;Zeit;Einheit;Wert;Var\n12.03.2023;\"07:15\";\"%;x\";1;2\n", "utf-16")
     # UTF-16 (BOM), tab, header present but ignored by name
     write(f"{b}/humidity/03/01.03.2023-Humidity.csv", "\r\n".join([
         "Datum\tZeit\tEinheit\tWert\tVar",
@@ -83,6 +88,52 @@ def test_sensor_scan_and_clean(spark, bronze):
         (dt.date(2023, 3, 6), "9:00", 43.25, 1.0)]
 
 
+def test_sensor_separator_and_width_per_file(spark, bronze):
+    """Each file has its own separator and width; five columns are taken; lines beyond the header's width go, with a reason."""
+    rows = sorted(silver.clean_sensor(raw.read_sensor(spark, f"{bronze}/mixed")).collect(), key=lambda r: (r.date, r.time))
+    assert [(r.date.day, r.time, r.value_acquired) for r in rows] == [(10, "07:15", 45.5), (11, "07:15", 46.5), (11, "07:30", 47.5)]
+    bad = silver.sensor_rejects(raw.read_sensor(spark, f"{bronze}/mixed", keep_bad=True)).collect()
+    assert sorted((r.file_name, r.reason) for r in bad) == [("11.03.2023-Humidity.csv", "too many cells"), ("sensor.csv", "no month folder")]
+    quoted = raw.read_sensor(spark, f"{bronze}/mixed/sensor.csv").first()
+    assert (quoted.time_str, quoted.unit, quoted.val_raw) == ("07:15", "%;x", "1")
+
+
+def test_corrupt_input_fails(spark, scratch):
+    """Malformed text, a corrupt feed or an unreadable table is an error; only a missing path is empty."""
+    os.makedirs(f"{scratch}/in/03")
+    with open(f"{scratch}/in/03/01.03.2023-Humidity.csv", "wb") as fh:
+        fh.write(b"\xff\xfe\x00\xd8\x00\xd8")
+    with pytest.raises(Exception):
+        raw.read_sensor(spark, f"{scratch}/in").collect()
+    os.makedirs(f"{scratch}/lake/humidity/date=2023-03-01")
+    with open(f"{scratch}/lake/humidity/date=2023-03-01/part-0.parquet", "wb") as fh:
+        fh.write(b"no parquet")
+    with pytest.raises(Exception):
+        SV.read_feed(spark, f"{scratch}/lake", "humidity").collect()
+    with pytest.raises(Exception):
+        W.upsert_dim(spark, spark.createDataFrame([("k", 1)], "id string, v int"), f"{scratch}/lake/humidity", "id")
+    assert os.listdir(f"{scratch}/lake/humidity") == ["date=2023-03-01"]
+    assert SV.read_feed(spark, f"{scratch}/lake", "temperature").count() == 0
+
+
+def test_wider_inverter_export(spark, scratch):
+    """A sixth block is ignored, the first five are kept."""
+    head = ["#Date", "Time"] + [f"{h}{i}" for i in range(1, 7) for h in ["INV", "Pac", "DaySum", "Status", "Error", "Pdc1", "Pdc2", "Udc1", "Udc2", "Temp", "Uac"]]
+    line = inverter_line("01.03.23", "07:15:00", [(i, str(100 * i), "1", "6", "0") for i in range(1, 7)])
+    write(f"{scratch}/solar/03/min230301.csv", ";".join(head) + "\n" + line + "\n", "utf-8-sig")
+    rows = silver.clean_production(raw.read_inverters(spark, f"{scratch}/solar")).collect()
+    assert sorted((r.inv_id, r.pac, r.status) for r in rows) == [(i, 100.0 * i, "6") for i in range(1, 6)]
+
+
+def test_month_replace_drops_withdrawn_days(spark, scratch):
+    """B1: a day that left its month's source leaves the feed; other months stay."""
+    day = lambda m, d: dt.date(2023, m, d)
+    make = lambda rows: spark.createDataFrame(rows, "date date, v int")
+    W.replace_months(make([(day(3, 1), 1), (day(3, 2), 2), (day(4, 1), 3)]), f"{scratch}/feed")
+    W.replace_months(make([(day(3, 2), 5)]), f"{scratch}/feed")
+    assert sorted((r.date, r.v) for r in spark.read.parquet(f"{scratch}/feed").collect()) == [(day(3, 2), 5), (day(4, 1), 3)]
+
+
 def test_inverter_unpivot(spark, bronze):
     rows = silver.clean_production(raw.read_inverters(spark, f"{bronze}/solar/*/")).collect()
     assert len(rows) == 10  # 2 good lines x 5 blocks; the bad date line is dropped

@@ -202,11 +202,6 @@ def redact(c) -> Column:
     return F.when(F.trim(col) != "", F.lit(REDACTED)).otherwise(col)
 
 
-def shift_days(c, days: int) -> Column:
-    """C20: run-date offset (the reference's 3-year lag is a parameter)."""
-    return F.date_add(_c(c), days)
-
-
 def default_run_date(offset_days: int = 0) -> Column:
     """C20: yesterday (UTC session) minus ``offset_days``; the reference used a 1,095-day lag (Q19)."""
     return F.date_sub(F.current_date(), 1 + offset_days)

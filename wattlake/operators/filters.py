@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import calendar
+import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,9 +28,10 @@ def sentinel_drop(df: DataFrame, col: str = "value", sentinel: float = SENTINEL_
     return df.where(~F.col(col).eqNullSafe(F.lit(sentinel)))
 
 
-def day_filter(df: DataFrame, day, col: str = "date") -> DataFrame:
-    """Rows of one run date (prunes partitions when ``col`` is a partition column)."""
-    return df.where(F.col(col) == F.lit(day).cast("date"))
+def month_bounds(start, end) -> tuple[dt.date, dt.date]:
+    """First day of the month of ``start`` and last day of the month of ``end``."""
+    a, b = (x if isinstance(x, dt.date) else dt.date.fromisoformat(x) for x in (start, end))
+    return a.replace(day=1), b.replace(day=calendar.monthrange(b.year, b.month)[1])
 
 
 def date_range(df: DataFrame, start, end, col: str = "date") -> DataFrame:
@@ -37,14 +39,21 @@ def date_range(df: DataFrame, start, end, col: str = "date") -> DataFrame:
     return df.where(F.col(col).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
 
 
-def split_integrity(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(good, quarantine) by NULL or empty required ids."""
-    bad = reduce(lambda a, b: a | b, [F.col(c).isNull() | (F.col(c).cast("string") == "") for c in required])
-    return df.where(~bad), df.where(bad)
+def slicer(df: DataFrame, dates: tuple | None = None, months: list[int] | None = None, weeks: list[int] | None = None,
+           times: tuple | None = None, date_col: str = "date", time_col: str = "start_time", **equals) -> DataFrame:
+    """Dashboard slicers; each further keyword is ``column=value`` or ``column=[values]``.
 
-
-def slicer(df: DataFrame, **equals) -> DataFrame:
-    """Dashboard slicers; each keyword is ``column=value`` or ``column=[values]``."""
+    ``dates`` and ``times`` are inclusive (from, to) ranges (dates; ``HH:MM``), ``months`` and ``weeks`` lists of
+    calendar months and ISO weeks.
+    """
+    if dates:
+        df = date_range(df, *dates, col=date_col)
+    if months:
+        df = df.where(F.month(date_col).isin(*months))
+    if weeks:
+        df = df.where(F.weekofyear(date_col).isin(*weeks))
+    if times:
+        df = df.where(F.substring(tx.normalize_time(time_col, bare_hour=True), 1, 5).between(*times))
     for c, v in equals.items():
         df = df.where(F.col(c).isin(*v) if isinstance(v, (list, tuple, set)) else F.col(c) == F.lit(v))
     return df

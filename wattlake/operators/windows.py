@@ -2,7 +2,8 @@
 
 Group statistics are computed with ``groupBy`` + equi-join rather than an
 unordered window: the aggregate combines map-side, so a hot slot does not
-land whole in one task. Ordered windows are only used where the partition is
+land whole in one task. A slot holds at most one row per inverter (or per site and
+measurement), so the joins back have no hot key to split. Ordered windows are only used where the partition is
 bounded by the domain (one inverter's day: at most one row per slot).
 """
 
@@ -11,26 +12,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import salted_join
-
 
 def group_stat_on_row(df: DataFrame, keys: list[str], stats: dict) -> DataFrame:
     """Attach per-group statistics (``{name: agg column}``) to every row."""
     agg = df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
-    return salted_join(df, agg, keys, "left")
+    return df.join(agg, keys, "left")
 
 
 def most_recent_flag(df: DataFrame, slot: list[str], issued: str = "issued",
                      flag: str = "most_recent") -> DataFrame:
     """Flag the latest issue of each forecast slot."""
     latest = df.groupBy(*slot).agg(F.max(issued).alias("_latest"))
-    return (salted_join(df, latest, slot, "left")
+    return (df.join(latest, slot, "left")
             .withColumn(flag, F.col(issued) == F.col("_latest")).drop("_latest"))
 
 
 def most_recent(df: DataFrame, slot: list[str], issued: str = "issued") -> DataFrame:
-    """Keep only the latest issue of each slot."""
-    return most_recent_flag(df, slot, issued, "_mr").where("_mr").drop("_mr")
+    """The latest issue of each slot, as one combinable aggregate (equal issues: the largest row)."""
+    rest = [c for c in df.columns if c not in slot and c != issued]
+    last = df.groupBy(*slot).agg(F.max(F.struct(issued, *rest)).alias("_last"))
+    return last.select(*slot, *[F.col(f"_last.{c}").alias(c) for c in df.columns if c not in slot])
 
 
 def stalled_inverters(production: DataFrame) -> DataFrame:
@@ -45,7 +46,7 @@ def stalled_inverters(production: DataFrame) -> DataFrame:
          .withColumn("prev_daysum", F.lag("daysum").over(w))
          .withColumn("rising", F.col("daysum") > F.col("prev_daysum")))
     slot = p.groupBy("date", "time").agg(F.count_if("rising").alias("n_rising"))
-    return (salted_join(p, slot, ["date", "time"], "inner")
+    return (p.join(slot, ["date", "time"])
             .withColumn("n_peers_rising", F.col("n_rising") - F.when(F.col("rising"), 1).otherwise(0))
             .where((F.col("daysum") <= F.col("prev_daysum")) & (F.col("n_peers_rising") > 0))
             .select("date", "time", "inv_id", "daysum", "prev_daysum", "n_peers_rising"))

@@ -48,10 +48,19 @@ VIEWS = {
 }
 
 
+ENERGY_DAYS = "select * replace (cast(date '2024-01-01' + cast(reservation_id % 45 as int) as date) as date) from a_booking"
+
+
+def on_energy_days(sql: str) -> str:
+    """The same SQL over bookings moved into the days of the energy feeds."""
+    return re.sub(r"\ba_booking\b", "a_moved", sql)
+
+
 def with_views(body: str, extra: list[str] | None = None) -> str:
     """Prepend the ``a_*`` CTEs the body uses (plus ``extra`` CTE texts)."""
-    used = [v for v in VIEWS if re.search(rf"\b{v}\b", body)]
-    ctes = [VIEWS[v] for v in used] + list(extra or [])
+    moved = "a_moved" in body
+    used = [v for v in VIEWS if re.search(rf"\b{v}\b", body) or (moved and v == "a_booking")]
+    ctes = [VIEWS[v] for v in used] + ([f"a_moved as ({ENERGY_DAYS})"] if moved else []) + list(extra or [])
     body = body.strip()
     if body.lower().startswith("with "):
         body = body[5:]
@@ -265,16 +274,14 @@ where TimeID is not null and TimeID != '' and RoomID is not null and RoomID != '
 
 BODY["weather_fact"] = f"""
 with w as (select *, {norm_time('time')} as t from a_weather),
-f as {first_by('w', 'date, t', 'issued, site, measurement')},
-l as (select date, t, site, measurement, max(issued) as latest from w group by all),
+f as {first_by('w', 'date, t', 'issued desc, site desc, measurement desc')},
 h as (select date, {hour_key('time')} as hour, round(avg(value_acquired), 6) as v from a_humidity group by 1, 2),
 tp as (select date, {hour_key('time')} as hour, round(avg(value_acquired), 6) as v from a_temperature group by 1, 2)
 select md5('wf_' || {d('f.date')} || '_' || f.t || '_' || {ktext('f.site')}) as FactID,
   {tid_or_empty('f.date', 'f.t')} as TimeID,
   md5('fc_def_' || {ktext('f.site')} || '_' || {ktext('f.measurement')}) as ForecastID,
-  f.issued = l.latest as Most_Recent_Forecast, h.v as Humidity_Today, tp.v as Temp_Today, f.date as partition_date
+  true as Most_Recent_Forecast, h.v as Humidity_Today, tp.v as Temp_Today, f.date as partition_date
 from f
-left join l on l.date = f.date and l.t = f.t and l.site = f.site and l.measurement = f.measurement
 left join h on h.date = f.date and h.hour = {hour_key('f.t')}
 left join tp on tp.date = f.date and tp.hour = {hour_key('f.t')}"""
 
@@ -425,7 +432,7 @@ left join dc c on f.ConsumptionID = c.ConsumptionID left join de e on f.ErrorID
 DAY_PROD = "(select date, max(daysum) as mx from a_production group by 1)"
 DAY_CONS = "(select date, cast(sum(cast(variation as decimal(18,2))) as double) as sv from a_consumption group by 1)"
 
-SQL["campus_kpis"] = with_views(f"""
+SQL["campus_kpis"] = with_views(on_energy_days(f"""
 with prod as {DAY_PROD},
 per_inv as (select date, cast(sum(cast(m as decimal(18,2))) as double) as si
             from (select date, inv_id, max(daysum) as m from a_production group by 1, 2) group by 1),
@@ -442,7 +449,7 @@ select case gid when 0 then 'day' when 1 then 'month' else 'all' end as level, m
   round(cast(p as double) / 1000.0, 6) as production_kwh, round(cast(pi as double) / 1000.0, 6) as production_sum_inverters_kwh,
   round(cast(c as double) / 1000.0, 6) as consumption_kwh, round(h, 6) as humidity_mean, round(t, 6) as temperature_mean,
   round(r, 6) as rooms_booked_pct_mean
-from g""")
+from g"""))
 
 SQL["energy_value_chf"] = with_views(f"""
 with x as (select coalesce(p.date, c.date) as date, cast(coalesce(p.mx, 0.0) as decimal(18,2)) as pw,
@@ -482,17 +489,22 @@ select inv_id, error, count(*) as n_readings,
 from a_production group by inv_id, error""")
 
 SQL["reservations_share"] = with_views("""
-with g as (select activity_type, department, class, count(*) as n_bookings,
-             grouping(activity_type, department, class) as gid
-           from a_booking group by grouping sets ((activity_type), (department), (class))),
-n as (select case gid when 3 then 'activity_type' when 5 then 'department' when 6 then 'class' end as breakdown,
-        case gid when 3 then activity_type when 5 then department when 6 then class end as value, n_bookings from g)
+with b as (select *, 'Prof ' || cast(reservation_id % 37 as varchar) as instructor from a_booking),
+g as (select activity_type, department, instructor, count(*) as n_bookings,
+             grouping(activity_type, department, instructor) as gid
+           from b group by grouping sets ((activity_type), (department), (instructor))),
+n as (select case gid when 3 then 'activity_type' when 5 then 'department' when 6 then 'instructor' end as breakdown,
+        case gid when 3 then activity_type when 5 then department when 6 then instructor end as value, n_bookings from g)
 select breakdown, value, n_bookings,
   round(cast(n_bookings as double) * 100.0 / cast(sum(n_bookings) over (partition by breakdown) as double), 6) as pct
 from n""")
 
+ODD_HOURS = """(select * replace (
+    case when reservation_id % 17 = 0 then null when reservation_id % 3 = 1 then substr(start_time, 1, 3) || '15' else start_time end as start_time,
+    case when reservation_id % 3 = 1 then substr(end_time, 1, 3) || '30' else end_time end as end_time) from a_booking)"""
 BOOK_HOURS = f"""(select *, {hour_num('start_time')} as start_hour,
-    greatest({hour_num('end_time')}, {hour_num('start_time')} + 1) as end_hour from a_booking)"""
+    greatest({hour_num('end_time')} + case when split_part(end_time, ':', 2) > '00' then 1 else 0 end, {hour_num('start_time')} + 1) as end_hour
+  from {ODD_HOURS} where start_time is not null)"""
 
 SQL["room_date_heatmap"] = with_views(f"""
 select room_id, date, count(*) as n_bookings, cast(sum(end_hour - start_hour) as bigint) as booked_hours
@@ -547,7 +559,16 @@ NOT_NULL = dict(DimTime=["TimeID"], DimInverter=["InverterKey"], DimConsumption=
                 Weather_FactTable=["FactID", "TimeID", "ForecastID", "partition_date"],
                 Rooms_FactTable=["FactID", "TimeID", "RoomID", "partition_date"],
                 Prediction_FactTable=["FactID", "TimeID", "partition_date"])
-CORE_CTES = cte(**{t: b for t, b in CORE.items()})
+# keys broken on purpose, as in the registered checks
+DAMAGE = {
+    "DimRoom": "select * from {t} where Alt_RoomID not like '%5' union all select * from {t} where Alt_RoomID like '%7'",
+    "DimInverter": "select * from {t} where InverterID <> 3",
+    "Power_FactTable": "select * replace (case when day(partition_date) <> 13 then ConsumptionID end as ConsumptionID, "
+                       "case when day(partition_date) = 14 then '' else TimeID end as TimeID) from {t}",
+    "Weather_FactTable": "select * from {t} union all select * from {t} where day(partition_date) = 2",
+}
+CORE_CTES = cte(**{(f"whole_{t}" if t in DAMAGE else t): b for t, b in CORE.items()}) + "".join(
+    f",\n{t} as ({q.format(t='whole_' + t)})" for t, q in DAMAGE.items())
 
 SQL["pk_duplicates"] = with_views("with " + CORE_CTES + "\n" + "\nunion all\n".join(
     f"select '{t}' as table_name, cast(coalesce(sum(n), 0) as bigint) as n_rows, "
@@ -571,7 +592,7 @@ SQL["missing_days"] = with_views("\nunion all\n".join(
     f"interval 1 day)) as dd from a_{fd}) where cast(dd as date) not in "
     f"(select date from a_{fd} where date is not null)" for fd in FEEDS))
 
-SQL["backfill_range"] = with_views(f"""
+SQL["backfill_range"] = with_views(on_energy_days(f"""
 with {cte(pf='power_fact', wf='weather_fact', rf='rooms_fact', prf='prediction_fact')},
 alld as ({" union all ".join(f"select date from a_{fd}" for fd in FEEDS)}),
 cal as (select cast(unnest(generate_series(min(date), max(date), interval 1 day)) as date) as date from alld)
@@ -582,7 +603,7 @@ from cal
 left join (select partition_date as date, count(*) as n from pf group by 1) a on a.date = cal.date
 left join (select partition_date as date, count(*) as n from wf group by 1) b on b.date = cal.date
 left join (select partition_date as date, count(*) as n from rf group by 1) c on c.date = cal.date
-left join (select partition_date as date, count(*) as n from prf group by 1) e on e.date = cal.date""")
+left join (select partition_date as date, count(*) as n from prf group by 1) e on e.date = cal.date"""))
 
 SQL["future_time_rows"] = with_views("""
 with r as (select distinct date from a_consumption),
@@ -595,22 +616,42 @@ select distinct md5(strftime(ts, '%Y-%m-%d') || 'T' || strftime(ts, '%H:%M:%S'))
   cast(hour(ts) as int) as Hour, cast(minute(ts) as int) as Minute, cast(second(ts) as int) as Second
 from s""")
 
-SQL["silver_sensor_load"] = f"""
-with ev as (select *, cast(ts as date) as date, {SLOT} as time from events where event_type = 'view'),
+def sensor_parsed(event_type: str, unit: str, value: str = "value", days: str = "true") -> str:
+    """CTEs ``raw`` and ``p``: sensor lines as the drops hold them, and their parsed cells."""
+    return f"""
+ev as (select * from (select *, cast(ts as date) as date, {SLOT} as time from events where event_type = '{event_type}') where {days}),
 raw as (select case when event_id % 23 = 0 then 'n/a' when event_id % 2 = 0 then strftime(date, '%d.%m.%Y')
                     else strftime(date, '%-d.%-m.%Y') end as raw_date,
-          ' ' || time as time_str, '%' as unit,
-          case when event_id % 19 = 0 then 'x,y' else replace(cast(value as varchar), '.', ',') end as val_raw,
+          ' ' || time as time_str, '{unit}' as unit,
+          case when event_id % 19 = 0 then 'x,y' else replace(cast({value} as varchar), '.', ',') end as val_raw,
           replace(cast(cast(user_id % 7 as double) as varchar), '.', ',') as var_raw,
-          case when event_id % 13 = 0 then 6 else 5 end as n_fields,
+          event_id % 13 = 0 as too_long,
           lpad(cast(case when event_id % 10 = 0 then month(date) % 12 + 1 else month(date) end as varchar), 2, '0')
             as folder_month from ev),
 p as (select cast(try_strptime(trim(raw_date), '%d.%m.%Y') as date) as date, trim(time_str) as time, unit,
         try_cast(replace(trim(val_raw), ',', '.') as double) as value_acquired,
-        try_cast(replace(trim(var_raw), ',', '.') as double) as variation, folder_month
-      from raw where n_fields = 5)
-select date, time, unit, value_acquired, variation from p
-where date is not null and value_acquired is not null and month(date) = try_cast(folder_month as int)"""
+        try_cast(replace(trim(var_raw), ',', '.') as double) as variation, folder_month, too_long
+      from raw)"""
+
+
+SENSOR_KEPT = """select date, time, unit, value_acquired, variation from p
+where not too_long and date is not null and value_acquired is not null and month(date) = try_cast(folder_month as int)"""
+
+for _name, _type, _unit in [("silver_sensor_load", "view", "%"), ("silver_temperature_load", "click", "C"),
+                            ("silver_consumption_load", "purchase", "kWh"), ("silver_pv_load", "signup", "W")]:
+    SQL[_name] = f"with {sensor_parsed(_type, _unit)}\n{SENSOR_KEPT}"
+
+SQL["sensor_rejects"] = f"""with {sensor_parsed('view', '%')}
+select reason, count(*) as n_lines from (
+  select case when too_long then 'too many cells' when date is null then 'bad date' when value_acquired is null then 'bad value'
+              when month(date) is distinct from try_cast(folder_month as int) then 'wrong month folder' end as reason from p)
+where reason is not null group by reason"""
+
+_FIRST = SENSOR_KEPT + " and day(date) not in (10, 20)"
+SQL["incremental_ingest"] = f"""
+select * from (with {sensor_parsed('view', '%')} {_FIRST})
+union all
+select * from (with {sensor_parsed('view', '%', 'value + 1.0', 'day(date) in (10, 20)')} {SENSOR_KEPT})"""
 
 SQL["actual_vs_predicted"] = with_views(f"""
 with a as (select date, {norm_time('time')} as time, cast(sum(cast(pac as decimal(18,2))) as double) as actual_sum_pac
@@ -621,8 +662,9 @@ from a full join p on a.date = p.date and a.time = p.time""")
 
 SQL["dashboard_slicers"] = with_views(f"""
 select department, activity_type, count(*) as n_bookings from (
-  select department, {strip_fill(messy('activity_type', 'reservation_id + 1'))} as activity_type from a_booking)
-where activity_type != 'EMPTY' and department in ('F', 'O')
+  select department, {strip_fill(messy('activity_type', 'reservation_id + 1'))} as activity_type, date, start_time from a_booking)
+where activity_type != 'EMPTY' and department in ('F', 'O') and date between date '1996-01-01' and date '2000-12-31'
+  and month(date) in (1, 2, 3, 9, 10, 11) and start_time between '08:00' and '15:59'
 group by department, activity_type""")
 
 SQL["silver_production_load"] = with_views("""
@@ -644,11 +686,11 @@ raw as (select case when event_id % 29 = 0 then 'garbage' else strftime(utc, '%Y
           value + cast(user_id % 4 as double) as prediction, 'site' || cast(user_id % 3 as varchar) as site,
           event_type as measurement, case when event_type = 'signup' then 'W/m2' else 'C' end as unit,
           lpad(cast(case when event_id % 10 = 0 then month(utc) % 12 + 1 else month(utc) end as varchar), 2, '0')
-            as folder_month from ev),
+            as folder_month,
+          cast(cast(utc as date) - 1 as timestamp) + case when event_id % 2 = 0 then interval 6 hour else interval 12 hour end as issued from ev),
 p as (select try_strptime(time_raw, '%Y-%m-%dT%H:%M:%S') as ts, try_cast(value_raw as double) as value,
-        prediction, site, measurement, unit, folder_month from raw)
-select cast(ts as date) as date, strftime(ts, '%H:%M:%S') as time, value, prediction, site, measurement, unit,
-  cast(null as timestamp) as issued
+        prediction, site, measurement, unit, folder_month, issued from raw)
+select cast(ts as date) as date, strftime(ts, '%H:%M:%S') as time, value, prediction, site, measurement, unit, issued
 from p
 where ts is not null and month(ts) = try_cast(folder_month as int) and value is distinct from -99999.0"""
 
@@ -659,4 +701,10 @@ select {french_parse("case when reservation_id % 31 = 0 then '?? ??? ????' else
   {strip_fill("case when reservation_id % 7 = 0 then '' else activity_type end")} as activity_type,
   {strip_fill("case when reservation_id % 4 = 0 then '' when reservation_id % 4 = 1 then 'nan' else 'Prof ' || department end")} as instructor,
   {strip_fill('department')} as department, {strip_fill('class')} as class
-from a_booking""")
+from a_booking where reservation_id % 41 != 0""")
+
+_RUN_DAYS = ("date between date '1996-09-17' and date '1996-10-12' or date in (date '1999-02-28', date '2000-02-29', date '2000-03-01')")
+SQL["rooms_fact_day_runs"] = with_views(f"""
+with {cte(rf='rooms_fact', dr='dim_reservation')}
+select rf.FactID, rf.RoomID, rf.ReservationID, rf.Pct_Rooms_Booked, rf.Rooms_Free_Count, rf.partition_date, dr.Start_time as first_start
+from rf left join dr using (ReservationID) where {_RUN_DAYS.replace('date between', 'partition_date between').replace('or date in', 'or partition_date in')}""")

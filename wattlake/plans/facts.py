@@ -5,9 +5,8 @@ statistics are ``groupBy`` aggregates (one row per slot / day) joined back on
 their key (day statistics are first attached to the per-slot table, so fact
 rows go through one join): the aggregates combine map-side, and AQE broadcasts them at run
 time while they stay under the broadcast threshold, falling back to a
-sort-merge join when they do not. Per-slot tables are joined back with a
-deterministic salt, so a slot holding a large share of the rows is split
-over several tasks. Dimension ids are recomputed from natural keys, never
+sort-merge join when they do not. Booking slots can hold any number of rows, so the rooms
+fact joins its per-slot table with a deterministic salt. Dimension ids are recomputed from natural keys, never
 looked up.
 """
 
@@ -20,6 +19,7 @@ from ..functions import keys as K
 from ..functions import text as tx
 from ..operators import aggregates as G
 from ..operators.joins import salted_join
+from ..operators.windows import most_recent
 from . import dims as D
 
 MEAN_DIGITS = 6
@@ -48,8 +48,8 @@ def power_fact(production: DataFrame, consumption: DataFrame) -> DataFrame:
     # every reading's slot is in ``slot_run``, hence every reading gets its day's totals
     slot = slot_run.join(slot_cons, ["date", "t"], "left").join(day, "date", "left")
 
-    # a slot holding a large share of the rows is spread over the salt buckets
-    f = salted_join(p, slot, ["date", "t"], "left")
+    # a slot holds one row per inverter: no hot key, and the rows share the slot aggregate's partitioning
+    f = p.join(slot, ["date", "t"], "left")
     cons_w = F.coalesce(F.col("cons_w"), F.lit(0.0))
     return f.select(
         K.surrogate_key("pf", tx.date_iso("date"), F.col("t"), D.ktext(f, "inv_id")).alias("FactID"),
@@ -77,21 +77,15 @@ def hourly_means(sensor: DataFrame, name: str) -> DataFrame:
 
 
 def weather_fact(weather: DataFrame, humidity: DataFrame | None, temperature: DataFrame | None) -> DataFrame:
-    """One row per (date, slot): the first forecast row of the slot (G11, by ``issued``).
+    """One row per (date, slot): the row of the slot's latest issue (W3; ties: the largest site and measurement).
 
-    ``Most_Recent_Forecast`` is true when that row is the latest issue for its
-    (slot, site, measurement) (W3; the reference wrote a constant TRUE).
+    So ``Most_Recent_Forecast`` is true on every row, as in the reference: superseded issues are not in the fact.
     Humidity/Temp_Today are the hourly means of the slot's hour (J6).
     """
     w = weather.withColumn("t", tx.normalize_time("time"))
-    order = ["issued"] if "issued" in w.columns else []
-    first = G.keep_first(w, ["date", "t"], order + ["site", "measurement"], ["site", "measurement"] + order)
-    if order:
-        latest = w.groupBy("date", "t", "site", "measurement").agg(F.max("issued").alias("latest"))
-        first = first.join(latest, ["date", "t", "site", "measurement"], "left").withColumn(
-            "mr", F.col("issued") == F.col("latest"))
-    else:
-        first = first.withColumn("mr", F.lit(True))
+    if "issued" not in w.columns:
+        w = w.withColumn("issued", F.lit(None).cast("timestamp_ntz"))
+    first = most_recent(w.select("date", "t", "issued", "site", "measurement"), ["date", "t"]).withColumn("mr", F.lit(True))
     first = first.withColumn("hour", tx.hour_key("t"))
     for sensor, name in [(humidity, "Humidity_Today"), (temperature, "Temp_Today")]:
         means = hourly_means(sensor, name)

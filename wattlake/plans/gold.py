@@ -6,20 +6,49 @@ insert-if-absent, facts by replacing the days they contain.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import filters as FL
 from ..sinks import writers as W
 from ..sources.adapters import Feeds
 from . import dims as D
 from . import facts as FCT
 
 
-def build(feeds: Feeds) -> dict[str, DataFrame]:
+FEED_NAMES = ["production", "consumption", "humidity", "temperature", "weather", "booking"]
+
+
+def restrict(feeds: Feeds, start, end) -> Feeds:
+    """Feeds limited to [start, end] (a ``date`` predicate: pruning when partitioned)."""
+    return Feeds(*[FL.date_range(getattr(feeds, n), start, end) for n in FEED_NAMES])
+
+
+def build(feeds: Feeds, start=None, end=None, bookings: Callable | None = None) -> dict[str, DataFrame]:
+    """Every gold table, or what a run over [start, end] loads of it.
+
+    A run's rows equal those of a full build: the rooms fact counts the rooms of whole months
+    (G7) and then keeps its days, and a reservation's first booking (L6) is looked for among all
+    bookings of the run's reservations. ``bookings(first, last)`` reads a date range of bookings
+    (default: a filter on the feed).
+    """
+    every, months = feeds.booking, feeds.booking
+    if start is not None and end is not None:
+        bookings = bookings or (lambda a, b: FL.date_range(every, a, b))
+        first, last = FL.month_bounds(start, end)
+        months = bookings(first, last)
+        feeds = restrict(feeds, start, end)
+        mine = feeds.booking.select("reservation_id").distinct()
+        every = every.join(mine, "reservation_id", "left_semi")
+    rooms = FCT.rooms_fact(months)
+    if start is not None and end is not None:
+        rooms = FL.date_range(rooms, start, end, "partition_date")
     times = D.collect_times(feeds.production, feeds.consumption, feeds.humidity, feeds.temperature,
                             feeds.weather, feeds.booking)
     return {
         "DimTime": D.dim_time(times),
-        "DimReservation": D.dim_reservation(feeds.booking),
+        "DimReservation": D.dim_reservation(every),
         "DimRoom": D.dim_room(feeds.booking),
         "DimConsumption": D.dim_profile(feeds.consumption, "consumption"),
         "DimHumidity": D.dim_profile(feeds.humidity, "humidity"),
@@ -32,7 +61,7 @@ def build(feeds: Feeds) -> dict[str, DataFrame]:
         "DimProductionPredictionDaysum": D.dim_production_prediction(feeds.weather, "daysum"),
         "Power_FactTable": FCT.power_fact(feeds.production, feeds.consumption),
         "Weather_FactTable": FCT.weather_fact(feeds.weather, feeds.humidity, feeds.temperature),
-        "Rooms_FactTable": FCT.rooms_fact(feeds.booking),
+        "Rooms_FactTable": rooms,
         "Prediction_FactTable": FCT.prediction_fact(feeds.consumption, feeds.weather),
     }
 
@@ -41,13 +70,13 @@ CORE_TABLES = ["DimTime", "DimInverter", "DimConsumption", "DimErrors", "DimFore
                "DimReservation", "Power_FactTable", "Weather_FactTable", "Rooms_FactTable", "Prediction_FactTable"]
 
 
-def load(spark: SparkSession, feeds: Feeds, root: str) -> dict[str, int]:
+def load(spark: SparkSession, feeds: Feeds, root: str, start=None, end=None, bookings: Callable | None = None) -> dict[str, int]:
     """Write every table under ``root``; returns rows added per dimension.
 
-    Facts are written first to the shared folder's gold root with dynamic
-    partition overwrite (re-running a day replaces it, other days stay).
+    Dimensions come first, then the facts with dynamic partition overwrite
+    (re-running a day replaces it, other days stay).
     """
-    tables = build(feeds)
+    tables = build(feeds, start, end, bookings)
     added = {}
     for name, df in tables.items():
         path = f"{root}/{name}"

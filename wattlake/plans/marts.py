@@ -18,8 +18,8 @@ DIGITS = 6
 # Our own tariff defaults (CHF per kWh); the reference's tariff is not in its tree.
 SELL_CHF_PER_KWH = 0.12
 BUY_CHF_PER_KWH = 0.25
-# Status classes of the inverter dashboard, checked in this order.
-STATUS_CLASSES = ["Error", "OK-Standby", "Running"]
+# Status classes of the inverter dashboard: (class, SQL condition), the first that holds counts.
+STATUS_CLASSES = [("Error", "coalesce(error, 0) > 0"), ("Running", "pac > 0"), ("OK-Standby", "true")]
 
 
 def power_export(power_fact: DataFrame, dim_time: DataFrame, dim_inverter: DataFrame,
@@ -134,17 +134,19 @@ def actual_vs_predicted(actual: DataFrame, predicted: DataFrame, keys=("date", "
     return actual.join(predicted, list(keys), "full")
 
 
-def status_class(production: DataFrame):
-    return (F.when(F.coalesce(F.col("error"), F.lit(0)) > 0, F.lit("Error"))
-            .when(F.col("pac") > 0, F.lit("Running")).otherwise(F.lit("OK-Standby")))
+def status_class(classes: list[tuple[str, str]] = STATUS_CLASSES):
+    out = None
+    for name, condition in classes:
+        out = F.when(F.expr(condition), F.lit(name)) if out is None else out.when(F.expr(condition), F.lit(name))
+    return out
 
 
-def status_counts(production: DataFrame) -> DataFrame:
-    """Readings per inverter and status class (pivot with an explicit value list)."""
-    p = production.withColumn("cls", status_class(production))
-    wide = p.groupBy("inv_id").pivot("cls", STATUS_CLASSES).count()
-    return wide.select("inv_id", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(
-        "n_" + c.lower().replace("-", "_")) for c in STATUS_CLASSES])
+def status_counts(production: DataFrame, classes: list[tuple[str, str]] = STATUS_CLASSES) -> DataFrame:
+    """Readings per inverter and status class (the class map is a parameter; pivot with an explicit value list)."""
+    names = [c for c, _ in classes]
+    wide = production.withColumn("cls", status_class(classes)).groupBy("inv_id").pivot("cls", names).count()
+    return wide.select("inv_id", *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("long").alias(
+        "n_" + c.lower().replace("-", "_")) for c in names])
 
 
 def error_counts(production: DataFrame) -> DataFrame:
@@ -153,8 +155,8 @@ def error_counts(production: DataFrame) -> DataFrame:
             .withColumn("error_info", tx.error_label("error")))
 
 
-def reservations_share(booking: DataFrame, dims=("activity_type", "department", "class")) -> DataFrame:
-    """Bookings per activity / department / class, count and % of all bookings.
+def reservations_share(booking: DataFrame, dims=("activity_type", "department", "instructor")) -> DataFrame:
+    """Bookings per activity / department / instructor, count and % of all bookings.
 
     One pass with grouping sets; the total per breakdown is an aggregate of
     the grouped rows joined back on the breakdown name (no window, so a
@@ -176,9 +178,12 @@ def reservations_share(booking: DataFrame, dims=("activity_type", "department",
 
 
 def booking_hours(booking: DataFrame) -> DataFrame:
-    s = tx.hour_num(F.col("start_time"))
-    e = tx.hour_num(F.col("end_time"))
-    return booking.withColumns({"start_hour": s, "end_hour": F.greatest(e, s + 1)})
+    """Hours a booking touches: from its start's hour up to its end, a begun hour counts; bookings without a start are left out."""
+    t = tx.normalize_time("end_time", bare_hour=True)
+    s, e = tx.hour_num(F.col("start_time")), tx.hour_num(F.col("end_time"))
+    begun = F.coalesce(F.substring(t, 4, 5) > "00:00", F.lit(False)).cast("int")
+    b = booking.where(F.coalesce(F.trim("start_time"), F.lit("")) != "")
+    return b.withColumns({"start_hour": s, "end_hour": F.greatest(e + begun, s + 1)})
 
 
 def room_date_heatmap(booking: DataFrame) -> DataFrame:
@@ -188,11 +193,6 @@ def room_date_heatmap(booking: DataFrame) -> DataFrame:
                                             F.sum(F.col("end_hour") - F.col("start_hour")).cast("long").alias("booked_hours"))
 
 
-def pivot_heatmap(heat: DataFrame, dates: list) -> DataFrame:
-    """G20 (matrix form) for an explicit date list: one column per date."""
-    return heat.groupBy("room_id").pivot("date", dates).agg(F.first("n_bookings"))
-
-
 def room_hour_timeline(booking: DataFrame) -> DataFrame:
     """A booking covers every hour from its start up to (excluding) its end."""
     b = booking_hours(booking)

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..functions import keys as K
 from ..functions import text as tx
-from ..operators import filters as FL
 from ..sources import silver as SV
 from ..sources.adapters import Feeds
 from . import gold
@@ -22,25 +21,16 @@ from . import gold
 FACTS = ["Power_FactTable", "Weather_FactTable", "Rooms_FactTable", "Prediction_FactTable"]
 
 
-def restrict(feeds: Feeds, start, end) -> Feeds:
-    """Feeds limited to [start, end] (a ``date`` predicate: pruning when partitioned)."""
-    return Feeds(*[FL.date_range(getattr(feeds, n), start, end) for n in
-                   ["production", "consumption", "humidity", "temperature", "weather", "booking"]])
-
-
 def backfill_counts(feeds: Feeds, start=None, end=None) -> DataFrame:
     """L18 + G12: rows each fact gets per calendar day of the range (0 = nothing to load).
 
     Without bounds the range spans every feed's first to last day.
     """
-    if start is not None and end is not None:
-        feeds = restrict(feeds, start, end)
-    tables = gold.build(feeds)
+    tables = gold.build(feeds, start, end)
     counts = [tables[n].groupBy(F.col("partition_date").alias("date"))
               .agg(F.count(F.lit(1)).alias(f"n_{n.split('_')[0].lower()}_rows")) for n in FACTS]
     days = reduce(lambda a, b: a.unionByName(b),
-                  [getattr(feeds, n).select(F.col("date").cast("date").alias("date")) for n in
-                   ["production", "consumption", "humidity", "temperature", "weather", "booking"]])
+                  [getattr(feeds, n).select(F.col("date").cast("date").alias("date")) for n in gold.FEED_NAMES])
     bounds = days.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
     if start is not None and end is not None:
         bounds = bounds.select(F.lit(start).cast("date").alias("lo"), F.lit(end).cast("date").alias("hi"))
@@ -53,8 +43,8 @@ def backfill_counts(feeds: Feeds, start=None, end=None) -> DataFrame:
 
 def backfill(spark: SparkSession, silver_root: str, gold_root: str, start, end) -> dict:
     """Load gold for [start, end] from a silver lake in one job per table."""
-    feeds = restrict(SV.read_feeds(spark, silver_root), start, end)
-    return gold.load(spark, feeds, gold_root)
+    return gold.load(spark, SV.read_feeds(spark, silver_root), gold_root, start, end,
+                     lambda a, b: SV.read_feed(spark, silver_root, "booking", a, b))
 
 
 def future_time_rows(run_dates: DataFrame, fixed_year: int | None = 2023, days_ahead: int = 2,

@@ -14,13 +14,13 @@ from ..sources import raw
 NUMERIC_PRODUCTION = ["pac", "daysum", "error", "pdc1", "pdc2", "udc1", "udc2", "temp", "uac"]
 
 
-def clean_sensor(df: DataFrame) -> DataFrame:
+def clean_sensor(df: DataFrame, keep: tuple = ()) -> DataFrame:
     """L1 transform: C1, C6, C8, D1, D2 over positional sensor columns."""
     out = df.select(tx.parse_eu_date("raw_date").alias("date"), F.trim("time_str").alias("time"), "unit",
                     tx.eu_decimal("val_raw").alias("value_acquired"), tx.eu_decimal("var_raw").alias("variation"),
-                    "folder_month")
+                    "folder_month", *keep)
     out = FL.month_guard(FL.sensor_quality(out))
-    return out.select("date", "time", "unit", "value_acquired", "variation")
+    return out.select("date", "time", "unit", "value_acquired", "variation", *keep)
 
 
 def clean_production(wide: DataFrame) -> DataFrame:
@@ -47,12 +47,8 @@ def clean_weather(df: DataFrame) -> DataFrame:
                       "issued")
 
 
-def clean_booking(df: DataFrame, latest: str = "file") -> DataFrame:
-    """L4 transform: latest export (A8), C9 strip, C11 placeholders, C4/C5 dates, C12 projection.
-
-    ``latest="dir"`` treats a folder of part files as one export.
-    """
-    df = raw.latest_file(df, level=latest)
+def clean_booking(df: DataFrame) -> DataFrame:
+    """L4 transform of the latest export: C9 strip, C11 placeholders, C4/C5 dates, C12 projection."""
     strings = [c for c, t in df.dtypes if t == "string" and c not in ("file_path", "file_name", "feed", "month")]
     df = df.withColumns({c: tx.strip_quotes(c) for c in strings})
     df = df.withColumns({c: tx.fill_placeholder(c) for c in tx.PLACEHOLDER_COLUMNS if c in df.columns})
@@ -64,24 +60,37 @@ def clean_booking(df: DataFrame, latest: str = "file") -> DataFrame:
     return tx.select_existing(df, tx.BOOKING_COLUMNS)
 
 
-def load_sensor(spark: SparkSession, bronze_path, silver_path: str, sep: str = "\t", full: bool = False) -> None:
-    """L1: one scan over all month folders, replace the days present (B1)."""
-    W.replace_days(clean_sensor(raw.read_sensor(spark, bronze_path, sep)), silver_path, full=full)
+def sensor_rejects(lines: DataFrame) -> DataFrame:
+    """Lines that L1 leaves out, with the first reason that holds (``lines``: a scan with ``keep_bad``)."""
+    date, value = tx.parse_eu_date("raw_date"), tx.eu_decimal("val_raw")
+    month = F.col("folder_month").try_cast("int")
+    reason = (F.when(F.col(raw.BAD), "too many cells").when(date.isNull(), "bad date").when(value.isNull(), "bad value")
+              .when(month.isNull(), "no month folder").when(F.month(date) != month, "wrong month folder"))
+    return lines.select("file_path", "file_name", F.col(raw.LINE).alias("line"), reason.alias("reason")).where(F.col("reason").isNotNull())
+
 
+def load_sensor(spark: SparkSession, bronze_path, silver_path: str, sep: str | None = None, full: bool = False,
+                encoding: str = "UTF-16", quarantine_path: str | None = None) -> None:
+    """L1: one scan over all month folders, replace the months read (B1); rejected lines go to ``quarantine_path``."""
+    W.replace_months(clean_sensor(raw.read_sensor(spark, bronze_path, sep, encoding)), silver_path, full=full)
+    if quarantine_path:
+        sensor_rejects(raw.read_sensor(spark, bronze_path, sep, encoding, keep_bad=True)).write.mode("overwrite").parquet(quarantine_path)
 
-def load_production(spark: SparkSession, bronze_path, silver_path: str, sep: str = ";") -> None:
+
+def load_production(spark: SparkSession, bronze_path, silver_path: str, sep: str | None = None) -> None:
     """L2 (+S1: rows sorted by time and inverter inside each day's files)."""
-    df = clean_production(raw.read_inverters(spark, bronze_path, sep))
-    (W.rebalance(df, "date").sortWithinPartitions("date", "time", "inv_id")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(silver_path))
+    W.replace_months(clean_production(raw.read_inverters(spark, bronze_path, sep)), silver_path, order=("time", "inv_id"))
 
 
-def load_weather(spark: SparkSession, bronze_path, silver_path: str, sep: str = ",") -> None:
+def load_weather(spark: SparkSession, bronze_path, silver_path: str, sep: str | None = ",") -> None:
     """L3."""
-    W.replace_days(clean_weather(raw.read_weather(spark, bronze_path, sep)), silver_path)
+    W.replace_months(clean_weather(raw.read_weather(spark, bronze_path, sep)), silver_path)
 
 
 def load_booking(spark: SparkSession, bronze_path, silver_path: str, latest: str = "file") -> None:
-    """L4: snapshot of the latest export, rewritten whole, one folder per month (B2)."""
-    df = clean_booking(raw.read_booking(spark, bronze_path), latest)
-    W.rewrite_layer(df.withColumn("month", F.date_format("date", "MM")), silver_path, "month")
+    """L4: snapshot of the latest export, rewritten whole, one folder per year and month (B2).
+
+    ``latest="dir"`` treats a folder of part files as one export.
+    """
+    df = clean_booking(raw.read_booking(spark, bronze_path, latest=latest))
+    W.rewrite_layer(df.withColumn("month", F.date_format("date", "yyyy-MM")), silver_path, "month")

@@ -24,6 +24,7 @@ from .session import apply_runtime_conf, scratch_path, shared_dir
 from .sinks import writers as W
 from .sources import adapters as A
 from .sources import drops as DR
+from .sources import raw
 from .sources import silver as SV
 from .streaming import ingest as ST
 
@@ -378,20 +379,23 @@ def prediction_fact(spark, sf_dir):
 
 @query
 def power_export(spark, sf_dir):
-    """The flat power export (fact with time, inverter, consumption, error dims).
-
-    Only the feeds the export reads are built; DimTime over production times holds every
-    TimeID the fact can carry, so the left join gives the same rows as the full DimTime.
-    """
-    p, c = A.production(spark, sf_dir), A.consumption(spark, sf_dir)
-    return marts.power_export(facts.power_fact(p, c), dims.dim_time(dims.collect_times(production=p)),
-                              dims.dim_inverter(p), dims.dim_profile(c, "consumption"), dims.dim_errors(p))
+    """The flat power export (fact with time, inverter, consumption, error dims), written as CSV and read back."""
+    fd = A.feeds(spark, sf_dir, materialize=True)
+    p, c = fd.production, fd.consumption
+    times = dims.dim_time(dims.collect_times(p, c, fd.humidity, fd.temperature, fd.weather, fd.booking))
+    # the star is read as stored tables: Spark broadcasts the dimensions whose files are small
+    star = [W.stage(spark, t, "star") for t in (facts.power_fact(p, c), times, dims.dim_inverter(p),
+                                                 dims.dim_profile(c, "consumption"), dims.dim_errors(p))]
+    flat = marts.power_export(*star)
+    path = scratch_path(spark, "power-export")
+    W.export_delimited(flat, path, sep=",")
+    return W.read_delimited(spark, path, flat.schema, sep=",")
 
 
 @query
 def campus_kpis(spark, sf_dir):
-    """Day / month / overall campus KPIs."""
-    fd = A.feeds(spark, sf_dir)
+    """Day / month / overall campus KPIs (bookings on the days of the energy feeds)."""
+    fd = A.feeds(spark, sf_dir, energy_bookings=True)
     return marts.campus_kpis(fd.production, fd.consumption, fd.humidity, fd.temperature, fd.booking)
 
 
@@ -428,20 +432,31 @@ def error_counts(spark, sf_dir):
 
 @query
 def reservations_share(spark, sf_dir):
-    """G19."""
-    return marts.reservations_share(A.booking(spark, sf_dir))
+    """By activity, department and instructor."""
+    b = A.booking(spark, sf_dir)
+    prof = F.concat(F.lit("Prof "), (F.col("reservation_id") % 37).cast("string"))
+    return marts.reservations_share(b.withColumn("instructor", prof))
+
+
+def _odd_hours(spark, sf_dir):
+    """Bookings with minutes in their times (08:15-09:30), and some without a start."""
+    b, k = A.booking(spark, sf_dir), F.col("reservation_id")
+    minute = lambda c, m: F.concat(F.substring(c, 1, 3), F.lit(m))
+    return b.withColumns({
+        "start_time": F.when(k % 17 == 0, F.lit(None).cast("string")).when(k % 3 == 1, minute("start_time", "15")).otherwise(F.col("start_time")),
+        "end_time": F.when(k % 3 == 1, minute("end_time", "30")).otherwise(F.col("end_time"))})
 
 
 @query
 def room_date_heatmap(spark, sf_dir):
     """G20."""
-    return marts.room_date_heatmap(A.booking(spark, sf_dir))
+    return marts.room_date_heatmap(_odd_hours(spark, sf_dir))
 
 
 @query
 def room_hour_timeline(spark, sf_dir):
     """G21."""
-    return marts.room_hour_timeline(A.booking(spark, sf_dir))
+    return marts.room_hour_timeline(_odd_hours(spark, sf_dir))
 
 
 @query
@@ -470,7 +485,22 @@ def peer_underperformers(spark, sf_dir):
 def _core_tables(spark, sf_dir):
     """The eleven keyed gold tables over feeds materialised once (the checks share them)."""
     t = gold.build(A.feeds(spark, sf_dir, materialize=True))
-    return {n: t[n] for n in gold.CORE_TABLES}
+    return _damaged({n: t[n] for n in gold.CORE_TABLES})
+
+
+def _damaged(t):
+    """Keys broken on purpose, so that the checks have something to find: rows that stand twice, dimension rows
+    that are missing, ids that are NULL or empty."""
+    room = F.col("Alt_RoomID")
+    t["DimRoom"] = t["DimRoom"].where(~room.endswith("5")).unionByName(t["DimRoom"].where(room.endswith("7")))
+    t["DimInverter"] = t["DimInverter"].where("InverterID <> 3")
+    day = F.dayofmonth("partition_date")
+    f = t["Power_FactTable"]
+    t["Power_FactTable"] = f.withColumns({
+        "ConsumptionID": F.when(day != 13, F.col("ConsumptionID")), "TimeID": F.when(day == 14, F.lit("")).otherwise(F.col("TimeID"))})
+    w = t["Weather_FactTable"]
+    t["Weather_FactTable"] = w.unionByName(w.where(day == 2))
+    return t
 
 
 @query
@@ -505,7 +535,21 @@ def missing_days(spark, sf_dir):
 @query
 def backfill_range(spark, sf_dir):
     """L18 + G12: fact rows per calendar day over the full range of the feeds."""
-    return run.backfill_counts(A.feeds(spark, sf_dir, materialize=True))
+    return run.backfill_counts(A.feeds(spark, sf_dir, materialize=True, energy_bookings=True))
+
+
+@query
+def rooms_fact_day_runs(spark, sf_dir):
+    """The rooms fact and DimReservation as one-day and mid-month runs load them, over four runs."""
+    feeds = A.feeds(spark, sf_dir)
+    runs = [("1996-09-17", "1996-09-17"), ("1996-09-18", "1996-10-12"), ("1999-02-28", "1999-02-28"), ("2000-02-29", "2000-03-01")]
+    parts = []
+    for start, end in runs:
+        t = gold.build(feeds, start, end)
+        res = t["DimReservation"].select("ReservationID", F.col("Start_time").alias("first_start"))
+        parts.append(t["Rooms_FactTable"].join(res, "ReservationID", "left")
+                     .select("FactID", "RoomID", "ReservationID", "Pct_Rooms_Booked", "Rooms_Free_Count", "partition_date", "first_start"))
+    return R.union_all(parts)
 
 
 @query
@@ -516,43 +560,84 @@ def future_time_rows(spark, sf_dir):
 
 # --- bronze files, streaming and the forecast ----------------------------------------------
 
-def _humidity_readings(spark, sf_dir):
-    ev = _events(spark, sf_dir).where(F.col("event_type") == "view")
-    return ev.select("event_id", "date", "time", F.lit("%").alias("unit"), F.col("value").alias("value_acquired"),
+def _readings(spark, sf_dir, event_type="view", unit="%"):
+    ev = _events(spark, sf_dir).where(F.col("event_type") == event_type)
+    return ev.select("event_id", "date", "time", F.lit(unit).alias("unit"), F.col("value").alias("value_acquired"),
                      (F.col("user_id") % 7).cast("double").alias("variation"))
 
 
+def _sensor_drops(spark, sf_dir, name, event_type, unit):
+    """Bronze drops of one sensor feed in three shapes: tab, ``;``, and tab with a wider header."""
+    root = scratch_path(spark, name)
+    eid = F.col("event_id")
+    rows = _readings(spark, sf_dir, event_type, unit)
+    for i, (sep, header) in enumerate([("\t", DR.SENSOR_HEADER), (";", DR.SENSOR_HEADER), ("\t", DR.SENSOR_HEADER + ["Remark"])]):
+        part = rows.where(eid % 3 == i)
+        DR.write_lines(DR.sensor_lines(part, eid, sep, n_cells=len(header)), f"{root}/bronze/shape={i}", header, sep, "UTF-16")
+    return root
+
+
+def _sensor_load(spark, sf_dir, name, event_type, unit):
+    root = _sensor_drops(spark, sf_dir, name, event_type, unit)
+    SL.load_sensor(spark, f"{root}/bronze", f"{root}/silver")
+    return SV.read_feed(spark, root, "silver").select("date", "time", "unit", "value_acquired", "variation")
+
+
 @query
 def silver_sensor_load(spark, sf_dir):
-    """L1 end to end (A1, A5-A7, A9, C1, C6, C8, D1, D2, B1): humidity readings written as UTF-16
-    tab-separated sensor drops in month folders, scanned by position, cleaned, written by day, read back."""
-    root = scratch_path(spark, "silver-sensor")
-    lines = DR.sensor_lines(_humidity_readings(spark, sf_dir), F.col("event_id"), "\t")
-    DR.write_lines(lines, f"{root}/bronze", DR.SENSOR_HEADER, "\t", "UTF-16")
-    SL.load_sensor(spark, f"{root}/bronze", f"{root}/silver", sep="\t")
-    return SV.read_feed(spark, root, "silver").select("date", "time", "unit", "value_acquired", "variation")
+    """L1 end to end (A1, A5-A7, A9, C1, C6, C8, D1, D2, B1): humidity readings written as UTF-16 drops in month
+    folders (tab, ``;`` and a wider header), scanned by position under each file's own separator and width, cleaned, written by day, read back."""
+    return _sensor_load(spark, sf_dir, "silver-sensor", "view", "%")
+
+
+@query
+def silver_temperature_load(spark, sf_dir):
+    """L1 for the temperature feed."""
+    return _sensor_load(spark, sf_dir, "silver-temperature", "click", "C")
+
+
+@query
+def silver_consumption_load(spark, sf_dir):
+    """L1 for the consumption feed."""
+    return _sensor_load(spark, sf_dir, "silver-consumption", "purchase", "kWh")
+
+
+@query
+def silver_pv_load(spark, sf_dir):
+    """L1 for the solar history feed."""
+    return _sensor_load(spark, sf_dir, "silver-pv", "signup", "W")
+
+
+@query
+def sensor_rejects(spark, sf_dir):
+    """Lines the sensor load leaves out, counted by reason and time of day."""
+    root = _sensor_drops(spark, sf_dir, "sensor-rejects", "view", "%")
+    lines = raw.read_sensor(spark, f"{root}/bronze", keep_bad=True)
+    lines = SL.sensor_rejects(lines).groupBy("reason").agg(F.count(F.lit(1)).alias("n_lines"))
+    return lines
 
 
 @query
 def incremental_ingest(spark, sf_dir):
-    """A10: the same drops arrive in two batches (days 1-15, then the rest); a file-source stream with
-    availableNow runs after each batch and only picks up the new files. Rows-only check."""
+    """A10: the drops arrive in three deliveries (days 1-15, the rest, then days 10 and 20 again with other values);
+    a file-source stream with availableNow runs after each and rewrites the days it touches."""
     root = scratch_path(spark, "ingest")
-    readings = _humidity_readings(spark, sf_dir).withColumn(
-        "batch", F.when(F.dayofmonth("date") <= 15, 1).otherwise(2))
-    lines = DR.sensor_lines(readings, F.col("event_id"), ";", keep=("batch",))
-    for b in (1, 2):
-        DR.write_lines(lines.where(F.col("batch") == b).drop("batch"), f"{root}/bronze/batch={b}",
-                       DR.SENSOR_HEADER, ";", "UTF-8")
-        ST.run_available_now(ST.sensor_stream(spark, f"{root}/bronze", ";"), f"{root}/silver", f"{root}/checkpoint")
-    return spark.read.schema(ST.SENSOR_SILVER).parquet(f"{root}/silver")
+    rows = _readings(spark, sf_dir)
+    day = F.dayofmonth("date")
+    again = rows.where(day.isin(10, 20)).withColumn("value_acquired", F.col("value_acquired") + 1.0)
+    eid = F.col("event_id")
+    for b, part in enumerate([rows.where(day <= 15), rows.where(day > 15), again], 1):
+        DR.write_lines(DR.sensor_lines(part, eid, ";"), f"{root}/bronze/delivery={b}", DR.SENSOR_HEADER, ";", "UTF-8")
+        order = F.regexp_extract("file_path", r"delivery=(\d+)", 1)
+        ST.run_available_now(ST.sensor_stream(spark, f"{root}/bronze", delivery=order), f"{root}/silver", f"{root}/checkpoint")
+    return ST.read_silver(spark, f"{root}/silver")
 
 
 @query
 def forecast_random_forest(spark, sf_dir):
     """Random-forest forecast of next-day hourly production and consumption. Rows-only check."""
     shared_dir(spark)
-    fd = A.feeds(spark, sf_dir)
+    fd = A.feeds(spark, sf_dir, energy_bookings=True)
     return FC.forecast_next_day(fd.production, fd.consumption, fd.humidity, fd.temperature, fd.booking)
 
 
@@ -569,11 +654,12 @@ def actual_vs_predicted(spark, sf_dir):
 
 @query
 def dashboard_slicers(spark, sf_dir):
-    """Activity counts for two departments, EMPTY placeholders left out."""
+    """Activity counts for two departments in a date range, some months and a time of day, EMPTY placeholders left out."""
     b = A.booking(spark, sf_dir)
     b = b.withColumn("activity_type", tx.fill_placeholder(tx.strip_quotes(_messy(F.col("activity_type"),
                                                                                   F.col("reservation_id") + 1))))
-    s = FL.slicer(FL.drop_placeholders(b, "activity_type"), department=["F", "O"])
+    s = FL.slicer(FL.drop_placeholders(b, "activity_type"), dates=("1996-01-01", "2000-12-31"), months=[1, 2, 3, 9, 10, 11],
+                  times=("08:00", "15:59"), department=["F", "O"])
     return s.groupBy("department", "activity_type").agg(F.count(F.lit(1)).alias("n_bookings"))
 
 
@@ -583,7 +669,7 @@ def silver_production_load(spark, sf_dir):
     5-block export in month folders, scanned by position, unpivoted, cleaned, written by day, read back."""
     root = scratch_path(spark, "silver-production")
     DR.write_lines(DR.inverter_lines(A.production(spark, sf_dir)), f"{root}/bronze", DR.INVERTER_HEADER, ";")
-    SL.load_production(spark, f"{root}/bronze", f"{root}/silver", sep=";")
+    SL.load_production(spark, f"{root}/bronze/", f"{root}/silver")
     return SV.read_feed(spark, root, "silver").select("date", "time", "inv_id", "pac", "daysum", "status", "error",
                                                        "pdc1", "pdc2", "udc1", "udc2", "temp", "uac")
 
@@ -599,7 +685,7 @@ def silver_weather_load(spark, sf_dir):
                      F.concat(F.lit("site"), (F.col("user_id") % 3).cast("string")).alias("site"),
                      F.col("event_type").alias("measurement"),
                      F.when(F.col("event_type") == "signup", F.lit("W/m2")).otherwise(F.lit("C")).alias("unit"))
-    DR.write_lines(DR.weather_lines(rows, F.col("event_id"), F.col("ts")), f"{root}/bronze", DR.WEATHER_HEADER, ",")
+    DR.write_issues(DR.weather_lines(rows, F.col("event_id"), F.col("ts")), f"{root}/bronze", DR.WEATHER_HEADER, ",")
     SL.load_weather(spark, f"{root}/bronze", f"{root}/silver")
     return SV.read_feed(spark, root, "silver").select("date", "time", "value", "prediction", "site", "measurement",
                                                        "unit", "issued")
@@ -607,14 +693,14 @@ def silver_weather_load(spark, sf_dir):
 
 @query
 def silver_booking_load(spark, sf_dir):
-    """L4 end to end (A4, A6, A8, C4, C5, C9-C12, B2): bookings written as two French tab exports
-    (an older one, then the full current one); the latest export is cleaned, rewritten by month, read back."""
+    """L4 end to end (A4-A6, A8, C4, C5, C9-C12, B2): bookings written as two French tab exports, the older one larger and
+    with another column order; the latest export alone is read under its own header, over-long lines are dropped, rewritten by date, read back."""
     root = scratch_path(spark, "silver-booking")
     b = A.booking(spark, sf_dir)
-    DR.write_lines(DR.booking_lines(b.where(F.year("date") == 1995)), f"{root}/bronze/export=1",
-                   DR.BOOKING_HEADER, "\t", partition_col=None)
-    DR.write_lines(DR.booking_lines(b), f"{root}/bronze/export=2", DR.BOOKING_HEADER, "\t", partition_col=None)
+    old = b.unionByName(b.withColumn("room_id", F.lit("OLD")))
+    DR.write_lines(DR.booking_lines(old, order=list(reversed(DR.BOOKING_HEADER))), f"{root}/bronze/export=1",
+                   list(reversed(DR.BOOKING_HEADER)), "\t", partition_col=None)
+    DR.write_lines(DR.booking_lines(b, long_every=41), f"{root}/bronze/export=2", DR.BOOKING_HEADER, "\t", partition_col=None)
     SL.load_booking(spark, f"{root}/bronze", f"{root}/silver", latest="dir")
-    out = spark.read.parquet(f"{root}/silver").drop("month")
-    return out.select("date", "room_id", "start_time", "end_time", "reservation_id", "reserved_by", "activity_type",
-                      "instructor", "department", "class")
+    return SV.read_feed(spark, root, "silver").select(
+        "date", "room_id", "start_time", "end_time", "reservation_id", "reserved_by", "activity_type", "instructor", "department", "class")

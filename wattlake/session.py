@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -85,15 +84,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of the shared folder for one run."""
     return f"{shared_dir(spark)}/wattlake/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local file-system calls in tests."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def ensure_local_dir(path: str) -> str:
-    p = local_path(path)
-    if "://" not in p:
-        os.makedirs(p, exist_ok=True)
-    return path

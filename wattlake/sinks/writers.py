@@ -15,7 +15,7 @@ from ..operators.reshape import set_difference
 from ..session import scratch_path
 
 
-def replace_days(df: DataFrame, path: str, date_col: str = "date", full: bool = False) -> None:
+def replace_days(df: DataFrame, path: str, date_col: str = "date", full: bool = False, order: tuple = ()) -> None:
     """B1: write ``df`` partitioned by day; only the days present in ``df`` are replaced.
 
     ``full=True`` replaces the whole feed (static overwrite). Rows are
@@ -23,11 +23,46 @@ def replace_days(df: DataFrame, path: str, date_col: str = "date", full: bool =
     rather than one per task, and AQE splits a day that holds a large share
     of the rows across several writers instead of one.
     """
-    w = (rebalance(df, date_col).sortWithinPartitions(date_col)
+    w = (rebalance(df, date_col).sortWithinPartitions(date_col, *order)
          .write.mode("overwrite").option("partitionOverwriteMode", "static" if full else "dynamic"))
     w.partitionBy(date_col).parquet(path)
 
 
+def replace_months(df: DataFrame, path: str, date_col: str = "date", full: bool = False, order: tuple = ()) -> None:
+    """B1 for batch loads: every month that ``df`` holds is replaced as a whole.
+
+    A day that has left the source leaves the feed too: the rows are staged, the stored days of
+    their months that they no longer hold are dropped (the day folders, one per day), and the others are overwritten.
+    """
+    spark = df.sparkSession
+    new = stage(spark, df, "months")
+    if not full and path_exists(spark, path):
+        days = new.select(F.col(date_col).cast("date").alias("d")).distinct()
+        stored = (spark.read.parquet(path).select(F.col(date_col).cast("date").alias("d")).distinct()
+                  .withColumn("m", F.trunc("d", "month")))
+        gone = stored.join(days.select(F.trunc("d", "month").alias("m")).distinct(), "m", "left_semi").join(days, "d", "left_anti")
+        for r in gone.collect():                        # bounded by the days of the months read
+            delete_path(spark, f"{path}/{date_col}={r.d.isoformat()}")
+    replace_days(new, path, date_col, full, order)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder or file is there; any other trouble with the store is an error."""
+    p, fs = hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p, fs = hadoop_path(spark, path)
+    if fs.exists(p) and not fs.delete(p, True):
+        raise OSError(f"cannot delete {path}")
+
+
 def rebalance(df: DataFrame, *cols: str) -> DataFrame:
     """Cluster by ``cols`` for a partitioned write; AQE splits skewed and merges small partitions."""
     return df.hint("rebalance", *cols)
@@ -44,6 +79,11 @@ def export_delimited(df: DataFrame, path: str, sep: str = ";", header: bool = Tr
     df.write.mode("overwrite").option("sep", sep).option("header", header).option("encoding", "UTF-8").csv(path)
 
 
+def read_delimited(spark: SparkSession, path: str, schema, sep: str = ";") -> DataFrame:
+    """What ``export_delimited`` wrote, with its types; a malformed line fails."""
+    return spark.read.schema(schema).option("sep", sep).option("header", True).option("mode", "FAILFAST").csv(path)
+
+
 def rows_to_insert(new: DataFrame, existing: DataFrame | None, key: str) -> DataFrame:
     """B4 plan: new rows, one per key (Q11), whose key is not stored yet (type-0 dimension)."""
     from ..operators.aggregates import keep_first
@@ -53,21 +93,13 @@ def rows_to_insert(new: DataFrame, existing: DataFrame | None, key: str) -> Data
     return dedup if existing is None else set_difference(dedup, existing, [key])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).limit(0).collect()
-        return True
-    except Exception:  # noqa: BLE001  (missing path -> AnalysisException)
-        return False
-
-
 def upsert_dim(spark: SparkSession, new: DataFrame, path: str, key: str) -> int:
     """Insert-if-absent into the dimension stored at ``path``; returns rows added.
 
     The rows to add are staged in the shared folder first so the plan that
     reads the stored keys never writes to the same folder.
     """
-    existing = spark.read.parquet(path) if _exists(spark, path) else None
+    existing = spark.read.parquet(path) if path_exists(spark, path) else None
     add = rows_to_insert(new, existing, key)
     stage = scratch_path(spark, "stage-dim")
     add.write.mode("overwrite").parquet(stage)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..sinks import writers as W
 
 UNUSED_SEP = "\u0001"
 SENSOR_HEADER = ["Date", "Time", "Unit", "Value", "Variation"]
@@ -32,12 +33,13 @@ def write_lines(lines: DataFrame, path: str, header: list[str], sep: str = "\t",
     return path
 
 
-def sensor_lines(readings: DataFrame, row_id: Column, sep: str = "\t", keep: tuple = ()) -> DataFrame:
+def sensor_lines(readings: DataFrame, row_id: Column, sep: str = "\t", n_cells: int = 5) -> DataFrame:
     """Sensor-file lines from (date, time, unit, value_acquired, variation) rows.
 
     Dates alternate ``dd.MM.yyyy`` / ``d.M.yyyy``, decimals use commas, and a
     few lines chosen from ``row_id`` carry what real drops carry: an invalid
-    date, an invalid number, an extra field, or the wrong month folder.
+    date, an invalid number, a cell more than the header, or the wrong month folder. Every seventh line of
+    a wider header (``n_cells``) has all its cells, the others are short.
     """
     m = F.month("date")
     raw_date = (F.when(row_id % 23 == 0, F.lit("n/a")).when(row_id % 2 == 0, F.date_format("date", "dd.MM.yyyy"))
@@ -47,17 +49,11 @@ def sensor_lines(readings: DataFrame, row_id: Column, sep: str = "\t", keep: tup
     var = F.replace(F.col("variation").cast("string"), F.lit("."), F.lit(","))
     fields = [raw_date, F.concat(F.lit(" "), F.col("time")), F.col("unit"), val, var]
     line = F.concat_ws(sep, *fields)
-    line = F.when(row_id % 13 == 0, F.concat(line, F.lit(sep), F.lit("extra"))).otherwise(line)
+    more = F.lit((sep + "extra") * (n_cells - 4))
+    line = F.when(row_id % 13 == 0, F.concat(line, more))
+    line = line.when(row_id % 7 == 0, F.concat(F.concat_ws(sep, *fields), F.lit((sep + "note") * (n_cells - 5)))).otherwise(F.concat_ws(sep, *fields))
     folder = F.lpad(F.when(row_id % 10 == 0, m % 12 + 1).otherwise(m).cast("string"), 2, "0")
-    return readings.select(line.alias("line"), folder.alias("month"), *keep)
-
-
-def clean_expected(readings: DataFrame, row_id: Column) -> DataFrame:
-    """What L1 must keep from ``sensor_lines``: the brute-force twin used by tests."""
-    keep = ~((row_id % 23 == 0) | (row_id % 19 == 0) | (row_id % 13 == 0) | (row_id % 10 == 0))
-    return readings.where(keep & F.col("value_acquired").isNotNull()).select(
-        "date", "time", "unit", "value_acquired", tx.eu_decimal(F.replace(
-            F.col("variation").cast("string"), F.lit("."), F.lit(","))).alias("variation"))
+    return readings.select(line.alias("line"), folder.alias("month"))
 
 
 INVERTER_HEADER = ["#Date", "Time"] + [f"{h}{i}" for i in range(1, 6) for h in
@@ -106,15 +102,40 @@ def weather_lines(weather_rows: DataFrame, row_id: Column, ts: Column) -> DataFr
     line = F.concat_ws(",", iso, value, F.col("prediction").cast("string"), "site", "measurement", "unit")
     m = F.month(utc)
     folder = F.lpad(F.when(row_id % 10 == 0, m % 12 + 1).otherwise(m).cast("string"), 2, "0")
-    return weather_rows.select(line.alias("line"), folder.alias("month"))
+    # issued on the day before, in the morning or at noon
+    issue = F.concat(F.date_format(F.date_sub(utc, 1), "yyyy-MM-dd"), F.when(row_id % 2 == 0, F.lit("_0600")).otherwise(F.lit("_1200")))
+    return weather_rows.select(line.alias("line"), folder.alias("month"), issue.alias("issue"))
+
+
+def write_issues(lines: DataFrame, path: str, header: list[str], sep: str = ",") -> str:
+    """Forecast drops: one ``Pred_<issue>_<n>.csv`` per issue and file, in month folders."""
+    spark = lines.sparkSession
+    head = sep.join(header)
+    df = lines.withColumnRenamed("line", head)
+    (df.repartition("month", "issue").write.mode("overwrite").option("header", True).option("sep", UNUSED_SEP).option("quote", "")
+     .option("escape", "").partitionBy("month", "issue").csv(f"{path}-parts"))
+    _, fs = W.hadoop_path(spark, path)
+    found = fs.listFiles(W.hadoop_path(spark, f"{path}-parts")[0], True)
+    n = 0
+    while found.hasNext():                      # a few files per issue: names are given on the driver, rows stay where they are
+        p = found.next().getPath()
+        if p.getName().endswith(".csv"):
+            issue, month = p.getParent().getName().split("=")[1], p.getParent().getParent().getName()
+            folder, n = W.hadoop_path(spark, f"{path}/{month}")[0], n + 1
+            fs.mkdirs(folder)
+            fs.rename(p, W.hadoop_path(spark, f"{path}/{month}/Pred_{issue}_{n}.csv")[0])
+    return path
 
 
 BOOKING_HEADER = ["Nom", "Nom Entier", "Date", "Date de début", "Date de fin", "Rés.-no", "Activité",
                   "Professeur", "Division", "Nom de l'utilisateur", "Classe"]
 
 
-def booking_lines(booking: DataFrame, sep: str = "\t") -> DataFrame:
-    """French booking-export lines: quoted room ids, French dates, empty and 'nan' cells."""
+def booking_lines(booking: DataFrame, sep: str = "\t", order: list[str] | None = None, long_every: int | None = None) -> DataFrame:
+    """French booking-export lines: quoted room ids, French dates, empty and 'nan' cells.
+
+    ``order`` gives another column order; every ``long_every``-th line has two cells too many.
+    """
     k = F.col("reservation_id")
     tok = F.element_at(F.array(*[F.lit(fr) for fr, _ in tx.FRENCH_MONTHS]), F.month("date"))
     fr_date = F.when(k % 31 == 0, F.lit("?? ??? ????")).otherwise(
@@ -125,4 +146,9 @@ def booking_lines(booking: DataFrame, sep: str = "\t") -> DataFrame:
             .otherwise(F.concat(F.lit("Prof "), F.col("department"))))
     cells = [room, F.concat(F.lit("Room "), F.col("room_id")), fr_date, F.col("start_time"), F.col("end_time"),
              k.cast("string"), activity, prof, F.col("department"), F.col("reserved_by"), F.col("class")]
-    return booking.select(F.concat_ws(sep, *cells).alias("line"))
+    if order:
+        cells = [cells[BOOKING_HEADER.index(h)] for h in order]
+    line = F.concat_ws(sep, *cells)
+    if long_every:
+        line = F.when(k % long_every == 0, F.concat(line, F.lit(sep + "x" + sep + "y"))).otherwise(line)
+    return booking.select(line.alias("line"))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..sinks.writers import path_exists
 from .adapters import Feeds
 
 FEED_SCHEMAS = {
@@ -30,17 +31,20 @@ def empty(spark: SparkSession, feed: str) -> DataFrame:
 def read_feed(spark: SparkSession, root: str, feed: str, start=None, end=None) -> DataFrame:
     """Silver feed, optionally limited to [start, end] (partition pruning on ``date``)."""
     path = f"{root}/{feed}"
-    try:
-        df = spark.read.option("basePath", path).parquet(path)
-    except Exception:  # noqa: BLE001  missing folder -> AnalysisException
+    if not path_exists(spark, path):        # a corrupt or unreadable folder is an error, not an empty feed
         return empty(spark, feed)
+    df = spark.read.option("basePath", path).parquet(path)
+    if "month" in df.columns:               # bookings: the month folders of the range (yyyy-MM), pruned as text
+        m = F.substring(F.col("month").cast("string"), 1, 7)
+        for bound, keep in ((start, lambda x: m >= x), (end, lambda x: m <= x)):
+            if bound is not None:
+                df = df.where(keep(F.date_format(F.lit(bound).cast("date"), "yyyy-MM")))
+        df = df.drop("month")
     df = df.withColumn("date", F.col("date").cast("date"))
     if start is not None:
         df = df.where(F.col("date") >= F.lit(start).cast("date"))
     if end is not None:
         df = df.where(F.col("date") <= F.lit(end).cast("date"))
-    if feed == "booking" and "month" in df.columns:
-        df = df.drop("month")
     return df
 
 

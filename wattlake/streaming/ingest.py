@@ -1,43 +1,72 @@
 """Incremental bronze -> silver ingest (A10) with the Structured Streaming file source.
 
-The reference copies only files not already in the lake (a listing diff).
-Here the file source's checkpoint remembers which files were processed;
-``trigger(availableNow=True)`` processes what is new and stops, so a daily
-run is a bounded job that survives restarts (the checkpoint lives in the
-shared folder). Late files of an old day land in that day's partition: the
-sink appends, and a later batch day-rewrite (B1) can compact it.
+The file source's checkpoint remembers which files were processed;
+``trigger(availableNow=True)`` processes what is new and stops, so a daily run is a
+bounded job that survives restarts (the checkpoint lives in the shared folder).
+
+Each micro-batch rewrites the days it touches: their stored rows and the new ones
+are brought together and the day's latest delivery stays, so a day that arrives again
+replaces the old one, a late file of the same delivery adds to it, and a
+batch that runs twice after a failure changes nothing. Only the touched day folders are read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans import silver as SL
+from ..sinks import writers as W
 from ..sources import raw
 
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+DELIVERY, FILE = "_delivery", "_file"
+SENSOR_SILVER = T.StructType([T.StructField("date", T.DateType()), T.StructField("time", T.StringType()),
+                              T.StructField("unit", T.StringType()), T.StructField("value_acquired", T.DoubleType()),
+                              T.StructField("variation", T.DoubleType())])
+
+
+def sensor_stream(spark: SparkSession, source_dir: str, sep: str | None = None, encoding: str = "UTF-8",
+                  delivery: Column | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming twin of ``raw.read_sensor`` + ``silver.clean_sensor``, with the delivery and file of each row.
 
-def sensor_stream(spark: SparkSession, source_dir: str, sep: str = ";", encoding: str = "UTF-8",
-                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming twin of ``raw.read_sensor`` + ``silver.clean_sensor``."""
-    r = (spark.readStream.schema(raw.string_schema(raw.SENSOR_COLUMNS)).option("header", True)
-         .option("sep", sep).option("encoding", encoding).option("mode", "PERMISSIVE")
-         .option("enforceSchema", True).option("pathGlobFilter", "*.csv*").option("recursiveFileLookup", True))
+    ``delivery`` orders deliveries of a day (a text from ``file_path``); by default the file's folder does.
+    """
+    r = (spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", "*.csv*")
+         .option("recursiveFileLookup", True))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = raw.with_file(raw.drop_long_lines(r.csv(source_dir)))
-    df = df.withColumn("folder_month", raw.folder_month())
-    return SL.clean_sensor(df)
+    rows = raw.sensor_rows(r.load(source_dir), sep, encoding)
+    rows = rows.withColumns({DELIVERY: delivery if delivery is not None else F.regexp_replace("file_path", "/[^/]*$", ""),
+                             FILE: F.col("file_path")})
+    return SL.clean_sensor(rows, keep=(DELIVERY, FILE))
 
 
-def run_available_now(df: DataFrame, sink_dir: str, checkpoint_dir: str, partition_col: str = "date") -> int:
-    """Process every file not seen yet, then stop. Returns the rows written by this run."""
-    q = (df.writeStream.format("parquet").option("checkpointLocation", checkpoint_dir)
-         .partitionBy(partition_col).outputMode("append").trigger(availableNow=True).start(sink_dir))
+def rewrite_days(spark: SparkSession, batch: DataFrame, sink_dir: str) -> int:
+    """Bring a micro-batch into its days; returns the rows of these days afterwards."""
+    new = W.stage(spark, batch, "ingest-batch")
+    days = [r[0] for r in new.select("date").distinct().collect()]          # the days of one micro-batch
+    if not days:
+        return 0
+    rows = new
+    if W.path_exists(spark, sink_dir):
+        old = spark.read.schema(batch.schema).parquet(sink_dir).where(F.col("date").isin(days))      # prunes day folders
+        rows = new.unionByName(old.join(new.select(FILE).distinct(), FILE, "left_anti"))
+    last = rows.groupBy("date").agg(F.max(DELIVERY).alias(DELIVERY))
+    kept = W.stage(spark, rows.join(last, ["date", DELIVERY], "left_semi"), "ingest-days")
+    W.replace_days(kept.select(*batch.columns), sink_dir)
+    return kept.count()
+
+
+def run_available_now(df: DataFrame, sink_dir: str, checkpoint_dir: str) -> int:
+    """Process every file not seen yet, then stop. Returns the rows in the days this run rewrote."""
+    spark, written = df.sparkSession, []
+    q = (df.writeStream.foreachBatch(lambda batch, _: written.append(rewrite_days(spark, batch, sink_dir)))
+         .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
     q.awaitTermination()
-    return sum(p.get("numInputRows", 0) for p in q.recentProgress)
+    return sum(written)
 
 
-SENSOR_SILVER = T.StructType([T.StructField("date", T.DateType()), T.StructField("time", T.StringType()),
-                              T.StructField("unit", T.StringType()), T.StructField("value_acquired", T.DoubleType()),
-                              T.StructField("variation", T.DoubleType())])
+def read_silver(spark: SparkSession, sink_dir: str) -> DataFrame:
+    return spark.read.schema(SENSOR_SILVER).parquet(sink_dir).select(*SENSOR_SILVER.fieldNames())
