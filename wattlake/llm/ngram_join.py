@@ -10,8 +10,9 @@ the whole table's size histogram: subsets made against lists scanned (``SCAN`` e
 
 The order comes from a fixed-size count sketch of all shingles (``CELLS`` counters); it affects cost alone.
 
-Inside a list, pairs must fit in size and in a parity sketch: 256 bits that each element flips, whose
-distance is at most the symmetric difference of the sets, so the test loses no link. Sets of the pairs left are sent
+Inside a list, pairs must fit in size and in a parity sketch: bits that each element flips (a quarter to half of the
+elements, 256 at least; halves of a longer sketch fold onto each other), whose distance is at most the
+symmetric difference of the sets, so the test loses no link. Sets of the pairs left are sent
 once per list (a pair is checked in one of its lists), compared exactly there, and a
 list gives only links that join parts of it (a spanning forest): components are
 exact, no group is expanded into all its pairs. Keys that the sketch shows to be in very many sets are
@@ -45,7 +46,7 @@ LONG_LIST, BLOCK = 64, 4096
 DOCS_PER_GROUP, LEAST_GROUPS = 2000, 12
 DOCS_PER_PART, LEAST_PARTS = 4000, 64
 SIZE_BINS = 1 << 12                     # sizes from here on share a bin of the histogram: they are large anyway
-SKETCH_WORDS = 4                        # 256 bits
+LEAST_LEVEL = 2                         # sketches have 64 * 2**level bits
 BUNDLE = "part long, kind int, data binary"
 _PAIRS, _REQUESTS = 0, 1
 
@@ -173,19 +174,62 @@ class Order:
         return k, s
 
 
-def parity(x: np.ndarray, so: np.ndarray) -> np.ndarray:
-    """(sets, SKETCH_WORDS) bits flipped by each element."""
-    n = len(so) - 1
-    bit = (A.mix(x + A.U(99)) % A.U(64 * SKETCH_WORDS)).astype(np.int64)
-    who = np.repeat(np.arange(n), np.diff(so))
-    odd = (np.bincount(who * 64 * SKETCH_WORDS + bit, minlength=n * 64 * SKETCH_WORDS) & 1).astype(np.uint8)
-    return np.packbits(odd.reshape(n, 64 * SKETCH_WORDS), axis=1).view(np.uint64).reshape(n, SKETCH_WORDS)
+def levels(n: np.ndarray) -> np.ndarray:
+    """Sketch level of sets of n elements: bits are the power of two from n / 4 on, 256 at least."""
+    words = np.maximum(-(-n // 256), 1 << LEAST_LEVEL)
+    return np.ceil(np.log2(words)).astype(np.int64)
+
+
+def parity(x: np.ndarray, so: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit words of all sketches one after the other, level of each set)."""
+    n = np.diff(so)
+    level = levels(n)
+    bits = 64 << level
+    first = np.cumsum(bits) - bits
+    at = np.repeat(first, n) + (A.mix(x + A.U(99)) & np.repeat(bits - 1, n).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(at, minlength=int(bits.sum())) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.uint64), level
+
+
+class Sketches:
+    """Parity sketches of many sets, comparable at the lower level of a pair."""
+
+    def __init__(self, words: np.ndarray, level: np.ndarray):
+        first = np.cumsum(1 << level) - (1 << level)
+        self.level, self.rows, self.place = level, {}, {}
+        for k in np.unique(level):
+            s = np.flatnonzero(level == k)
+            self._add(int(k), s, words[first[s][:, None] + np.arange(1 << k)])
+        for k in sorted(self.rows, reverse=True):
+            # sizes of a pair differ by a ninth at most, so their levels by one at most
+            own = np.flatnonzero(level == k)
+            if k > LEAST_LEVEL and len(own):
+                m = self.rows[k][self.place[k][own]]
+                self._add(k - 1, own, m[:, :1 << (k - 1)] ^ m[:, 1 << (k - 1):])
+
+    def _add(self, k, sets_, rows):
+        place = self.place.setdefault(k, np.full(len(self.level), -1))
+        old = self.rows.get(k, np.zeros((0, 1 << k), np.uint64))
+        place[sets_] = len(old) + np.arange(len(sets_))
+        self.rows[k] = np.concatenate([old, rows])
+
+    def apart(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Sketch distance of pairs of sets."""
+        low = np.minimum(self.level[i], self.level[j])
+        out = np.zeros(len(i), np.int64)
+        for k in np.unique(low):
+            m = np.flatnonzero(low == k)
+            for a in range(0, len(m), max(1, (1 << 18) >> int(k))):
+                b = m[a:a + max(1, (1 << 18) >> int(k))]
+                rows, place = self.rows[k], self.place[k]
+                out[b] = np.bitwise_count(rows[place[i[b]]] ^ rows[place[j[b]]]).sum(1, dtype=np.int64)
+        return out
 
 
 # --- jobs --------------------------------------------------------------------------------------
 
-def _group_sets(group: pa.Table):
-    """Distinct non-empty sets of a group: (elements, offsets, nodes, parity sketches)."""
+def _group_sets(group):
+    """Distinct non-empty sets of some rows: (elements, offsets, nodes, first row of each)."""
     buf, off = A.text_bytes(group.column("__t"))
     parts = [sets(*A.cut(buf, off, i, j)) for i, j in A.slices(off)]
     x = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.uint64)
@@ -197,7 +241,7 @@ def _group_sets(group: pa.Table):
     keep = np.zeros(len(n), bool)
     keep[first] = True
     x, n = x[np.repeat(keep, n)], n[keep]
-    return x, np.r_[0, np.cumsum(n)], name[keep]
+    return x, np.r_[0, np.cumsum(n)], name[keep], np.flatnonzero(keep)
 
 
 def _bundle(rows: list[tuple[int, int, bytes]]) -> pa.Table:
@@ -220,68 +264,73 @@ def _cat(parts: list, kind) -> np.ndarray:
 
 
 def _keys_of(order: Order, parts: int):
-    def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        x, so, node = _group_sets(group)
-        k, s = order.keys(x, so, node)
-        sketch, size = parity(x, so), np.diff(so)
-        rank = np.argsort(k, kind="stable")
-        k, s = k[rank], s[rank]
-        edges = np.searchsorted(A.span(k, parts), np.arange(parts + 1))
-        rows = []
-        for p in np.flatnonzero(np.diff(edges)):
-            a, b = edges[p], edges[p + 1]
-            used, local = np.unique(s[a:b], return_inverse=True)
-            rows.append((int(p), 0, _frame(A.blob(np.array([key[0].as_py()], np.int64)), A.blob(k[a:b]), A.pack(local), A.blob(node[used]),
-                                           A.pack(size[used]), A.blob(sketch[used]))))
-        return _bundle(rows)
-    return run
+    """Bundles of the keys of every batch, dealt by key."""
+    def rows(batches):
+        for batch in batches:
+            x, so, node, first = _group_sets(batch)
+            home = batch.column("grp").to_numpy()[first]
+            k, s = order.keys(x, so, node)
+            (words, level), size = parity(x, so), np.diff(so)
+            at = np.cumsum(1 << level) - (1 << level)
+            rank = np.argsort(k, kind="stable")
+            k, s = k[rank], s[rank]
+            edges = np.searchsorted(A.span(k, parts), np.arange(parts + 1))
+            out = []
+            for p in np.flatnonzero(np.diff(edges)):
+                a, b = edges[p], edges[p + 1]
+                used, local = np.unique(s[a:b], return_inverse=True)
+                out.append((int(p), 0, _frame(A.pack(home[used]), A.blob(k[a:b]), A.pack(local), A.blob(node[used]), A.pack(size[used]),
+                                              b"".join(A.blob(words[at[u]:at[u] + (1 << level[u])]) for u in used))))
+            yield from _bundle(out).to_batches()
+    return rows
 
 
 def _lists(parts: int):
     """Pairs of short lists and members of long ones that pass the size and parity tests."""
     def run(group: pa.Table) -> pa.Table:
-        key, node, size, sketch, home = [], [], [], [], []
-        for grp, k, local, nd, sz, sk in _frames(group):
-            at = A.unpack(local)
+        key, which, node, size, sketch, home, base = [], [], [], [], [], [], 0
+        for hm, k, local, nd, sz, sk in _frames(group):
             key.append(np.frombuffer(k, np.uint64))
-            node.append(np.frombuffer(nd, np.uint64)[at])
-            size.append(A.unpack(sz)[at])
-            sketch.append(np.frombuffer(sk, np.uint64).reshape(-1, SKETCH_WORDS)[at])
-            home.append(np.full(len(at), np.frombuffer(grp, np.int64)[0]))
-        key, node, size, sketch, home = _cat(key, np.uint64), _cat(node, np.uint64), _cat(size, np.int64), np.concatenate(sketch), _cat(home, np.int64)
-        order = np.lexsort((home, node, size, key))
-        head = A.heads(key[order], node[order])                 # an equal set of another group is the same node
-        order = order[head]
-        key, node, size, sketch, home = key[order], node[order], size[order], sketch[order], home[order]
-        length = np.repeat(A.runs(A.heads(key)), A.runs(A.heads(key))) if len(key) else key
+            which.append(A.unpack(local) + base)
+            node.append(np.frombuffer(nd, np.uint64))
+            size.append(A.unpack(sz))
+            sketch.append(np.frombuffer(sk, np.uint64))
+            home.append(A.unpack(hm))
+            base += len(node[-1])
+        key, which, node, size, home = (np.concatenate(v) for v in (key, which, node, size, home))
+        bits = Sketches(np.concatenate(sketch), levels(size))
+        order = np.lexsort((home[which], node[which], size[which], key))
+        order = order[A.heads(key[order], node[which[order]])]              # an equal set of another batch is the same node
+        key, which = key[order], which[order]
+        length = np.repeat(A.runs(A.heads(key)), A.runs(A.heads(key)))
         active = np.zeros(len(key), bool)
-        pa_, pb_ = [], []
+        left, right = [], []
         i = np.arange(len(key) - 1)
         shift = 1
         while True:
             i = i[i + shift < len(key)]
             # sizes ascend inside a list: beyond the first misfit there is no fit
-            i = i[(key[i] == key[i + shift]) & (DEN * size[i] >= NUM * size[i + shift])]
+            i = i[(key[i] == key[i + shift]) & (DEN * size[which[i]] >= NUM * size[which[i + shift]])]
             if not len(i):
                 break
-            j = i + shift
-            apart = np.bitwise_count(sketch[i] ^ sketch[j]).sum(1)
+            a, b = which[i], which[i + shift]
             # 100 (a + b - D) / 2 >= 90 (a + b + D) / 2 for the symmetric difference D
-            fit = (DEN + NUM) * apart.astype(np.int64) <= (DEN - NUM) * (size[i] + size[j])
+            fit = (DEN + NUM) * bits.apart(a, b) <= (DEN - NUM) * (size[a] + size[b])
             short = length[i] <= LONG_LIST
-            pa_.append(i[fit & short])
-            pb_.append(j[fit & short])
+            left.append(i[fit & short])
+            right.append(i[fit & short] + shift)
             active[i[fit & ~short]] = True
-            active[j[fit & ~short]] = True
+            active[i[fit & ~short] + shift] = True
             shift += 1
-        a, b = _cat(pa_, np.int64), _cat(pb_, np.int64)
+        a, b = _cat(left, np.int64), _cat(right, np.int64)
+        k, a, b = key[a], which[a], which[b]
         low = node[a] < node[b]
         a, b = np.where(low, a, b), np.where(low, b, a)
-        rows = [(p, _PAIRS, _frame(A.blob(node[a[r]]), A.blob(node[b[r]]), A.blob(key[a[r]]), A.blob(home[a[r]]), A.blob(home[b[r]])))
+        rows = [(p, _PAIRS, _frame(A.blob(node[a[r]]), A.blob(node[b[r]]), A.blob(k[r]), A.blob(home[a[r]]), A.blob(home[b[r]])))
                 for p, r in A.split_by(A.part_of(A.mix(node[a] ^ A.mix(node[b])), parts), parts)]
         m = np.flatnonzero(active)
-        for r in _by(home[m]):
-            rows.append((int(home[m[r[0]]]), _REQUESTS, _frame(A.blob(node[m[r]]), A.blob(key[m[r]]))))
+        for r in _by(home[which[m]]):
+            rows.append((int(home[which[m[r[0]]]]), _REQUESTS, _frame(A.blob(node[which[m[r]]]), A.blob(key[m[r]]))))
         return _bundle(rows)
     return run
 
@@ -314,7 +363,7 @@ def _ship(parts: int):
         order = np.lexsort((want, k))
         order = order[A.heads(k[order], want[order])]
         want, k = want[order], k[order]
-        x, so, node = _group_sets(group)
+        x, so, node, _ = _group_sets(group)
         by_name = np.argsort(node)
         at = by_name[np.searchsorted(node[by_name], want)]
         edges = np.searchsorted(A.span(k, parts), np.arange(parts + 1))
@@ -413,9 +462,9 @@ def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     groups, parts = parts_for(size, DOCS_PER_GROUP, LEAST_GROUPS), parts_for(size, DOCS_PER_PART, LEAST_PARTS)
     cells, sizes = survey(rows)
     order = Order(cells, boundary(sizes))
-    # dealt by id and text: a text that a third of the rows share is spread, and is one set in each group
+    # homes are dealt by id and text: a text that a third of the rows share is spread, and is one set in each home
     dealt = rows.select("__t", F.pmod(F.xxhash64("__i", "__t"), F.lit(groups)).cast("long").alias("grp"))
-    keyed = dealt.groupBy("grp").applyInArrow(_keys_of(order, parts), BUNDLE)
+    keyed = dealt.mapInArrow(_keys_of(order, parts), BUNDLE)
     listed = stage(spark, keyed.groupBy("part").applyInArrow(_lists(parts), BUNDLE), "join-lists")
     asked = listed.where(F.col("kind") == _PAIRS).groupBy("part").applyInArrow(_one_list_per_pair, BUNDLE)
     asked = asked.unionByName(listed.where(F.col("kind") == _REQUESTS)).withColumnRenamed("part", "grp")
