@@ -708,3 +708,28 @@ SQL["rooms_fact_day_runs"] = with_views(f"""
 with {cte(rf='rooms_fact', dr='dim_reservation')}
 select rf.FactID, rf.RoomID, rf.ReservationID, rf.Pct_Rooms_Booked, rf.Rooms_Free_Count, rf.partition_date, dr.Start_time as first_start
 from rf left join dr using (ReservationID) where {_RUN_DAYS.replace('date between', 'partition_date between').replace('or date in', 'or partition_date in')}""")
+
+FRAME = f"""
+with p as (select date, {hour_num('time')} as hour, cast(sum(cast(pac as decimal(18,2))) as double) / 1000.0 as production_kwh from a_production group by 1, 2),
+c as (select date, {hour_num('time')} as hour, cast(sum(cast(variation as decimal(18,2))) as double) / 1000.0 as consumption_kwh from a_consumption group by 1, 2),
+h as (select date, {hour_num('time')} as hour, round(avg(value_acquired), 6) as humidity from a_humidity group by 1, 2),
+tm as (select date, {hour_num('time')} as hour, round(avg(value_acquired), 6) as temperature from a_temperature group by 1, 2),
+rm as (select date, round(avg(pct_rooms_booked), 6) as rooms_booked from ({BODY['rooms_booked_by_slot']}) group by 1),
+lw as {first_by('a_weather', 'date, time, site, measurement', 'issued desc')},
+wf as (select date, {hour_num('time')} as hour, round(avg(prediction), 6) as forecast from lw group by 1, 2)
+select date, hour, coalesce(consumption_kwh, 0.0) as consumption_kwh, coalesce(production_kwh, 0.0) as production_kwh,
+  coalesce(humidity, 0.0) as humidity, coalesce(temperature, 0.0) as temperature, coalesce(rooms_booked, 0.0) as rooms_booked,
+  coalesce(forecast, 0.0) as forecast, cast(dayofweek(date) + 1 as int) as weekday
+from c full join p using (date, hour) left join h using (date, hour) left join tm using (date, hour) left join rm using (date) left join wf using (date, hour)"""
+SQL["forecast_features"] = with_views(on_energy_days(FRAME))
+SQL["energy_forecast_accuracy"] = with_views(on_energy_days(f"""
+with fr as ({FRAME}),
+x as (select a.date, unnest([{{'kind': 'production', 'a': a.production_kwh, 'p': b.production_kwh}},
+                            {{'kind': 'consumption', 'a': a.consumption_kwh, 'p': b.consumption_kwh}}]) as s
+      from fr a join fr b on a.date = b.date + 1 and a.hour = b.hour),
+y as (select date, strftime(date, '%Y-%m') as month, s.kind as kind, cast(abs(round(s.a, 2) - round(s.p, 2)) as decimal(18,2)) as err,
+        cast(abs(round(s.a, 2)) as decimal(18,2)) as mag from x)
+select kind, case grouping(kind, month, date) when 0 then 'day' when 1 then 'month' else 'all' end as level, month, date, count(*) as n,
+  round(cast(sum(err) as double) / count(*), 6) as mae,
+  round((1.0 - cast(sum(err) as double) / nullif(cast(sum(mag) as double), 0)) * 100.0, 6) as accuracy_pct
+from y group by grouping sets ((kind, month, date), (kind, month), (kind))"""))

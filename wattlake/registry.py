@@ -638,7 +638,40 @@ def forecast_random_forest(spark, sf_dir):
     """Random-forest forecast of next-day hourly production and consumption. Rows-only check."""
     shared_dir(spark)
     fd = A.feeds(spark, sf_dir, energy_bookings=True)
-    return FC.forecast_next_day(fd.production, fd.consumption, fd.humidity, fd.temperature, fd.booking)
+    return FC.forecast_next_day(*_until_last_day(fd), fd.booking, fd.weather)
+
+
+LAST_DAY = "2024-01-30"        # the energy feeds' last day is held out: the weather forecast reaches it
+
+
+def _until_last_day(fd):
+    return [getattr(fd, n).where(F.col("date") < F.lit(LAST_DAY).cast("date")) for n in ("production", "consumption", "humidity", "temperature")]
+
+
+@query
+def forecast_features(spark, sf_dir):
+    """The hourly training frame (targets, weather, rooms and weather-forecast features)."""
+    fd = A.feeds(spark, sf_dir, energy_bookings=True)
+    return FC.hourly_frame(fd.production, fd.consumption, fd.humidity, fd.temperature, fd.booking, fd.weather)
+
+
+@query
+def energy_forecast_accuracy(spark, sf_dir):
+    """Predicted (the day before) against actual production and consumption, by day, month and overall."""
+    fd = A.feeds(spark, sf_dir, energy_bookings=True)
+    frame = FC.hourly_frame(fd.production, fd.consumption, fd.humidity, fd.temperature, fd.booking, fd.weather)
+    return FC.accuracy(FC.persistence(W.stage(spark, frame, "hourly")))
+
+
+@query
+def prediction_fact_forecast(spark, sf_dir):
+    """L17 + L20: the prediction fact after the next day's forecast replaced that day. Rows-only check (tree model)."""
+    fd = A.feeds(spark, sf_dir, energy_bookings=True)
+    root = scratch_path(spark, "prediction-fact")
+    W.replace_fact_days(facts.prediction_fact(fd.consumption, fd.weather), root)
+    pred = FC.forecast_next_day(*_until_last_day(fd), fd.booking, fd.weather)
+    W.replace_fact_days(FC.prediction_rows(pred), root)
+    return spark.read.parquet(root)
 
 
 @query
