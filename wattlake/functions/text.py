@@ -6,7 +6,6 @@ Every parse is the ``try_`` form: ANSI mode is on, so a plain cast or
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -219,7 +218,3 @@ def calendar_parts(ts) -> dict[str, Column]:
     t = _c(ts)
     return {"Year": F.year(t), "Month": F.month(t), "Day": F.dayofmonth(t),
             "Hour": F.hour(t), "Minute": F.minute(t), "Second": F.second(t)}
-
-
-def chain_or(cols: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, cols)
