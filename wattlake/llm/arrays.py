@@ -8,6 +8,8 @@ without any exchange of dictionaries.
 
 from __future__ import annotations
 
+import struct
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -185,3 +187,27 @@ def runs(head: np.ndarray) -> np.ndarray:
 def span(name: np.ndarray, parts: int) -> np.ndarray:
     """Range partition of names: monotone in the name, so sorted names are grouped by part."""
     return ((name >> U(32)) * U(parts) >> U(32)).astype(np.int64)
+
+
+def gaps(ascending: np.ndarray) -> list[bytes]:
+    """Ascending 64-bit values as gaps: the low halves, and the high halves in the fewest bytes."""
+    g = np.diff(ascending, prepend=U(0))
+    return [blob(g.astype(np.uint32)), pack(g >> U(32))]
+
+
+def from_gaps(low: bytes, high: bytes) -> np.ndarray:
+    return np.cumsum((unpack(high).view(np.uint64) << U(32)) | np.frombuffer(low, np.uint32), dtype=np.uint64)
+
+
+def frame(fields: list[bytes]) -> bytes:
+    return struct.pack(f"<I{len(fields)}Q", len(fields), *map(len, fields)) + b"".join(fields)
+
+
+def unframe(data: bytes) -> list[bytes]:
+    n = struct.unpack_from("<I", data)[0]
+    sizes = struct.unpack_from(f"<{n}Q", data, 4)
+    at, out = 4 + 8 * n, []
+    for s in sizes:
+        out.append(data[at:at + s])
+        at += s
+    return out

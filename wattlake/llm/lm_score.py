@@ -22,7 +22,6 @@ document (a null id is one document too); an empty corpus scores every word as u
 from __future__ import annotations
 
 import math
-import struct
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +32,7 @@ from . import arrays as A
 from .common import parts_for
 
 ORDER, BACKOFF, UNSEEN = 3, 0.4, 0.5
-DOCS_PER_PART, LEAST_PARTS = 4000, 64
+DOCS_PER_PART, LEAST_PARTS = 2000, 64
 NULL_ID = -(1 << 63)
 BUNDLE = "part long, kind int, data binary"
 _START = A.U(0x5D7A2B1C9E3F4A61)        # name of the padding before a text
@@ -79,27 +78,13 @@ def bundles(ctx: np.ndarray, word: np.ndarray, doc: np.ndarray, ids: np.ndarray,
         a, b = edges[p], edges[p + 1]
         ea, eb = e_edges[a], e_edges[b]
         ca, cb = np.searchsorted(at_ctx, [a, b])
-        fields = [A.blob(g_ctx[at_ctx[ca:cb]]), A.pack(np.diff(np.r_[at_ctx[ca:cb], b])), A.blob(g_w[a:b])]
+        fields = [*A.gaps(g_ctx[at_ctx[ca:cb]]), A.pack(np.diff(np.r_[at_ctx[ca:cb], b])), A.blob(g_w[a:b])]
         if kind == _DOCS:
-            used, local = np.unique(docs_of[ea:eb], return_inverse=True)
-            fields += [A.pack(np.diff(e_edges[a:b + 1])), A.pack(cnt[ea:eb]), A.pack(local), A.blob(ids[used]), *[A.blob(r[a:b]) for r in rest]]
+            used, local = np.unique(ids[docs_of[ea:eb]], return_inverse=True)
+            fields += [A.pack(np.diff(e_edges[a:b + 1])), A.pack(cnt[ea:eb]), A.pack(local), *A.gaps(used.view(np.uint64)), *[A.blob(r[a:b]) for r in rest]]
         else:
             fields += [A.pack(cnt[ea:eb])]
-        yield int(p), frame(fields)
-
-
-def frame(fields: list[bytes]) -> bytes:
-    return struct.pack(f"<I{len(fields)}Q", len(fields), *map(len, fields)) + b"".join(fields)
-
-
-def unframe(data: bytes) -> list[bytes]:
-    n = struct.unpack_from("<I", data)[0]
-    sizes = struct.unpack_from(f"<{n}Q", data, 4)
-    at, out = 4 + 8 * n, []
-    for s in sizes:
-        out.append(data[at:at + s])
-        at += s
-    return out
+        yield int(p), A.frame(fields)
 
 
 def explode(texts: DataFrame, order: int, level: int, parts: int, kind: int) -> DataFrame:
@@ -120,7 +105,7 @@ def explode(texts: DataFrame, order: int, level: int, parts: int, kind: int) ->
                 got = list(bundles(ctx, names, A.owner(wo), ids[i:j], lower, parts, _CORPUS if kind == _CORPUS else _DOCS))
                 if kind != _CORPUS:
                     # every document is heard of once, with or without words
-                    got.append((int(ids[i]) % parts, frame([A.blob(ids[i:j]), A.blob(np.diff(wo).astype(np.int64))])))
+                    got.append((int(ids[i]) % parts, A.frame([A.blob(ids[i:j]), A.blob(np.diff(wo).astype(np.int64))])))
                 yield pa.RecordBatch.from_arrays([
                     pa.array([g[0] for g in got], pa.int64()),
                     pa.array([kind] * (len(got) - (kind != _CORPUS)) + [3] * (kind != _CORPUS), pa.int32()),
@@ -148,20 +133,20 @@ class _Grams:
     def __init__(self, data: list[bytes], kind: int):
         ctx, w, cnt, self.entry_doc, self.entry_cnt, self.entry_gram, self.ids, lower = [], [], [], [], [], [], [], []
         base = grams = 0
-        for f in map(unframe, data):
-            ctx.append(np.repeat(np.frombuffer(f[0], np.uint64), A.unpack(f[1])))
-            w.append(np.frombuffer(f[2], np.uint32))
+        for f in map(A.unframe, data):
+            ctx.append(np.repeat(A.from_gaps(f[0], f[1]), A.unpack(f[2])))
+            w.append(np.frombuffer(f[3], np.uint32))
             if kind == _CORPUS:
-                cnt.append(A.unpack(f[3]))
+                cnt.append(A.unpack(f[4]))
             else:
-                n, c, ids = A.unpack(f[3]), A.unpack(f[4]), np.frombuffer(f[6], np.int64)
+                n, c, ids = A.unpack(f[4]), A.unpack(f[5]), A.from_gaps(f[7], f[8]).view(np.int64)
                 gram = np.repeat(np.arange(len(n)), n)
                 cnt.append(np.bincount(gram, c, len(n)).astype(np.int64))
-                self.entry_doc.append(A.unpack(f[5]) + base)
+                self.entry_doc.append(A.unpack(f[6]) + base)
                 self.entry_cnt.append(c)
                 self.entry_gram.append(gram + grams)
                 self.ids.append(ids)
-                lower.append([np.frombuffer(x, np.uint64) for x in f[7:]])
+                lower.append([np.frombuffer(x, np.uint64) for x in f[9:]])
                 base += len(ids)
                 grams += len(n)
         join = lambda x, t: np.concatenate(x) if x else np.zeros(0, t)
@@ -239,7 +224,7 @@ def _join(level: int, order: int, own: bool, shared_total: int, parts: int):
         hit = seen[asked.entry_gram]
         sums = np.bincount(asked.entry_doc[hit], (logp + back)[asked.entry_gram[hit]] * asked.entry_cnt[hit], len(asked.ids))
         out += _sums(asked.ids, np.zeros(len(asked.ids), np.int64), sums, parts)
-        for f in map(unframe, pick(3)):
+        for f in map(A.unframe, pick(3)):
             ids = np.frombuffer(f[0], np.int64)
             out += _sums(ids, np.frombuffer(f[1], np.int64), np.zeros(len(ids)), parts)
         if not own and not seen.all():
@@ -275,13 +260,13 @@ def _sums(ids, words, sums, parts):
         return []
     ids, at = np.unique(ids, return_inverse=True)
     words, sums = np.bincount(at, words, len(ids)).astype(np.int64), np.bincount(at, sums, len(ids))
-    return [(p, 4, frame([A.blob(ids[i]), A.blob(words[i]), A.blob(sums[i])]))
+    return [(p, 4, A.frame([*A.gaps(ids[i].view(np.uint64)), A.pack(words[i]), A.blob(sums[i])]))
             for p, i in A.split_by(A.part_of(A.mix(ids.astype(np.uint64)), parts), parts)]
 
 
 def _add_up(group: pa.Table) -> pa.Table:
-    parts = [unframe(d.as_py()) for d in group.column("data")]
-    ids, at = np.unique(np.concatenate([np.frombuffer(f[0], np.int64) for f in parts]), return_inverse=True)
-    words = np.bincount(at, np.concatenate([np.frombuffer(f[1], np.int64) for f in parts]), len(ids)).astype(np.int64)
-    sums = np.bincount(at, np.concatenate([np.frombuffer(f[2]) for f in parts]), len(ids))
+    parts = [A.unframe(d.as_py()) for d in group.column("data")]
+    ids, at = np.unique(np.concatenate([A.from_gaps(f[0], f[1]).view(np.int64) for f in parts]), return_inverse=True)
+    words = np.bincount(at, np.concatenate([A.unpack(f[2]) for f in parts]), len(ids)).astype(np.int64)
+    sums = np.bincount(at, np.concatenate([np.frombuffer(f[3]) for f in parts]), len(ids))
     return pa.table({"__id": pa.array(ids), "n_words": pa.array(words), "log_score": pa.array(sums)})

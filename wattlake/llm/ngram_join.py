@@ -250,13 +250,11 @@ def _bundle(rows: list[tuple[int, int, bytes]]) -> pa.Table:
 
 
 def _frame(*fields: bytes) -> bytes:
-    from .lm_score import frame
-    return frame(list(fields))
+    return A.frame(list(fields))
 
 
 def _frames(group: pa.Table):
-    from .lm_score import unframe
-    return [unframe(d) for d in group.column("data").to_pylist()]
+    return [A.unframe(d) for d in group.column("data").to_pylist()]
 
 
 def _cat(parts: list, kind) -> np.ndarray:

@@ -198,14 +198,14 @@ def _candidates_of(window, parts):
 
         def ids_of(a, b):
             known, at = np.unique(least[a:b], return_inverse=True)
-            return len(known).to_bytes(8, "little") + A.blob(known) + A.pack(at)
+            return A.frame([*A.gaps(known.view(np.uint64)), A.pack(at)])
         return _out(_send(key[0].as_py(), k, least, parts, ids_of))
     return run
 
 
 def _ids_from(b: bytes) -> np.ndarray:
-    n = int.from_bytes(b[:8], "little")
-    return np.frombuffer(b, np.int64, n, 8)[A.unpack(b[8 + 8 * n:])]
+    low, high, at = A.unframe(b)
+    return A.from_gaps(low, high).view(np.int64)[A.unpack(at)]
 
 
 def _smallest(group: pa.Table) -> pa.Table:
