@@ -23,31 +23,22 @@ def _col(c) -> Column:
 def double_text(c) -> Column:
     """Text of a double as Python's ``str`` prints it: the shortest digits that read back as the same value.
 
-    Most values print alike in Spark (no exponent, at most 15 digits). The others go through
-    scientific texts of 15, 16 and 17 digits, of which the first that reads back counts,
-    and are laid out as Python does: an exponent below 1e-4 and from 1e16 on. (From 1e16 on, where two
-    texts of 16 digits are equally near, the last digit may differ from Python's; it still reads back.)
+    Most values print alike in Spark (no exponent, at most 15 digits). For the others the first of
+    the scientific texts of 15, 16 and 17 digits that reads back counts, printed with an exponent
+    below 1e-4 and from 1e16 on. (Among subnormal values, and from 1e16 on where two texts are equally near, the
+    last digits may differ from Python's; every text still reads back, so no two values share one.)
     """
     v = _col(c).cast("double")
     text = v.cast("string")
-    # subnormal values have few digits
-    tries = [F.when(F.abs(v) < 1e-307, F.format_string(f"%.{n}e", v)) for n in range(14)]
-    tries += [F.format_string(f"%.{n}e", v) for n in (14, 15, 16)]
+    tries = [F.format_string(f"%.{n}e", v) for n in (14, 15, 16)]
     sci = F.coalesce(*[F.when(t.try_cast("double") == v, t) for t in tries], F.lower(text))
-    sign = F.when(sci.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    digits = F.regexp_replace(F.regexp_replace(F.split_part(sci, F.lit("e"), F.lit(1)), "[-.]", ""), "(?<=.)0+$", "")
-    exp = F.split_part(sci, F.lit("e"), F.lit(2)).try_cast("int")
-    n = F.length(digits)
-    whole = F.concat(F.rpad(digits, exp + 1, "0"), F.lit(".0"))
-    mixed = F.concat(digits.substr(F.lit(1), exp + 1), F.lit("."), digits.substr(exp + 2, n))
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
-    e_text = F.concat(F.lit("e"), F.when(exp < 0, "-").otherwise("+"), F.lpad(F.abs(exp).cast("string"), F.greatest(F.lit(2), F.length(F.abs(exp).cast("string"))), F.lit("0")))
-    far = F.concat(digits.substr(F.lit(1), F.lit(1)), F.when(n > 1, F.concat(F.lit("."), digits.substr(F.lit(2), n))).otherwise(F.lit("")), e_text)
-    laid = (F.when((exp < -4) | (exp >= 16), far).when(exp < 0, small).when(n <= exp + 1, whole).otherwise(mixed))
+    far = F.regexp_replace(sci, r"\.?0*e", "e")
+    near = F.regexp_replace(sci.try_cast("decimal(38,20)").cast("string"), r"(\.\d+?)0+$", "$1")
     return (F.when(v.isNull() | F.isnan(v), F.lit(NAN_TEXT))
-            .when(text.contains("Infinity"), F.when(v > 0, F.lit("inf")).otherwise(F.lit("-inf")))
             .when(~text.contains("E") & (F.length(text) <= 16), text)
-            .otherwise(F.concat(sign, laid)))
+            .when(F.abs(v) == float("inf"), F.when(v > 0, F.lit("inf")).otherwise(F.lit("-inf")))
+            .when((F.abs(v) >= 1e16) | (F.abs(v) < 1e-4), far)
+            .otherwise(near))
 
 
 def key_text(c, dtype: T.DataType | None = None) -> Column:
