@@ -26,8 +26,8 @@ from pyspark.sql import types as T
 
 from . import arrays as A
 
-MAX_LABELLED = 3000     # labelled rows of the fit: the ones with the smallest hash of the id
-TERMS, DIMS, NEIGHBOURS = 2048, 32, 15
+MAX_LABELLED = 2500     # labelled rows of the fit: the ones with the smallest hash of the id
+TERMS, DIMS, NEIGHBOURS = 1024, 32, 15
 ROWS = 512              # documents of one block
 
 # byte classes: space, newline, upper case, lower case or non-ASCII, digit, then each punctuation mark
@@ -135,13 +135,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str
     def term_rows(batches):
         for batch, i, j, x in _rows(batches, "__t"):
             yield pa.record_batch([batch.column("__id").slice(i, j - i), batch.column("__y").slice(i, j - i),
-                                   pa.array([r.astype(np.float32).tobytes() for r in x], pa.binary())], ["__id", "__y", "__x"])
+                                   pa.array([A.pack(r.astype(np.int64)) for r in x], pa.binary())], ["__id", "__y", "__x"])
 
     got = text_rows.mapInArrow(term_rows, "__id long, __y double, __x binary").collect()
     got.sort(key=lambda r: (r[0], r[1], bytes(r[2])))
     # a repeated document id must not lift the bound
     got = got[:max_labelled]
-    x = np.frombuffer(b"".join(r[2] for r in got), np.float32).reshape(-1, TERMS)
+    x = np.empty((len(got), TERMS), np.float32)
+    for i, r in enumerate(got):
+        x[i] = A.unpack(bytes(r[2]))
     return Model(x, np.array([r[1] for r in got]))
 
 
