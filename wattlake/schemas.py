@@ -16,6 +16,7 @@ def f(name, dtype, nullable=True):
     return (name, dtype, nullable)
 
 
+# --- fixed values: table, column and key names of the warehouse (to the end of the file) ------
 # --- silver -----------------------------------------------------------------
 SENSOR = struct(f("date", DT), f("time", S), f("unit", S), f("value_acquired", D), f("variation", D))
 PRODUCTION = struct(f("date", DT), f("time", S), f("inv_id", I), f("pac", D), f("daysum", D), f("status", S),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..sinks import writers as W
+from . import raw
 
 UNUSED_SEP = "\u0001"
 SENSOR_HEADER = ["Date", "Time", "Unit", "Value", "Variation"]
@@ -56,9 +57,8 @@ def sensor_lines(readings: DataFrame, row_id: Column, sep: str = "\t", n_cells:
     return readings.select(line.alias("line"), folder.alias("month"))
 
 
-INVERTER_HEADER = ["#Date", "Time"] + [f"{h}{i}" for i in range(1, 6) for h in
-                                       ["INV", "Pac", "DaySum", "Status", "Error", "Pdc1", "Pdc2", "Udc1", "Udc2",
-                                        "Temp", "Uac"]]
+# the scan binds by position, so the header repeats its own column names
+INVERTER_HEADER = ["#Date", "Time"] + raw.inverter_columns()[2:]
 
 
 def inverter_lines(production: DataFrame, sep: str = ";") -> DataFrame:
@@ -82,7 +82,7 @@ def inverter_lines(production: DataFrame, sep: str = ";") -> DataFrame:
     return wide.select(F.concat_ws(sep, raw_date, F.col("time"), F.col("blocks")).alias("line"), folder.alias("month"))
 
 
-WEATHER_HEADER = ["time", "value", "prediction", "site", "measurement", "unit"]
+WEATHER_HEADER = ["time", *raw.WEATHER_COLUMNS[1:]]
 OFFSETS = [("Z", 0), ("+01:00", 60), ("-02:30", -150)]
 
 
@@ -127,8 +127,9 @@ def write_issues(lines: DataFrame, path: str, header: list[str], sep: str = ",")
     return path
 
 
-BOOKING_HEADER = ["Nom", "Nom Entier", "Date", "Date de début", "Date de fin", "Rés.-no", "Activité",
-                  "Professeur", "Division", "Nom de l'utilisateur", "Classe"]
+_FRENCH = {v: k for k, v in tx.BOOKING_HEADERS.items()}
+BOOKING_HEADER = [_FRENCH[c] for c in ("room_id", "room_name", "raw_date", "start_time", "end_time", "reservation_id", "activity_type",
+                                        "instructor", "department", "reserved_by", "class")]
 
 
 def booking_lines(booking: DataFrame, sep: str = "\t", order: list[str] | None = None, long_every: int | None = None) -> DataFrame:
