@@ -44,6 +44,20 @@ def test_one_of_each(spark):
     assert sorted(r.doc_id for r in ngram_join.one_of_each(docs_df(spark, [(5, "a b c d"), (5, "a b c d"), (6, "A b c d"), (7, ""), (8, None)])).collect()) == [5, 7, 8]
 
 
+def test_parity_sketch_is_a_lower_bound():
+    """The sketch distance never exceeds the symmetric difference, at equal and at neighbouring levels."""
+    rng = np.random.default_rng(4)
+    pool = A.mix(np.arange(5000, dtype=np.uint64))
+    for n in (9, 200, 300, 1000, 1023, 1100, 3000):
+        base = rng.choice(pool, n, replace=False)
+        other = np.unique(np.r_[base[int(0.06 * n):], rng.choice(pool, int(0.03 * n) + 1)])
+        members = [np.sort(base), other]
+        so = np.r_[0, np.cumsum([len(m) for m in members])]
+        words, level = ngram_join.parity(np.concatenate(members), so)
+        apart = ngram_join.Sketches(words, level).apart(np.array([0]), np.array([1]))[0]
+        assert apart <= len(np.setxor1d(*members))
+
+
 def test_block_pairs_meet():
     """A key dealt as block pairs still brings any two of its sets together in one list."""
     cells = np.zeros(ngram_join.CELLS, np.int64)

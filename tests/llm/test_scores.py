@@ -221,6 +221,25 @@ def test_decontamination_recall(spark):
     assert decontaminate.hits(docs_df(spark, []), bench).count() == 0
 
 
+def test_short_items_recall():
+    """Items of 5 to 11 words have their own walk; recall holds for them too."""
+    rng = random.Random(2)
+    voc = [f"v{i}" for i in range(800)]
+    items = [(i, " ".join(rng.choices(voc, k=rng.randrange(5, 12)))) for i in range(60)]
+    index = decontaminate.Index([i for i, _ in items], [t for _, t in items])
+    texts, want = [], set()
+    for k in range(400):
+        i, t = rng.choice(items)
+        w = t.split()
+        for _ in range(rng.randrange(int(0.2 * len(w)) + 1)):
+            p = rng.randrange(len(w))
+            w[p:p + rng.randrange(2)] = rng.choices(voc, k=rng.randrange(2))
+        texts.append(" ".join(rng.choices(voc, k=40) + w + rng.choices(voc, k=40)))
+        want.add((k, i))
+    got = {(h[0], index.ids[h[1]]) for h in index.search(*A.text_bytes(pa.array(texts)))}
+    assert len(want & got) >= decontaminate.TARGET_RECALL * len(want) and not got - want
+
+
 def test_item_blocks(spark, monkeypatch):
     """Items in several blocks give the same hits as in one."""
     prepare(spark)
