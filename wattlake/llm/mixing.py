@@ -12,7 +12,7 @@ leaf's documents by md5(seed, epoch, doc id). Whole epochs are taken first,
 then the longest prefix of the next epoch whose tokens fit the rest.
 
 The prefix is found without sorting a leaf in one task: tokens are summed per
-(leaf, 16-bit bucket of the order key), a window over those sums names the
+(leaf, 12-bit bucket of the order key), a window over those sums names the
 boundary bucket, and only that bucket's documents are ordered. The decision
 is one cut-off key per leaf, joined back to the documents.
 
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import stage
 
 LEAF = ["__domain", "__lang", "__source"]
-BUCKET_HEX = 4      # 65,536 buckets of the order key per leaf
+BUCKET_HEX = 3      # 4,096 buckets of the order key per leaf
 
 
 def weight_of(level: Column, weights: dict[str, int], other: int = 1) -> Column:
