@@ -13,6 +13,8 @@ from wattlake.llm import decontaminate, mixing, ngram_join, quality_knn, shardin
 from wattlake.llm import queries as Q
 from wattlake.llm.common import crc_mod, prepare, stage, table
 
+NEAR = ngram_join.Rule(words=5, num=80, den=100)       # near duplicates; op3_ngram_join has its own rule
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the cut; the others go."""
@@ -23,9 +25,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of the shingle join: the one with the smallest id."""
+    """One document of each component of the join of 5-word shingles at a similarity of 0.8: the one with the smallest id."""
     prepare(spark)
-    return ngram_join.one_of_each(docs)
+    return ngram_join.one_of_each(docs, rule=NEAR)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

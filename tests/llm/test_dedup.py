@@ -44,6 +44,58 @@ def test_one_of_each(spark):
     assert sorted(r.doc_id for r in ngram_join.one_of_each(docs_df(spark, [(5, "a b c d"), (5, "a b c d"), (6, "A b c d"), (7, ""), (8, None)])).collect()) == [5, 7, 8]
 
 
+def near_brute(rows, k, num, den):
+    """doc_id -> smallest id of its component, by comparing every pair of k-word sets."""
+    sets = [{tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} - {()} for w in (words(t) for _, t in rows)]
+    comp = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and den * len(a & b) >= num * len(a | b) and comp[i] != comp[j]:
+                comp = [min(comp[i], comp[j]) if c in (comp[i], comp[j]) else c for c in comp]
+    return {r[0]: min(rows[j][0] for j in range(len(rows)) if comp[j] == comp[i]) for i, r in enumerate(rows)}
+
+
+def spaced_copies():
+    """Texts of distinct words beside copies with evenly spaced changes: similar at five words and 0.8, not at three words and 0.9."""
+    rows = []
+    for n, changes in ((100, 2), (300, 6), (500, 10)):
+        base = [f"t{n}w{i}" for i in range(n)]
+        copy = list(base)
+        for c in range(changes):
+            copy[(2 * c + 1) * n // (2 * changes)] = f"t{n}x{c}"
+        rows += [" ".join(base), " ".join(copy)]
+    return list(enumerate(rows))
+
+
+def test_pipeline_near_duplicates(spark):
+    """The stage joins 5-word shingles at 0.8: copies that the query's 3 words at 0.9 leave apart are one document."""
+    import corpus_pipeline as P
+    rows = spaced_copies()
+    rows += [(100 + i, t) for i, t in families(11)]
+    kept = {r.doc_id for r in P.near_duplicates(spark, docs_df(spark, rows), "").collect()}
+    assert kept == set(near_brute(rows, 5, 80, 100).values())
+    assert {0, 2, 4} <= kept and not {1, 3, 5} & kept
+    assert {c for _, _, c in join_brute(rows)} >= set(range(6))
+
+
+@pytest.mark.parametrize("rule", [ngram_join.Rule(5, 80, 100), ngram_join.Rule(2, 1, 2), ngram_join.Rule(3, 95, 100)])
+@pytest.mark.parametrize("long_list", [3, 64])
+def test_join_by_rule(spark, monkeypatch, rule, long_list):
+    """Components under other shingle widths and similarities, small sets included."""
+    prepare(spark)
+    monkeypatch.setattr(ngram_join, "LONG_LIST", long_list)
+    rows = families(12, sizes=(5, 6, 7, 8, 9, 10, 11, 12, 30, 150, 400))
+    got = {r.doc_id: r.component_id for r in ngram_join.join(docs_df(spark, rows), rule=rule).collect()}
+    assert got == near_brute(rows, *rule)
+
+
+def test_rule_bounds():
+    for bad in (ngram_join.Rule(0), ngram_join.Rule(5, 49, 100), ngram_join.Rule(5, 1, 1)):
+        with pytest.raises(ValueError):
+            bad.check()
+    assert (ngram_join.RULE.least, ngram_join.Rule(5, 80, 100).least) == (9, 4)
+
+
 def test_parity_sketch_is_a_lower_bound():
     """The sketch distance never exceeds the symmetric difference, at equal and at neighbouring levels."""
     rng = np.random.default_rng(4)

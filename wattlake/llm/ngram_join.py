@@ -1,17 +1,18 @@
 """Jaccard join of word-shingle sets, size-aware: subsets for small sets, inverted lists for large ones.
 
-A text's set holds the names of its distinct shingles. Two sets link when
-100 * intersection >= 90 * union. So at most d = n - ceil(0.9 n) elements of a set of n are
+A text's set holds the names of its distinct shingles. Two sets link when their similarity reaches
+the least one, s: DEN * intersection >= NUM * union (a ``Rule`` holds shingle width and similarity; the default is
+3 words and 90 / 100). So at most d = n - ceil(s n) elements of a set of n are
 missing in a partner, and with all elements in one global order (rare ones first) two linked
-sets share c elements of their first d + c. Small sets (n <= boundary / 0.9) enumerate the subsets
+sets share c elements of their first d + c. Small sets (n <= boundary / s) enumerate the subsets
 of ``SUBSET`` = 2 elements of that prefix; large sets (n > boundary) stand in the inverted lists of their first
 d + 1 elements, which are scanned. The boundary is the size with the least cost over
 the whole table's size histogram: subsets made against lists scanned (``SCAN`` each).
 
 The order comes from a fixed-size count sketch of all shingles (``CELLS`` counters); it affects cost alone.
 
-Inside a list, pairs must fit in size and in a parity sketch: bits that each element flips (a quarter to half of the
-elements, 256 at least; halves of a longer sketch fold onto each other), whose distance is at most the
+Inside a list, pairs must fit in size and in a parity sketch: bits that each element flips (at 90 / 100 a quarter to half of the
+elements, more for a lower similarity, 256 at least; halves of a longer sketch fold onto each other), whose distance is at most the
 symmetric difference of the sets, so the test loses no link. Sets of the pairs left are sent
 once per list (a pair is checked in one of its lists), compared exactly there, and a
 list gives only links that join parts of it (a spanning forest): components are
@@ -28,6 +29,7 @@ a null id stands after every id, and a component of null ids alone has a null id
 from __future__ import annotations
 
 from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -51,9 +53,35 @@ BUNDLE = "part long, kind int, data binary"
 _PAIRS, _REQUESTS = 0, 1
 
 
-def missing(n: np.ndarray) -> np.ndarray:
+class Rule(NamedTuple):
+    """Shingle width and least similarity num / den, from 1/2 on and below 1: sizes of a pair differ by a factor of two at most."""
+
+    words: int = WORDS
+    num: int = NUM
+    den: int = DEN
+
+    def check(self) -> Rule:
+        if self.words < 1 or not self.den <= 2 * self.num < 2 * self.den:
+            raise ValueError(f"shingles of {self.words} words, similarity {self.num}/{self.den}: not 1 word or more, from 1/2 on and below 1")
+        return self
+
+    @property
+    def least(self) -> int:
+        """Smallest set that a different set can link with: n / (n + 1) reaches the similarity."""
+        return -(-self.num // (self.den - self.num))
+
+    @property
+    def per_word(self) -> int:
+        """Elements of a set for each 64-bit word of its sketch: 256 at 90 / 100, fewer where linked sets may differ more."""
+        return max(1, 256 * (self.den + self.num) // (19 * (self.den - self.num)))
+
+
+RULE = Rule()
+
+
+def missing(n: np.ndarray, rule: Rule = RULE) -> np.ndarray:
     """Elements of a set of n that a partner may lack."""
-    return n - -(-NUM * n // DEN)
+    return n - -(-rule.num * n // rule.den)
 
 
 def sets(buf: np.ndarray, off: np.ndarray, k: int = WORDS):
@@ -93,7 +121,7 @@ def cell(x: np.ndarray) -> np.ndarray:
 
 # --- the order and the boundary ----------------------------------------------------------------
 
-def survey(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def survey(rows: DataFrame, rule: Rule = RULE) -> tuple[np.ndarray, np.ndarray]:
     """(count sketch of all shingles, histogram of set sizes), added up by Spark in segments of fixed size."""
     step = CELLS // SEGMENTS
 
@@ -102,7 +130,7 @@ def survey(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         for batch in batches:
             buf, off = A.text_bytes(batch.column(1))
             for i, j in A.slices(off):
-                x, so = sets(*A.cut(buf, off, i, j))
+                x, so = sets(*A.cut(buf, off, i, j), rule.words)
                 cells += np.bincount(cell(x), minlength=CELLS)
                 sizes += np.bincount(np.minimum(np.diff(so), SIZE_BINS - 1), minlength=SIZE_BINS)
         data = [A.pack(cells[s * step:(s + 1) * step]) for s in range(SEGMENTS)] + [A.pack(sizes)]
@@ -118,23 +146,23 @@ def survey(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([got[s] for s in range(SEGMENTS)]), got[SEGMENTS]
 
 
-def boundary(sizes: np.ndarray) -> int:
+def boundary(sizes: np.ndarray, rule: Rule = RULE) -> int:
     """Largest small size: the cheapest split of the size histogram into subsets and lists."""
     n = np.arange(len(sizes))
-    d = missing(n)
+    d = missing(n, rule)
     light, heavy = sizes * (d + SUBSET) * (d + SUBSET - 1) // 2, sizes * (d + 1) * SCAN
-    upto = np.cumsum(light)[np.minimum(DEN * n // NUM, len(n) - 1)]
+    upto = np.cumsum(light)[np.minimum(rule.den * n // rule.num, len(n) - 1)]
     return int(np.argmin(upto + heavy.sum() - np.cumsum(heavy)))
 
 
 class Order:
     """Frequency classes from the sketch: above the noise of the cells, in powers of two."""
 
-    def __init__(self, cells: np.ndarray, small: int):
+    def __init__(self, cells: np.ndarray, small: int, rule: Rule = RULE):
         noise = 2 * cells.mean() + 4
         self.rank = np.floor(np.log2(np.maximum(cells / noise, 1))).astype(np.uint8)
         self.blocks = np.maximum(1, np.ceil((cells - noise) / BLOCK)).astype(np.int32)
-        self.small = small
+        self.small, self.rule = small, rule
 
     def keys(self, x: np.ndarray, so: np.ndarray, node: np.ndarray):
         """(key, set) of every prefix subset and inverted list; long lists as block pairs."""
@@ -144,14 +172,14 @@ class Order:
         order = np.lexsort((x, self.rank[c], who))
         x, c = x[order], c[order]
         place = np.arange(len(x)) - np.repeat(so[:-1], n)
-        d = missing(n)
+        d = missing(n, self.rule)
         out_k, out_s = [], []
         large = (n > self.small)[who] & (place <= d[who])
         out_k.append(A.mix(x[large] + A.U(1)))
         out_s.append(who[large])
         blocks = self.blocks[c[large]]
         # sets of one or more elements whose partners can only be equal need no key
-        few = np.flatnonzero((n <= DEN * self.small // NUM) & (n >= 9))
+        few = np.flatnonzero((n <= self.rule.den * self.small // self.rule.num) & (n >= self.rule.least))
         for depth in np.unique(d[few]):
             s = few[d[few] == depth]
             for i, j in combinations(range(depth + SUBSET), SUBSET):
@@ -174,16 +202,16 @@ class Order:
         return k, s
 
 
-def levels(n: np.ndarray) -> np.ndarray:
-    """Sketch level of sets of n elements: bits are the power of two from n / 4 on, 256 at least."""
-    words = np.maximum(-(-n // 256), 1 << LEAST_LEVEL)
+def levels(n: np.ndarray, rule: Rule = RULE) -> np.ndarray:
+    """Sketch level of sets of n elements: bits are the power of two from 64 n / ``per_word`` on (n / 4 at 90 / 100), 256 at least."""
+    words = np.maximum(-(-n // rule.per_word), 1 << LEAST_LEVEL)
     return np.ceil(np.log2(words)).astype(np.int64)
 
 
-def parity(x: np.ndarray, so: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def parity(x: np.ndarray, so: np.ndarray, rule: Rule = RULE) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit words of all sketches one after the other, level of each set)."""
     n = np.diff(so)
-    level = levels(n)
+    level = levels(n, rule)
     bits = 64 << level
     first = np.cumsum(bits) - bits
     at = np.repeat(first, n) + (A.mix(x + A.U(99)) & np.repeat(bits - 1, n).astype(np.uint64)).astype(np.int64)
@@ -201,7 +229,7 @@ class Sketches:
             s = np.flatnonzero(level == k)
             self._add(int(k), s, words[first[s][:, None] + np.arange(1 << k)])
         for k in sorted(self.rows, reverse=True):
-            # sizes of a pair differ by a ninth at most, so their levels by one at most
+            # sizes of a pair differ by a factor of two at most (Rule), so their levels by one at most
             own = np.flatnonzero(level == k)
             if k > LEAST_LEVEL and len(own):
                 m = self.rows[k][self.place[k][own]]
@@ -228,10 +256,10 @@ class Sketches:
 
 # --- jobs --------------------------------------------------------------------------------------
 
-def _group_sets(group):
+def _group_sets(group, rule: Rule):
     """Distinct non-empty sets of some rows: (elements, offsets, nodes, first row of each)."""
     buf, off = A.text_bytes(group.column("__t"))
-    parts = [sets(*A.cut(buf, off, i, j)) for i, j in A.slices(off)]
+    parts = [sets(*A.cut(buf, off, i, j), rule.words) for i, j in A.slices(off)]
     x = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.uint64)
     n = np.concatenate([np.diff(p[1]) for p in parts]) if parts else np.zeros(0, np.int64)
     so = np.r_[0, np.cumsum(n)]
@@ -265,10 +293,10 @@ def _keys_of(order: Order, parts: int):
     """Bundles of the keys of every batch, dealt by key."""
     def rows(batches):
         for batch in batches:
-            x, so, node, first = _group_sets(batch)
+            x, so, node, first = _group_sets(batch, order.rule)
             home = batch.column("grp").to_numpy()[first]
             k, s = order.keys(x, so, node)
-            (words, level), size = parity(x, so), np.diff(so)
+            (words, level), size = parity(x, so, order.rule), np.diff(so)
             at = np.cumsum(1 << level) - (1 << level)
             rank = np.argsort(k, kind="stable")
             k, s = k[rank], s[rank]
@@ -283,7 +311,7 @@ def _keys_of(order: Order, parts: int):
     return rows
 
 
-def _lists(parts: int):
+def _lists(parts: int, rule: Rule):
     """Pairs of short lists and members of long ones that pass the size and parity tests."""
     def run(group: pa.Table) -> pa.Table:
         key, which, node, size, sketch, home, base = [], [], [], [], [], [], 0
@@ -296,7 +324,7 @@ def _lists(parts: int):
             home.append(A.unpack(hm))
             base += len(node[-1])
         key, which, node, size, home = (np.concatenate(v) for v in (key, which, node, size, home))
-        bits = Sketches(np.concatenate(sketch), levels(size))
+        bits = Sketches(np.concatenate(sketch), levels(size, rule))
         order = np.lexsort((home[which], node[which], size[which], key))
         order = order[A.heads(key[order], node[which[order]])]              # an equal set of another batch is the same node
         key, which = key[order], which[order]
@@ -308,12 +336,12 @@ def _lists(parts: int):
         while True:
             i = i[i + shift < len(key)]
             # sizes ascend inside a list: beyond the first misfit there is no fit
-            i = i[(key[i] == key[i + shift]) & (DEN * size[which[i]] >= NUM * size[which[i + shift]])]
+            i = i[(key[i] == key[i + shift]) & (rule.den * size[which[i]] >= rule.num * size[which[i + shift]])]
             if not len(i):
                 break
             a, b = which[i], which[i + shift]
-            # 100 (a + b - D) / 2 >= 90 (a + b + D) / 2 for the symmetric difference D
-            fit = (DEN + NUM) * bits.apart(a, b) <= (DEN - NUM) * (size[a] + size[b])
+            # den (a + b - D) / 2 >= num (a + b + D) / 2 for the symmetric difference D
+            fit = (rule.den + rule.num) * bits.apart(a, b) <= (rule.den - rule.num) * (size[a] + size[b])
             short = length[i] <= LONG_LIST
             left.append(i[fit & short])
             right.append(i[fit & short] + shift)
@@ -352,7 +380,7 @@ def _one_list_per_pair(group: pa.Table) -> pa.Table:
     return _bundle([(int(home[r[0]]), _REQUESTS, _frame(A.blob(node[r]), A.blob(key[r]))) for r in _by(home)])
 
 
-def _ship(parts: int):
+def _ship(parts: int, rule: Rule):
     def run(key: tuple[pa.Scalar, ...], group: pa.Table, asked: pa.Table) -> pa.Table:
         if not asked.num_rows or not group.num_rows:
             return _bundle([])
@@ -361,7 +389,7 @@ def _ship(parts: int):
         order = np.lexsort((want, k))
         order = order[A.heads(k[order], want[order])]
         want, k = want[order], k[order]
-        x, so, node, _ = _group_sets(group)
+        x, so, node, _ = _group_sets(group, rule)
         by_name = np.argsort(node)
         at = by_name[np.searchsorted(node[by_name], want)]
         edges = np.searchsorted(A.span(k, parts), np.arange(parts + 1))
@@ -375,33 +403,35 @@ def _ship(parts: int):
     return run
 
 
-def _links(group: pa.Table) -> pa.Table:
+def _links(rule: Rule):
     """Exact comparison inside each list; a spanning forest of its links."""
-    key, node, arrays = [], [], []
-    for k, local, nd, sz, data in _frames(group):
-        at = A.unpack(local)
-        key.append(np.frombuffer(k, np.uint64))
-        node.append(np.frombuffer(nd, np.uint64)[at])
-        own = np.split(np.frombuffer(data, np.uint64), np.cumsum(A.unpack(sz))[:-1])
-        arrays += [own[i] for i in at]
-    key, node = np.concatenate(key), np.concatenate(node)
-    out_a, out_b = [], []
-    for r in _by(key):
-        _, first = np.unique(node[r], return_index=True)
-        r = r[first]
-        for i, j in forest([arrays[x] for x in r]):
-            out_a.append(int(node[r[i]].view(np.int64)))
-            out_b.append(int(node[r[j]].view(np.int64)))
-    return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
-
-
-def forest(members: list[np.ndarray]) -> list[tuple[int, int]]:
+    def run(group: pa.Table) -> pa.Table:
+        key, node, arrays = [], [], []
+        for k, local, nd, sz, data in _frames(group):
+            at = A.unpack(local)
+            key.append(np.frombuffer(k, np.uint64))
+            node.append(np.frombuffer(nd, np.uint64)[at])
+            own = np.split(np.frombuffer(data, np.uint64), np.cumsum(A.unpack(sz))[:-1])
+            arrays += [own[i] for i in at]
+        key, node = np.concatenate(key), np.concatenate(node)
+        out_a, out_b = [], []
+        for r in _by(key):
+            _, first = np.unique(node[r], return_index=True)
+            r = r[first]
+            for i, j in forest([arrays[x] for x in r], rule):
+                out_a.append(int(node[r[i]].view(np.int64)))
+                out_b.append(int(node[r[j]].view(np.int64)))
+        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+    return run
+
+
+def forest(members: list[np.ndarray], rule: Rule = RULE) -> list[tuple[int, int]]:
     """Spanning forest of the linked pairs among some sets (sorted arrays of distinct elements)."""
     m = len(members)
     size = np.array([len(s) for s in members])
     if m <= 3:
         pairs = [(i, j) for i in range(m) for j in range(i + 1, m)
-                 if _fits(len(np.intersect1d(members[i], members[j], assume_unique=True)), size[i], size[j])]
+                 if _fits(len(np.intersect1d(members[i], members[j], assume_unique=True)), size[i], size[j], rule)]
     else:
         column, count = np.unique(np.concatenate(members), return_inverse=True, return_counts=True)[1:]
         row = np.repeat(np.arange(m), size)
@@ -415,7 +445,7 @@ def forest(members: list[np.ndarray]) -> list[tuple[int, int]]:
             x = np.zeros((m, min(4096, len(shared) - a)), np.float32)
             x[row[here], col[here] - a] = 1
             common += x @ x.T
-        i, j = np.nonzero(np.triu(_fits(common.astype(np.int64), size[:, None], size[None, :]), 1))
+        i, j = np.nonzero(np.triu(_fits(common.astype(np.int64), size[:, None], size[None, :], rule), 1))
         pairs = zip(i.tolist(), j.tolist(), strict=True)
     parent, out = list(range(m)), []
 
@@ -433,18 +463,18 @@ def forest(members: list[np.ndarray]) -> list[tuple[int, int]]:
     return out
 
 
-def _fits(both, a, b):
-    return DEN * both >= NUM * (a + b - both)
+def _fits(both, a, b, rule: Rule):
+    return rule.den * both >= rule.num * (a + b - both)
 
 
-def with_nodes(docs: DataFrame, text: str) -> DataFrame:
+def with_nodes(docs: DataFrame, text: str, rule: Rule = RULE) -> DataFrame:
     """``docs`` with __n (set size) and __node (set name, null for the empty set)."""
     at = docs.columns.index(text)
 
     def rows(batches):
         for batch in batches:
             buf, off = A.text_bytes(batch.column(at))
-            got = [sets(*A.cut(buf, off, i, j)) for i, j in A.slices(off)]
+            got = [sets(*A.cut(buf, off, i, j), rule.words) for i, j in A.slices(off)]
             n = np.concatenate([np.diff(so) for _, so in got]) if got else np.zeros(0, np.int64)
             name = np.concatenate([nodes(x, so) for x, so in got]).view(np.int64) if got else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n), pa.array(name, mask=n == 0)], [*batch.schema.names, "__n", "__node"])
@@ -452,31 +482,31 @@ def with_nodes(docs: DataFrame, text: str) -> DataFrame:
     return docs.mapInArrow(rows, T.StructType([*docs.schema.fields, T.StructField("__n", T.LongType()), T.StructField("__node", T.LongType())]))
 
 
-def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rule: Rule = RULE) -> DataFrame:
     """(a, b) set names: links between different sets that connect every component of the join."""
-    spark = docs.sparkSession
+    spark, rule = docs.sparkSession, rule.check()
     rows = docs.select(F.col(doc_id).alias("__i"), F.col(text).alias("__t"))
     size = rows.count()
     groups, parts = parts_for(size, DOCS_PER_GROUP, LEAST_GROUPS), parts_for(size, DOCS_PER_PART, LEAST_PARTS)
-    cells, sizes = survey(rows)
-    order = Order(cells, boundary(sizes))
+    cells, sizes = survey(rows, rule)
+    order = Order(cells, boundary(sizes, rule), rule)
     # homes are dealt by id and text: a text that a third of the rows share is spread, and is one set in each home
     dealt = rows.select("__t", F.pmod(F.xxhash64("__i", "__t"), F.lit(groups)).cast("long").alias("grp"))
     keyed = dealt.mapInArrow(_keys_of(order, parts), BUNDLE)
-    listed = stage(spark, keyed.groupBy("part").applyInArrow(_lists(parts), BUNDLE), "join-lists")
+    listed = stage(spark, keyed.groupBy("part").applyInArrow(_lists(parts, rule), BUNDLE), "join-lists")
     asked = listed.where(F.col("kind") == _PAIRS).groupBy("part").applyInArrow(_one_list_per_pair, BUNDLE)
     asked = asked.unionByName(listed.where(F.col("kind") == _REQUESTS)).withColumnRenamed("part", "grp")
-    sent = dealt.groupBy("grp").cogroup(asked.groupBy("grp")).applyInArrow(_ship(parts), BUNDLE)
-    return sent.groupBy("part").applyInArrow(_links, "a long, b long")
+    sent = dealt.groupBy("grp").cogroup(asked.groupBy("grp")).applyInArrow(_ship(parts, rule), BUNDLE)
+    return sent.groupBy("part").applyInArrow(_links(rule), "a long, b long")
 
 
-def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rule: Rule = RULE) -> DataFrame:
     """``docs`` with n_shingles, component_id and __comp (the component's set name, null for an empty set); input columns of those names are replaced."""
     spark = docs.sparkSession
     docs = docs.drop("n_shingles", "component_id", "__comp", "__n", "__node")
     text = next(c for c in docs.columns if c.lower() == text.lower())
-    named = with_nodes(docs, text)
-    comp = components(links(docs, doc_id, text))
+    named = with_nodes(docs, text, rule)
+    comp = components(links(docs, doc_id, text, rule))
     least = named.where("__node is not null").groupBy("__node").agg(F.min(F.col(doc_id)).alias("__id"))
     # one row per set; the component's id is the smallest of its sets' ids
     known = stage(spark, least.join(comp, F.col("__node") == F.col("node"), "left")
@@ -488,9 +518,9 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
                       F.when(F.col("__comp").isNull(), F.col(doc_id)).otherwise(F.col("component_id")).alias("component_id"), "__comp")
 
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rule: Rule = RULE) -> DataFrame:
     """The document with the smallest id of every component, and every document with an empty set."""
-    joined = stage(docs.sparkSession, join(docs, doc_id, text), "join-rows")
+    joined = stage(docs.sparkSession, join(docs, doc_id, text, rule), "join-rows")
     empty = joined.where("__comp is null")
     first = joined.where(F.col("__comp").isNotNull() & F.col(doc_id).eqNullSafe(F.col("component_id"))).dropDuplicates(["__comp"])
     return empty.unionByName(first).select(*[F.col(f"`{c}`") for c in docs.columns])
