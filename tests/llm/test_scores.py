@@ -3,6 +3,7 @@
 import collections
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -167,6 +168,18 @@ def test_nearest_votes_are_exact():
         assert got == pytest.approx(sum(a * y for a, (_, y) in zip(w, sims, strict=True)) / sum(w), abs=1e-4)
 
 
+def test_model_holds_the_counts_once():
+    """The fit takes 3,000 labelled rows of 2,048 terms, and beside the counts no array of their size."""
+    assert (quality_knn.MAX_LABELLED, quality_knn.TERMS) == (3000, 2048)
+    x = np.random.default_rng(6).poisson(0.02, (quality_knn.MAX_LABELLED, quality_knn.TERMS)).astype(np.float32)
+    tracemalloc.start()
+    quality_knn.Model(x, np.arange(len(x)) % 2.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # term-by-term matrices alone: the products, their vectors, a copy and two of the solver
+    assert peak < 5.2 * 4 * quality_knn.TERMS ** 2
+
+
 def edit_brute(a, w):
     row = [0] * (len(w) + 1)
     for i, x in enumerate(a, 1):

@@ -26,8 +26,8 @@ from pyspark.sql import types as T
 
 from . import arrays as A
 
-MAX_LABELLED = 2500     # labelled rows of the fit: the ones with the smallest hash of the id
-TERMS, DIMS, NEIGHBOURS = 1024, 32, 15
+MAX_LABELLED = 3000     # labelled rows of the fit: the ones with the smallest hash of the id
+TERMS, DIMS, NEIGHBOURS = 2048, 32, 15
 ROWS = 512              # documents of one block
 
 # byte classes: space, newline, upper case, lower case or non-ASCII, digit, then each punctuation mark
@@ -90,19 +90,22 @@ def _rows(texts: Iterator[pa.RecordBatch], column: str):
 
 
 class Model:
-    """Latent space and labelled vectors; a few hundred KB, shipped with the task."""
+    """Latent space and labelled vectors; a few hundred KB, shipped with the task. The counts ``x`` are overwritten: the driver holds them once."""
 
     def __init__(self, x: np.ndarray, y: np.ndarray):
         self.prior = float(y.mean()) if len(y) else 0.5
         self.y = y.astype(np.float32)
         if not len(y):
             return
-        tf = np.log1p(x)
-        self.idf = np.log((1 + len(x)) / (1 + (x > 0).sum(0))).astype(np.float32) + 0.1
-        z = self._unit(tf * self.idf)
-        val, vec = np.linalg.eigh(z.T @ z)
+        blocks = [x[i:i + ROWS] for i in range(0, len(x), ROWS)]
+        self.idf = np.log((1 + len(x)) / (1 + sum((b > 0).sum(0) for b in blocks))).astype(np.float32) + 0.1
+        for b in blocks:
+            np.log1p(b, out=b)
+            b *= self.idf
+            b[:] = self._unit(b)
+        vec = np.linalg.eigh(x.T @ x)[1]
         self.space = np.ascontiguousarray(vec[:, ::-1][:, :min(DIMS, len(y))]).astype(np.float32)
-        self.points = self._unit(z @ self.space)
+        self.points = self._unit(x @ self.space)
 
     @staticmethod
     def _unit(m):
@@ -142,9 +145,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str
     # a repeated document id must not lift the bound
     got = got[:max_labelled]
     x = np.empty((len(got), TERMS), np.float32)
-    for i, r in enumerate(got):
-        x[i] = A.unpack(bytes(r[2]))
-    return Model(x, np.array([r[1] for r in got]))
+    y = np.array([r[1] for r in got])
+    for i in range(len(got) - 1, -1, -1):
+        x[i] = A.unpack(bytes(got.pop()[2]))
+    return Model(x, y)
 
 
 def score(docs: DataFrame, model: Model, out: str = "score", text: str = "text") -> DataFrame:
