@@ -1,6 +1,7 @@
 """Gold-model properties, runs over date sets, streaming twin, and the DuckDB oracle (sf0.001)."""
 
 import datetime as dt
+from types import SimpleNamespace
 
 import duckdb
 import pytest
@@ -143,6 +144,17 @@ def test_forecast_scores_next_day(spark):
     assert all(r.predicted_consumption_kwh is not None for r in out)
 
 
+def test_held_out_day_follows_the_feeds(spark):
+    """The day that the forecasts hold out is the last one of production and consumption, whatever the dates."""
+    def feed(*days):
+        return spark.createDataFrame([(dt.date.fromisoformat(d),) for d in days], "date date")
+    for year in (2021, 2030):
+        fd = SimpleNamespace(production=feed(f"{year}-03-01", f"{year}-03-02"), consumption=feed(f"{year}-03-02", f"{year}-03-03", f"{year}-03-03"),
+                             humidity=feed(f"{year}-03-02", f"{year}-03-04"), temperature=feed(f"{year}-02-27"))
+        got = [sorted(r.date.isoformat()[5:] for r in df.collect()) for df in registry._until_last_day(fd)]
+        assert got == [["03-01", "03-02"], ["03-02"], ["03-02"], ["02-27"]]
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "FactID" in df.columns

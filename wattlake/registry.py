@@ -641,11 +641,12 @@ def forecast_random_forest(spark, sf_dir):
     return FC.forecast_next_day(*_until_last_day(fd), fd.booking, fd.weather)
 
 
-LAST_DAY = "2024-01-30"        # the energy feeds' last day is held out: the weather forecast reaches it
-
-
 def _until_last_day(fd):
-    return [getattr(fd, n).where(F.col("date") < F.lit(LAST_DAY).cast("date")) for n in ("production", "consumption", "humidity", "temperature")]
+    """The energy feeds without the last day of production and consumption: that day is held out, the weather forecast reaches it."""
+    last = fd.production.select("date").unionByName(fd.consumption.select("date")).agg(F.max("date").alias("__last"))
+    # one row
+    return [getattr(fd, n).crossJoin(F.broadcast(last)).where(F.col("date") < F.col("__last")).drop("__last")
+            for n in ("production", "consumption", "humidity", "temperature")]
 
 
 @query
