@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import crf_lines, decontaminate, langid_rnn, lm_score, mixing, ngram_join, quality_knn, repeats, sharding, url_rules
+from . import crf_lines, decontaminate, langid_rnn, lm_score, merkle, mixing, ngram_join, quality_knn, repeats, sharding, url_rules
 from .common import crc_mod, prepare, table
 
 QUERIES: dict = {}
@@ -112,3 +112,12 @@ def op9_decontaminate(spark, sf_dir):
 def op10_lm_score(spark, sf_dir):
     """Stupid-backoff trigram scores of every whole text, counts over all documents."""
     return lm_score.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_merkle_manifest(spark, sf_dir):
+    """Merkle log by language: root, proof and verification of every row; every third id shows a text in lower case."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    low = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    made = merkle.manifest(table(spark, sf_dir, "documents"), shown={"text": F.when(tampered, low).otherwise(F.col("text"))})
+    return made.proofs().withColumnRenamed("id", "doc_id")
