@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import crf_lines, decontaminate, langid_rnn, lm_score, merkle, mixing, ngram_join, quality_knn, repeats, sharding, url_rules
+from . import crf_lines, decontaminate, langid_rnn, lm_score, merkle, mixing, ngram_join, quality_knn, repeats, resample, sharding, url_rules
 from .common import crc_mod, prepare, table
 
 QUERIES: dict = {}
@@ -121,3 +121,13 @@ def op13_merkle_manifest(spark, sf_dir):
     low = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     made = merkle.manifest(table(spark, sf_dir, "documents"), shown={"text": F.when(tampered, low).otherwise(F.col("text"))})
     return made.proofs().withColumnRenamed("id", "doc_id")
+
+
+DRAW_SHARE = (5, 100)
+
+
+@query
+def op12_importance_resampling(spark, sf_dir):
+    """Weights of all documents towards the benchmark's n-gram distribution, and the seeded draw of 5 of 100."""
+    docs = table(spark, sf_dir, "documents")
+    return resample.ranked(docs, resample.fit(docs, table(spark, sf_dir, "benchmark")), DRAW_SHARE)
