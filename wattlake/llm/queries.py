@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import crf_lines, decontaminate, langid_rnn, lm_score, merkle, mixing, ngram_join, quality_knn, repeats, resample, sharding, url_rules
+from . import crf_lines, decontaminate, langid_rnn, lm_score, merkle, mixing, ngram_join, packing, quality_knn, repeats, resample, sharding, url_rules
 from .common import crc_mod, prepare, table
 
 QUERIES: dict = {}
@@ -131,3 +131,15 @@ def op12_importance_resampling(spark, sf_dir):
     """Weights of all documents towards the benchmark's n-gram distribution, and the seeded draw of 5 of 100."""
     docs = table(spark, sf_dir, "documents")
     return resample.ranked(docs, resample.fit(docs, table(spark, sf_dir, "benchmark")), DRAW_SHARE)
+
+
+SEQUENCE = 1024
+TOKENIZER = "byte_bpe_50k.json"
+
+
+@query
+def op11_best_fit_packing(spark, sf_dir):
+    """Pieces of all texts as token ids, packed into sequences of 1024."""
+    import public_tokenizers
+    cut = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), SEQUENCE)
+    return packing.pack(cut, SEQUENCE)
