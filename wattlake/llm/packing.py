@@ -16,6 +16,7 @@ number of open pieces, so no task holds more than a bounded number of them.
 from __future__ import annotations
 
 import functools
+import itertools
 import zlib
 
 import numpy as np
@@ -29,7 +30,7 @@ from .common import parts_for, stage
 
 PIECES = 50_000         # open pieces of a partition
 ROUNDS = 6              # exchanges at most
-CACHE = 1 << 18         # chunks that a tokenizing task keeps
+SLICE = 8 << 20         # bytes of texts whose chunks are collected together
 END = 2                 # id behind each text
 
 
@@ -45,22 +46,21 @@ SOLID = _inside()
 
 
 class Chunks:
-    """Token ids of texts by a table of chunks.
+    """Token ids of texts from the ids of their distinct chunks.
 
     The tokenizer splits a text before it merges bytes, and no split depends on text across a place where a blank follows a
-    character that is not white space. So a text's ids are those of its chunks, and a chunk that comes again is looked up.
+    character that is not white space. So a text's ids are those of its chunks, and each distinct chunk of a slice is tokenized once.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True       # their strings in a text are ordinary text
-        self.known: dict[bytes, np.ndarray] = {}
 
     def encode(self, column):
         """(i, ids, offsets) of slices of an Arrow text column; text i + k has ids[offsets[k]:offsets[k + 1]]."""
         buf, off = A.text_bytes(column)
-        for i, j in A.slices(off):
+        for i, j in A.slices(off, SLICE):
             yield i, *self._slice(*A.cut(buf, off, i, j))
 
     def _slice(self, buf: np.ndarray, off: np.ndarray):
@@ -74,25 +74,15 @@ class Chunks:
         ends = np.r_[edge, len(buf)].astype(np.int64)
         words = pa.Array.from_buffers(pa.large_binary(), len(edge), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(buf))])
         coded = words.dictionary_encode()
-        ids = self._look_up(coded.dictionary.to_pylist())
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        at, flat = np.r_[0, np.cumsum(size)], np.concatenate([np.zeros(0, np.uint32), *ids])
+        # each chunk once a slice; ids are flattened as they come, no array per chunk
+        found = [e.ids for e in self.tok.encode_batch_fast(coded.dictionary.cast(pa.large_string()).to_pylist(), add_special_tokens=False)]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        at, flat = np.r_[0, np.cumsum(size)], np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(size.sum()))
         which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         to = np.r_[0, np.cumsum(size[which])].astype(np.int64)
         out = flat[np.repeat(at[which] - to[:-1], size[which]) + np.arange(to[-1])]
         return out, to[np.searchsorted(edge, off)]
 
-    def _look_up(self, chunks: list[bytes]) -> list[np.ndarray]:
-        new = [c for c in chunks if c not in self.known]
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = chunks
-        coded = self.tok.encode_batch_fast([c.decode() for c in new], add_special_tokens=False)
-        found = {c: np.array(e.ids, np.uint32) for c, e in zip(new, coded, strict=True)}
-        out = [found[c] if c in found else self.known[c] for c in chunks]
-        self.known.update((c, x) for c, x in found.items() if len(c) <= 64)
-        return out
-
 
 @functools.lru_cache(2)
 def _chunks(path: str) -> Chunks:
