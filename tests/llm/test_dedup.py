@@ -179,3 +179,36 @@ def test_equal_windows_have_equal_anchors():
         seen = {}
         for w, a in zip(A.window_names(names, 13)[at].tolist(), anchor.tolist(), strict=True):
             assert seen.setdefault(w, a) == a
+
+
+def thue_morse(n, a="ab"):
+    """Two words of n letters that any polynomial modulo a power of two names alike from 1,024 letters on."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join(a[b] for b in bits), "".join(a[1 - b] for b in bits)
+
+
+@pytest.mark.parametrize("size", [9, 64, 1024, 2048, 4096])
+def test_names_of_regular_words(size):
+    x, y = thue_morse(size)
+    buf, off = A.text_bytes(pa.array([x, y, x, x[:-1], x[1:]]))
+    s, e, _ = A.tokens(buf, off)
+    a, b, c, d, f = A.word_names(buf, s, e).tolist()
+    assert a == c and len({a, b, d, f}) == 4
+
+
+def test_regular_words_stay_apart(spark):
+    """Windows, shingles, lines and passages that differ in one regular word are different."""
+    from wattlake.llm import crf_lines, decontaminate
+    prepare(spark)
+    x, y = thue_morse(2048)
+    rest = [f"w{i}" for i in range(12)]
+    rows = [(1, " ".join([x, *rest])), (2, " ".join([y, *rest])), (3, " ".join([x, *rest]))]
+    assert {r.doc_id: r.n_removed for r in repeats.remove_repeats(docs_df(spark, rows)).collect()} == {1: 0, 2: 0, 3: 13}
+    lines = crf_lines.Lines(*A.text_bytes(pa.array([f"{x}\n{y}\n{x}", f"{x}\n{y}"])))
+    assert lines.n_dup_lines.tolist() == [1, 0]
+    joined = ngram_join.join(docs_df(spark, [(1, f"{x} a b"), (2, f"{y} a b"), (3, f"{x} a b")])).collect()
+    assert {r.doc_id: r.component_id for r in joined} == {1: 1, 2: 2, 3: 1}
+    buf, off = A.text_bytes(pa.array([f'"{x}" (cat) it\'s word,', f"{x} cat its word", f"{y} cat its word"]))
+    names, _ = decontaminate.normal_words(buf, off)
+    a, b, c = names.reshape(3, 4)
+    assert (a == b).all() and (b != c).tolist() == [True, False, False, False]

@@ -13,8 +13,10 @@ import struct
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 U = np.uint64
+LONG_WORD = 1024
 SLICE_BYTES = 4 << 20          # texts are handled in slices of about this size (a longer text is a slice of its own)
 _M1, _M2 = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)   # finaliser constants of splitmix64 (fixed values)
 _BASE, _SEQ = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95      # odd multipliers (fixed values)
@@ -35,9 +37,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-BYTE_NAME = mix(np.arange(1, 257, dtype=np.uint64) * U(_BASE))
-
-
 class _Powers:
     """Powers of an odd number and of its inverse modulo 2**64, grown on demand."""
 
@@ -52,7 +51,7 @@ class _Powers:
         return self.fwd, self.back
 
 
-_BYTES, _WORDS = _Powers(_BASE), _Powers(_SEQ)
+_WORDS = _Powers(_SEQ)
 
 
 def text_bytes(col) -> tuple[np.ndarray, np.ndarray]:
@@ -103,15 +102,29 @@ def tokens(buf: np.ndarray, off: np.ndarray, breaks: np.ndarray = IS_SPACE):
     return starts, ends, np.searchsorted(starts, off)
 
 
-def word_names(buf, starts, ends, table: np.ndarray = BYTE_NAME) -> np.ndarray:
-    """64-bit content name of each word (prefix sums of a polynomial, then mixed)."""
+def word_names(buf, starts, ends) -> np.ndarray:
+    """64-bit content name of each word: its length and its blocks of eight bytes, mixed one after the other.
+
+    Each block goes through a bijection of the state before it, so no regular pair of words collides for certain.
+    Words over ``LONG_WORD`` bytes are named by xxh3.
+    """
+    size = ends - starts
+    out = mix(size.astype(np.uint64) * U(_BASE) + U(_SEQ))
     if not len(starts):
-        return np.zeros(0, np.uint64)
-    fwd, back = _BYTES.upto(len(buf) + 1)
-    c = np.empty(len(buf) + 1, np.uint64)
-    c[0] = 0
-    np.cumsum(table[buf] * fwd[:len(buf)], out=c[1:])
-    return mix((c[ends] - c[starts]) * back[starts])
+        return out
+    padded = np.concatenate([np.ascontiguousarray(buf), np.zeros(8, np.uint8)])
+    block = np.ndarray((len(buf) + 1,), "<u8", padded, strides=(1,))        # eight bytes from every place on
+    live, done = np.flatnonzero((size > 0) & (size <= LONG_WORD)), 0
+    while len(live):
+        left = size[live] - done
+        short = np.minimum(left, 8).astype(np.uint64) * U(8)
+        keep = (U(0xFFFFFFFFFFFFFFFF) >> (U(64) - short))
+        out[live] = mix(out[live] ^ (block[starts[live] + done] & keep))
+        done += 8
+        live = live[left > 8]
+    for i in np.flatnonzero(size > LONG_WORD):
+        out[i] = xxhash.xxh3_64_intdigest(buf[starts[i]:ends[i]].tobytes())
+    return out
 
 
 def window_names(names: np.ndarray, k: int) -> np.ndarray:

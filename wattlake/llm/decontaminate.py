@@ -1,6 +1,6 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit check.
 
-Words (ASCII lower case, ASCII punctuation ignored) are the alphabet. The CGK walk
+Words (ASCII lower case, ASCII punctuation dropped wherever it stands) are the alphabet. The CGK walk
 copies the word it stands on and then moves on or stays by a random bit of
 (step, word), so two sequences at a small edit distance agree in most steps:
 edit distance becomes Hamming distance. Each of ``REPS`` repetitions draws its own
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import arrays as A
+from .common import stage
 
 MIN_WORDS = 5
 MAX_EDITS = 0.2             # edits per item word: similarity 0.8
@@ -39,13 +40,16 @@ BLOCK_WORDS = 200_000
 CLASSES = ((12, 16, 6, 4, 8), (MIN_WORDS, 8, 4, 1, 6))
 _NONE = A.U(0)
 
-NAME = A.BYTE_NAME[A.LOWER].copy()
-NAME[[b for b in range(33, 127) if not chr(b).isalnum()]] = 0      # punctuation adds nothing to a word's name
+MARK = np.zeros(256, bool)
+MARK[[b for b in range(33, 127) if not chr(b).isalnum()]] = True    # ASCII punctuation is no part of a word
 
 
 def normal_words(buf, off):
+    """Names of words in lower case without their punctuation; a word of punctuation alone stays, with an empty name."""
     starts, ends, wo = A.tokens(buf, off)
-    return A.word_names(buf, starts, ends, NAME), wo
+    keep = ~MARK[buf]
+    at = np.concatenate([np.zeros(1, np.int64), np.cumsum(keep)])
+    return A.word_names(A.LOWER[buf[keep]], at[starts], at[ends]), wo
 
 
 def sampled_steps(rep: int, steps: int, picks: int) -> np.ndarray:
@@ -167,7 +171,7 @@ def item_blocks(benchmark: DataFrame, item_id: str, text: str):
     ids, texts, words = [], [], 0
     for r in benchmark.where(F.col(text).isNotNull()).select(item_id, text).orderBy(item_id, text).toLocalIterator():
         ids.append(r[0]), texts.append(r[1])
-        words += r[1].count(" ") + 1
+        words += len(r[1].split())
         if words >= BLOCK_WORDS:
             yield Index(ids, texts)
             ids, texts, words = [], [], 0
@@ -206,8 +210,12 @@ def pa_type(kind: T.DataType) -> pa.DataType:
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """``docs`` without the documents that hold a benchmark passage; rows and columns are otherwise kept as they are."""
     text = next(c for c in docs.columns if c.lower() == text.lower())
-    at = docs.columns.index(text)
+    at, first = docs.columns.index(text), True
     for index in item_blocks(benchmark, item_id, item_text):
+        if not first:
+            docs = stage(docs.sparkSession, docs, "clean")      # the tasks of a block hold that block's index alone
+        first = False
+
         def keep(batches, index=index):
             for batch in batches:
                 buf, off = A.text_bytes(batch.column(at))
