@@ -231,13 +231,6 @@ def test_run_summary(spark):
     assert (r.dates_succeeded, r.dates_empty, r.first_date, r.last_date) == (2, 1, dt.date(2023, 3, 1), dt.date(2023, 3, 3))
 
 
-def test_new_files_anti_join(spark):
-    """A10 batch twin: only names not seen before."""
-    listing = spark.createDataFrame([("a.csv",), ("b.csv",), ("c.csv",)], "file_name string")
-    seen = spark.createDataFrame([("a.csv",)], "file_name string")
-    assert sorted(r.file_name for r in raw.new_files(listing, seen).collect()) == ["b.csv", "c.csv"]
-
-
 def test_catalog_ddl_create_and_drop(spark, scratch):
     """16 tables registered with day partitioning and key descriptions; drop-all empties the database."""
     names = W.create_catalog_tables(spark, f"{scratch}/wh", "gold_test")

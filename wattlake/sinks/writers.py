@@ -28,14 +28,14 @@ def replace_days(df: DataFrame, path: str, date_col: str = "date", full: bool =
     w.partitionBy(date_col).parquet(path)
 
 
-def replace_months(df: DataFrame, path: str, date_col: str = "date", full: bool = False, order: tuple = ()) -> None:
+def replace_months(df: DataFrame, path: str, date_col: str = "date", full: bool = False, order: tuple = (), staged: bool = False) -> None:
     """B1 for batch loads: every month that ``df`` holds is replaced as a whole.
 
-    A day that has left the source leaves the feed too: the rows are staged, the stored days of
+    A day that has left the source leaves the feed too: the rows are staged (``staged``: they are read from a stage already), the stored days of
     their months that they no longer hold are dropped (the day folders, one per day), and the others are overwritten.
     """
     spark = df.sparkSession
-    new = stage(spark, df, "months")
+    new = df if staged else stage(spark, df, "months")
     if not full and path_exists(spark, path):
         days = new.select(F.col(date_col).cast("date").alias("d")).distinct()
         stored = (spark.read.parquet(path).select(F.col(date_col).cast("date").alias("d")).distinct()

@@ -1,26 +1,22 @@
 """Bronze scans.
 
-Daily drops (sensors, inverter export, forecasts) are small files whose
-separator and width vary, so each file is one row of a binary scan: it is
-decoded, its separator is found in its own header line, and its lines are split
-inside the plan. Cells are bound by position (headers are unreliable). A line
-with more cells than its own file's header is dropped, a short one is null-padded, and
+Daily drops (sensors, inverter export, forecasts) vary in separator and width: ``scan.plan`` reads their headers
+alone and gives each (encoding, separator, width) one splittable scan. Cells are bound by position (headers are
+unreliable). A line with more cells than its own file's header is flagged, a short one is null-padded, and
 cells beyond the wanted ones are ignored. Malformed text and unreadable files
-fail the scan; nothing is skipped silently. Booking exports are read with
-the CSV scan: the latest export only, under its own header.
+fail the scan; nothing is skipped silently. Of the booking exports the latest alone is read, under its own header.
 Routing (feed, month, issue time) comes from the file name.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
 from ..operators.reshape import INVERTER_BLOCK, N_INVERTERS, wide_name
+from . import scan
 
 LINE = "_line"
 BAD = "_bad"
@@ -33,8 +29,6 @@ BOOKING_FILE = r"^RoomAllocations_(\d{4})(\d{2})"                      # RoomAll
 WEATHER_FILE = r"^Pred_(\d{4})-(\d{2})-(\d{2})_(\d{2})(\d{2})"        # Pred_yyyy-MM-dd_HHMM*.csv
 UNKNOWN = "unknown"
 SENSOR_COLUMNS = ["raw_date", "time_str", "unit", "val_raw", "var_raw"]
-# separators a drop may use, in the order that decides ties
-SEPARATORS = ["\t", ";", ","]
 WEATHER_COLUMNS = ["time_raw", "value", "prediction", "site", "measurement", "unit"]
 # ---------------------------------------------------------------------------
 
@@ -43,48 +37,25 @@ def string_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def _quoted(sep: str) -> str:
-    return rf'(?:^|{re.escape(sep)})("(?:[^"]|"")*"|[^{re.escape(sep)}]*)'
-
-
-def cells(line: Column, sep: Column, seps=SEPARATORS) -> Column:
-    """Cells of a line; quotes around a cell go, a separator inside quotes stays."""
-    plain = quoted = None
-    for s in seps:
-        p, q = F.split(line, re.escape(s)), F.regexp_extract_all(line, F.lit(_quoted(s)), F.lit(1))
-        plain = F.when(sep == s, p) if plain is None else plain.when(sep == s, p)
-        quoted = F.when(sep == s, q) if quoted is None else quoted.when(sep == s, q)
-    unquote = lambda c: F.when(c.rlike('^".*"$'), F.replace(c.substr(F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c)
-    return F.when(line.contains('"'), F.transform(quoted, unquote)).otherwise(plain)
-
-
-def parse_files(files: DataFrame, names: list[str], encoding: str, sep: str | None = None, keep_bad: bool = False) -> DataFrame:
-    """Lines of whole files (``path``, ``content``) as columns ``names`` by position.
+def parse_files(spark: SparkSession, paths: list[str], names: list[str], encoding: str, sep: str | None = None, keep_bad: bool = False) -> DataFrame:
+    """Lines of the files as columns ``names`` by position.
 
     Without ``sep`` each file's separator is the candidate its header holds most
     often. ``keep_bad`` returns over-long lines too, flagged ``_bad``, with the line text.
     """
-    seps = [sep] if sep else SEPARATORS
-    f = files.select(F.col("path").alias("file_path"), F.regexp_replace(F.decode("content", encoding), "^\ufeff", "").alias("_text"))
-    f = f.select("file_path", F.filter(F.split("_text", "\r\n|\n|\r"), lambda x: F.trim(x) != "").alias("_lines"))
-    f = f.where(F.size("_lines") > 0).withColumn("_head", F.col("_lines")[0])
-    count = [F.size(F.split("_head", re.escape(s))) for s in seps]
-    most = F.greatest(*count) if len(count) > 1 else count[0]
-    found = None
-    for s, n in zip(seps, count, strict=True):
-        found = F.when(n == most, F.lit(s)) if found is None else found.when(n == most, F.lit(s))
-    f = f.withColumns({"_sep": found}).withColumn("_width", F.size(cells(F.col("_head"), F.col("_sep"), seps)))
-    f = f.select("file_path", "_sep", "_width", F.explode(F.slice("_lines", 2, F.greatest(F.size("_lines") - 1, F.lit(0)))).alias(LINE))
-    f = f.withColumn("_cells", cells(F.col(LINE), F.col("_sep"), seps)).withColumn(BAD, F.size("_cells") > F.col("_width"))
-    if not keep_bad:
-        f = f.where(~F.col(BAD))
     cell = lambda i: F.get("_cells", F.lit(i))
-    return f.select(*[F.when(cell(i) != "", cell(i)).alias(n) for i, n in enumerate(names)], "file_path",
-                    F.element_at(F.split("file_path", "/"), -1).alias("file_name"), *([LINE, BAD] if keep_bad else []))
-
-
-def scan_files(spark: SparkSession, path, glob: str = "*.csv*") -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
+    out = None
+    for group in scan.plan(spark, paths, encoding, sep):
+        df = scan.lines(spark, group).withColumn(BAD, F.size("_cells") > group.width)
+        if not keep_bad:
+            df = df.where(~F.col(BAD))
+        df = df.select(*[F.when(cell(i) != "", cell(i)).alias(n) for i, n in enumerate(names)], "file_path",
+                       F.element_at(F.split("file_path", "/"), -1).alias("file_name"), *([LINE, BAD] if keep_bad else []))
+        out = df if out is None else out.unionByName(df)
+    if out is None:
+        out = spark.createDataFrame([], T.StructType([*string_schema([*names, "file_path", "file_name"]).fields,
+                                                      *([T.StructField(LINE, T.StringType()), T.StructField(BAD, T.BooleanType())] if keep_bad else [])]))
+    return out
 
 
 def folder_month(path: Column | str = "file_path") -> Column:
@@ -106,11 +77,11 @@ def route(file_name: Column | str, pattern: str, feed_group: int | None = None,
 
 def read_sensor(spark: SparkSession, path, sep: str | None = None, encoding: str = "UTF-16", keep_bad: bool = False) -> DataFrame:
     """A1 + A5-A7 + A9: UTF-16 sensor drops (humidity, temperature, consumption, PV)."""
-    return sensor_rows(scan_files(spark, path), sep, encoding, keep_bad)
+    return sensor_rows(spark, scan.list_files(spark, path), sep, encoding, keep_bad)
 
 
-def sensor_rows(files: DataFrame, sep: str | None = None, encoding: str = "UTF-16", keep_bad: bool = False) -> DataFrame:
-    df = parse_files(files, SENSOR_COLUMNS, encoding, sep, keep_bad)
+def sensor_rows(spark: SparkSession, paths: list[str], sep: str | None = None, encoding: str = "UTF-16", keep_bad: bool = False) -> DataFrame:
+    df = parse_files(spark, paths, SENSOR_COLUMNS, encoding, sep, keep_bad)
     named = F.regexp_extract("file_name", SENSOR_FILE, 2)
     return df.withColumns({**route("file_name", SENSOR_FILE, feed_group=4),
                            "folder_month": F.coalesce(folder_month(), F.when(named != "", named))})
@@ -120,16 +91,16 @@ def inverter_columns(n_blocks: int = N_INVERTERS) -> list[str]:
     return ["raw_date", "time_str"] + [wide_name(b, f) for b in range(1, n_blocks + 1) for f in INVERTER_BLOCK]
 
 
-def read_inverters(spark: SparkSession, path, sep: str | None = None, encoding: str = "UTF-8") -> DataFrame:
+def read_inverters(spark: SparkSession, path, sep: str | None = None, encoding: str = "UTF-8", keep_bad: bool = False) -> DataFrame:
     """A2: wide inverter export, 2 + 5 x 11 columns; further blocks of a wider file are ignored."""
-    df = parse_files(scan_files(spark, path), inverter_columns(), encoding, sep)
+    df = parse_files(spark, scan.list_files(spark, path), inverter_columns(), encoding, sep, keep_bad)
     return df.withColumns({**route("file_name", PRODUCTION_FILE, feed_name="production"),
                            "folder_month": F.coalesce(folder_month(), F.regexp_extract("file_name", PRODUCTION_FILE, 2))})
 
 
-def read_weather(spark: SparkSession, path, sep: str | None = ",", encoding: str = "UTF-8") -> DataFrame:
+def read_weather(spark: SparkSession, path, sep: str | None = ",", encoding: str = "UTF-8", keep_bad: bool = False) -> DataFrame:
     """A3: forecast drops; ``issued`` from ``Pred_yyyy-MM-dd_HHMM``."""
-    df = parse_files(scan_files(spark, path), WEATHER_COLUMNS, encoding, sep)
+    df = parse_files(spark, scan.list_files(spark, path), WEATHER_COLUMNS, encoding, sep, keep_bad)
     g = lambda i: F.regexp_extract("file_name", WEATHER_FILE, i)
     issued = F.try_to_timestamp(F.concat(g(1), F.lit("-"), g(2), F.lit("-"), g(3), F.lit(" "), g(4), F.lit(":"), g(5)),
                                 F.lit("yyyy-MM-dd HH:mm")).cast("timestamp_ntz")
@@ -141,34 +112,34 @@ def latest_export(spark: SparkSession, path, level: str = "file") -> str | None:
     """Path of the lexicographically last export, chosen from the listing alone.
 
     ``level="dir"`` takes the parent folder of the last file, for exports
-    written as a folder of part files. One path comes to the driver.
+    written as a folder of part files. The listing is all that comes to the driver.
     """
-    files = scan_files(spark, path)
-    name = F.col("path") if level == "file" else F.regexp_replace("path", "/[^/]*$", "")
-    return files.agg(F.max(name)).first()[0]
+    paths = scan.list_files(spark, path)
+    return max((p if level == "file" else p.rsplit("/", 1)[0] for p in paths), default=None)
 
 
-def read_booking(spark: SparkSession, path, sep: str = "\t", encoding: str = "UTF-8", latest: str = "file") -> DataFrame:
+def read_booking(spark: SparkSession, path, sep: str = "\t", encoding: str = "UTF-8", latest: str = "file", keep_bad: bool = False) -> DataFrame:
     """A4-A6 + A8: the latest export only, tab separated, quoting disabled, under its own French header (C9/C10 applied).
 
-    A line with more cells than the header is dropped (A5).
+    A line with more cells than the header is dropped (A5); ``keep_bad`` keeps it, flagged ``_bad``, with the line text.
     """
     export = latest_export(spark, path, latest)
     if export is None:
         raise FileNotFoundError(f"no booking export under {path}")
-    options = dict(header=True, sep=sep, encoding=encoding, mode="PERMISSIVE", pathGlobFilter="*.csv*")
-    header = spark.read.options(**options, quote="").csv(export).columns
-    df = (spark.read.options(**options, quote="", enforceSchema=True)
-          .schema(string_schema([*header, "_extra"])).csv(export))
-    df = with_file(df).where(F.col("_extra").isNull()).drop("_extra")
-    df = tx.rename_headers(df.withColumnsRenamed({c: c.replace("\ufeff", "") for c in df.columns if "\ufeff" in c}))
-    return df.withColumns(route("file_name", BOOKING_FILE, feed_name="booking"))
-
-
-def with_file(df: DataFrame) -> DataFrame:
-    return df.withColumns({"file_path": F.col("_metadata.file_path"), "file_name": F.col("_metadata.file_name")})
-
-
-def new_files(listing: DataFrame, seen: DataFrame, name_col: str = "file_name") -> DataFrame:
-    """A10 batch twin: files not copied yet (set difference on names)."""
-    return listing.join(seen.select(name_col), name_col, "left_anti")
+    out = None
+    for group in scan.plan(spark, scan.list_files(spark, export), encoding, sep, by_header=True):
+        df = scan.lines(spark, group, quotes=False).withColumn(BAD, F.size("_cells") > group.width)
+        cell = lambda i: F.get("_cells", F.lit(i))
+        header = _unique(next(iter(group.headers)).split(sep))
+        df = df.select(*[F.when(cell(i) != "", cell(i)).alias(n) for i, n in enumerate(header)], "file_path",
+                       F.element_at(F.split("file_path", "/"), -1).alias("file_name"), LINE, BAD)
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    if out is None:
+        raise ValueError(f"the booking export {export} is empty")
+    out = tx.rename_headers(out if keep_bad else out.where(~F.col(BAD)).drop(LINE, BAD))
+    return out.withColumns(route("file_name", BOOKING_FILE, feed_name="booking"))
+
+
+def _unique(header: list[str]) -> list[str]:
+    """Column names of a header: an empty one or one that came before gets its place."""
+    return [f"_c{i}" if not h.strip() else f"{h}{i}" if h in header[:i] else h for i, h in enumerate(header)]
