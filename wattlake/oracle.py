@@ -667,18 +667,25 @@ where activity_type != 'EMPTY' and department in ('F', 'O') and date between dat
   and month(date) in (1, 2, 3, 9, 10, 11) and start_time between '08:00' and '15:59'
 group by department, activity_type""")
 
-SQL["silver_production_load"] = with_views("""
+PRODUCTION_PARSED = """
 with raw as (select *, case when day(date) = 7 and time < '06:00:00' then 'xx.xx.xx' else strftime(date, '%d.%m.%y')
                       end as raw_date,
                lpad(cast(case when day(date) = 15 and time >= '12:00:00' then month(date) % 12 + 1 else month(date) end
                          as varchar), 2, '0') as folder_month from a_production),
-p as (select cast(try_strptime(raw_date, '%d.%m.%y') as date) as pdate, * from raw)
+p as (select cast(try_strptime(raw_date, '%d.%m.%y') as date) as pdate, * from raw)"""
+SQL["silver_production_load"] = with_views(PRODUCTION_PARSED + """
 select pdate as date, time, inv_id, pac, daysum, status, cast(error as double) as error,
   cast(null as double) as pdc1, cast(null as double) as pdc2, cast(null as double) as udc1,
   cast(null as double) as udc2, cast(null as double) as temp, cast(null as double) as uac
 from p where pdate is not null and month(pdate) = try_cast(folder_month as int)""")
 
-SQL["silver_weather_load"] = """
+SQL["production_rejects"] = with_views(PRODUCTION_PARSED + """
+select reason, count(*) as n_lines from (
+  select distinct date, time, case when day(date) = 21 and time between '10:00:00' and '10:59:59' then 'too many cells' when pdate is null then 'bad date'
+              when month(pdate) is distinct from try_cast(folder_month as int) then 'wrong month folder' end as reason from p)
+where reason is not null group by reason""")
+
+WEATHER_PARSED = """
 with ev as (select *, date_trunc('second', ts) as utc from events where event_type in ('signup', 'purchase')),
 raw as (select case when event_id % 29 = 0 then 'garbage' else strftime(utc, '%Y-%m-%dT%H:%M:%S') end as time_raw,
           case when event_id % 9 = 0 then '-99999.0' when event_id % 11 = 0 then ''
@@ -687,13 +694,23 @@ raw as (select case when event_id % 29 = 0 then 'garbage' else strftime(utc, '%Y
           event_type as measurement, case when event_type = 'signup' then 'W/m2' else 'C' end as unit,
           lpad(cast(case when event_id % 10 = 0 then month(utc) % 12 + 1 else month(utc) end as varchar), 2, '0')
             as folder_month,
-          cast(cast(utc as date) - 1 as timestamp) + case when event_id % 2 = 0 then interval 6 hour else interval 12 hour end as issued from ev),
+          cast(cast(utc as date) - 1 as timestamp) + case when event_id % 2 = 0 then interval 6 hour else interval 12 hour end as issued,
+          event_id % 37 = 0 as too_long from ev),
 p as (select try_strptime(time_raw, '%Y-%m-%dT%H:%M:%S') as ts, try_cast(value_raw as double) as value,
-        prediction, site, measurement, unit, folder_month, issued from raw)
+        prediction, site, measurement, unit, folder_month, issued, too_long from raw)"""
+SQL["silver_weather_load"] = WEATHER_PARSED + """
 select cast(ts as date) as date, strftime(ts, '%H:%M:%S') as time, value, prediction, site, measurement, unit, issued
 from p
 where ts is not null and month(ts) = try_cast(folder_month as int) and value is distinct from -99999.0"""
 
+SQL["weather_rejects"] = WEATHER_PARSED + """
+select reason, count(*) as n_lines from (
+  select case when too_long then 'too many cells' when ts is null then 'bad time' when month(ts) is distinct from try_cast(folder_month as int) then 'wrong month folder'
+              when value = -99999.0 then 'sentinel' end as reason from p)
+where reason is not null group by reason"""
+
+SQL["booking_rejects"] = with_views("select 'too many cells' as reason, cast(reservation_id as varchar) as reservation_id from a_booking where reservation_id % 41 = 0")
+
 SQL["silver_booking_load"] = with_views(f"""
 select {french_parse("case when reservation_id % 31 = 0 then '?? ??? ????' else lpad(cast(day(date) as varchar), 2, '0') || ' ' || " + MONTHS_FR + "[month(date)] || ' ' || cast(year(date) as varchar) end")} as date,
   {strip_fill('room_id')} as room_id, start_time, end_time, cast(reservation_id as varchar) as reservation_id,

@@ -608,13 +608,46 @@ def silver_pv_load(spark, sf_dir):
     return _sensor_load(spark, sf_dir, "silver-pv", "signup", "W")
 
 
+def _by_reason(spark, path):
+    return spark.read.parquet(path).groupBy("reason").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 @query
 def sensor_rejects(spark, sf_dir):
-    """Lines the sensor load leaves out, counted by reason and time of day."""
+    """Lines that the sensor load leaves out, from the quarantine that the load writes, counted by reason."""
     root = _sensor_drops(spark, sf_dir, "sensor-rejects", "view", "%")
-    lines = raw.read_sensor(spark, f"{root}/bronze", keep_bad=True)
-    lines = SL.sensor_rejects(lines).groupBy("reason").agg(F.count(F.lit(1)).alias("n_lines"))
-    return lines
+    SL.load_sensor(spark, f"{root}/bronze", f"{root}/silver", quarantine_path=f"{root}/quarantine")
+    return _by_reason(spark, f"{root}/quarantine")
+
+
+@query
+def production_rejects(spark, sf_dir):
+    """Lines of the wide export that the inverter load leaves out, from its quarantine, counted by reason."""
+    root = scratch_path(spark, "production-rejects")
+    long = (F.dayofmonth("date") == 21) & F.col("time").between("10:00:00", "10:59:59")
+    DR.write_lines(DR.inverter_lines(A.production(spark, sf_dir), too_long=long), f"{root}/bronze", DR.INVERTER_HEADER, ";")
+    SL.load_production(spark, f"{root}/bronze/", f"{root}/silver", quarantine_path=f"{root}/quarantine")
+    return _by_reason(spark, f"{root}/quarantine")
+
+
+@query
+def weather_rejects(spark, sf_dir):
+    """Forecast lines that the load leaves out, from its quarantine, counted by reason."""
+    root = scratch_path(spark, "weather-rejects")
+    lines = DR.weather_lines(_forecast_rows(spark, sf_dir), F.col("event_id"), F.col("ts"), F.col("event_id") % 37 == 0)
+    DR.write_issues(lines, f"{root}/bronze", DR.WEATHER_HEADER, ",")
+    SL.load_weather(spark, f"{root}/bronze", f"{root}/silver", quarantine_path=f"{root}/quarantine")
+    return _by_reason(spark, f"{root}/quarantine")
+
+
+@query
+def booking_rejects(spark, sf_dir):
+    """A5: the over-long lines of the latest booking export, with the reservation that each names."""
+    root = scratch_path(spark, "booking-rejects")
+    DR.write_lines(DR.booking_lines(A.booking(spark, sf_dir), long_every=41), f"{root}/bronze/export=1", DR.BOOKING_HEADER, "\t", partition_col=None)
+    SL.load_booking(spark, f"{root}/bronze", f"{root}/silver", latest="dir", quarantine_path=f"{root}/quarantine")
+    at = DR.BOOKING_HEADER.index(DR.french("reservation_id"))
+    return spark.read.parquet(f"{root}/quarantine").select("reason", F.split("line", "\t")[at].alias("reservation_id"))
 
 
 @query
@@ -708,17 +741,21 @@ def silver_production_load(spark, sf_dir):
                                                        "pdc1", "pdc2", "udc1", "udc2", "temp", "uac")
 
 
-@query
-def silver_weather_load(spark, sf_dir):
-    """L3 end to end (A3, A5, C3, C7, D2, D3, B1): forecast rows written as ISO-time CSV drops,
-    scanned, parsed to UTC, sentinel and month checked, written by day, read back."""
-    root = scratch_path(spark, "silver-weather")
+def _forecast_rows(spark, sf_dir):
     ev = A.table(spark, sf_dir, "events").where(F.col("event_type").isin("signup", "purchase"))
-    rows = ev.select("event_id", "ts", "value",
+    return ev.select("event_id", "ts", "value",
                      (F.col("value") + (F.col("user_id") % 4).cast("double")).alias("prediction"),
                      F.concat(F.lit("site"), (F.col("user_id") % 3).cast("string")).alias("site"),
                      F.col("event_type").alias("measurement"),
                      F.when(F.col("event_type") == "signup", F.lit("W/m2")).otherwise(F.lit("C")).alias("unit"))
+
+
+@query
+def silver_weather_load(spark, sf_dir):
+    """L3 end to end (A3, A5, C3, C7, D2, D3, B1): forecast rows written as ISO-time CSV drops,
+    scanned, parsed to UTC, sentinel and month checked, written by day, read back."""
+    root = scratch_path(spark, "silver-weather")
+    rows = _forecast_rows(spark, sf_dir)
     DR.write_issues(DR.weather_lines(rows, F.col("event_id"), F.col("ts")), f"{root}/bronze", DR.WEATHER_HEADER, ",")
     SL.load_weather(spark, f"{root}/bronze", f"{root}/silver")
     return SV.read_feed(spark, root, "silver").select("date", "time", "value", "prediction", "site", "measurement",

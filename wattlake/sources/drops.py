@@ -61,11 +61,11 @@ def sensor_lines(readings: DataFrame, row_id: Column, sep: str = "\t", n_cells:
 INVERTER_HEADER = ["#Date", "Time"] + raw.inverter_columns()[2:]
 
 
-def inverter_lines(production: DataFrame, sep: str = ";") -> DataFrame:
+def inverter_lines(production: DataFrame, sep: str = ";", too_long: Column | None = None) -> DataFrame:
     """Wide inverter-export lines (``dd.MM.yy``, time, 5 x 11 cells) from long readings.
 
     A missing inverter leaves its 11 cells empty. Lines of day 7 before 06:00
-    get an invalid date; lines of day 15 from 12:00 go to the next month's folder.
+    get an invalid date; lines of day 15 from 12:00 go to the next month's folder. Lines that are ``too_long`` (of date and time) have two cells too many.
     """
     cells = []
     for b in range(1, 6):
@@ -79,16 +79,19 @@ def inverter_lines(production: DataFrame, sep: str = ";") -> DataFrame:
     raw_date = F.when(bad, F.lit("xx.xx.xx")).otherwise(F.date_format("date", "dd.MM.yy"))
     m = F.month("date")
     folder = F.lpad(F.when(moved, m % 12 + 1).otherwise(m).cast("string"), 2, "0")
-    return wide.select(F.concat_ws(sep, raw_date, F.col("time"), F.col("blocks")).alias("line"), folder.alias("month"))
+    line = F.concat_ws(sep, raw_date, F.col("time"), F.col("blocks"))
+    if too_long is not None:
+        line = F.when(too_long, F.concat(line, F.lit(sep + "x" + sep + "y"))).otherwise(line)
+    return wide.select(line.alias("line"), folder.alias("month"))
 
 
 WEATHER_HEADER = ["time", *raw.WEATHER_COLUMNS[1:]]
 OFFSETS = [("Z", 0), ("+01:00", 60), ("-02:30", -150)]
 
 
-def weather_lines(weather_rows: DataFrame, row_id: Column, ts: Column) -> DataFrame:
+def weather_lines(weather_rows: DataFrame, row_id: Column, ts: Column, too_long: Column | None = None) -> DataFrame:
     """Forecast-file lines: ISO time with Z / +01:00 / -02:30 for the same instant, the
-    -99999.0 sentinel, a missing value, an unparsable time and a wrong month folder."""
+    -99999.0 sentinel, a missing value, an unparsable time and a wrong month folder. ``too_long`` lines have a cell too many."""
     k = row_id % 3
     utc = F.date_trunc("second", ts)
     iso = None
@@ -100,6 +103,8 @@ def weather_lines(weather_rows: DataFrame, row_id: Column, ts: Column) -> DataFr
     value = (F.when(row_id % 9 == 0, F.lit("-99999.0")).when(row_id % 11 == 0, F.lit(""))
              .otherwise(F.col("value").cast("string")))
     line = F.concat_ws(",", iso, value, F.col("prediction").cast("string"), "site", "measurement", "unit")
+    if too_long is not None:
+        line = F.when(too_long, F.concat(line, F.lit(",x"))).otherwise(line)
     m = F.month(utc)
     folder = F.lpad(F.when(row_id % 10 == 0, m % 12 + 1).otherwise(m).cast("string"), 2, "0")
     # issued on the day before, in the morning or at noon
@@ -128,6 +133,13 @@ def write_issues(lines: DataFrame, path: str, header: list[str], sep: str = ",")
 
 
 _FRENCH = {v: k for k, v in tx.BOOKING_HEADERS.items()}
+
+
+def french(column: str) -> str:
+    """Header name of a booking column."""
+    return _FRENCH[column]
+
+
 BOOKING_HEADER = [_FRENCH[c] for c in ("room_id", "room_name", "raw_date", "start_time", "end_time", "reservation_id", "activity_type",
                                         "instructor", "department", "reserved_by", "class")]
 
