@@ -222,11 +222,26 @@ def _pair_counts(words: Head):
 def head_of(texts: DataFrame, n_words: int = HEAD_WORDS, n_pairs: int = HEAD_PAIRS) -> Head:
     """The head from counts over all texts (column ``text``): words, then pairs of the most frequent words."""
     counts = texts.mapInArrow(_word_counts, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    words = [bytes(r.word) for r in counts.orderBy(F.desc("n"), "word").limit(n_words).collect()]       # n_words rows
+    words = [bytes(r.word) for r in _most(counts, "word", n_words)]
     first = Head.of(words[:PAIR_WORDS], [])
     cells = texts.mapInArrow(_pair_counts(first), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    top = cells.orderBy(F.desc("n"), "cell").limit(n_pairs).collect()                                    # n_pairs rows
-    return Head.of(words, [divmod(r.cell, PAIR_WORDS) for r in top])
+    return Head.of(words, [divmod(r.cell, PAIR_WORDS) for r in _most(cells, "cell", n_pairs)])
+
+
+def _most(counts: DataFrame, key: str, limit: int) -> list:
+    """Rows with the largest counts, at most ``limit``, in order: whole steps of the logarithm of the count.
+
+    The cut comes from a table of a few hundred steps, so no partition sends its own first rows to the driver.
+    """
+    counts = stage(counts.sparkSession, counts.withColumn("step", F.floor(F.log2("n") * 16)), "resample-counts")
+    cut, taken = None, 0
+    for r in counts.groupBy("step").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("step")).collect():
+        taken += r["rows"]
+        if taken > limit:
+            break
+        cut = r.step
+    rows = counts.where(F.col("step") >= cut).collect() if cut is not None else []
+    return sorted(rows, key=lambda r: (-r.n, r[key]))
 
 
 # --- totals and weights ---------------------------------------------------------------------------
