@@ -27,9 +27,14 @@ def daily_production_total(production: DataFrame, by=("date",)) -> DataFrame:
 
 
 def daily_consumption_total(consumption: DataFrame, by=("date",)) -> DataFrame:
-    """Day total = sum of ``variation``; ``value_acquired`` when no variation column (Q2)."""
-    col = "variation" if "variation" in consumption.columns else "value_acquired"
-    return consumption.groupBy(*by).agg(exact_sum(col).alias("sum_variation_w"))
+    """Day total = sum of ``variation``; of ``value_acquired`` on a day that has no variation at all (Q2).
+
+    ``has_variation`` tells which one a day took, so that its slots can take the same.
+    """
+    if "variation" not in consumption.columns:
+        consumption = consumption.withColumn("variation", F.lit(None).cast("double"))
+    day = consumption.groupBy(*by).agg(exact_sum("variation").alias("_v"), exact_sum("value_acquired").alias("_a"), F.count("variation").alias("_n"))
+    return day.select(*by, F.when(F.col("_n") > 0, F.col("_v")).otherwise(F.col("_a")).alias("sum_variation_w"), (F.col("_n") > 0).alias("has_variation"))
 
 
 def running_pct(production: DataFrame, by=("date", "time")) -> DataFrame:
@@ -73,11 +78,6 @@ def distinct_profiles(sensor: DataFrame) -> DataFrame:
     return sensor.select("value_acquired", "variation").distinct()
 
 
-def distinct_values(df: DataFrame, *cols: str) -> DataFrame:
-    """Distinct combinations of the given columns."""
-    return df.select(*cols).distinct()
-
-
 def keep_first(df: DataFrame, keys: list[str], order: list[str], cols: list[str] | None = None) -> DataFrame:
     """One row per key, the smallest by ``order`` (then by the other columns).
 

@@ -19,14 +19,6 @@ def group_stat_on_row(df: DataFrame, keys: list[str], stats: dict) -> DataFrame:
     return df.join(agg, keys, "left")
 
 
-def most_recent_flag(df: DataFrame, slot: list[str], issued: str = "issued",
-                     flag: str = "most_recent") -> DataFrame:
-    """Flag the latest issue of each forecast slot."""
-    latest = df.groupBy(*slot).agg(F.max(issued).alias("_latest"))
-    return (df.join(latest, slot, "left")
-            .withColumn(flag, F.col(issued) == F.col("_latest")).drop("_latest"))
-
-
 def most_recent(df: DataFrame, slot: list[str], issued: str = "issued") -> DataFrame:
     """The latest issue of each slot, as one combinable aggregate (equal issues: the largest row)."""
     rest = [c for c in df.columns if c not in slot and c != issued]

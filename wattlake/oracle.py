@@ -641,6 +641,11 @@ for _name, _type, _unit in [("silver_sensor_load", "view", "%"), ("silver_temper
                             ("silver_consumption_load", "purchase", "kWh"), ("silver_pv_load", "signup", "W")]:
     SQL[_name] = f"with {sensor_parsed(_type, _unit)}\n{SENSOR_KEPT}"
 
+SQL["silver_mixed_schema"] = with_views("""
+select date, count(*) as n_rows, count(case when day(date) % 5 <> 0 then variation end) as n_variations,
+  cast(sum(cast(case when day(date) % 5 = 0 then value_acquired else variation end as decimal(18,2))) as double) as sum_variation_w
+from a_consumption group by date""")
+
 SQL["sensor_rejects"] = f"""with {sensor_parsed('view', '%')}
 select reason, count(*) as n_lines from (
   select case when too_long then 'too many cells' when date is null then 'bad date' when value_acquired is null then 'bad value'

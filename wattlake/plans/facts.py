@@ -40,7 +40,7 @@ def power_fact(production: DataFrame, consumption: DataFrame) -> DataFrame:
     c = consumption.withColumn("t", tx.normalize_time("time"))
 
     slot_cons = G.keep_first(c, ["date", "t"], ["value_acquired", "variation"], ["value_acquired", "variation"])
-    slot_cons = slot_cons.select("date", "t", F.col("variation").alias("cons_w"),
+    slot_cons = slot_cons.select("date", "t", "value_acquired", "variation",
                                  D.profile_id(slot_cons, "cons_profile").alias("cons_id"))
     slot_run = G.running_pct(p, by=("date", "t")).select("date", "t", "pct_running")
     day = (G.daily_production_total(p).join(G.daily_consumption_total(c), "date", "left"))
@@ -50,7 +50,7 @@ def power_fact(production: DataFrame, consumption: DataFrame) -> DataFrame:
 
     # a slot holds one row per inverter: no hot key, and the rows share the slot aggregate's partitioning
     f = p.join(slot, ["date", "t"], "left")
-    cons_w = F.coalesce(F.col("cons_w"), F.lit(0.0))
+    cons_w = F.coalesce(F.when(F.col("has_variation"), F.col("variation")).otherwise(F.col("value_acquired")), F.lit(0.0))
     return f.select(
         K.surrogate_key("pf", tx.date_iso("date"), F.col("t"), D.ktext(f, "inv_id")).alias("FactID"),
         D.time_id_or_empty("date", F.col("t")).alias("TimeID"),

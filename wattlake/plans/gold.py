@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import schemas
 from ..operators import filters as FL
 from ..sinks import writers as W
 from ..sources.adapters import Feeds
@@ -79,7 +80,7 @@ def load(spark: SparkSession, feeds: Feeds, root: str, start=None, end=None, boo
     tables = build(feeds, start, end, bookings)
     added = {}
     for name, df in tables.items():
-        path = f"{root}/{name}"
+        path, df = f"{root}/{name}", W.conform(df, schemas.GOLD[name])
         if name.endswith("FactTable"):
             W.replace_fact_days(df, path)
         else:

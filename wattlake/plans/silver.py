@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import schemas
 from ..functions import text as tx
 from ..operators import filters as FL
 from ..operators import reshape as R
@@ -127,21 +128,21 @@ def load_sensor(spark: SparkSession, bronze_path, silver_path: str, sep: str | N
                 encoding: str = "UTF-16", quarantine_path: str | None = None) -> None:
     """L1: one scan over all month folders, replace the months read (B1); rejected lines go to ``quarantine_path``."""
     rows, bad = split(sensor_outcomes(raw.read_sensor(spark, bronze_path, sep, encoding, keep_bad=True)), "sensor")
-    W.replace_months(rows, silver_path, full=full, staged=True)
+    W.replace_months(W.conform(rows, schemas.SENSOR), silver_path, full=full, staged=True)
     _quarantine(bad, quarantine_path)
 
 
 def load_production(spark: SparkSession, bronze_path, silver_path: str, sep: str | None = None, quarantine_path: str | None = None) -> None:
     """L2 (+S1: rows sorted by time and inverter inside each day's files); a rejected line stands once in the quarantine."""
     lines, bad = split(production_outcomes(raw.read_inverters(spark, bronze_path, sep, keep_bad=True)), "production")
-    W.replace_months(unpivot_production(lines), silver_path, order=("time", "inv_id"), staged=True)
+    W.replace_months(W.conform(unpivot_production(lines), schemas.PRODUCTION), silver_path, order=("time", "inv_id"), staged=True)
     _quarantine(bad, quarantine_path)
 
 
 def load_weather(spark: SparkSession, bronze_path, silver_path: str, sep: str | None = ",", quarantine_path: str | None = None) -> None:
     """L3."""
     rows, bad = split(weather_outcomes(raw.read_weather(spark, bronze_path, sep, keep_bad=True)), "weather")
-    W.replace_months(rows, silver_path, staged=True)
+    W.replace_months(W.conform(rows, schemas.WEATHER), silver_path, staged=True)
     _quarantine(bad, quarantine_path)
 
 
@@ -155,5 +156,5 @@ def load_booking(spark: SparkSession, bronze_path, silver_path: str, latest: str
     trace = ["file_path", "file_name", raw.LINE]
     lines = lines.withColumn(REASON, _too_long(lines))
     rows, bad = split(clean_booking(lines, (*trace, REASON)), "booking")
-    W.rewrite_layer(rows.withColumn("month", F.date_format("date", "yyyy-MM")), silver_path, "month")
+    W.rewrite_layer(W.conform(rows, schemas.BOOKING).withColumn("month", F.date_format("date", "yyyy-MM")), silver_path, "month")
     _quarantine(bad, quarantine_path)

@@ -580,7 +580,7 @@ def _sensor_drops(spark, sf_dir, name, event_type, unit):
 def _sensor_load(spark, sf_dir, name, event_type, unit):
     root = _sensor_drops(spark, sf_dir, name, event_type, unit)
     SL.load_sensor(spark, f"{root}/bronze", f"{root}/silver")
-    return SV.read_feed(spark, root, "silver").select("date", "time", "unit", "value_acquired", "variation")
+    return SV.read_feed(spark, root, "silver", kind="humidity")
 
 
 @query
@@ -590,6 +590,19 @@ def silver_sensor_load(spark, sf_dir):
     return _sensor_load(spark, sf_dir, "silver-sensor", "view", "%")
 
 
+@query
+def silver_mixed_schema(spark, sf_dir):
+    """A meter feed whose days 5, 10, ... were stored without ``variation`` (and others with a column more), read under
+    the declared schema: rows, variations and total of every day."""
+    root = scratch_path(spark, "mixed-schema")
+    rows, old = A.consumption(spark, sf_dir), F.dayofmonth("date") % 5 == 0
+    W.replace_days(rows.where(old).drop("variation"), f"{root}/consumption")
+    W.replace_days(rows.where(~old).withColumn("remark", F.lit("x")), f"{root}/consumption")
+    feed = SV.read_feed(spark, root, "consumption")
+    counts = feed.groupBy("date").agg(F.count(F.lit(1)).alias("n_rows"), F.count("variation").alias("n_variations"))
+    return counts.join(G.daily_consumption_total(feed), "date").select("date", "n_rows", "n_variations", "sum_variation_w")
+
+
 @query
 def silver_temperature_load(spark, sf_dir):
     """L1 for the temperature feed."""
@@ -737,8 +750,7 @@ def silver_production_load(spark, sf_dir):
     root = scratch_path(spark, "silver-production")
     DR.write_lines(DR.inverter_lines(A.production(spark, sf_dir)), f"{root}/bronze", DR.INVERTER_HEADER, ";")
     SL.load_production(spark, f"{root}/bronze/", f"{root}/silver")
-    return SV.read_feed(spark, root, "silver").select("date", "time", "inv_id", "pac", "daysum", "status", "error",
-                                                       "pdc1", "pdc2", "udc1", "udc2", "temp", "uac")
+    return SV.read_feed(spark, root, "silver", kind="production")
 
 
 def _forecast_rows(spark, sf_dir):
@@ -758,8 +770,7 @@ def silver_weather_load(spark, sf_dir):
     rows = _forecast_rows(spark, sf_dir)
     DR.write_issues(DR.weather_lines(rows, F.col("event_id"), F.col("ts")), f"{root}/bronze", DR.WEATHER_HEADER, ",")
     SL.load_weather(spark, f"{root}/bronze", f"{root}/silver")
-    return SV.read_feed(spark, root, "silver").select("date", "time", "value", "prediction", "site", "measurement",
-                                                       "unit", "issued")
+    return SV.read_feed(spark, root, "silver", kind="weather")
 
 
 @query
@@ -773,5 +784,5 @@ def silver_booking_load(spark, sf_dir):
                    list(reversed(DR.BOOKING_HEADER)), "\t", partition_col=None)
     DR.write_lines(DR.booking_lines(b, long_every=41), f"{root}/bronze/export=2", DR.BOOKING_HEADER, "\t", partition_col=None)
     SL.load_booking(spark, f"{root}/bronze", f"{root}/silver", latest="dir")
-    return SV.read_feed(spark, root, "silver").select(
+    return SV.read_feed(spark, root, "silver", kind="booking").select(
         "date", "room_id", "start_time", "end_time", "reservation_id", "reserved_by", "activity_type", "instructor", "department", "class")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.reshape import set_difference
 from ..session import scratch_path
@@ -46,6 +47,20 @@ def replace_months(df: DataFrame, path: str, date_col: str = "date", full: bool
     replace_days(new, path, date_col, full, order)
 
 
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` under a declared schema: columns by name in its order, absent ones NULL, only safe casts.
+
+    A NULL in a column that is declared NOT NULL fails the write and names the column.
+    """
+    have = {c.lower() for c in df.columns}
+    absent = [f.name for f in schema.fields if not f.nullable and f.name.lower() not in have]
+    if absent:
+        raise ValueError(f"columns declared NOT NULL are missing: {', '.join(absent)}")
+    df = df.to(T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields]))
+    return df.withColumns({f.name: F.coalesce(F.col(f.name), F.raise_error(F.lit(f"NULL in {f.name}, which is declared NOT NULL")).cast(f.dataType))
+                           for f in schema.fields if not f.nullable})
+
+
 def hadoop_path(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -148,7 +163,7 @@ def column_comment(table: str, column: str) -> str:
 
 def create_catalog_tables(spark: SparkSession, root: str, database: str = "gold") -> list[str]:
     """Register every gold table in the session catalog as a Parquet table at ``root/<name>``,
-    partitioned by day for facts, with column descriptions. Existing tables are kept."""
+    partitioned by day for facts, with NOT NULL columns and column descriptions. Existing tables are kept."""
     from .. import schemas
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     names = []
@@ -156,7 +171,7 @@ def create_catalog_tables(spark: SparkSession, root: str, database: str = "gold"
         cols = []
         for f in schema.fields:
             comment = column_comment(name, f.name).replace("'", "")
-            cols.append(f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT '{comment}'" if comment else ""))
+            cols.append(f"`{f.name}` {f.dataType.simpleString()}" + ("" if f.nullable else " NOT NULL") + (f" COMMENT '{comment}'" if comment else ""))
         ddl = (f"CREATE TABLE IF NOT EXISTS {database}.{name} ({', '.join(cols)}) USING parquet "
                + (f"PARTITIONED BY ({part}) " if part else "")
                + f"LOCATION '{root}/{name}' COMMENT '{'fact' if part else 'dimension'} table of the gold model'")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..sinks.writers import path_exists
@@ -28,24 +29,31 @@ def empty(spark: SparkSession, feed: str) -> DataFrame:
     return spark.createDataFrame([], FEED_SCHEMAS[feed])
 
 
-def read_feed(spark: SparkSession, root: str, feed: str, start=None, end=None) -> DataFrame:
-    """Silver feed, optionally limited to [start, end] (partition pruning on ``date``)."""
-    path = f"{root}/{feed}"
+def read_feed(spark: SparkSession, root: str, feed: str, start=None, end=None, kind: str | None = None) -> DataFrame:
+    """Silver feed under its declared schema, optionally limited to [start, end] (partition pruning on ``date``).
+
+    ``feed`` names the folder below ``root``; ``kind`` the schema, where it is not the folder's name.
+
+    No file's footer decides: a column that some days lack is NULL on those days and stays on the others, columns that are not
+    declared are not read. Rows without a time have no slot and are left out (a feed without the column gives none).
+    """
+    path, declared = f"{root}/{feed}", FEED_SCHEMAS[kind or feed]
     if not path_exists(spark, path):        # a corrupt or unreadable folder is an error, not an empty feed
-        return empty(spark, feed)
-    df = spark.read.option("basePath", path).parquet(path)
-    if "month" in df.columns:               # bookings: the month folders of the range (yyyy-MM), pruned as text
-        m = F.substring(F.col("month").cast("string"), 1, 7)
-        for bound, keep in ((start, lambda x: m >= x), (end, lambda x: m <= x)):
+        return spark.createDataFrame([], declared)
+    by_month = (kind or feed) == "booking"         # its folders are months (yyyy-MM), all others' are days
+    folders = T.StructType([T.StructField("month", T.StringType())] if by_month else [])
+    df = spark.read.schema(T.StructType([*declared.fields, *folders.fields])).option("basePath", path).parquet(path)
+    if by_month:                            # the month folders of the range, pruned as text
+        for bound, keep in ((start, lambda x: F.col("month") >= x), (end, lambda x: F.col("month") <= x)):
             if bound is not None:
                 df = df.where(keep(F.date_format(F.lit(bound).cast("date"), "yyyy-MM")))
-        df = df.drop("month")
-    df = df.withColumn("date", F.col("date").cast("date"))
     if start is not None:
         df = df.where(F.col("date") >= F.lit(start).cast("date"))
     if end is not None:
         df = df.where(F.col("date") <= F.lit(end).cast("date"))
-    return df
+    if "time" in declared.fieldNames():
+        df = df.where(F.col("time").isNotNull())
+    return df.to(declared)
 
 
 def read_feeds(spark: SparkSession, root: str, start=None, end=None) -> Feeds:
