@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import os
 import zlib
 
 import numpy as np
@@ -30,32 +31,44 @@ from .common import parts_for, stage
 
 PIECES = 50_000         # open pieces of a partition
 ROUNDS = 6              # exchanges at most
-SLICE = 8 << 20         # bytes of texts whose chunks are collected together
+SLICE = 4 << 20         # bytes of texts whose chunks are collected together
 END = 2                 # id behind each text
 
 
 # --- tokens ---------------------------------------------------------------------------------------
-def _inside() -> np.ndarray:
-    """Bytes that surely end no run of white space: printable ASCII; letters C3 xx are handled with their lead byte."""
-    out = np.zeros(256, bool)
-    out[0x21:0x7F] = True
+SPACE, LETTER, DIGIT, MARK = 1, 2, 3, 4      # classes of bytes between which the tokenizer splits; 0: no split is made here
+
+
+def _classes() -> np.ndarray:
+    """Class of each ASCII byte; the apostrophe has none, as it may belong to the letters behind it."""
+    out = np.zeros(256, np.int8)
+    out[0x21:0x7F] = MARK
+    out[0x30:0x3A] = DIGIT
+    out[0x41:0x5B] = out[0x61:0x7B] = LETTER
+    out[A.IS_SPACE] = SPACE
+    out[0x27] = 0
     return out
 
 
-SOLID = _inside()
+CLASS = _classes()
+BATCH = 16_384          # chunks of one text given to the tokenizer
 
 
 class Chunks:
     """Token ids of texts from the ids of their distinct chunks.
 
-    The tokenizer splits a text before it merges bytes, and no split depends on text across a place where a blank follows a
-    character that is not white space. So a text's ids are those of its chunks, and each distinct chunk of a slice is tokenized once.
+    The tokenizer splits a text into runs of letters, of digits and of other characters, each with the blank before it, and
+    merges bytes inside these alone. Where a run of one class of ASCII bytes (or Latin-1 letters) meets another, or white space begins,
+    no split depends on text across the border. So a text's ids are those of its chunks between such borders, and each distinct chunk
+    of a slice is tokenized once.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark's tasks are the threads
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True       # their strings in a text are ordinary text
+        self.line, = self.tok.encode("\n", add_special_tokens=False).ids
 
     def encode(self, column):
         """(i, ids, offsets) of slices of an Arrow text column; text i + k has ids[offsets[k]:offsets[k + 1]]."""
@@ -66,23 +79,47 @@ class Chunks:
     def _slice(self, buf: np.ndarray, off: np.ndarray):
         cut = np.zeros(len(buf) + 1, bool)
         cut[off] = True
-        if len(buf):
-            solid = SOLID[buf]
-            solid[1:] |= buf[:-1] == 0xC3           # second byte of a Latin-1 letter
-            cut[1:-1] |= A.IS_SPACE[buf[1:]] & solid[:-1]
+        kind = CLASS[buf]
+        if len(buf) > 1:
+            lead = np.flatnonzero(buf[:-1] == 0xC3)             # U+00C0 to U+00FF: letters but for the two signs
+            kind[lead] = kind[lead + 1] = np.where((buf[lead + 1] == 0x97) | (buf[lead + 1] == 0xB7), 0, LETTER)
+            before, here = kind[:-1], kind[1:]
+            cut[1:-1] |= (before > SPACE) & (here > 0) & (before != here)
         edge = np.flatnonzero(cut[:-1]) if len(buf) else np.zeros(0, np.int64)
         ends = np.r_[edge, len(buf)].astype(np.int64)
         words = pa.Array.from_buffers(pa.large_binary(), len(edge), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(buf))])
         coded = words.dictionary_encode()
-        # each chunk once a slice; ids are flattened as they come, no array per chunk
-        found = [e.ids for e in self.tok.encode_batch_fast(coded.dictionary.cast(pa.large_string()).to_pylist(), add_special_tokens=False)]
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        at, flat = np.r_[0, np.cumsum(size)], np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(size.sum()))
         which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        plain = np.zeros(len(coded.dictionary), bool)
+        if len(edge):
+            odd = ((kind == 0) & (buf != 0x27)) | (kind == SPACE)
+            odd[edge] &= buf[edge] != 0x20                       # a blank in front, and no other white space
+            plain[which] = np.add.reduceat(odd.astype(np.int32), edge) == 0
+        flat, size = self._encode(coded.dictionary.cast(pa.large_string()), plain)
+        at = np.r_[0, np.cumsum(size)]
         to = np.r_[0, np.cumsum(size[which])].astype(np.int64)
         out = flat[np.repeat(at[which] - to[:-1], size[which]) + np.arange(to[-1])]
         return out, to[np.searchsorted(edge, off)]
 
+    def _encode(self, chunks, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all chunks one after the other, number of each chunk's ids).
+
+        Plain chunks hold no line end, so many of them are one text with a line end behind each, and the id of the line end
+        parts their ids.
+        """
+        many, size = chunks.filter(pa.array(plain)), np.zeros(len(chunks), np.int64)
+        texts = ["".join(f"{c}\n" for c in many[k:k + BATCH].to_pylist()) for k in range(0, len(many), BATCH)]
+        ids = np.concatenate([np.zeros(0, np.uint32), *[np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]])
+        stop = ids == self.line
+        size[plain] = np.diff(np.flatnonzero(stop), prepend=-1) - 1
+        rest = [e.ids for e in self.tok.encode_batch_fast(chunks.filter(pa.array(~plain)).to_pylist(), add_special_tokens=False)]
+        size[~plain] = np.fromiter(map(len, rest), np.int64, len(rest))
+        own = np.repeat(plain, size)
+        out = np.empty(int(size.sum()), np.uint32)
+        out[own] = ids[~stop]
+        out[~own] = np.fromiter(itertools.chain.from_iterable(rest), np.uint32, int(size[~plain].sum()))
+        return out, size
+
 
 @functools.lru_cache(2)
 def _chunks(path: str) -> Chunks:
