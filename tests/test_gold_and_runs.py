@@ -184,7 +184,7 @@ def test_matches_duckdb(spark, name):
 
 
 def test_every_query_has_oracle_or_is_rows_only():
-    assert set(registry.QUERIES) - set(E.oracle_sql()) == {"forecast_random_forest", "prediction_fact_forecast"}
+    assert set(registry.QUERIES) - set(E.oracle_sql()) == {"forecast_random_forest", "prediction_fact_forecast", "forecast_backtest_accuracy"}
 
 
 def test_stream_rerun_reads_only_new_files(spark, scratch):

@@ -755,3 +755,11 @@ select kind, case grouping(kind, month, date) when 0 then 'day' when 1 then 'mon
   round(cast(sum(err) as double) / count(*), 6) as mae,
   round((1.0 - cast(sum(err) as double) / nullif(cast(sum(mag) as double), 0)) * 100.0, 6) as accuracy_pct
 from y group by grouping sets ((kind, month, date), (kind, month), (kind))"""))
+
+SQL["forecast_backtest"] = with_views(on_energy_days(f"""
+with fr as ({FRAME}),
+n as (select a.date, count(case when b.date >= a.date - 7 then 1 end) as np, count(*) as nc
+      from (select distinct date from fr) a join fr b on b.date < a.date group by a.date)
+select date, hour, production_kwh, consumption_kwh, cast(coalesce(np, 0) as int) as n_train_production, cast(coalesce(nc, 0) as int) as n_train_consumption,
+  coalesce(np > 0 and nc > 0, false) as scored
+from fr left join n using (date)"""))

@@ -17,6 +17,7 @@ from .operators import aggregates as G
 from .operators import filters as FL
 from .operators import reshape as R
 from .operators import windows as WN
+from .plans import backtest as BT
 from .plans import dims, facts, gold, marts, quality, run
 from .plans import forecast as FC
 from .plans import silver as SL
@@ -689,10 +690,8 @@ def forecast_random_forest(spark, sf_dir):
 
 def _until_last_day(fd):
     """The energy feeds without the last day of production and consumption: that day is held out, the weather forecast reaches it."""
-    last = fd.production.select("date").unionByName(fd.consumption.select("date")).agg(F.max("date").alias("__last"))
-    # one row
-    return [getattr(fd, n).crossJoin(F.broadcast(last)).where(F.col("date") < F.col("__last")).drop("__last")
-            for n in ("production", "consumption", "humidity", "temperature")]
+    last = fd.production.select("date").unionByName(fd.consumption.select("date")).agg(F.max("date")).scalar()
+    return [getattr(fd, n).where(F.col("date") < last) for n in ("production", "consumption", "humidity", "temperature")]
 
 
 @query
@@ -704,12 +703,37 @@ def forecast_features(spark, sf_dir):
 
 @query
 def energy_forecast_accuracy(spark, sf_dir):
-    """Predicted (the day before) against actual production and consumption, by day, month and overall."""
+    """G16, baseline: each hour predicted as the same hour of the day before, by day, month and overall (the model's own errors: ``forecast_backtest_accuracy``)."""
     fd = A.feeds(spark, sf_dir, energy_bookings=True)
     frame = FC.hourly_frame(fd.production, fd.consumption, fd.humidity, fd.temperature, fd.booking, fd.weather)
     return FC.accuracy(FC.persistence(W.stage(spark, frame, "hourly")))
 
 
+def _backtest(spark, sf_dir):
+    """(hourly frame, its forecasts as the prediction fact stores them, by day)."""
+    fd = A.feeds(spark, sf_dir, energy_bookings=True)
+    frame = W.stage(spark, FC.hourly_frame(fd.production, fd.consumption, fd.humidity, fd.temperature, fd.booking, fd.weather), "hourly")
+    path = scratch_path(spark, "backtest")
+    W.replace_days(BT.walk_forward(frame, fd.weather), path, "pred_date")
+    return frame, spark.read.schema(BT.SCHEMA).parquet(path)
+
+
+@query
+def forecast_backtest(spark, sf_dir):
+    """Every day forecast from the days before it; its actual hours, the hours that each forest was trained on, and whether a
+    prediction of both targets is stored."""
+    both = BT.compared(*_backtest(spark, sf_dir))
+    scored = F.col("predicted_production_kwh").isNotNull() & F.col("predicted_consumption_kwh").isNotNull()
+    return both.select("date", "hour", "production_kwh", "consumption_kwh", F.coalesce("n_train_production", F.lit(0)).alias("n_train_production"),
+                       F.coalesce("n_train_consumption", F.lit(0)).alias("n_train_consumption"), scored.alias("scored"))
+
+
+@query
+def forecast_backtest_accuracy(spark, sf_dir):
+    """Errors of the model's own forecasts of production and consumption, by day, month and overall. Rows-only check (tree model)."""
+    return BT.accuracy(BT.compared(*_backtest(spark, sf_dir)))
+
+
 @query
 def prediction_fact_forecast(spark, sf_dir):
     """L17 + L20: the prediction fact after the next day's forecast replaced that day. Rows-only check (tree model)."""
@@ -723,7 +747,8 @@ def prediction_fact_forecast(spark, sf_dir):
 
 @query
 def actual_vs_predicted(spark, sf_dir):
-    """J14 (+G5): actual production per slot beside the slot's mean forecast (full outer on the slot)."""
+    """J14 (+G5): actual production per slot beside the mean of the weather feed's ``prediction`` (the reference's production-forecast
+    dimension takes it from there); full outer on the slot. The model's predictions: ``forecast_backtest``."""
     actual = (A.production(spark, sf_dir).withColumn("time", tx.normalize_time("time"))
               .groupBy("date", "time").agg(G.exact_sum("pac").alias("actual_sum_pac")))
     pred = (A.weather(spark, sf_dir).withColumn("time", tx.normalize_time("time"))
