@@ -223,12 +223,26 @@ def test_delimited_export_round_trip(spark, scratch):
     assert sorted(map(tuple, back.collect())) == [("R1", "ANONYMIZED", ""), ("R2", "", "ANONYMIZED")]
 
 
-def test_run_summary(spark):
-    """Succeeded vs empty dates of a run."""
-    from wattlake.operators import aggregates as G
-    counts = spark.createDataFrame([(dt.date(2023, 3, d), n) for d, n in [(1, 5), (2, 0), (3, 7)]], "date date, n_rows long")
-    r = G.run_summary(counts).first()
-    assert (r.dates_succeeded, r.dates_empty, r.first_date, r.last_date) == (2, 1, dt.date(2023, 3, 1), dt.date(2023, 3, 3))
+def test_backfill_log(spark, scratch):
+    """A day whose file is damaged is logged as failed, the others are loaded and counted by their own writes."""
+    from wattlake.plans import run
+    day = lambda d: dt.date(2023, 3, d)
+    rows = [(day(d), f"{h:02d}:00:00", i, float(h + i), float(h), "6", 0.0) for d in (1, 2, 4) for h in (7, 8) for i in (1, 2)]
+    made = spark.createDataFrame(rows, "date date, time string, inv_id int, pac double, daysum double, status string, error double")
+    s, g = f"{scratch}/silver", f"{scratch}/gold"
+    W.replace_days(W.conform(made, schemas.PRODUCTION), f"{s}/production")
+    part = [f for f in os.listdir(f"{s}/production/date=2023-03-02") if f.endswith(".parquet")][0]
+    os.remove(f"{s}/production/date=2023-03-02/.{part}.crc")
+    with open(f"{s}/production/date=2023-03-02/{part}", "wb") as fh:
+        fh.write(b"no parquet")
+    log = run.backfill(spark, s, g, "2023-03-01", "2023-03-04")
+    power = {r.date: (r.n_rows, r.status) for r in log.where("table_name = 'Power_FactTable'").collect()}
+    assert power == {day(1): (4, "loaded"), day(3): (0, "empty"), day(4): (4, "loaded")}
+    assert [(r.date, r.status) for r in log.where("status = 'failed'").collect()] == [(day(2), "failed")]
+    assert spark.read.parquet(f"{g}/Power_FactTable").count() == 8
+    r = run.run_summary(spark.read.parquet(f"{g}/run_log")).first()
+    assert (r.dates_succeeded, r.dates_empty, r.dates_failed, r.first_date, r.last_date) == (2, 1, 1, day(1), day(4))
+    assert sum(x.n_rows for x in log.where("table_name = 'DimInverter' and date is null").collect()) == 2
 
 
 def test_catalog_ddl_create_and_drop(spark, scratch):

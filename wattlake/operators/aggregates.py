@@ -93,10 +93,3 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str], cols: list[str]
     picked = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
     return picked.select(*keys, *[F.col(f"_first._o{i}").alias(c) for i, c in enumerate(order) if c in cols],
                          *[F.col(f"_first.{c}") for c in rest])
-
-
-def run_summary(counts: DataFrame, date_col: str = "date", rows_col: str = "n_rows") -> DataFrame:
-    """Dates that produced rows vs not, as one summary row."""
-    return counts.agg(F.count_if(F.col(rows_col) > 0).alias("dates_succeeded"),
-                      F.count_if(F.col(rows_col) == 0).alias("dates_empty"),
-                      F.min(date_col).alias("first_date"), F.max(date_col).alias("last_date"))

@@ -28,9 +28,13 @@ def sentinel_drop(df: DataFrame, col: str = "value", sentinel: float = SENTINEL_
     return df.where(~F.col(col).eqNullSafe(F.lit(sentinel)))
 
 
+def as_date(x) -> dt.date:
+    return x if isinstance(x, dt.date) else dt.date.fromisoformat(x)
+
+
 def month_bounds(start, end) -> tuple[dt.date, dt.date]:
     """First day of the month of ``start`` and last day of the month of ``end``."""
-    a, b = (x if isinstance(x, dt.date) else dt.date.fromisoformat(x) for x in (start, end))
+    a, b = as_date(start), as_date(end)
     return a.replace(day=1), b.replace(day=calendar.monthrange(b.year, b.month)[1])
 
 

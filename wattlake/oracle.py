@@ -605,6 +605,13 @@ left join (select partition_date as date, count(*) as n from wf group by 1) b on
 left join (select partition_date as date, count(*) as n from rf group by 1) c on c.date = cal.date
 left join (select partition_date as date, count(*) as n from prf group by 1) e on e.date = cal.date"""))
 
+_LOGGED = [("Power_FactTable", "pf"), ("Weather_FactTable", "wf"), ("Rooms_FactTable", "rf"), ("Prediction_FactTable", "prf")]
+SQL["run_log"] = with_views(on_energy_days(f"""
+with {cte(pf='power_fact', wf='weather_fact', rf='rooms_fact', prf='prediction_fact')},
+cal as (select cast(unnest(generate_series(min(date), max(date), interval 1 day)) as date) as date from a_booking),
+n as ({" union all ".join(f"select '{t}' as table_name, cal.date, count(x.partition_date) as n_rows from cal left join {a} x on x.partition_date = cal.date group by 2" for t, a in _LOGGED)})
+select table_name, date, n_rows, case when n_rows > 0 then 'loaded' else 'empty' end as status from n"""))
+
 SQL["future_time_rows"] = with_views("""
 with r as (select distinct date from a_consumption),
 t as (select distinct make_date(2023, month(x), least(day(x), day(last_day(make_date(2023, month(x), 1))))) as target

@@ -6,6 +6,7 @@ insert-if-absent, facts by replacing the days they contain.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,18 +72,29 @@ CORE_TABLES = ["DimTime", "DimInverter", "DimConsumption", "DimErrors", "DimFore
                "DimReservation", "Power_FactTable", "Weather_FactTable", "Rooms_FactTable", "Prediction_FactTable"]
 
 
-def load(spark: SparkSession, feeds: Feeds, root: str, start=None, end=None, bookings: Callable | None = None) -> dict[str, int]:
+def load(spark: SparkSession, feeds: Feeds, root: str, start=None, end=None, bookings: Callable | None = None,
+         log: list | None = None) -> dict[str, int]:
     """Write every table under ``root``; returns rows added per dimension.
 
     Dimensions come first, then the facts with dynamic partition overwrite
-    (re-running a day replaces it, other days stay).
+    (re-running a day replaces it, other days stay). ``log`` takes (table, day or None, rows): of a dimension what was
+    added, of a fact the rows of each day of [start, end].
     """
     tables = build(feeds, start, end, bookings)
+    days = []
+    if log is not None and start is not None and end is not None:
+        first, last = FL.as_date(start), FL.as_date(end)
+        days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
     added = {}
     for name, df in tables.items():
         path, df = f"{root}/{name}", W.conform(df, schemas.GOLD[name])
         if name.endswith("FactTable"):
-            W.replace_fact_days(df, path)
+            written = W.Written(days)
+            W.replace_fact_days(df, path, written=written)
+            rows = list(written.by_day().items()) if days else [(None, written.total())]
         else:
             added[name] = W.upsert_dim(spark, df, path, df.columns[0])
+            rows = [(None, added[name])]
+        if log is not None:
+            log += [(name, day, n) for day, n in rows]
     return added

@@ -7,13 +7,17 @@ scan) and every gold plan is keyed by date already.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import keys as K
 from ..functions import text as tx
+from ..operators import filters as FL
 from ..sources import silver as SV
 from ..sources.adapters import Feeds
 from . import gold
@@ -41,10 +45,46 @@ def backfill_counts(feeds: Feeds, start=None, end=None) -> DataFrame:
     return out.fillna(0)
 
 
-def backfill(spark: SparkSession, silver_root: str, gold_root: str, start, end) -> dict:
-    """Load gold for [start, end] from a silver lake in one job per table."""
-    return gold.load(spark, SV.read_feeds(spark, silver_root), gold_root, start, end,
-                     lambda a, b: SV.read_feed(spark, silver_root, "booking", a, b))
+RUN_LOG = "table_name string, date date, n_rows long, status string, error string"
+CHUNK_DAYS = 92         # days that one job per table loads, and that a write counts apart
+
+
+def backfill(spark: SparkSession, silver_root: str, gold_root: str, start, end, chunk_days: int = CHUNK_DAYS) -> DataFrame:
+    """Load gold for [start, end] from a silver lake, one job per table and chunk; returns the run log.
+
+    The log has a row per day and fact (``loaded`` or ``empty``), a row per dimension and chunk (rows added, no day), and a
+    row per day that could not be loaded (``failed``, with the error). A chunk that fails is halved until its bad days stand
+    alone, so the other days are loaded. The log is also kept under ``gold_root/run_log``. What a day loads equals
+    a run of that day alone, so the chunks only decide how many jobs there are.
+    """
+    first, last = FL.as_date(start), FL.as_date(end)
+    rows: list = []
+    todo = [(first + dt.timedelta(days=i), min(first + dt.timedelta(days=i + chunk_days - 1), last))
+            for i in range(0, (last - first).days + 1, chunk_days)][::-1]
+    while todo:
+        a, b = todo.pop()
+        log: list = []
+        try:
+            gold.load(spark, SV.read_feeds(spark, silver_root), gold_root, a, b, lambda x, y: SV.read_feed(spark, silver_root, "booking", x, y), log)
+        except (PySparkException, Py4JJavaError) as e:         # of the data or the store; errors of the code itself are not caught
+            if a < b:
+                half = a + (b - a) // 2
+                todo += [(half + dt.timedelta(days=1), b), (a, half)]
+            else:
+                rows.append((None, a, 0, "failed", str(e).splitlines()[0][:500]))
+            continue
+        rows += [(name, day, n, "loaded" if n else "empty", None) for name, day, n in log]
+    done = spark.createDataFrame(rows, RUN_LOG)                 # a few rows per day
+    done.coalesce(1).write.mode("append").parquet(f"{gold_root}/run_log")
+    return done
+
+
+def run_summary(log: DataFrame) -> DataFrame:
+    """Days that were loaded, days without any row, days that failed, and the range, as one row."""
+    days = log.where(F.col("date").isNotNull()).groupBy("date").agg(
+        F.max(F.col("status") == "loaded").alias("loaded"), F.max(F.col("status") == "failed").alias("failed"))
+    return days.agg(F.count_if("loaded").alias("dates_succeeded"), F.count_if(~F.col("loaded") & ~F.col("failed")).alias("dates_empty"),
+                    F.count_if("failed").alias("dates_failed"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
 
 
 def future_time_rows(run_dates: DataFrame, fixed_year: int | None = 2023, days_ahead: int = 2,

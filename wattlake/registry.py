@@ -539,6 +539,30 @@ def backfill_range(spark, sf_dir):
     return run.backfill_counts(A.feeds(spark, sf_dir, materialize=True, energy_bookings=True))
 
 
+def _lake(spark, sf_dir, root):
+    """The six feeds stored as a silver lake under ``root`` (bookings on the days of the energy feeds)."""
+    fd = A.feeds(spark, sf_dir, energy_bookings=True)
+    for name in gold.FEED_NAMES:
+        declared = SV.FEED_SCHEMAS[name]
+        rows = getattr(fd, name)
+        rows = W.conform(rows.select(*[F.col(c).cast(declared[c].dataType) for c in rows.columns if c in declared.fieldNames() and c != "issued"]), declared)
+        if name == "booking":
+            W.rewrite_layer(rows.withColumn("month", F.date_format("date", "yyyy-MM")), f"{root}/{name}", "month")
+        else:
+            W.replace_days(rows, f"{root}/{name}", full=True)
+    return root
+
+
+@query
+def run_log(spark, sf_dir):
+    """The log of a backfill of all days from a stored lake: rows of each day and fact as their writes counted them, days without
+    rows, and the rows added to the core dimensions."""
+    root = _lake(spark, sf_dir, scratch_path(spark, "run-log"))
+    first, last = SV.read_feed(spark, root, "booking").agg(F.min("date"), F.max("date")).first()
+    log = run.backfill(spark, root, f"{root}/gold", first, last)
+    return log.where(F.col("date").isNotNull()).select("table_name", "date", "n_rows", "status")
+
+
 @query
 def rooms_fact_day_runs(spark, sf_dir):
     """The rooms fact and DimReservation as one-day and mid-month runs load them, over four runs."""

@@ -8,7 +8,9 @@ join against the keys already stored, written to a staging folder first
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +18,28 @@ from ..operators.reshape import set_difference
 from ..session import scratch_path
 
 
-def replace_days(df: DataFrame, path: str, date_col: str = "date", full: bool = False, order: tuple = ()) -> None:
+class Written:
+    """Rows that a write wrote, in all and by day, observed inside the write itself (no second pass counts them).
+
+    The metrics sit right below the writer, where every partition reports once, whatever is retried before it.
+    """
+
+    def __init__(self, days: list[dt.date] = ()):
+        self.days, self.seen = list(days), Observation()
+
+    def on(self, df: DataFrame, date_col: str | None = None) -> DataFrame:
+        by_day = [F.count_if(F.col(date_col) == F.lit(d)).alias(f"d{i}") for i, d in enumerate(self.days)] if date_col else []
+        return df.observe(self.seen, F.count(F.lit(1)).alias("n"), *by_day)
+
+    def total(self) -> int:
+        return self.seen.get["n"]
+
+    def by_day(self) -> dict[dt.date, int]:
+        got = self.seen.get
+        return {d: got[f"d{i}"] for i, d in enumerate(self.days)}
+
+
+def replace_days(df: DataFrame, path: str, date_col: str = "date", full: bool = False, order: tuple = (), written: Written | None = None) -> None:
     """B1: write ``df`` partitioned by day; only the days present in ``df`` are replaced.
 
     ``full=True`` replaces the whole feed (static overwrite). Rows are
@@ -24,7 +47,8 @@ def replace_days(df: DataFrame, path: str, date_col: str = "date", full: bool =
     rather than one per task, and AQE splits a day that holds a large share
     of the rows across several writers instead of one.
     """
-    w = (rebalance(df, date_col).sortWithinPartitions(date_col, *order)
+    df = rebalance(df, date_col).sortWithinPartitions(date_col, *order)
+    w = ((written.on(df, date_col) if written else df)
          .write.mode("overwrite").option("partitionOverwriteMode", "static" if full else "dynamic"))
     w.partitionBy(date_col).parquet(path)
 
@@ -116,23 +140,22 @@ def upsert_dim(spark: SparkSession, new: DataFrame, path: str, key: str) -> int:
     """
     existing = spark.read.parquet(path) if path_exists(spark, path) else None
     add = rows_to_insert(new, existing, key)
-    stage = scratch_path(spark, "stage-dim")
-    add.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
-    n = staged.count()
+    stage, written = scratch_path(spark, "stage-dim"), Written()
+    written.on(add).write.mode("overwrite").parquet(stage)
+    n = written.total()
     if n:
-        staged.write.mode("append").parquet(path)
+        spark.read.parquet(stage).write.mode("append").parquet(path)
     return n
 
 
-def replace_fact_days(df: DataFrame, path: str, part_col: str = "partition_date") -> None:
+def replace_fact_days(df: DataFrame, path: str, part_col: str = "partition_date", written: Written | None = None) -> None:
     """Replace the days present in ``df``; other days stay.
 
     Empty input is a no-op by construction: dynamic overwrite only replaces
     partitions that receive rows (no separate emptiness job, which would
     compute the plan twice).
     """
-    replace_days(df, path, part_col)
+    replace_days(df, path, part_col, written=written)
 
 
 def replaced_view(existing: DataFrame, batch: DataFrame, part_col: str = "partition_date") -> DataFrame:
