@@ -648,6 +648,8 @@ for _name, _type, _unit in [("silver_sensor_load", "view", "%"), ("silver_temper
                             ("silver_consumption_load", "purchase", "kWh"), ("silver_pv_load", "signup", "W")]:
     SQL[_name] = f"with {sensor_parsed(_type, _unit)}\n{SENSOR_KEPT}"
 
+SQL["power_fact_unstored"] = SQL["power_fact"]
+
 SQL["silver_mixed_schema"] = with_views("""
 select date, count(*) as n_rows, count(case when day(date) % 5 <> 0 then variation end) as n_variations,
   cast(sum(cast(case when day(date) % 5 = 0 then value_acquired else variation end as decimal(18,2))) as double) as sum_variation_w

@@ -20,11 +20,19 @@ from ..functions import text as tx
 from ..operators import aggregates as G
 from ..operators.joins import salted_join
 from ..operators.windows import most_recent
+from ..sinks.writers import store_bucketed
 from . import dims as D
 
 MEAN_DIGITS = 6
 
 
+def store_slots(production: DataFrame, consumption: DataFrame, root: str, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """J1-J5 layout: both feeds in the same buckets of (date, ``t``), ``t`` being the normalised time of the slot."""
+    stored = [store_bucketed(df.withColumn("t", tx.normalize_time("time")), ["date", "t"], f"{root}/{n}", buckets=buckets)
+              for n, df in (("production_slots", production), ("consumption_slots", consumption))]
+    return stored[0], stored[1]
+
+
 def power_fact(production: DataFrame, consumption: DataFrame) -> DataFrame:
     """One row per inverter reading, with the slot's consumption and day totals.
 
@@ -33,11 +41,14 @@ def power_fact(production: DataFrame, consumption: DataFrame) -> DataFrame:
       profile id (Q1 fix), '' when the slot has no consumption;
     * day totals: max ``daysum`` (G1) and sum of ``variation`` (G2), in kW;
     * share of inverters running in the slot (G3).
+
+    Feeds from ``store_slots`` bring their slot ``t`` and lie in buckets of (date, t): the slot statistics and both joins
+    then need no exchange. The day totals, one row per calendar day, are broadcast.
     """
     p = D.with_defaults(production, {"status": None, "daysum": 0.0, "pdc1": 0.0, "pdc2": 0.0,
                                      "udc1": 0.0, "udc2": 0.0})
-    p = p.withColumn("t", tx.normalize_time("time"))
-    c = consumption.withColumn("t", tx.normalize_time("time"))
+    slotted = lambda df: df if "t" in df.columns else df.withColumn("t", tx.normalize_time("time"))
+    p, c = slotted(p), slotted(consumption)
 
     slot_cons = G.keep_first(c, ["date", "t"], ["value_acquired", "variation"], ["value_acquired", "variation"])
     slot_cons = slot_cons.select("date", "t", "value_acquired", "variation",
@@ -46,7 +57,7 @@ def power_fact(production: DataFrame, consumption: DataFrame) -> DataFrame:
     day = (G.daily_production_total(p).join(G.daily_consumption_total(c), "date", "left"))
     # day totals ride on the per-slot table (small joins small), so the fact rows meet one table:
     # every reading's slot is in ``slot_run``, hence every reading gets its day's totals
-    slot = slot_run.join(slot_cons, ["date", "t"], "left").join(day, "date", "left")
+    slot = slot_run.join(slot_cons, ["date", "t"], "left").join(F.broadcast(day), "date", "left")
 
     # a slot holds one row per inverter: no hot key, and the rows share the slot aggregate's partitioning
     f = p.join(slot, ["date", "t"], "left")

@@ -354,7 +354,13 @@ def rooms_booked_by_slot(spark, sf_dir):
 
 @query
 def power_fact(spark, sf_dir):
-    """L14 flagship: production vs consumption, running share, day totals, for every day."""
+    """L14 flagship: production vs consumption, running share, day totals, for every day, from feeds stored in buckets of their slot."""
+    return facts.power_fact(*facts.store_slots(A.production(spark, sf_dir), A.consumption(spark, sf_dir), scratch_path(spark, "slots")))
+
+
+@query
+def power_fact_unstored(spark, sf_dir):
+    """L14 over feeds in any layout: the slot statistics are exchanged."""
     return facts.power_fact(A.production(spark, sf_dir), A.consumption(spark, sf_dir))
 
 

@@ -9,6 +9,7 @@ join against the keys already stored, written to a staging folder first
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -221,5 +222,19 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def store_bucketed(df: DataFrame, keys: list[str], path: str, table: str | None = None, buckets: int | None = None) -> DataFrame:
+    """Store ``df`` in buckets of ``keys``, one sorted file each, and read it as the catalog table ``table``.
+
+    Aggregates by the keys and joins on them then find their rows together: no exchange. ``buckets`` should fit the
+    table (default: the session's shuffle partitions); tables that are joined need the same number. Without ``table`` the
+    name is one of its own.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = table or f"bucketed_{uuid.uuid4().hex}"
+    (df.repartition(n, *keys).write.mode("overwrite").bucketBy(n, *keys).sortBy(*keys).option("path", path).format("parquet").saveAsTable(name))
+    return spark.table(name)
+
+
 def with_load_version(df: DataFrame, version: int) -> DataFrame:
     return df.withColumn("load_version", F.lit(version))
