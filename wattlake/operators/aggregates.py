@@ -57,15 +57,15 @@ def mean_prediction_per_time(weather: DataFrame) -> DataFrame:
     return weather.groupBy("date", "time").agg(F.avg("prediction").alias("mean_prediction"))
 
 
-def rooms_booked_by_slot(booking: DataFrame) -> DataFrame:
+def rooms_booked_by_slot(booking: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """G6 + G7: distinct rooms per (date, start) against the rooms of the month (Q5).
 
-    The month total is one row per year-month, joined on the month key.
-    Ratio is 0-1 (Q4) and guarded against an empty catalogue.
+    The month total is one row per year-month, joined on the month key: ``totals`` (ym, rooms_total), or counted
+    from the bookings, which then must hold whole months. Ratio is 0-1 (Q4) and guarded against an empty catalogue.
     """
     b = booking.withColumn("ym", F.date_trunc("month", F.col("date")).cast("date"))
     booked = b.groupBy("date", "ym", "start_time").agg(F.count_distinct("room_id").alias("rooms_booked"))
-    total = b.groupBy("ym").agg(F.count_distinct("room_id").alias("rooms_total"))
+    total = totals if totals is not None else b.groupBy("ym").agg(F.count_distinct("room_id").alias("rooms_total"))
     return (booked.join(total, "ym")
             .select("date", "start_time", "rooms_booked", "rooms_total",
                     F.coalesce(F.try_divide(F.col("rooms_booked").cast("double"), F.col("rooms_total").cast("double")),

@@ -44,6 +44,22 @@ def stalled_inverters(production: DataFrame) -> DataFrame:
             .select("date", "time", "inv_id", "daysum", "prev_daysum", "n_peers_rising"))
 
 
+def stall_episodes(production: DataFrame) -> DataFrame:
+    """W4 as episodes: readings of an inverter in a row that did not rise while a peer's did, with what the risers gained meanwhile.
+
+    Gaps and islands on the readings of one inverter's day (at most 96): readings that do not stall number the islands.
+    ``lost_daysum`` is the sum over the episode of the mean rise of the peers that rose, the production that is missing.
+    """
+    w = Window.partitionBy("date", "inv_id").orderBy("time")
+    p = production.select("date", "time", "inv_id", "daysum").withColumn("rise", F.col("daysum") - F.lag("daysum").over(w))
+    slot = p.groupBy("date", "time").agg(F.count_if(F.col("rise") > 0).alias("n"), F.sum(F.when(F.col("rise") > 0, F.col("rise").cast("decimal(18,2)"))).alias("gain"))
+    p = p.join(slot, ["date", "time"]).withColumn("stalled", F.coalesce((F.col("rise") <= 0) & (F.col("n") > 0), F.lit(False)))
+    p = p.withColumn("island", F.sum(F.when(F.col("stalled"), 0).otherwise(1)).over(w)).where("stalled")
+    return p.groupBy("date", "inv_id", "island").agg(
+        F.min("time").alias("start_time"), F.max("time").alias("end_time"), F.count(F.lit(1)).alias("n_readings"),
+        F.round(F.sum(F.col("gain").cast("double") / F.col("n")), 4).alias("lost_daysum")).drop("island")
+
+
 def peer_underperformers(production: DataFrame, ratio: float = 0.5) -> DataFrame:
     """Readings below ``ratio`` x the mean ``pac`` of all inverters in the slot (W1 on each row)."""
     p = group_stat_on_row(production, ["date", "time"], {"peer_avg_pac": F.avg("pac"),

@@ -734,11 +734,38 @@ select {french_parse("case when reservation_id % 31 = 0 then '?? ??? ????' else
   {strip_fill('department')} as department, {strip_fill('class')} as class
 from a_booking where reservation_id % 41 != 0""")
 
-_RUN_DAYS = ("date between date '1996-09-17' and date '1996-10-12' or date in (date '1999-02-28', date '2000-02-29', date '2000-03-01')")
 SQL["rooms_fact_day_runs"] = with_views(f"""
 with {cte(rf='rooms_fact', dr='dim_reservation')}
 select rf.FactID, rf.RoomID, rf.ReservationID, rf.Pct_Rooms_Booked, rf.Rooms_Free_Count, rf.partition_date, dr.Start_time as first_start
-from rf left join dr using (ReservationID) where {_RUN_DAYS.replace('date between', 'partition_date between').replace('or date in', 'or partition_date in')}""")
+from rf left join dr using (ReservationID)""")
+SQL["rooms_fact_bitmaps"] = SQL["rooms_fact"]
+SQL["campus_kpis_incremental"] = SQL["campus_kpis"]
+SQL["forecast_accuracy_incremental"] = SQL["forecast_accuracy"]
+
+SQL["stall_episodes"] = with_views("""
+with p as (select date, time, inv_id, daysum - lag(daysum) over (partition by date, inv_id order by time) as rise from a_production),
+s as (select date, time, count_if(rise > 0) as n, sum(case when rise > 0 then cast(rise as decimal(18,2)) end) as gain from p group by 1, 2),
+q as (select p.*, n, gain, coalesce(rise <= 0 and n > 0, false) as stalled from p join s using (date, time)),
+i as (select *, sum(case when stalled then 0 else 1 end) over (partition by date, inv_id order by time rows unbounded preceding) as island from q)
+select date, inv_id, min(time) as start_time, max(time) as end_time, count(*) as n_readings, round(sum(cast(gain as double) / n), 4) as lost_daysum
+from i where stalled group by date, inv_id, island""")
+
+SQL["missing_day_ranges"] = with_views("""
+with d as (select distinct 'production' as feed, date from a_production where day(date) not in (5, 6, 7, 20)
+  union all select distinct 'humidity', date from a_humidity where day(date) not in (1, 9) union all select distinct 'booking', date from a_booking),
+n as (select feed, date, lead(date) over (partition by feed order by date) as nxt from d)
+select feed, cast(date + 1 as date) as first_day, cast(nxt - 1 as date) as last_day, cast(nxt - date - 1 as int) as n_days from n where nxt - date > 1""")
+
+SQL["room_month_matrix"] = with_views(f"""
+with h as (select room_id, date, cast(sum(end_hour - start_hour) as bigint) as hours from {BOOK_HOURS} group by room_id, date),
+m as (select distinct room_id, date_trunc('month', date) as month from h),
+g as (select x.room_id, x.month, x.d, coalesce(cast(h.hours as varchar), case when x.d <= day(last_day(x.month)) then '0' else '-' end) as place, h.hours
+      from (select *, unnest(range(1, 32)) as d from m) x left join h on h.room_id = x.room_id and date_trunc('month', h.date) = x.month and day(h.date) = x.d)
+select room_id, strftime(month, '%Y-%m') as month, string_agg(place, ',' order by d) as hours, cast(sum(hours) as bigint) as total_hours from g group by room_id, month""")
+
+SQL["role_views"] = with_views("""
+select 'director' as role, 'rooms' as page, department || ' ' || room_id as item, count(*) as n_rows from a_booking where department = 'F' group by department, room_id
+union all select r, 'solar', cast(inv_id as varchar), count(*) from a_production, (values ('director'), ('technician')) t(r) group by r, inv_id""")
 
 FRAME = f"""
 with p as (select date, {hour_num('time')} as hour, cast(sum(cast(pac as decimal(18,2))) as double) / 1000.0 as production_kwh from a_production group by 1, 2),

@@ -111,15 +111,15 @@ def weather_fact(weather: DataFrame, humidity: DataFrame | None, temperature: Da
         F.col("date").alias("partition_date"))
 
 
-def rooms_fact_flagged(booking: DataFrame) -> DataFrame:
+def rooms_fact_flagged(booking: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """L16 + D6 in one pass: every booking row with ``_ok`` (has TimeID and RoomID).
 
     A job that keeps both the fact and the quarantine reads this once (e.g.
     one write, or a projection of the flag) instead of computing the fact
-    twice for two filtered halves.
+    twice for two filtered halves. With ``totals`` (``states.rooms_of_month``) the bookings may be of single days.
     """
     b = booking.withColumn("t", tx.normalize_time("start_time", bare_hour=True))
-    slot = G.rooms_booked_by_slot(booking)
+    slot = G.rooms_booked_by_slot(booking, totals)
     f = salted_join(b, slot, ["date", "start_time"], "left")
     time_ok = F.col("date").isNotNull() & D.valid_time(F.col("t"))
     room_ok = F.col("room_id").isNotNull() & (F.col("room_id") != "")
@@ -136,19 +136,19 @@ def rooms_fact_flagged(booking: DataFrame) -> DataFrame:
     return rows
 
 
-def rooms_fact_split(booking: DataFrame) -> tuple[DataFrame, DataFrame]:
+def rooms_fact_split(booking: DataFrame, totals: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(fact rows, quarantined rows without TimeID or RoomID).
 
     The split tests cheap validity flags, not the md5 ids: Catalyst pushes
     the predicate down to the scan, and the ids would be recomputed there.
     """
-    rows = rooms_fact_flagged(booking)
+    rows = rooms_fact_flagged(booking, totals)
     return rows.where("_ok").drop("_ok"), rows.where(~F.col("_ok")).drop("_ok")
 
 
-def rooms_fact(booking: DataFrame) -> DataFrame:
+def rooms_fact(booking: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """One row per booking with the slot's booked share and free rooms."""
-    return rooms_fact_split(booking)[0]
+    return rooms_fact_split(booking, totals)[0]
 
 
 def prediction_fact(consumption: DataFrame, weather: DataFrame) -> DataFrame:

@@ -193,6 +193,18 @@ def room_date_heatmap(booking: DataFrame) -> DataFrame:
                                             F.sum(F.col("end_hour") - F.col("start_hour")).cast("long").alias("booked_hours"))
 
 
+def room_month_matrix(booking: DataFrame) -> DataFrame:
+    """G20 as a matrix: a row per room and month with an array of 31 places, the booked hours of each day (0: none, null: no such day).
+
+    The width is the calendar's, so nothing is pivoted and the columns do not depend on the data.
+    """
+    day = room_date_heatmap(booking).withColumn("month", F.date_trunc("month", F.col("date")).cast("date"))
+    g = day.groupBy("room_id", "month").agg(F.map_from_entries(F.collect_list(F.struct(F.dayofmonth("date"), "booked_hours"))).alias("m"),    # at most 31
+                                            F.sum("booked_hours").alias("total_hours"))
+    place = lambda d: F.when(d <= F.dayofmonth(F.last_day("month")), F.coalesce(F.try_element_at("m", d), F.lit(0).cast("long")))
+    return g.select("room_id", F.date_format("month", "yyyy-MM").alias("month"), F.transform(F.sequence(F.lit(1), F.lit(31)), place).alias("hours"), "total_hours")
+
+
 def room_hour_timeline(booking: DataFrame) -> DataFrame:
     """A booking covers every hour from its start up to (excluding) its end."""
     b = booking_hours(booking)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -81,6 +81,17 @@ def not_null_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return _union(out)
 
 
+def missing_day_ranges(feeds: dict[str, DataFrame]) -> DataFrame:
+    """V4 as ranges: per feed, each run of calendar days without rows between two days with rows.
+
+    Only the distinct days are ordered: one row per calendar day and feed.
+    """
+    days = _union([df.select(F.lit(name).alias("feed"), F.col("date").cast("date").alias("date")).where(F.col("date").isNotNull()).distinct() for name, df in feeds.items()])
+    nxt = F.lead("date").over(Window.partitionBy("feed").orderBy("date"))
+    gaps = days.withColumn("next", nxt).where(F.datediff("next", "date") > 1)
+    return gaps.select("feed", F.date_add("date", 1).alias("first_day"), F.date_sub("next", 1).alias("last_day"), (F.datediff("next", "date") - 1).alias("n_days"))
+
+
 def missing_days(feeds: dict[str, DataFrame]) -> DataFrame:
     """V4: per feed, calendar days between its first and last day with no rows.
 

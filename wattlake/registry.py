@@ -9,6 +9,9 @@ invalid tokens chosen from the row's own ids) and parse it back.
 
 from __future__ import annotations
 
+import datetime as dt
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +21,10 @@ from .operators import filters as FL
 from .operators import reshape as R
 from .operators import windows as WN
 from .plans import backtest as BT
-from .plans import dims, facts, gold, marts, quality, run
+from .plans import dims, facts, gold, marts, quality, run, secure
 from .plans import forecast as FC
 from .plans import silver as SL
+from .plans import states as STA
 from .session import apply_runtime_conf, scratch_path, shared_dir
 from .sinks import writers as W
 from .sources import adapters as A
@@ -487,6 +491,30 @@ def peer_underperformers(spark, sf_dir):
     return out.withColumn("peer_avg_pac", F.round("peer_avg_pac", 6))
 
 
+@query
+def stall_episodes(spark, sf_dir):
+    """Stalls as episodes with start, end, readings and lost production."""
+    return WN.stall_episodes(A.production(spark, sf_dir))
+
+
+@query
+def room_month_matrix(spark, sf_dir):
+    """The room x date heatmap as one row per room and month; the 31 places are written as text here ('-': no such day)."""
+    m = marts.room_month_matrix(_odd_hours(spark, sf_dir))
+    return m.withColumn("hours", F.array_join(F.transform("hours", lambda h: h.cast("string")), ",", "-"))
+
+
+@query
+def role_views(spark, sf_dir):
+    """The rooms and solar pages as three roles see them through the catalog views; a visitor has no grant."""
+    pages = {"rooms": A.booking(spark, sf_dir), "solar": A.production(spark, sf_dir)}
+    secure.create(spark, pages, {"rooms": "department"})
+    key = {"rooms": F.concat_ws(" ", "department", "room_id"), "solar": F.col("inv_id").cast("string")}
+    out = [secure.read_as(spark, page, role, "F").groupBy(F.lit(role).alias("role"), F.lit(page).alias("page"), key[page].alias("item")).agg(F.count(F.lit(1)).alias("n_rows"))
+           for role in ("director", "technician", "visitor") for page in pages]
+    return R.union_all(out)
+
+
 # --- V: validation -------------------------------------------------------------------------
 
 def _core_tables(spark, sf_dir):
@@ -537,6 +565,13 @@ def missing_days(spark, sf_dir):
                                  "weather": fd.weather, "booking": fd.booking})
 
 
+@query
+def missing_day_ranges(spark, sf_dir):
+    """V4: runs of days without rows in each feed (some days of the energy feeds are taken out)."""
+    fd, d = A.feeds(spark, sf_dir), F.dayofmonth("date")
+    return quality.missing_day_ranges({"production": fd.production.where(~d.isin(5, 6, 7, 20)), "humidity": fd.humidity.where(~d.isin(1, 9)), "booking": fd.booking})
+
+
 # --- L18-L20, A10 --------------------------------------------------------------------------
 
 @query
@@ -571,9 +606,13 @@ def run_log(spark, sf_dir):
 
 @query
 def rooms_fact_day_runs(spark, sf_dir):
-    """The rooms fact and DimReservation as one-day and mid-month runs load them, over four runs."""
+    """The rooms fact and DimReservation as four runs load them (to the middle of a month, one single day, the rest): all
+    days of the feed, cut at a third and two thirds of its range."""
     feeds = A.feeds(spark, sf_dir)
-    runs = [("1996-09-17", "1996-09-17"), ("1996-09-18", "1996-10-12"), ("1999-02-28", "1999-02-28"), ("2000-02-29", "2000-03-01")]
+    first, last = feeds.booking.agg(F.min("date"), F.max("date")).first()
+    day = lambda k: first + (last - first) * k // 3
+    one = dt.timedelta(days=1)
+    runs = [(first, day(1)), (day(1) + one, day(1) + one), (day(1) + 2 * one, day(2)), (day(2) + one, last)]
     parts = []
     for start, end in runs:
         t = gold.build(feeds, start, end)
@@ -583,6 +622,40 @@ def rooms_fact_day_runs(spark, sf_dir):
     return R.union_all(parts)
 
 
+@query
+def rooms_fact_bitmaps(spark, sf_dir):
+    """The rooms fact of all days, the rooms of a month from the bitmaps that its days stored, not from the month's bookings."""
+    root, b = scratch_path(spark, "room-bits"), A.booking(spark, sf_dir)
+    STA.store(spark, STA.room_bits(b, STA.number_rooms(spark, root, b)), f"{root}/room_bits")
+    return facts.rooms_fact(b, STA.rooms_of_month(STA.read_state(spark, f"{root}/room_bits")))
+
+
+def _refreshed_states(spark, sf_dir):
+    """Day states of a first load whose weekend days were wrong, after these days were delivered again and refreshed alone."""
+    root, fd = scratch_path(spark, "states"), A.feeds(spark, sf_dir, materialize=True, energy_bookings=True)
+    weekend = F.dayofweek("date").isin(1, 7)
+    wrong = A.Feeds(fd.production.withColumn("daysum", F.when(weekend, F.col("daysum") + 7.0).otherwise(F.col("daysum"))),
+                    fd.consumption.where(~weekend), fd.humidity, fd.temperature.withColumn("value_acquired", F.when(weekend, 0.0).otherwise(F.col("value_acquired"))),
+                    fd.weather.withColumn("prediction", F.when(weekend, F.col("prediction") + 1.0).otherwise(F.col("prediction"))),
+                    fd.booking.where(~weekend | (F.col("room_id") < "R03")))
+    STA.refresh(spark, root, wrong)
+    days = reduce(lambda x, y: x.union(y), [getattr(fd, n).select("date") for n in gold.FEED_NAMES]).where(weekend)
+    STA.refresh(spark, root, fd, days)
+    return STA.read_states(spark, root)
+
+
+@query
+def campus_kpis_incremental(spark, sf_dir):
+    """The campus figures rolled up from day states, after the weekend days alone were refreshed."""
+    return STA.campus_kpis(_refreshed_states(spark, sf_dir))
+
+
+@query
+def forecast_accuracy_incremental(spark, sf_dir):
+    """Forecast errors by day, month and overall from the refreshed day states."""
+    return STA.forecast_accuracy(_refreshed_states(spark, sf_dir))
+
+
 @query
 def future_time_rows(spark, sf_dir):
     """L19 + C20: DimTime rows of the next two days of every run date, mapped into 2023."""
