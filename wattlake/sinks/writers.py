@@ -185,23 +185,33 @@ def column_comment(table: str, column: str) -> str:
     return ""
 
 
-def create_catalog_tables(spark: SparkSession, root: str, database: str = "gold") -> list[str]:
-    """Register every gold table in the session catalog as a Parquet table at ``root/<name>``,
-    partitioned by day for facts, with NOT NULL columns and column descriptions. Existing tables are kept."""
+def gold_ddl(root: str, database: str = "gold") -> list[str]:
+    """CREATE TABLE statements of the gold model: Parquet at ``root/<name>``, facts partitioned by day, NOT NULL columns and descriptions.
+
+    Spark's own catalog takes NOT NULL for Parquet tables but keeps their columns nullable, so the names are a table
+    property too (``not_null``), and ``conform`` holds them in every write.
+    """
     from .. import schemas
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    names = []
+    out = []
     for name, (schema, part) in schemas.catalogue().items():
         cols = []
         for f in schema.fields:
             comment = column_comment(name, f.name).replace("'", "")
             cols.append(f"`{f.name}` {f.dataType.simpleString()}" + ("" if f.nullable else " NOT NULL") + (f" COMMENT '{comment}'" if comment else ""))
-        ddl = (f"CREATE TABLE IF NOT EXISTS {database}.{name} ({', '.join(cols)}) USING parquet "
-               + (f"PARTITIONED BY ({part}) " if part else "")
-               + f"LOCATION '{root}/{name}' COMMENT '{'fact' if part else 'dimension'} table of the gold model'")
+        out.append(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({', '.join(cols)}) USING parquet "
+                   + (f"PARTITIONED BY ({part}) " if part else "")
+                   + f"LOCATION '{root}/{name}' COMMENT '{'fact' if part else 'dimension'} table of the gold model' "
+                   + f"TBLPROPERTIES ('not_null' = '{','.join(schemas.not_null_columns(name))}')")
+    return out
+
+
+def create_catalog_tables(spark: SparkSession, root: str, database: str = "gold") -> list[str]:
+    """Register every gold table in the session catalog (``gold_ddl``). Existing tables are kept."""
+    from .. import schemas
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for ddl in gold_ddl(root, database):
         spark.sql(ddl)
-        names.append(f"{database}.{name}")
-    return names
+    return [f"{database}.{name}" for name in schemas.GOLD]
 
 
 def drop_catalog_tables(spark: SparkSession, database: str = "gold") -> None:
