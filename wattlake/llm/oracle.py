@@ -116,4 +116,86 @@ low AS (SELECT a, min(b) AS m FROM r GROUP BY a)
 SELECT doc_id, CAST(len(el) AS BIGINT) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id FROM s LEFT JOIN low ON low.a = s.doc_id
 """
 
-SQL = {"op3_ngram_join": OP3, "op8_substring_dedup": OP8, "op2_url_rules": OP2, "op4_sharding": OP4, "op7_mixing": OP7}
+
+def _crc_steps() -> str:
+    """Effect of each byte on the CRC-32 register, from its rule."""
+    out = []
+    for c in range(256):
+        for _ in range(8):
+            c = (c >> 1) ^ 0xEDB88320 if c & 1 else c >> 1
+        out.append(c)
+    return "[" + ", ".join(map(str, out)) + "]::BIGINT[]"
+
+
+def _crc(text: str) -> str:
+    """Unsigned CRC-32 of a text's UTF-8 bytes."""
+    byte = f"list_transform(range(0, length(hex({text})) // 2), lambda i: CAST('0x' || substr(hex({text}), 2 * i + 1, 2) AS BIGINT))"
+    return (f"xor(list_reduce([4294967295::BIGINT] || {byte}, lambda c, b: xor(({_crc_steps()})[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)")
+
+
+_LOWERED = f"translate(coalesce(text, ''), '{_UP}', '{_LOW}')"
+_FEATURES = """
+SELECT id, unnest(CASE WHEN len(ws) = 0 THEN [] ELSE list_concat(ws, list_transform(range(1, len(ws)), lambda p: array_to_string(ws[p:p + 1], ' ')),
+       list_transform(range(1, greatest(len(ws) - 1, 1)), lambda p: array_to_string(ws[p:p + 2], ' '))) END) AS f FROM {words}"""
+OP12 = rf"""
+WITH dw AS (SELECT doc_id AS id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+bw AS (SELECT item_id AS id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+df AS ({_FEATURES.format(words='dw')}), bf AS ({_FEATURES.format(words='bw')}),
+distinct_f AS (SELECT f, {_crc('f')} % 10000 AS bucket FROM (SELECT f FROM df UNION SELECT f FROM bf)),
+db AS (SELECT id, bucket FROM df JOIN distinct_f USING (f)), bb AS (SELECT bucket FROM bf JOIN distinct_f USING (f)),
+s AS (SELECT bucket, count(*) AS s FROM db GROUP BY bucket), t AS (SELECT bucket, count(*) AS t FROM bb GROUP BY bucket),
+gain AS (SELECT s.bucket, CAST(floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE)
+           / ((s + 1)::DOUBLE * ((SELECT count(*) FROM bb) + 10000)::DOUBLE))) AS BIGINT) AS g FROM s LEFT JOIN t USING (bucket)),
+w AS (SELECT id, count(*) AS n, CAST(sum(g) AS BIGINT) AS weight FROM db JOIN gain USING (bucket) GROUP BY id),
+x AS (SELECT dw.id AS doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || CAST(dw.id AS VARCHAR)), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+      FROM dw LEFT JOIN w ON w.id = dw.id),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM x WHERE n_words >= 20)
+SELECT x.doc_id, n_features, weight, score, CASE WHEN rank <= 5 * r.n // 100 THEN rank END AS rank FROM x LEFT JOIN r USING (doc_id)
+"""
+
+
+def _value(column: str) -> str:
+    return f"coalesce(CAST(octet_length(encode(CAST({column} AS VARCHAR))) AS VARCHAR) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+def _fold(name: str, base: str, levels: int) -> str:
+    """Levels of the trees of ``base`` (tree, i, h): an unrolled fold in runs of eight; a tree that has one node stays as it is."""
+    out = [f"{name}0 AS (SELECT tree, i, h, count(*) OVER (PARTITION BY tree) AS n FROM {base})"]
+    for k in range(1, levels + 1):
+        out.append(f"{name}{k} AS (SELECT tree, i // 8 AS i, CASE WHEN any_value(n) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h, "
+                   f"(any_value(n) + 7) // 8 AS n FROM {name}{k - 1} GROUP BY tree, i // 8)")
+    return ",\n".join(out)
+
+
+def _climb(name: str, levels_of: str, base: str, levels: int) -> str:
+    """Fold a proof level by level: ``base`` (key, tree, i, cur, sib) -> the same one tree further up."""
+    out = [f"{name}0 AS (SELECT * FROM {base})"]
+    for k in range(1, levels + 1):
+        out.append(f"""{name}{k} AS (SELECT p.key, p.tree, p.i // 8 AS i,
+          CASE WHEN any_value(l.n) = 1 THEN any_value(p.cur) ELSE sha256(string_agg(CASE WHEN l.i = p.i THEN p.cur ELSE l.h END, '' ORDER BY l.i)) END AS cur,
+          any_value(p.sib) || coalesce(string_agg(CASE WHEN l.i <> p.i THEN l.h END, '' ORDER BY l.i), '') AS sib
+        FROM {name}{k - 1} p JOIN {levels_of}{k - 1} l ON l.tree = p.tree AND l.i // 8 = p.i // 8 GROUP BY p.key, p.tree, p.i // 8)""")
+    return ",\n".join(out)
+
+
+_DEPTH, _WIDE = 7, 3        # levels of the largest tree and of the tree of trees: 2,097,152 rows of a language, 512 languages
+OP13 = f"""
+WITH d AS (SELECT doc_id, coalesce('=' || lang, '-') AS tree, {' || '.join(_value(c) for c in ('doc_id', 'source', 'lang', 'n_chars'))} AS head, text,
+             {_crc('CAST(doc_id AS VARCHAR)')} % 3 = 0 AS touched FROM documents),
+leaf AS (SELECT doc_id, tree, sha256(head || {_value('text')}) AS h,
+           sha256(head || CASE WHEN touched THEN {_value(f"translate(text, '{_UP}', 'abcdefghijklmnopqrstuvwxyz')")} ELSE {_value('text')} END) AS shown FROM d),
+base AS (SELECT doc_id, tree, h, shown, row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS i FROM leaf),
+{_fold('a', 'base', _DEPTH)},
+trees AS (SELECT '' AS tree, tree AS own, h, row_number() OVER (ORDER BY encode(tree)) - 1 AS i FROM a{_DEPTH}),
+{_fold('b', 'trees', _WIDE)},
+start AS (SELECT doc_id AS key, tree, i, shown AS cur, '' AS sib FROM base),
+{_climb('p', 'a', 'start', _DEPTH)},
+middle AS (SELECT p.key, '' AS tree, t.i, p.cur, p.sib FROM p{_DEPTH} p JOIN trees t ON t.own = p.tree),
+{_climb('q', 'b', 'middle', _WIDE)}
+SELECT doc_id, base.h AS leaf, trees.h AS subroot, b{_WIDE}.h AS root, sha256(q.sib) AS proof_sha256, q.cur AS folded_root, q.cur = b{_WIDE}.h AS verified
+FROM base JOIN q{_WIDE} q ON q.key = base.doc_id JOIN trees ON trees.own = base.tree, b{_WIDE}
+"""
+
+SQL = {"op3_ngram_join": OP3, "op8_substring_dedup": OP8, "op2_url_rules": OP2, "op4_sharding": OP4, "op7_mixing": OP7,
+       "op12_importance_resampling": OP12, "op13_merkle_manifest": OP13}
