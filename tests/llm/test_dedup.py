@@ -3,6 +3,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from wattlake.llm import arrays as A
 from wattlake.llm import ngram_join, repeats
@@ -212,3 +213,47 @@ def test_regular_words_stay_apart(spark):
     names, _ = decontaminate.normal_words(buf, off)
     a, b, c = names.reshape(3, 4)
     assert (a == b).all() and (b != c).tolist() == [True, False, False, False]
+
+
+@pytest.mark.parametrize("tile", [2, 5, 512])
+def test_forest_tiles(monkeypatch, tile):
+    """Tiles of any size connect the same sets as all pairs do."""
+    monkeypatch.setattr(ngram_join, "TILE", tile)
+    monkeypatch.setattr(ngram_join, "COLUMNS", 7)
+    rng = np.random.default_rng(4)
+    sets = [np.sort(rng.choice(40, 20, replace=False)).astype(np.uint64) for _ in range(12)]
+    sets += [np.sort(np.r_[s[1:], np.uint64(100 + k)]) for k, s in enumerate(sets)]
+    rule = ngram_join.RULE
+
+    def groups(pairs):
+        comp = list(range(len(sets)))
+        for i, j in pairs:
+            comp = [comp[i] if c == comp[j] else c for c in comp]
+        return sorted(tuple(i for i in range(len(sets)) if comp[i] == c) for c in set(comp))
+    near = [(i, j) for i in range(len(sets)) for j in range(i)
+            if rule.den * (b := len(np.intersect1d(sets[i], sets[j]))) >= rule.num * (len(sets[i]) + len(sets[j]) - b)]
+    found = ngram_join.forest(sets, rule)
+    assert groups(found) == groups(near) and len(found) == len(sets) - len(groups(near))
+
+
+def test_forest_of_many_near_copies():
+    """8,192 near copies are joined within a fraction of an executor's memory."""
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    base = rng.choice(1 << 40, 200, replace=False).astype(np.uint64)
+    sets = [np.sort(np.r_[np.delete(base, k % 200), np.uint64((1 << 41) + k)]) for k in range(8192)]
+    tracemalloc.start()
+    found = ngram_join.forest(sets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 8191 and peak < 500e6
+
+
+def test_one_of_each_with_clashing_columns(spark):
+    """Columns named like those of the join come back as they were; ids may be texts."""
+    prepare(spark)
+    df = spark.createDataFrame([("b", "x y z w", "k1", 5, "c1"), ("a", "x y z w", "k2", 6, "c2"), ("c", None, "k3", 7, "c3")],
+                               "doc_id string, text string, __comp string, n_shingles int, __n string").withColumns({"component_id": F.lit("own"), "__node": F.lit(1)})
+    got = ngram_join.one_of_each(df)
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect())) == [("a", "x y z w", "k2", 6, "c2", "own", 1), ("c", None, "k3", 7, "c3", "own", 1)]

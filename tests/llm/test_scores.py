@@ -273,3 +273,102 @@ def test_array_primitives():
     assert len(set(names.tolist())) == len(set(got))
     for a in (np.array([], np.int64), np.array([0, 255]), np.array([70000, 1]), np.array([1 << 40])):
         assert (A.unpack(A.pack(a)) == a).all()
+
+
+def test_network_against_plain_loops(spark):
+    """Probabilities of every position and their mean per text, with scalar loops over the segments of a text."""
+    prepare(spark)
+    net = langid_rnn.Network(["a", "b", "c"], seed=9)
+    texts = ["", "x", "Hello é", "ab " * 70, "q" * 96, "q" * 97]
+    soft = lambda v: v / (1 + abs(v))
+    p, n, h = {k: v.astype(float) for k, v in net.p.items()}, langid_rnn.STEPS, langid_rnn.HIDDEN
+    want = []
+    for t in texts:
+        data, total = t.encode(), np.zeros(3)
+        for k in range(0, len(data), n):
+            part, out = data[k:k + n], {}
+            for d, seq in (("f", range(len(part))), ("b", range(len(part) - 1, -1, -1))):
+                state = np.zeros(h)
+                for i in seq:
+                    g = p["E" + d][:, part[i]] + p["U" + d] @ state
+                    z, c = (1 + soft(g[:h])) / 2, soft(g[h:])
+                    state = state + z * (c - state)
+                    out[d, i] = state
+            for i in range(len(part)):
+                v = p["Wf"] @ out["f", i] + p["Wb"] @ out["b", i] + p["c"].ravel()
+                e = np.exp(v - v.max())
+                total += e / e.sum()
+        want.append(total / max(len(data), 1))
+    got = net.documents(*A.text_bytes(pa.array(texts)))
+    assert got == pytest.approx(np.array(want), abs=1e-4)
+    rows = {r.doc_id: r for r in langid_rnn.predict(docs_df(spark, list(enumerate(texts))).withColumn("__letters", F.lit("mine")), net).collect()}
+    for k, t in enumerate(texts):
+        assert rows[k]["__letters"] == "mine" and rows[k].lang_pred == (net.langs[int(want[k].argmax())] if t else "und")
+        assert rows[k].score == pytest.approx(want[k].max() if t else 0, abs=1e-4)
+
+
+def test_dirty_languages(spark):
+    """A column with many stray values trains on the languages with the most rows and ends no run."""
+    prepare(spark)
+    rows = [(i, "some text here", "en" if i % 2 else "de") for i in range(60)] + [(100 + i, "text", f"junk{i:03d}") for i in range(300)]
+    net = langid_rnn.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_langs=5)
+    assert net.langs == ["de", "en", "junk000", "junk001", "junk002"]
+
+
+def test_words_alone_tell_texts_apart(spark):
+    """Texts of the same shapes and lengths but other words differ in the latent space."""
+    prepare(spark)
+    good, bad = ["river stone paper cloud green", "cloud green river paper stone"], ["virus spoil cheap fraud scams", "scams cheap virus fraud spoil"]
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(good if i % 2 else bad).split() + ["table"] * (i % 3))) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    model = quality_knn.fit(docs_df(spark, rows), labels)
+    got = {r.doc_id: r.score for r in quality_knn.score(docs_df(spark, [(1, "paper cloud river"), (2, "fraud scams cheap")]), model).collect()}
+    assert got[1] > 0.9 and got[2] < 0.1
+
+
+@pytest.mark.parametrize("module", [quality_knn, crf_lines])
+def test_hot_labelled_id(spark, module, monkeypatch):
+    """A labelled id that very many rows share brings one row to the driver."""
+    prepare(spark)
+    docs = docs_df(spark, [(1, f"text number {i}\nand # more") for i in range(3000)] + [(2, "fine words here\nand there")])
+    labels = spark.createDataFrame([(1, 0), (2, 1), (2, 1)], "doc_id long, quality int")
+    sizes, collect = [], type(docs).collect
+
+    def counted(df):
+        got = collect(df)
+        sizes.append(len(got))
+        return got
+    monkeypatch.setattr(type(docs), "collect", counted)
+    module.fit(docs, labels)
+    assert sizes and max(sizes) <= 3
+
+
+def test_mixed_text_is_decoded_in_both_states(spark):
+    """A text of prose with a block of junk lines inside changes its state at the borders of the block."""
+    prepare(spark)
+    docs, labels = table(spark, SF_MID, "documents"), table(spark, SF_MID, "labels")
+    field = crf_lines.fit(docs, labels)
+    known = {r.doc_id: r.quality for r in labels.collect()}
+    texts = collections.defaultdict(list)
+    for r in docs.orderBy("doc_id").collect():
+        lines = crf_lines.Lines(*A.text_bytes(pa.array([r.text or ""])))
+        if known.get(r.doc_id) in (0, 1) and len(lines.figures) >= 6:
+            state = field.viterbi(lines.figures, lines.line_off)
+            if (state == 1 - known[r.doc_id]).all():
+                texts[known[r.doc_id]].append((r.text, len(state)))
+    assert texts[0] and texts[1]
+    right = total = 0
+    for (good, n), (bad, m) in zip(texts[1][:40], texts[0][:40], strict=False):
+        x = crf_lines.Lines(*A.text_bytes(pa.array([f"{good}\n{bad}\n{good}"])))
+        state = field.viterbi(x.figures, x.line_off)
+        want = np.repeat([0, 1, 0], [n, len(state) - 2 * n, n])
+        right, total = right + int((state[:n + m] == want[:n + m]).sum()), total + n + m
+        assert 0 < state[:n + m].sum() < n + m
+    assert right > 0.8 * total
+
+
+def test_splices():
+    a, b = np.zeros((4, 2)), np.ones((3, 2))
+    (x, y), = crf_lines.splices([(a, 0), (b, 1)])
+    assert y.tolist() == [0, 0, 1, 1, 1, 0, 0] and (x[:, 0] == y).all() and crf_lines.splices([(a, 0)]) == []

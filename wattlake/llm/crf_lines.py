@@ -8,7 +8,9 @@ words of its content lines are at least ``MIN_CONTENT`` of all its words.
 Weights are trained here by gradient ascent on the conditional likelihood
 (forward-backward), on lines of a bounded sample of labelled documents: lines of good documents are
 content, lines of bad documents boilerplate (weak labels: the field learns
-which figures tell them apart). Base figures (characters, symbols, duplicate lines,
+which figures tell them apart). A text of more than ``RUN`` lines gives a run of ``RUN`` lines at a place that its id hashes to.
+Texts that mix both are rare among the labelled ones, so the runs are also spliced, a good one between the halves of a bad
+one or the other way round, and the field learns where a text changes its state. Base figures (characters, symbols, duplicate lines,
 words in repeated windows) are exact counts over the whole text.
 
 Defined cases: a null or empty text has zero counts and fails the base rule; a document
@@ -27,7 +29,7 @@ from pyspark.sql import types as T
 from . import arrays as A
 
 SAMPLE = 800                # labelled documents of the fit: the smallest hashes of the id, as many good as bad
-SAMPLE_LINES = 100          # lines of one training document
+RUN = 100                   # lines in a row that a training document gives
 WINDOW = 8                  # words of a repetition window
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 MIN_CONTENT = 0.5
@@ -125,15 +127,16 @@ class Field:
         self.w, self.t = np.zeros(N_FIGURES), np.zeros((2, 2))
         self.trained = False
 
-    def train(self, seqs: list[np.ndarray], labels: list[int], rounds: int = ROUNDS) -> None:
-        """Gradient ascent on the mean log-likelihood of the line states (Adam)."""
-        if len(set(labels)) < 2:
+    def train(self, seqs: list[np.ndarray], labels: list[np.ndarray], rounds: int = ROUNDS) -> None:
+        """Gradient ascent on the mean log-likelihood of the line states (Adam); ``labels``: a state per line."""
+        if len(np.unique(np.concatenate(labels))) < 2 if labels else True:
             return
         line_off = np.concatenate([[0], np.cumsum([len(s) for s in seqs])])
         x, size = _pad(np.concatenate(seqs), line_off, np.arange(len(seqs)))
-        y = np.array(labels)
+        y = _pad(np.concatenate(labels), line_off, np.arange(len(seqs)))[0].astype(np.int64)
         live = np.arange(len(x))[:, None] < size
         pair = live[1:]
+        seen = np.eye(2)[y[:-1]][..., :, None] * np.eye(2)[y[1:]][..., None, :]     # 1 at (state, next state)
         total = live.sum()
         m, v = [np.zeros_like(self.w), np.zeros_like(self.t)], [np.zeros_like(self.w), np.zeros_like(self.t)]
         for step in range(1, rounds + 1):
@@ -144,14 +147,12 @@ class Field:
             post -= post.max(-1, keepdims=True)
             post = np.exp(post)
             post /= post.sum(-1, keepdims=True)
-            gw = (((y == 1)[None] - post[..., 1]) * live)[..., None] * x
+            gw = (((y == 1) - post[..., 1]) * live)[..., None] * x
             joint = alpha[:-1, :, :, None] + self.t + (u[1:] + beta[1:])[:, :, None, :]
             joint -= joint.max((-2, -1), keepdims=True)
             joint = np.exp(joint)
             joint /= joint.sum((-2, -1), keepdims=True)
-            seen = np.zeros((len(y), 2, 2))
-            seen[np.arange(len(y)), y, y] = 1
-            gt = ((seen[None] - joint) * pair[:, :, None, None]).sum((0, 1))
+            gt = ((seen - joint) * pair[:, :, None, None]).sum((0, 1))
             for i, (p, g) in enumerate(((self.w, gw.sum((0, 1))), (self.t, gt))):
                 g = g / total - DECAY * p
                 m[i], v[i] = 0.9 * m[i] + 0.1 * g, 0.99 * v[i] + 0.01 * g * g
@@ -218,16 +219,33 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str
             buf, off = A.text_bytes(b.column(1))
             for i, j in A.slices(off):
                 lines = Lines(*A.cut(buf, off, i, j))
-                per = [lines.figures[lines.line_off[k]:lines.line_off[k + 1]][:SAMPLE_LINES].astype(np.float32).tobytes() for k in range(j - i)]
+                per = []
+                for k in range(j - i):
+                    first, last = int(lines.line_off[k]), int(lines.line_off[k + 1])
+                    first += int(A.mix(np.array([b.column(0)[i + k].as_py()], np.int64).view(np.uint64))[0] % A.U(max(1, last - first - RUN + 1)))
+                    per.append(lines.figures[first:min(last, first + RUN)].astype(np.float32).tobytes())
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(2).slice(i, j - i), pa.array(per, pa.binary())], ["id", "y", "x"])
 
-    got = sorted((r[0], r[1], bytes(r[2])) for r in rows.mapInArrow(figures, "id long, y int, x binary").collect())[:sample]
+    # one text of an id and label, so that an id that many rows share brings one row to the driver
+    per_id = rows.mapInArrow(figures, "id long, y int, x binary").groupBy("id", "y").agg(F.min("x").alias("x"))
+    got = sorted((r[0], r[1], bytes(r[2])) for r in per_id.collect())
     field = Field()
-    got = [g for g in got if g[2]]
-    field.train([np.frombuffer(g[2], np.float32).reshape(-1, N_FIGURES).astype(float) for g in got], [1 - g[1] for g in got])
+    seqs = [(np.frombuffer(x, np.float32).reshape(-1, N_FIGURES).astype(float), 1 - y) for _, y, x in got if x]
+    seqs += splices(seqs)
+    field.train([x for x, _ in seqs], [np.full(len(x), y) if np.ndim(y) == 0 else y for x, y in seqs])
     return field
 
 
+def splices(seqs: list[tuple[np.ndarray, int]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Each good run with a bad one: the shorter stands between the halves of the longer."""
+    out = []
+    for (good, _), (bad, _) in zip([s for s in seqs if s[1] == 0], [s for s in seqs if s[1] == 1], strict=False):
+        (outer, o), (inner, i) = ((good, 0), (bad, 1)) if len(good) >= len(bad) else ((bad, 1), (good, 0))
+        half = len(outer) // 2
+        out.append((np.concatenate([outer[:half], inner, outer[half:]]), np.repeat([o, i, o], [half, len(inner), len(outer) - half])))
+    return out
+
+
 OUT = [("n_words", "long"), ("word_chars", "long"), ("n_symbols", "long"), ("n_dup_lines", "long"), ("n_repeat_words", "long"),
        ("content_share", "double"), ("base_failed", "boolean"), ("kept", "boolean")]
 

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from . import arrays as A
 
 SAMPLE, SPAN = 600, 384         # training documents per language; characters of each span
-MAX_LANGS = 256                 # languages of one model; more is an error, never a cut
+MAX_LANGS = 256                 # languages of one model: those with the most rows
 HIDDEN, STEPS, LANES = 8, 96, 4096
 ROUNDS, BATCH, RATE = 160, 384, 0.02
 PAD = 256
@@ -169,16 +169,15 @@ def segments(buf: np.ndarray, off: np.ndarray):
     return x[order], who[order], size[order]
 
 
-def fit(train: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> Network:
+def fit(train: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE, max_langs: int = MAX_LANGS) -> Network:
     """Learn from at most ``sample`` documents of each language, those with the smallest hashes of ``key``.
 
-    Every language with a row is learned: the hash threshold follows each
+    The ``max_langs`` languages with the most rows are learned (ties by name), the bound of the fit: stray values of a dirty column
+    beyond them are no classes. The hash threshold follows each
     language's own count, and the collected spans are bounded by languages x 2 x sample.
     """
     rows = train.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
-    counts = [(r[0], r[1]) for r in rows.groupBy(lang).count().orderBy(lang).limit(MAX_LANGS + 1).collect()]
-    if len(counts) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
+    counts = sorted((r[0], r[1]) for r in rows.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(max_langs).collect())
     u = (F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 30)) / float(1 << 30))
     wanted = F.lit(False)
     for name, n in counts:
@@ -201,13 +200,15 @@ def predict(docs: DataFrame, net: Network, text: str = "text", lang_out: str = "
     docs = docs.drop(lang_out, score_out)
     text = next(c for c in docs.columns if c.lower() == text.lower())
     # one letter anywhere decides; the regular expression stops at the first
-    docs = docs.withColumn("__letters", F.coalesce(F.col(f"`{text}`").rlike(r"\p{L}"), F.lit(False)))
-    fields = [f for f in docs.schema.fields if f.name != "__letters"]
+    fields, mark = docs.schema.fields, "__letters"
+    while mark in docs.columns:
+        mark += "_"
+    docs = docs.withColumn(mark, F.coalesce(F.col(f"`{text}`").rlike(r"\p{L}"), F.lit(False)))
 
     def labelled(batches):
         for batch in batches:
             buf, off = A.text_bytes(batch.column(batch.schema.get_field_index(text)))
-            letters = np.asarray(batch.column(batch.schema.get_field_index("__letters")).to_numpy(zero_copy_only=False), bool)
+            letters = np.asarray(batch.column(batch.schema.get_field_index(mark)).to_numpy(zero_copy_only=False), bool)
             name, score = np.full(len(letters), UND, object), np.zeros(len(letters))
             for i, j in A.slices(off):
                 if not net.langs:

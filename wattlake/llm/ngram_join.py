@@ -46,6 +46,8 @@ SUBSET, SCAN = 2, 4
 CELLS, SEGMENTS = 1 << 19, 32
 LONG_LIST, BLOCK = 64, 4096
 DOCS_PER_GROUP, LEAST_GROUPS = 2000, 12
+DOC_BYTES = 8192        # bytes of a document that this counts on; longer ones take more groups
+TILE, COLUMNS = 512, 4096       # sets and elements of one comparison
 DOCS_PER_PART, LEAST_PARTS = 4000, 64
 SIZE_BINS = 1 << 12                     # sizes from here on share a bin of the histogram: they are large anyway
 LEAST_LEVEL = 2                         # sketches have 64 * 2**level bits
@@ -426,27 +428,13 @@ def _links(rule: Rule):
 
 
 def forest(members: list[np.ndarray], rule: Rule = RULE) -> list[tuple[int, int]]:
-    """Spanning forest of the linked pairs among some sets (sorted arrays of distinct elements)."""
+    """Spanning forest of the linked pairs among some sets (sorted arrays of distinct elements).
+
+    Sets are compared in tiles of TILE x TILE; a tile whose sets are in one component already is skipped, so memory
+    follows the tile and a family of copies costs one row of tiles.
+    """
     m = len(members)
     size = np.array([len(s) for s in members])
-    if m <= 3:
-        pairs = [(i, j) for i in range(m) for j in range(i + 1, m)
-                 if _fits(len(np.intersect1d(members[i], members[j], assume_unique=True)), size[i], size[j], rule)]
-    else:
-        column, count = np.unique(np.concatenate(members), return_inverse=True, return_counts=True)[1:]
-        row = np.repeat(np.arange(m), size)
-        shared = np.flatnonzero(count > 1)                      # an element of one set adds to no intersection
-        place = np.full(len(count), -1)
-        place[shared] = np.arange(len(shared))
-        col = place[column]
-        common = np.zeros((m, m), np.float32)
-        for a in range(0, len(shared), 4096):
-            here = (col >= a) & (col < a + 4096)
-            x = np.zeros((m, min(4096, len(shared) - a)), np.float32)
-            x[row[here], col[here] - a] = 1
-            common += x @ x.T
-        i, j = np.nonzero(np.triu(_fits(common.astype(np.int64), size[:, None], size[None, :], rule), 1))
-        pairs = zip(i.tolist(), j.tolist(), strict=True)
     parent, out = list(range(m)), []
 
     def root(v):
@@ -455,11 +443,48 @@ def forest(members: list[np.ndarray], rule: Rule = RULE) -> list[tuple[int, int]
             v = parent[v]
         return v
 
-    for i, j in pairs:
-        a, b = root(i), root(j)
-        if a != b:
-            parent[b] = a
-            out.append((i, j))
+    def link(pairs):
+        for i, j in pairs:
+            a, b = root(i), root(j)
+            if a != b:
+                parent[b] = a
+                out.append((i, j))
+
+    if m <= 3:
+        link((i, j) for i in range(m) for j in range(i + 1, m)
+             if _fits(len(np.intersect1d(members[i], members[j], assume_unique=True)), size[i], size[j], rule))
+        return out
+    column, count = np.unique(np.concatenate(members), return_inverse=True, return_counts=True)[1:]
+    shared = np.flatnonzero(count > 1)                          # an element of one set adds to no intersection
+    place = np.full(len(count), -1)
+    place[shared] = np.arange(len(shared))
+    col, edge = place[column], np.r_[0, np.cumsum(size)]
+    blocks = np.arange(0, len(shared) + COLUMNS, COLUMNS)
+    tiles = []
+    for a in range(0, m, TILE):
+        b = min(a + TILE, m)
+        c, r = col[edge[a]:edge[b]], np.repeat(np.arange(b - a), size[a:b])
+        order = np.argsort(c, kind="stable")
+        order = order[np.searchsorted(c[order], 0):]
+        tiles.append((a, b, r[order], c[order], np.searchsorted(c[order], blocks)))
+
+    def dense(tile, k):
+        a, b, r, c, at = tile
+        x = np.zeros((b - a, COLUMNS), np.float32)
+        x[r[at[k]:at[k + 1]], c[at[k]:at[k + 1]] - k * COLUMNS] = 1
+        return x
+
+    for t, one in enumerate(tiles):
+        for other in tiles[t:]:
+            if len({root(v) for v in range(one[0], one[1])} | {root(v) for v in range(other[0], other[1])}) == 1:
+                continue
+            common = np.zeros((one[1] - one[0], other[1] - other[0]), np.float32)
+            for k in range(len(blocks) - 1):
+                x = dense(one, k)
+                common += x @ (x if other is one else dense(other, k)).T
+            i, j = np.nonzero(_fits(common.astype(np.int64), size[one[0]:one[1], None], size[None, other[0]:other[1]], rule))
+            i, j = i + one[0], j + other[0]
+            link(zip(i[i < j].tolist(), j[i < j].tolist(), strict=True))
     return out
 
 
@@ -486,8 +511,9 @@ def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rule: Rul
     """(a, b) set names: links between different sets that connect every component of the join."""
     spark, rule = docs.sparkSession, rule.check()
     rows = docs.select(F.col(doc_id).alias("__i"), F.col(text).alias("__t"))
-    size = rows.count()
-    groups, parts = parts_for(size, DOCS_PER_GROUP, LEAST_GROUPS), parts_for(size, DOCS_PER_PART, LEAST_PARTS)
+    size, volume = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("__t").cast("long")), F.lit(0))).first()
+    # by rows, or by bytes where texts are long
+    groups, parts = (max(parts_for(size, n, least), parts_for(volume, n * DOC_BYTES)) for n, least in ((DOCS_PER_GROUP, LEAST_GROUPS), (DOCS_PER_PART, LEAST_PARTS)))
     cells, sizes = survey(rows, rule)
     order = Order(cells, boundary(sizes, rule), rule)
     # homes are dealt by id and text: a text that a third of the rows share is spread, and is one set in each home
@@ -519,8 +545,11 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rule: Rule
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rule: Rule = RULE) -> DataFrame:
-    """The document with the smallest id of every component, and every document with an empty set."""
-    joined = stage(docs.sparkSession, join(docs, doc_id, text, rule), "join-rows")
+    """The document with the smallest id of every component, and every document with an empty set; all columns stay as they are, whatever their names."""
+    names = docs.columns
+    own = docs.toDF(*[f"c{k}" for k in range(len(names))])               # so no column can clash with those of the join
+    row_id, body = (f"c{[n.lower() for n in names].index(c.lower())}" for c in (doc_id, text))
+    joined = stage(docs.sparkSession, join(own, row_id, body, rule), "join-rows")
     empty = joined.where("__comp is null")
-    first = joined.where(F.col("__comp").isNotNull() & F.col(doc_id).eqNullSafe(F.col("component_id"))).dropDuplicates(["__comp"])
-    return empty.unionByName(first).select(*[F.col(f"`{c}`") for c in docs.columns])
+    first = joined.where(F.col("__comp").isNotNull() & F.col(row_id).eqNullSafe(F.col("component_id"))).dropDuplicates(["__comp"])
+    return empty.unionByName(first).select(*[F.col(f"c{k}").alias(n) for k, n in enumerate(names)])

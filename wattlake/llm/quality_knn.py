@@ -1,7 +1,7 @@
 """Quality classifier: nearest-neighbour voting over latent-semantic vectors.
 
-A text becomes a term vector of shape trigrams (bytes mapped to letter case,
-digit, space and punctuation classes) plus three repetition terms, with
+A text becomes a term vector of hashed words and hashed character trigrams (lower case), shape trigrams (bytes
+mapped to letter case, digit, space and punctuation classes) and three repetition terms, with
 logarithmic counts and inverse document frequencies; a truncated singular
 value decomposition of labelled documents gives the latent space. The
 labelled vectors (at most ``MAX_LABELLED``, the documented bound of the fit) are
@@ -10,8 +10,8 @@ blocks; the nearest ``NEIGHBOURS`` vote with their label, weighted by similarity
 
 Defined cases: a null or empty text has the zero vector and gets the mean label of the
 sample; without any labelled row every score is 0.5; equal
-texts get equal scores; repeated label rows each count; other columns of the
-input are ignored.
+texts get equal scores; equal label rows count once, and an id with several texts gives one of them; other columns of the
+input are ignored. Ids are numbers, or texts that are numbers.
 """
 
 from __future__ import annotations
@@ -37,7 +37,10 @@ _CLASS[10], _CLASS[65:91], _CLASS[48:58] = 1, 2, 4
 _MARKS = [b for b in range(33, 127) if not chr(b).isalnum()]
 _CLASS[_MARKS] = np.arange(5, 5 + len(_MARKS))
 _N = 5 + len(_MARKS)
-_TERM = (A.mix(np.arange(_N ** 3, dtype=np.uint64) + A.U(7)) % A.U(TERMS - 3)).astype(np.int32)
+# terms: words, character trigrams, shape trigrams, and three of repetition
+WORD_TERMS, CHAR_TERMS = 512, 512
+_SHAPES = WORD_TERMS + CHAR_TERMS
+_TERM = (_SHAPES + A.mix(np.arange(_N ** 3, dtype=np.uint64) + A.U(7)) % A.U(TERMS - 3 - _SHAPES)).astype(np.int32)
 
 
 def counts(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -45,13 +48,19 @@ def counts(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     n = len(off) - 1
     if not len(buf):
         return np.zeros((n, TERMS), np.float32)
-    c = _CLASS[buf]
-    doc = np.repeat(np.arange(n, dtype=np.int64), np.diff(off))
-    code = _TERM[(c[:-2] * _N + c[1:-1]) * _N + c[2:]] if len(c) > 2 else np.zeros(0, np.int32)
-    inside = doc[:-2] == doc[2:] if len(c) > 2 else np.zeros(0, bool)
-    out = np.bincount((doc[:-2] * TERMS + code)[inside] if len(c) > 2 else np.zeros(0, np.int64), minlength=n * TERMS).astype(np.float32).reshape(n, TERMS)
+    low = A.LOWER[buf]
     starts, ends, wo = A.tokens(buf, off)
-    names, who = A.word_names(buf, starts, ends), A.owner(wo)
+    names, who = A.word_names(low, starts, ends), A.owner(wo)
+    at = [who * TERMS + (names % A.U(WORD_TERMS)).astype(np.int64)]
+    if len(buf) > 2:
+        c, x = _CLASS[buf], low.astype(np.int64)
+        doc = np.repeat(np.arange(n, dtype=np.int64), np.diff(off))
+        inside = doc[:-2] == doc[2:]
+        row = doc[:-2][inside] * TERMS
+        at.append(row + _TERM[((c[:-2] * _N + c[1:-1]) * _N + c[2:])[inside]])
+        tri = ((x[:-2] << 16) | (x[1:-1] << 8) | x[2:])[inside] * 0x9E3779B1        # a multiplicative hash
+        at.append(row + WORD_TERMS + ((tri >> 13) % CHAR_TERMS))
+    out = np.bincount(np.concatenate(at), minlength=n * TERMS).astype(np.float32).reshape(n, TERMS)
     if len(names):
         same = np.r_[False, (names[1:] == names[:-1]) & (who[1:] == who[:-1])]
         out[:, TERMS - 3] = np.bincount(who, same, n)
@@ -140,10 +149,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str
             yield pa.record_batch([batch.column("__id").slice(i, j - i), batch.column("__y").slice(i, j - i),
                                    pa.array([A.pack(r.astype(np.int64)) for r in x], pa.binary())], ["__id", "__y", "__x"])
 
-    got = text_rows.mapInArrow(term_rows, "__id long, __y double, __x binary").collect()
+    # one text of a labelled row, whatever share of the rows has its id: at most max_labelled rows come to the driver
+    got = text_rows.mapInArrow(term_rows, "__id long, __y double, __x binary").groupBy("__id", "__y").agg(F.min("__x").alias("__x")).collect()
     got.sort(key=lambda r: (r[0], r[1], bytes(r[2])))
-    # a repeated document id must not lift the bound
-    got = got[:max_labelled]
     x = np.empty((len(got), TERMS), np.float32)
     y = np.array([r[1] for r in got])
     for i in range(len(got) - 1, -1, -1):
