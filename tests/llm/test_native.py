@@ -159,10 +159,11 @@ def test_mixing(spark):
     prepare(spark)
     rows = [(i, "w " * (i * 7 % 13), ["en", "de", None][i % 3], f"s{i % 5}") for i in range(200)]
     rows += [(7, "a b", "en", "s0"), (7, "a b", "en", "s0"), (None, "x", "en", None), (500, None, "fr", "s9"), (501, "", "fr", "s9"), (502, "w " * 3000, "es", "s1")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("epoch", F.lit("old")).withColumn("rest", F.lit(1))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumns({"epoch": F.lit("old"), "rest": F.lit(1), "__whole": F.lit("mine"), "__b": F.lit(2), "c0": F.lit(3), "given": F.lit(4)})
     weights = {"domain": {"odd": 3}, "lang": {"en": 1, "de": 5}}
     for epochs in (1, 3):
         got = mixing.select_mix(df, F.when(F.col("source").isin("s1", "s3"), "odd").otherwise("even"), weights, "s", (1, 1), epochs).collect()
+        assert all((r.rest, r["__whole"], r["__b"], r.c0, r.given) == (1, "mine", 2, 3, 4) for r in got)
         assert sorted(((r.doc_id, r["__domain"], r.epoch) for r in got), key=str) == mix_brute(
             rows, lambda s: "odd" if s in ("s1", "s3") else "even", weights, "s", epochs)
     assert mixing.select_mix(df.where("false"), F.lit("d"), {}, "s").count() == 0

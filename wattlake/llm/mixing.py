@@ -13,14 +13,13 @@ then the longest prefix of the next epoch whose tokens fit the rest.
 
 The prefix is found without sorting a leaf in one task: tokens are summed per
 (leaf, 12-bit bucket of the order key), a window over those sums names the
-boundary bucket, and only that bucket's documents are ordered. The decision
-is one cut-off key per leaf, joined back to the documents.
+boundary bucket, the same inside that bucket names a 4,096th of it, and only the documents of that part are ordered.
+The decision is one cut-off key per leaf, joined back to the documents.
 
 Defined cases: null language or source is the group ``?``; documents without
 tokens go with their neighbours in the order, a leaf without any token gives nothing;
 repeated rows share an order key and are taken together or not at all;
-empty tables give empty results; input columns named like the working
-columns (``__*``) are not allowed, ``epoch`` is replaced.
+empty tables give empty results; input columns named ``epoch`` or ``__domain`` are replaced.
 """
 
 from __future__ import annotations
@@ -102,14 +101,17 @@ def plan(docs: DataFrame, domain: Column, weights: dict, seed: str, share=(1, 1)
     quota = stage(spark, quota.where("supply > 0").select(
         *LEAF, F.col("supply").cast("long").alias("supply"), F.col("alloc").cast("long").alias("alloc"),
         F.expr("CAST(alloc DIV supply AS INT)").alias("whole"), F.expr("CAST(alloc % supply AS BIGINT)").alias("rest")), "mix-quota")
-    keyed = (slim.join(quota.where("rest > 0").select(*LEAF, "whole", "rest"), LEAF)
-             .withColumn("__u", order_key(seed, F.col("whole"), F.col("__id"))).withColumn("__b", F.substring("__u", 1, BUCKET_HEX)))
-    sums = keyed.groupBy(*LEAF, "rest", "__b").agg(F.sum("__n").alias("__n"))
-    run = sums.withColumn("__end", F.sum("__n").over(Window.partitionBy(*LEAF).orderBy("__b")))
-    # the first bucket that goes beyond the rest; the buckets before it are taken whole
-    edge = (run.where("__end > rest").groupBy(*LEAF).agg(F.min(F.struct("__b", (F.col("__end") - F.col("__n")).alias("__start"))).alias("e"))
-            .select(*LEAF, F.col("e.__b").alias("__b"), F.col("e.__start").alias("__start")))
-    inside = keyed.join(edge, [*LEAF, "__b"])
+    inside = (slim.join(quota.where("rest > 0").select(*LEAF, "whole", "rest"), LEAF)
+              .withColumns({"__u": order_key(seed, F.col("whole"), F.col("__id")), "__start": F.lit(0).cast("long")}))
+    for digits in (BUCKET_HEX, 2 * BUCKET_HEX):             # the bucket of the cut, then its part of it: 1 / 16,777,216 of a leaf is put in order
+        inside = inside.withColumn("__b", F.substring("__u", 1, digits))
+        sums = inside.groupBy(*LEAF, "rest", "__start", "__b").agg(F.sum("__n").alias("__n"))
+        run = sums.withColumn("__end", F.col("__start") + F.sum("__n").over(Window.partitionBy(*LEAF).orderBy("__b")))
+        # the first bucket that goes beyond the rest; the buckets before it are taken whole
+        edge = (run.where("__end > rest").groupBy(*LEAF).agg(F.min(F.struct("__b", (F.col("__end") - F.col("__n")).alias("__start"))).alias("e"))
+                .select(*LEAF, F.col("e.__b").alias("__b"), F.col("e.__start").alias("__start")))
+        edge = stage(spark, edge, "mix-edge")               # a row per leaf
+        inside = inside.drop("__start").join(edge, [*LEAF, "__b"])
     byu = inside.groupBy(*LEAF, "rest", "__b", "__start", "__u").agg(F.sum("__n").alias("__n"))
     cum = byu.withColumn("__c", F.col("__start") + F.sum("__n").over(Window.partitionBy(*LEAF).orderBy("__u")))
     last = cum.where("__c <= rest").groupBy(*LEAF).agg(F.max("__u").alias("__u"))
@@ -125,12 +127,18 @@ def leaf_columns(domain: Column, lang: str, source: str) -> list[Column]:
 
 def select_mix(docs: DataFrame, domain: Column, weights: dict, seed: str, share=(1, 1), max_epochs: int = 2,
                doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """The selected documents, once per epoch that takes them, with ``epoch`` (0-based) and ``__domain``."""
-    leaves = stage(docs.sparkSession, plan(docs, domain, weights, seed, share, max_epochs, doc_id, text, lang, source), "mix-plan")
-    base = docs.drop("epoch").withColumns(dict(zip(LEAF, leaf_columns(domain, lang, source), strict=True)))
+    """The selected documents, once per epoch that takes them, with ``epoch`` (0-based) and ``__domain`` (input columns of these
+    two names are replaced; all others stay, whatever their names)."""
+    names = docs.columns
+    at = {n.lower(): f"c{k}" for k, n in enumerate(names)}
+    own = docs.select(*[F.col(f"`{n}`") for n in names], domain.cast("string"))
+    own = own.toDF(*[f"c{k}" for k in range(len(names))], "given")          # so no column can clash with those of the plan
+    row_id, body, lang, source = (at[c.lower()] for c in (doc_id, text, lang, source))
+    leaves = stage(docs.sparkSession, plan(own, F.col("given"), weights, seed, share, max_epochs, row_id, body, lang, source), "mix-plan")
+    base = own.withColumns(dict(zip(LEAF, leaf_columns(F.col("given"), lang, source), strict=True)))
     d = base.join(leaves.select(*LEAF, *[F.col(c).alias(f"__{c}") for c in ("whole", "rest", "cut")]), LEAF)
-    u = order_key(seed, F.col("__whole"), F.col(doc_id))
+    u = order_key(seed, F.col("__whole"), F.col(row_id))
     more = (F.col("__rest") > 0) & (F.col("__cut").isNull() | (u <= F.col("__cut")))
     d = d.withColumn("__copies", F.col("__whole") + more.cast("int")).where("__copies > 0")
     d = d.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("__copies") - 1)))
-    return d.drop("__lang", "__source", "__whole", "__rest", "__cut", "__copies")
+    return d.select(*[F.col(f"c{k}").alias(n) for k, n in enumerate(names) if n.lower() not in ("epoch", LEAF[0])], F.col(LEAF[0]), "epoch")
