@@ -16,7 +16,6 @@ number of open pieces, so no task holds more than a bounded number of them.
 from __future__ import annotations
 
 import functools
-import itertools
 import os
 import zlib
 
@@ -31,7 +30,8 @@ from .common import parts_for, stage
 
 PIECES = 50_000         # open pieces of a partition
 ROUNDS = 6              # exchanges at most
-SLICE = 8 << 20         # bytes of texts whose chunks are collected together
+SLICE = 12 << 20        # bytes of texts whose chunks are collected together
+CACHE, SHORT = 1 << 19, 32      # chunks that a worker remembers, and their bytes at most
 END = 2                 # id behind each text
 
 
@@ -59,8 +59,8 @@ class Chunks:
 
     The tokenizer splits a text into runs of letters, of digits and of other characters, each with the blank before it, and
     merges bytes inside these alone. Where a run of one class of ASCII bytes (or Latin-1 letters) meets another, or white space begins,
-    no split depends on text across the border. So a text's ids are those of its chunks between such borders, and each distinct chunk
-    of a slice is tokenized once.
+    no split depends on text across the border. So a text's ids are those of its chunks between such borders. Each distinct chunk
+    of a slice is asked for once, and a worker remembers up to CACHE short chunks from slice to slice.
     """
 
     def __init__(self, path: str):
@@ -69,6 +69,7 @@ class Chunks:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True       # their strings in a text are ordinary text
         self.line, = self.tok.encode("\n", add_special_tokens=False).ids
+        self.known: dict[bytes, bytes] = {}         # plain chunk -> its ids, four bytes each
 
     def encode(self, column):
         """(i, ids, offsets) of slices of an Arrow text column; text i + k has ids[offsets[k]:offsets[k + 1]]."""
@@ -90,35 +91,39 @@ class Chunks:
         words = pa.Array.from_buffers(pa.large_binary(), len(edge), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(buf))])
         coded = words.dictionary_encode()
         which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        plain = np.zeros(len(coded.dictionary), bool)
-        if len(edge):
-            odd = ((kind == 0) & (buf != 0x27)) | (kind == SPACE)
-            odd[edge] &= buf[edge] != 0x20                       # a blank in front, and no other white space
-            plain[which] = np.add.reduceat(odd.astype(np.int32), edge) == 0
-        flat, size = self._encode(coded.dictionary.cast(pa.large_string()), plain)
+        plain = np.ones(len(coded.dictionary), bool)
+        odd = ((kind == 0) & (buf != 0x27)) | (kind == SPACE)
+        odd[edge] &= buf[edge] != 0x20                           # a blank in front, and no other white space
+        plain[which[np.searchsorted(edge, np.flatnonzero(odd), "right") - 1]] = False
+        data = self._ids(coded.dictionary.to_pylist(), plain.tolist())
+        size = np.fromiter(map(len, data), np.int64, len(data)) // 4
+        flat = np.frombuffer(b"".join(data), "<u4")
         at = np.r_[0, np.cumsum(size)]
         to = np.r_[0, np.cumsum(size[which])].astype(np.int64)
         out = flat[np.repeat(at[which] - to[:-1], size[which]) + np.arange(to[-1])]
         return out, to[np.searchsorted(edge, off)]
 
-    def _encode(self, chunks, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all chunks one after the other, number of each chunk's ids).
-
-        Plain chunks hold no line end, so many of them are one text with a line end behind each, and the id of the line end
-        parts their ids.
-        """
-        many, size = chunks.filter(pa.array(plain)), np.zeros(len(chunks), np.int64)
-        texts = ["".join(f"{c}\n" for c in many[k:k + BATCH].to_pylist()) for k in range(0, len(many), BATCH)]
-        ids = np.concatenate([np.zeros(0, np.uint32), *[np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]])
-        stop = ids == self.line
-        size[plain] = np.diff(np.flatnonzero(stop), prepend=-1) - 1
-        rest = [e.ids for e in self.tok.encode_batch_fast(chunks.filter(pa.array(~plain)).to_pylist(), add_special_tokens=False)]
-        size[~plain] = np.fromiter(map(len, rest), np.int64, len(rest))
-        own = np.repeat(plain, size)
-        out = np.empty(int(size.sum()), np.uint32)
-        out[own] = ids[~stop]
-        out[~own] = np.fromiter(itertools.chain.from_iterable(rest), np.uint32, int(size[~plain].sum()))
-        return out, size
+    def _ids(self, chunks: list[bytes], plain: list[bool]) -> list[bytes]:
+        """Ids of each chunk."""
+        found = list(map(self.known.get, chunks))
+        new = [k for k, x in enumerate(found) if x is None]
+        if len(self.known) + len(new) > CACHE:
+            self.known.clear()
+        many, few = [k for k in new if plain[k]], [k for k in new if not plain[k]]
+        for k, x in zip(many, self._plain([chunks[k] for k in many]), strict=True):
+            found[k] = x
+            if len(chunks[k]) <= SHORT:
+                self.known[chunks[k]] = x
+        for k, e in zip(few, self.tok.encode_batch_fast([chunks[k].decode() for k in few], add_special_tokens=False), strict=True):
+            found[k] = np.array(e.ids, "<u4").tobytes()
+        return found
+
+    def _plain(self, chunks: list[bytes]) -> list[bytes]:
+        """Plain chunks hold no line end, so many of them are one text with a line end behind each, and the id of the line end parts their ids."""
+        texts = [b"".join(c + b"\n" for c in chunks[k:k + BATCH]).decode() for k in range(0, len(chunks), BATCH)]
+        ids = np.concatenate([np.zeros(0, "<u4"), *[np.array(e.ids, "<u4") for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]])
+        stop, data = (4 * np.flatnonzero(ids == self.line)).tolist(), ids.tobytes()
+        return [data[a:b] for a, b in zip([0, *[x + 4 for x in stop[:-1]]], stop, strict=True)] if stop else []
 
 
 @functools.lru_cache(2)
@@ -126,6 +131,19 @@ def _chunks(path: str) -> Chunks:
     return Chunks(path)
 
 
+def joined(batches):
+    """Batches put together to about SLICE bytes of text."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column("text").nbytes
+        if size >= SLICE:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def cuts(n: int, size: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of n ids: whole sequences behind a first piece that may be shorter."""
     first = n % size or min(n, size)
@@ -145,7 +163,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int, id_col: str = "doc_id", t
     def run(batches):
         chunks = _chunks(tokenizer)
         tail = np.array([] if end is None else [end], "<u4")
-        for batch in batches:
+        for batch in joined(batches):
             for i, ids, off in chunks.encode(batch.column("text")):
                 rows = {k: [] for k in ("at", "piece", "start", "length", "crc", "ids")}
                 for k in range(len(off) - 1):
