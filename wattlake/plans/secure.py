@@ -1,6 +1,6 @@
 """D9 as catalog objects: role views that follow a table of grants and the session's role.
 
-``grants`` says which page a role may open and whether it is limited to the session's school. The views join their rows to the
+``grants`` says which page a role may open and whether it is limited to the session's school. The views filter their rows by the
 grant of the session's role, so a role that is not in the table, or no role, has no rows. The session variables are
 read when a query on a view is analysed.
 """
@@ -25,10 +25,11 @@ def create(spark: SparkSession, pages: dict[str, DataFrame], school_column: dict
     spark.createDataFrame(grants, GRANTS).createOrReplaceTempView("role_grants")
     for page, rows in pages.items():
         rows.createOrReplaceTempView(f"page_{page}")
-        own = f"p.`{school_column[page]}` = session.wl_school" if page in school_column else "false"
+        grant = f"FROM role_grants g WHERE g.page = '{page}' AND g.role = session.wl_role"
+        own = f"p.`{school_column[page]}` = session.wl_school AND (SELECT count(*) {grant}) > 0" if page in school_column else "false"
+        # scalar subqueries: the grants are read once, the page's rows are filtered and not joined
         spark.sql(f"""CREATE OR REPLACE TEMPORARY VIEW secure_{page} AS
-            SELECT p.* FROM page_{page} p LEFT SEMI JOIN role_grants g
-            ON g.page = '{page}' AND g.role = session.wl_role AND (NOT g.own_school OR {own})""")
+            SELECT p.* FROM page_{page} p WHERE coalesce((SELECT bool_or(NOT g.own_school) {grant}), false) OR ({own})""")
 
 
 def read_as(spark: SparkSession, page: str, role: str | None, school: str | None = None) -> DataFrame:
