@@ -48,15 +48,20 @@ def distinct_timestamps(frames: list[tuple[DataFrame, str]], bare_hour_cols: tup
     """(date, normalised time) of every feed, distinct.
 
     Feeds lacking the time column are skipped (A13). Each feed is projected to
-    two columns first, so the distinct shuffles only those.
+    two columns first, and its texts are made distinct before they are normalised: a text is
+    normalised once per day, not once per row. The text is taken together with its count, which keeps filters
+    on the normalised time above that step (Spark moves a filter on grouping keys alone below it, to every row).
     """
     parts = []
     for df, tcol in frames:
         if tcol not in df.columns or "date" not in df.columns:
             continue
-        t = tx.normalize_time(tcol, bare_hour=tcol in bare_hour_cols)
-        parts.append(df.select(F.col("date").cast("date").alias("date"), t.alias("time")))
-    return union_all(parts).where(F.col("date").isNotNull() & F.col("time").isNotNull()).distinct()
+        parts.append(df.select(F.col("date").cast("date").alias("date"), F.col(tcol).cast("string").alias("raw"), F.lit(tcol in bare_hour_cols).alias("bare")))
+    texts = (union_all(parts).where(F.col("date").isNotNull() & F.col("raw").isNotNull())
+             .groupBy("date", "raw", "bare").agg(F.count(F.lit(1)).alias("n"))
+             .select("date", F.when(F.col("n") > 0, F.col("raw")).alias("raw"), "bare"))
+    t = F.when(F.col("bare"), tx.normalize_time("raw", bare_hour=True)).otherwise(tx.normalize_time("raw"))
+    return texts.select("date", t.alias("time")).distinct()
 
 
 def set_difference(new: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:

@@ -10,6 +10,7 @@ invalid tokens chosen from the row's own ids) and parse it back.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -581,9 +582,10 @@ def backfill_range(spark, sf_dir):
 
 
 def _lake(spark, sf_dir, root):
-    """The six feeds stored as a silver lake under ``root`` (bookings on the days of the energy feeds)."""
+    """The six feeds stored as a silver lake under ``root`` (bookings on the days of the energy feeds); the six writes run side by side."""
     fd = A.feeds(spark, sf_dir, energy_bookings=True)
-    for name in gold.FEED_NAMES:
+
+    def store(name):
         declared = SV.FEED_SCHEMAS[name]
         rows = getattr(fd, name)
         rows = W.conform(rows.select(*[F.col(c).cast(declared[c].dataType) for c in rows.columns if c in declared.fieldNames() and c != "issued"]), declared)
@@ -591,6 +593,9 @@ def _lake(spark, sf_dir, root):
             W.rewrite_layer(rows.withColumn("month", F.date_format("date", "yyyy-MM")), f"{root}/{name}", "month")
         else:
             W.replace_days(rows, f"{root}/{name}", full=True)
+
+    with ThreadPoolExecutor(max_workers=len(gold.FEED_NAMES)) as pool:
+        list(pool.map(store, gold.FEED_NAMES))
     return root
 
 

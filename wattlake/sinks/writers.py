@@ -29,7 +29,8 @@ class Written:
         self.days, self.seen = list(days), Observation()
 
     def on(self, df: DataFrame, date_col: str | None = None) -> DataFrame:
-        by_day = [F.count_if(F.col(date_col) == F.lit(d)).alias(f"d{i}") for i, d in enumerate(self.days)] if date_col else []
+        # a plain count of a day's rows: count_if took about twice the time on every row
+        by_day = [F.count(F.when(F.col(date_col) == F.lit(d), F.lit(1))).alias(f"d{i}") for i, d in enumerate(self.days)] if date_col else []
         return df.observe(self.seen, F.count(F.lit(1)).alias("n"), *by_day)
 
     def total(self) -> int:
